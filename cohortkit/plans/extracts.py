@@ -6,9 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions.timeops import local_to_utc
-from ..operators.cohort import by_ids, by_procedure, code_set, tag_groups, union_cohorts
-from ..operators.predicates import between
+from ..functions.text import flag_text
+from ..functions.timeops import age_years, local_day, local_to_utc, parse_prompt, utc_to_local
+from ..operators.cohort import CohortSpec, build_cohort, by_ids, code_set, tag_groups
+from ..operators.lookup import attach_display
+from ..operators.picks import first_by, max_at_first, max_at_first_many
+from ..operators.predicates import any_of, between, current_rows, in_codes, matches
+from ..operators.windows import events_around, events_before
+from ..sources.roles import regions
 from .common import SPEC, TZ, cohort, roles, with_cohort, with_roles
 from .registry import register
 
@@ -77,3 +82,255 @@ def tz_bounds(spark, sf_dir):
     lo = local_to_utc(dt.datetime(1996, 1, 1), TZ)
     hi = local_to_utc(dt.datetime(1999, 7, 1), TZ)
     return enc.filter(between("reg_dt_tm", lo, hi)).select("encntr_id", "reg_dt_tm")
+
+
+# --- facts around the cohort --------------------------------------------------
+
+# Fixed values of the fixture study: measure codes (event, unit).
+WEIGHT = ("A", "F")
+HEIGHT = ("N", "O")
+BMI_EVENT = "R"                      # no unit filter for BMI (as in the study)
+DRUG_CODES = (1, 2, 3, 4)            # drugs searched
+IV_EVENTS = ("A", "R")               # begin-bag / rate-change style events
+TYPES_LISTED = ("PROMO", "STANDARD")  # diagnosis vocabularies listed
+
+
+@register("current_rows", with_roles("""
+SELECT event_id, person_id, event_cd, result_val, event_end_dt_tm FROM pev
+WHERE valid_until_dt_tm > DATE '2099-12-31'"""))
+def current_rows_q(spark, sf_dir):
+    ev = current_rows(roles(spark, sf_dir).person_event)
+    return ev.select("event_id", "person_id", "event_cd", "result_val", "event_end_dt_tm")
+
+
+@register("first_measure_max", with_roles("""
+, f AS (SELECT l.l_orderkey AS encntr_id, l.l_shipdate AS t, l.l_quantity AS v
+        FROM lineitem l JOIN enc e ON e.encntr_id = l.l_orderkey WHERE l.l_shipdate <= e.disch_dt_tm),
+r AS (SELECT encntr_id, v, dense_rank() OVER (PARTITION BY encntr_id ORDER BY t) AS dr FROM f)
+SELECT encntr_id, max(v) AS first_val FROM r WHERE dr = 1 GROUP BY encntr_id"""))
+def first_measure_max(spark, sf_dir):
+    """AGG2 + FLT7: per encounter, the largest value at the earliest time,
+    among events up to (and at) discharge."""
+    r = roles(spark, sf_dir)
+    facts = events_before(r.encounter_event, r.encounter, "encntr_id", "event_end_dt_tm",
+                          "disch_dt_tm", strict=False)
+    return max_at_first(facts, "encntr_id", "event_end_dt_tm", "result_val", "first_val")
+
+
+@register("first_measure_row", with_roles("""
+SELECT person_id, event_id, event_end_dt_tm, result_val FROM (
+  SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY event_end_dt_tm NULLS LAST, event_id) AS rn
+  FROM pev WHERE event_cd = 'purchase') WHERE rn = 1"""))
+def first_measure_row(spark, sf_dir):
+    """WIN1 + SRT1: whole first row per person by (time, event id)."""
+    ev = roles(spark, sf_dir).person_event.filter(F.col("event_cd") == "purchase")
+    return first_by(ev, "person_id", ["event_end_dt_tm", "event_id"]).select(
+        "person_id", "event_id", "event_end_dt_tm", "result_val")
+
+
+def _measures(enc, events, cohort_ids):
+    """Weight, height and BMI of the cohort's encounters in one aggregate."""
+    facts = events_before(events.join(cohort_ids, "encntr_id", "left_semi"), enc, "encntr_id",
+                          "event_end_dt_tm", "disch_dt_tm", strict=False)
+    ev, un = F.col("event_cd"), F.col("result_units_cd")
+    return max_at_first_many(facts, "encntr_id", "event_end_dt_tm", {
+        "weight": ("result_val", (ev == WEIGHT[0]) & (un == WEIGHT[1])),
+        "height": ("result_val", (ev == HEIGHT[0]) & (un == HEIGHT[1])),
+        "bmi": ("result_val", ev == BMI_EVENT),
+    })
+
+
+def _rank_first_sql(name, cond):
+    return (f"{name} AS (SELECT encntr_id, max(v) AS {name} FROM (SELECT *, dense_rank() OVER "
+            f"(PARTITION BY encntr_id ORDER BY t) AS dr FROM m WHERE {cond}) WHERE dr = 1 GROUP BY encntr_id)")
+
+
+AGE_SQL = ("CAST(trunc(epoch(timezone('America/Chicago', timezone('UTC', e.reg_dt_tm)) - p.birth_dt_tm)"
+           " / 86400.0 / 365.25) AS INTEGER)")
+
+
+@register("demographics", with_cohort(f"""
+, m AS (SELECT l.l_orderkey AS encntr_id, l.l_returnflag AS ev, l.l_linestatus AS u, l.l_quantity AS v,
+               l.l_shipdate AS t
+        FROM lineitem l JOIN enc e ON e.encntr_id = l.l_orderkey
+        WHERE l.l_orderkey IN (SELECT encntr_id FROM allp) AND l.l_shipdate <= e.disch_dt_tm),
+{_rank_first_sql('weight', "ev = 'A' AND u = 'F'")},
+{_rank_first_sql('height', "ev = 'N' AND u = 'O'")},
+{_rank_first_sql('bmi', "ev = 'R'")}
+SELECT a.encntr_id, c.pt_group, e.encntr_type_class_cd, {AGE_SQL} AS age,
+       n.n_name AS race, p.sex_cd AS sex, height.height, weight.weight, bmi.bmi
+FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id
+JOIN per p ON p.person_id = a.person_id
+LEFT JOIN cang c ON c.encntr_id = a.encntr_id
+LEFT JOIN nation n ON n.n_nationkey = p.race_cd
+LEFT JOIN weight ON weight.encntr_id = a.encntr_id
+LEFT JOIN height ON height.encntr_id = a.encntr_id
+LEFT JOIN bmi ON bmi.encntr_id = a.encntr_id"""))
+def demographics(spark, sf_dir):
+    """PL2: cohort + age at admission + first measures + display lookups."""
+    r = roles(spark, sf_dir)
+    _, listed, allp = cohort(spark, sf_dir)
+    enc = r.encounter
+    base = (tag_groups(allp, listed)
+            .join(enc.select("encntr_id", "encntr_type_class_cd"), "encntr_id")
+            .join(r.person, "person_id"))
+    base = base.withColumn("age", age_years("reg_dt_tm", "birth_dt_tm", TZ))
+    base = attach_display(base, r.code_value, "race_cd", "race")
+    meas = _measures(enc, r.encounter_event, allp.select("encntr_id"))
+    out = base.join(meas, "encntr_id", "left")
+    return out.select("encntr_id", "pt_group", "encntr_type_class_cd", "age", "race",
+                      F.col("sex_cd").alias("sex"), "height", "weight", "bmi")
+
+
+@register("age_at_admission", with_roles(f"""
+SELECT e.encntr_id, {AGE_SQL} AS age FROM enc e JOIN per p ON p.person_id = e.person_id"""))
+def age_at_admission(spark, sf_dir):
+    """SC2 + SC5 + SC6 on every encounter."""
+    r = roles(spark, sf_dir)
+    j = r.encounter.join(r.person, "person_id")
+    return j.select("encntr_id", age_years("reg_dt_tm", "birth_dt_tm", TZ).alias("age"))
+
+
+@register("diagnosis_list", with_cohort("""
+SELECT DISTINCT a.encntr_id, p.p_type AS code_type, p.p_brand AS code, p.p_name AS description,
+       l.l_linenumber AS priority
+FROM allp a JOIN lineitem l ON l.l_orderkey = a.encntr_id JOIN part p ON p.p_partkey = l.l_partkey
+WHERE p.p_type IN ('PROMO', 'STANDARD')"""))
+def diagnosis_list(spark, sf_dir):
+    """PL3: cohort diagnoses with a listed vocabulary (JN1, FLT5, JN10)."""
+    r = roles(spark, sf_dir)
+    allp = cohort(spark, sf_dir)[2].select("encntr_id")
+    nomen = r.nomenclature.filter(F.col("source_vocabulary").isin(*TYPES_LISTED))
+    diag = r.procedure.join(allp, "encntr_id", "left_semi")
+    return (diag.join(nomen, "nomenclature_id")
+            .select("encntr_id", F.col("source_vocabulary").alias("code_type"),
+                    F.col("source_identifier").alias("code"), F.col("source_string").alias("description"),
+                    "priority")
+            .distinct())
+
+
+def _proc_days(r, cohort_ids):
+    """PL4-PL6 body: cohort procedures with a coded pattern, local day."""
+    codes = r.nomenclature.filter(matches("source_identifier", SPEC.code_pattern))
+    proc = r.procedure.join(cohort_ids, "encntr_id", "left_semi")
+    return (proc.join(codes, "nomenclature_id")
+            .select("encntr_id", local_day("proc_dt_tm", TZ).alias("proc_day"),
+                    F.col("source_identifier").alias("code"), F.col("source_string").alias("code_text"),
+                    F.col("source_vocabulary").alias("vocabulary"))
+            .distinct())
+
+
+PROC_DAYS_SQL = """
+SELECT DISTINCT l.l_orderkey AS encntr_id,
+       CAST(timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS DATE) AS proc_day,
+       p.p_brand AS code, p.p_name AS code_text, p.p_type AS vocabulary
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+WHERE regexp_matches(p.p_brand, '^Brand#[1-3]$') AND l.l_orderkey IN (SELECT encntr_id FROM {src})"""
+
+
+@register("tz_local_day", with_cohort(PROC_DAYS_SQL.format(src="allp")))
+def tz_local_day(spark, sf_dir):
+    """PL4: window from prompt text parsed by a mask (SC4), local procedure days."""
+    r = roles(spark, sf_dir)
+    window = (parse_prompt("01/01/1996", "MM/dd/yyyy"), parse_prompt("07/01/1999", "MM/dd/yyyy"))
+    spec = CohortSpec(**{**SPEC.__dict__, "window": window})
+    allp = build_cohort(r.encounter, r.procedure, r.nomenclature, r.alias, spec)[2]
+    return _proc_days(r, allp.select("encntr_id"))
+
+
+@register("tz_local_day_fixed", with_cohort("""
+, pts_local AS (SELECT DISTINCT e.encntr_id, e.person_id, e.reg_dt_tm FROM enc e, icd, lineitem l
+        WHERE e.reg_dt_tm BETWEEN timezone('UTC', timezone('America/Chicago', TIMESTAMP '1996-01-01'))
+                              AND timezone('UTC', timezone('America/Chicago', TIMESTAMP '1999-07-01'))
+          AND e.encntr_type_class_cd = 'F'
+          AND e.encntr_id = l.l_orderkey AND l.l_partkey = icd.nomenclature_id),
+allp_local AS (SELECT encntr_id, person_id, reg_dt_tm FROM cang UNION SELECT * FROM pts_local)
+""" + PROC_DAYS_SQL.format(src="allp_local")))
+def tz_local_day_fixed(spark, sf_dir):
+    """PL5: fixed window at local midnight (PRM3 + SC1), local procedure days."""
+    r = roles(spark, sf_dir)
+    spec = CohortSpec(**{**SPEC.__dict__, "tz": TZ})
+    allp = build_cohort(r.encounter, r.procedure, r.nomenclature, r.alias, spec)[2]
+    return _proc_days(r, allp.select("encntr_id"))
+
+
+@register("tz_local_day_listed", with_cohort(PROC_DAYS_SQL.format(src="cang")))
+def tz_local_day_listed(spark, sf_dir):
+    """PL6: listed cohort only."""
+    r = roles(spark, sf_dir)
+    listed = by_ids(r.encounter, r.alias, SPEC.ids, SPEC.group)
+    return _proc_days(r, listed.select("encntr_id"))
+
+
+@register("meds_given", with_cohort("""
+SELECT DISTINCT l.l_orderkey AS encntr_id,
+       timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS dose_datetime,
+       l.l_linenumber AS medication, l.l_quantity AS dose, l.l_discount AS rate, l.l_linestatus AS route
+FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id JOIN lineitem l ON l.l_orderkey = a.encntr_id
+WHERE l.l_linenumber IN (1, 2, 3, 4) AND l.l_shipdate < e.disch_dt_tm
+  AND (l.l_quantity > 25 OR l.l_returnflag IN ('A', 'R'))"""))
+def meds_given(spark, sf_dir):
+    """PL7: drugs given before discharge (strict bound), dose > 0-style test OR
+    an IV event (FLT5, FLT7, FLT9)."""
+    r = roles(spark, sf_dir)
+    allp = cohort(spark, sf_dir)[2].select("encntr_id")
+    ev = in_codes(r.encounter_event.join(allp, "encntr_id", "left_semi"), "line_cd", DRUG_CODES)
+    ev = ev.filter(any_of([F.col("result_val") > 25, F.col("event_cd").isin(*IV_EVENTS)]))
+    ev = events_before(ev, r.encounter, "encntr_id", "event_end_dt_tm", "disch_dt_tm", strict=True)
+    return ev.select("encntr_id", utc_to_local("event_end_dt_tm", TZ).alias("dose_datetime"),
+                     F.col("line_cd").alias("medication"), F.col("result_val").alias("dose"),
+                     F.col("infusion_rate").alias("rate"), F.col("result_units_cd").alias("route")).distinct()
+
+
+@register("events_around_anchor", with_roles("""
+, anc AS (SELECT person_id, event_end_dt_tm AS at FROM pev WHERE event_cd = 'purchase'),
+f AS (SELECT * FROM pev WHERE event_cd IN ('view', 'error') AND valid_until_dt_tm > DATE '2099-12-31')
+SELECT DISTINCT f.person_id, f.event_id,
+       timezone('America/Chicago', timezone('UTC', f.event_end_dt_tm)) AS event_datetime,
+       f.event_cd, f.result_val
+FROM f JOIN anc a ON a.person_id = f.person_id
+ AND f.event_end_dt_tm BETWEEN a.at - INTERVAL 12 HOUR AND a.at + INTERVAL 1 DAY"""))
+def events_around_anchor(spark, sf_dir):
+    """PL8 / JN8: current view/error events within -12 h .. +1 day of any
+    purchase of the same person, each event once."""
+    ev = roles(spark, sf_dir).person_event
+    anchors = ev.filter(F.col("event_cd") == "purchase")
+    facts = current_rows(ev.filter(F.col("event_cd").isin("view", "error")))
+    hit = events_around(facts, anchors, "person_id", "event_end_dt_tm", "event_end_dt_tm", 0.5, 1.0)
+    return hit.select("person_id", "event_id", utc_to_local("event_end_dt_tm", TZ).alias("event_datetime"),
+                      "event_cd", "result_val")
+
+
+@register("surgery_list", with_cohort("""
+SELECT DISTINCT c.encntr_id,
+       timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS surgery_start,
+       timezone('America/Chicago', timezone('UTC', l.l_shipdate + to_hours(l.l_linenumber))) AS surgery_stop,
+       CASE l.l_linenumber WHEN 1 THEN 'TRUE' ELSE 'FALSE' END AS primary_procedure,
+       l.l_partkey AS surg_proc_cd, p.p_name AS surgery
+FROM cang c JOIN lineitem l ON l.l_orderkey = c.encntr_id JOIN part p ON p.p_partkey = l.l_partkey"""))
+def surgery_list(spark, sf_dir):
+    """PL9: surgeries of the listed cohort (JN11, JN1, SC2, SC7, JN9)."""
+    r = roles(spark, sf_dir)
+    listed = by_ids(r.encounter, r.alias, SPEC.ids, None).select("encntr_id")
+    s = r.surgery.join(listed, "encntr_id", "left_semi")
+    names = r.nomenclature.select(F.col("nomenclature_id").alias("surg_proc_cd"), F.col("source_string").alias("surgery"))
+    s = s.join(names, "surg_proc_cd", "left")
+    return s.select("encntr_id", utc_to_local("surg_start_dt_tm", TZ).alias("surgery_start"),
+                    utc_to_local("surg_stop_dt_tm", TZ).alias("surgery_stop"),
+                    flag_text("primary_proc_ind").alias("primary_procedure"),
+                    "surg_proc_cd", "surgery").distinct()
+
+
+@register("code_display", """
+SELECT c.c_custkey AS person_id, c.c_nationkey AS race_cd, n.n_name AS race, r.r_name AS region
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""")
+def code_display(spark, sf_dir):
+    """JN9: one lookup join per displayed code column."""
+    r = roles(spark, sf_dir)
+    p = r.person.select("person_id", "race_cd")
+    p = attach_display(p, r.code_value, "race_cd", "race")
+    nat = r.table("nation").select(F.col("n_nationkey").alias("race_cd"), F.col("n_regionkey").alias("region_cd"))
+    p = p.join(F.broadcast(nat), "race_cd", "left")
+    p = attach_display(p, regions(r.table("region")), "region_cd", "region")
+    return p.select("person_id", "race_cd", "race", "region")

@@ -113,6 +113,23 @@ def aliases(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("encntr_id"), F.col("o_custkey").alias("alias"))
 
 
+def surgeries(lineitem: DataFrame) -> DataFrame:
+    """SURGICAL_CASE joined to SURG_CASE_PROCEDURE: one row per case procedure;
+    the stop time is start + line number hours."""
+    start = F.col("l_shipdate")
+    return lineitem.select(
+        F.col("l_orderkey").alias("encntr_id"),
+        start.alias("surg_start_dt_tm"),
+        (start + F.make_dt_interval(hours=F.col("l_linenumber"))).cast("timestamp_ntz").alias("surg_stop_dt_tm"),
+        F.col("l_linenumber").alias("primary_proc_ind"),
+        F.col("l_partkey").alias("surg_proc_cd"),
+    )
+
+
+def regions(region: DataFrame) -> DataFrame:
+    return region.select(F.col("r_regionkey").cast("long").alias("code"), F.col("r_name").alias("display"))
+
+
 def code_values(nation: DataFrame) -> DataFrame:
     """Code -> display lookup."""
     return nation.select(F.col("n_nationkey").cast("long").alias("code"), F.col("n_name").alias("display"))
@@ -159,3 +176,7 @@ class Roles:
     @property
     def code_value(self) -> DataFrame:
         return code_values(self.table("nation"))
+
+    @property
+    def surgery(self) -> DataFrame:
+        return surgeries(self.table("lineitem"))

@@ -74,3 +74,23 @@ def max_at_first_many(df: DataFrame, keys: Sequence[str] | str, order_col: str,
             packed = F.when(cond, packed)
         aggs.append(F.max(packed).getField("v").alias(out))
     return df.groupBy(*keys).agg(*aggs)
+
+
+def first_value_many(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
+                     measures: dict[str, tuple[str, Column | None]]) -> DataFrame:
+    """Several WIN1 picks of one value each, in one aggregate:
+    ``measures = {out: (value_col, row_condition or None)}``; the value of the
+    first row by ``order`` (NULL order values last) among the rows meeting
+    the condition.  ``min(struct(...))`` has a partial map-side step, so hot
+    keys are folded before the shuffle."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    parts = []
+    for i, o in enumerate(order):
+        parts += [F.col(o).isNull().alias(f"n{i}"), F.col(o).alias(f"o{i}")]
+    aggs = []
+    for out, (value_col, cond) in measures.items():
+        packed = F.struct(*parts, F.col(value_col).alias("v"))
+        if cond is not None:
+            packed = F.when(cond, packed)
+        aggs.append(F.min(packed).getField("v").alias(out))
+    return df.groupBy(*keys).agg(*aggs)

@@ -1,3 +1,237 @@
-"""Tidy layer (PL10-PL18)."""
+"""Tidy layer (PL10-PL18, PL20): exports -> analysis tables, as Spark plans."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import safe_number, strip_prefix
+from ..operators.flags import (any_of, attach_flags, condition_flags, pattern_flags,
+                               prefix_conditions, value_flags)
+from ..operators.frames import key_first, stack_by_name
+from ..operators.lookup import literal_table
+from ..operators.picks import first_by, first_value_many
+from ..session import scratch_path
+from ..sources import exports as X
+from ..sources.sinks import batch_ids, write_table
+from ..sources.tables import load, read_positional
+from .registry import register
+
+# Fixed values of the fixture study.
+MEASURE_EVENTS = {"weight": "purchase", "height": "view", "bmi": "click"}
+HISTORY_PATTERNS = {"a_fib": "purch", "cva": "sign", "pe": "err|vie", "dvt": "cli"}
+CONDITIONS = [("HTN", "Brand#1"), ("DM", "Brand#2"), ("DMcx", "Brand#3")]
+HOME_MEDS = ["purchase", "view", "click"]
+DISCHARGE_MEDS = ["purchase", "view", "click", "signup", "error", "refund", "login", "logout", "search"]
+EXCLUDED_ALLERGY = "err"
+ID_PREFIX = "^Customer#"
+BATCH_SIZE = 40
+
+
+def _t(spark, sf_dir, name):
+    return load(spark, sf_dir, name)
+
+
+def _person_demog(spark, sf_dir):
+    return X.person_demographics(_t(spark, sf_dir, "customer"), _t(spark, sf_dir, "nation"))
+
+
+def _enc_demog(spark, sf_dir):
+    return X.encounter_demographics(_t(spark, sf_dir, "orders"))
+
+
+@register("patient_table", """
+WITH f AS (SELECT user_id AS id, event_type AS ev, value AS v,
+                  row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS LAST, event_id) AS rn
+           FROM events WHERE event_type IN ('purchase', 'view', 'click'))
+SELECT c.c_name AS fin, c.c_mktsegment AS gender, n.n_name AS race,
+       w.v AS weight, h.v AS height, b.v AS bmi
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+LEFT JOIN f w ON w.id = c.c_custkey AND w.ev = 'purchase' AND w.rn = 1
+LEFT JOIN f h ON h.id = c.c_custkey AND h.ev = 'view' AND h.rn = 1
+LEFT JOIN f b ON b.id = c.c_custkey AND b.ev = 'click' AND b.rn = 1""")
+def patient_table(spark, sf_dir):
+    """PL10: demographics left-joined to three first measures (WIN1 x3, JN4).
+    The measure text is parsed with a safe cast (SC14); the three picks are
+    one aggregate."""
+    m = X.measures(_t(spark, sf_dir, "events")).withColumn("event_result", safe_number("event_result"))
+    picks = first_value_many(m, "millennium_id", ["event_datetime", "event_id"], {
+        out: ("event_result", F.col("event") == ev) for out, ev in MEASURE_EVENTS.items()})
+    out = _person_demog(spark, sf_dir).join(picks, "millennium_id", "left")
+    return out.select("fin", "gender", "race", "weight", "height", "bmi")
+
+
+@register("allergy_list", """
+SELECT DISTINCT c.c_name AS fin, lower(upper(e.event_type)) AS allergy
+FROM events e JOIN customer c ON c.c_custkey = e.user_id
+WHERE e.event_id % 7 <> 0 AND NOT regexp_matches(lower(upper(e.event_type)), 'err')""")
+def allergy_list(spark, sf_dir):
+    """PL11: rename report headers (PRJ3), lower case (SC12), drop missing,
+    inactive and excluded entries (FLT10, FLT4), distinct, attach fin (JN5)."""
+    raw = X.allergies_raw(_t(spark, sf_dir, "events"))
+    a = raw.withColumnsRenamed({"Encounter Identifier": "millennium_id", "Allergies": "allergy",
+                                "Allergy Active Status": "allergy_status"})
+    a = a.withColumn("allergy", F.lower("allergy"))
+    a = a.filter(F.col("allergy").isNotNull() & (F.col("allergy_status") == "Active")
+                 & ~F.col("allergy").rlike(EXCLUDED_ALLERGY))
+    a = a.select("millennium_id", "allergy").distinct()
+    return a.join(_person_demog(spark, sf_dir), "millennium_id").select("fin", "allergy")
+
+
+def _flag_sql(names, expr):
+    return ", ".join(f"coalesce(f.{n}, false) AS {n}" for n in names), ", ".join(
+        expr(n) for n in names)
+
+
+@register("history_flags", """
+WITH f AS (SELECT user_id, bool_or(regexp_matches(event_type, 'purch')) AS a_fib,
+                  bool_or(regexp_matches(event_type, 'sign')) AS cva,
+                  bool_or(regexp_matches(event_type, 'err|vie')) AS pe,
+                  bool_or(regexp_matches(event_type, 'cli')) AS dvt
+           FROM events GROUP BY user_id)
+SELECT c.c_name AS fin, coalesce(f.a_fib, false) AS a_fib, coalesce(f.cva, false) AS cva,
+       coalesce(f.pe, false) AS pe, coalesce(f.dvt, false) AS dvt
+FROM customer c FULL JOIN f ON f.user_id = c.c_custkey""")
+def history_flags(spark, sf_dir):
+    """PL12: code-pattern flags (AGG3) in one groupBy, joined to every id
+    (JN6, full outer like the tidy chain) and filled with FALSE (PRJ6)."""
+    codes = _t(spark, sf_dir, "events").select(F.col("user_id").alias("millennium_id"),
+                                              F.col("event_type").alias("diag_code"))
+    flags = pattern_flags(codes, "millennium_id", "diag_code", HISTORY_PATTERNS)
+    base = _person_demog(spark, sf_dir).select("millennium_id", "fin")
+    return attach_flags(base, flags, "millennium_id", how="full").select("fin", *HISTORY_PATTERNS)
+
+
+@register("comorbidity_flags", """
+WITH cond(condition, prefix) AS (VALUES ('HTN', 'Brand#1'), ('DM', 'Brand#2'), ('DMcx', 'Brand#3')),
+d AS (SELECT l.l_orderkey AS id, p.p_brand AS code FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+      WHERE l.l_linestatus = 'F'),
+f AS (SELECT d.id, bool_or(c.condition = 'HTN') AS htn, bool_or(c.condition = 'DM') AS dm,
+             bool_or(c.condition = 'DMcx') AS dmcx
+      FROM d JOIN cond c ON starts_with(d.code, c.prefix) GROUP BY d.id)
+SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS fin, coalesce(f.htn, false) AS htn,
+       coalesce(f.dm OR f.dmcx, false) AS diabetes
+FROM orders o FULL JOIN f ON f.id = o.o_orderkey""")
+def comorbidity_flags(spark, sf_dir):
+    """AGG4 + SC16: codes -> condition groups by prefix (broadcast condition
+    table, equi join on generated prefixes), one flag per condition,
+    diabetes = DM OR DMcx, every encounter kept."""
+    diag = X.diagnoses(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("diag_type") == "FINAL")
+    cond = literal_table(spark, CONDITIONS, "condition string, prefix string")
+    coded = prefix_conditions(diag, "diag_code", cond)
+    flags = condition_flags(coded, "millennium_id", "condition", [c for c, _ in CONDITIONS])
+    flags = flags.select("millennium_id", F.col("HTN").alias("htn"), any_of(["DM", "DMcx"]).alias("diabetes"))
+    base = _enc_demog(spark, sf_dir)
+    return attach_flags(base, flags, "millennium_id", how="full").select("fin", "htn", "diabetes")
+
+
+@register("primary_code", """
+SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS fin, p.p_brand AS diag_code, p.p_name AS diag_description
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
+WHERE l.l_linestatus = 'F' AND l.l_linenumber = 1""")
+def primary_code(spark, sf_dir):
+    """PL13: final primary diagnoses (FLT1), fin attached (JN5), key first (PRJ4)."""
+    diag = X.diagnoses(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("diag_type") == "FINAL")
+    p = diag.filter(F.col("diag_seq") == "Primary").select("millennium_id", "diag_code", "diag_description")
+    p = p.join(_enc_demog(spark, sf_dir), "millennium_id")
+    return key_first(p, "fin", drop=["millennium_id"])
+
+
+@register("procedure_list", """
+SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS fin, p.p_brand AS proc_code,
+       p.p_name AS proc_description, l.l_shipdate AS proc_date
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
+WHERE regexp_matches(p.p_brand, '1')""")
+def procedure_list(spark, sf_dir):
+    """PL14: procedures whose code contains a pattern anywhere (FLT3), fin first."""
+    pr = X.procedures(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("proc_code").rlike("1"))
+    pr = pr.join(_enc_demog(spark, sf_dir), "millennium_id")
+    return key_first(pr, "fin", drop=["millennium_id"])
+
+
+@register("plan_list", """
+SELECT c.c_name AS fin, e.props AS plan_name, e.event_type AS plan_type, e.value AS plan_class
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) e
+JOIN customer c ON c.c_custkey = e.user_id WHERE e.rn = 1""")
+def plan_list(spark, sf_dir):
+    """PL15: first plan row per (id, plan type) in file order (WIN2), fin attached."""
+    raw = X.insurance_raw(_t(spark, sf_dir, "events")).withColumnsRenamed({
+        "Millennium Encounter ID": "millennium_id", "Primary Health Plan Name": "plan_name",
+        "Primary Health Plan Type": "plan_type", "Primary Health Plan Fin Class": "plan_class"})
+    first = first_by(raw, ["millennium_id", "plan_type"], ["input_order"])
+    return first.join(_person_demog(spark, sf_dir), "millennium_id").select("fin", "plan_name", "plan_type", "plan_class")
+
+
+def _med_flags_sql(names, parity):
+    cols = ", ".join(f"bool_or(event_type = '{n}') AS {n}" for n in names)
+    outs = ", ".join(f"coalesce(f.{n}, false) AS {n}" for n in names)
+    inlist = ", ".join(f"'{n}'" for n in names)
+    return f"""
+WITH f AS (SELECT user_id, {cols} FROM events
+           WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = {parity} AND event_type IN ({inlist})
+           GROUP BY user_id)
+SELECT c.c_name AS fin, {outs} FROM customer c FULL JOIN f ON f.user_id = c.c_custkey"""
+
+
+def _med_flags(spark, sf_dir, med_type, names):
+    o = X.outpatient(_t(spark, sf_dir, "events")).filter(F.col("med_type") == med_type)
+    flags = value_flags(o, "millennium_id", "med", names)
+    base = _person_demog(spark, sf_dir).select("millennium_id", "fin")
+    return attach_flags(base, flags, "millennium_id", how="full").select("fin", *names)
+
+
+@register("med_flags_home", _med_flags_sql(HOME_MEDS, 0))
+def med_flags_home(spark, sf_dir):
+    """PL16: home drug list pivoted to one flag per requested drug (AGG5)."""
+    return _med_flags(spark, sf_dir, X.HOME, HOME_MEDS)
+
+
+@register("med_flags_discharge", _med_flags_sql(DISCHARGE_MEDS, 1))
+def med_flags_discharge(spark, sf_dir):
+    """PL17: discharge drug flags; drugs absent from the data still get a
+    column, all FALSE."""
+    return _med_flags(spark, sf_dir, X.DISCHARGE, DISCHARGE_MEDS)
+
+
+@register("id_batches", """
+WITH ids AS (SELECT DISTINCT regexp_replace(c_name, '^Customer#', '') AS id FROM customer),
+n AS (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM ids)
+SELECT CAST((rn - 1) // 40 AS BIGINT) AS batch, string_agg(id, ';' ORDER BY id) AS ids,
+       CAST(count(*) AS INTEGER) AS n_ids
+FROM n GROUP BY 1""")
+def id_batches(spark, sf_dir):
+    """PL20: strip a leading pattern (SC13), then ids in delimited chunks of
+    40 in id order (SNK4), numbered without a single-task window."""
+    ids = _person_demog(spark, sf_dir).select(strip_prefix("fin", ID_PREFIX).alias("id"))
+    return batch_ids(ids, "id", BATCH_SIZE)
+
+
+@register("stack_groups", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, true AS cangrelor
+FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment, false AS cangrelor
+FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' AND c_acctbal IS NOT NULL""")
+def stack_groups(spark, sf_dir):
+    """SET2 + PRJ2 + FLT10: two tagged sheets stacked by column name; the
+    second lacks a column, which becomes NULL."""
+    cust = _t(spark, sf_dir, "customer")
+    cases = cust.filter(F.col("c_mktsegment") == "AUTOMOBILE").withColumn("cangrelor", F.lit(True))
+    others = (cust.filter((F.col("c_mktsegment") != "AUTOMOBILE") & F.col("c_acctbal").isNotNull())
+              .drop("c_acctbal").withColumn("cangrelor", F.lit(False)))
+    return stack_by_name([cases, others])
+
+
+POSITIONAL = [("person_id", "long"), ("fin", "string"), ("race_cd", "int"),
+              ("balance", "double"), ("segment", "string")]
+
+
+@register("positional_scan", """
+SELECT c_custkey AS person_id, c_name AS fin, c_nationkey AS race_cd, c_acctbal AS balance,
+       c_mktsegment AS segment FROM customer""")
+def positional_scan(spark, sf_dir):
+    """SRC3/SRC4: a sheet exported with its own header names is read back
+    with names and types imposed by position.  The export goes to the
+    cluster-shared scratch folder."""
+    path = scratch_path(spark, "positional")
+    write_table(_t(spark, sf_dir, "customer"), path, fmt="csv")
+    return read_positional(spark, path, POSITIONAL)

@@ -1,3 +1,323 @@
-"""Analysis layer (PL19-PL24)."""
+"""Analysis layer (PL19, PL21-PL24): recoding, levels, models, matching."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..functions.text import fill, first_true, is_one, present, safe_number, strip_prefix, title_case, to_missing
+from ..operators.frames import frame_summary, map_columns
+from ..operators.recode import dummies, level_table, levels
+from ..sources.tables import load
+from ..stats.glm import build_design, fit, or_table
+from ..stats.match import match_pairs, matched_rows, propensity
+from ..stats.step import backward_aic
+from .registry import register
+
+Z = "1.959963984540054"   # qnorm(0.975), used by the Wald-limit oracles
+
+
+def _t(spark, sf_dir, name):
+    return load(spark, sf_dir, name)
+
+
+# --- recoding (PL21) ----------------------------------------------------------
+
+@register("map_columns", """
+SELECT p_partkey,
+       array_to_string(list_transform(string_split(p_name, ' '),
+                       lambda x: upper(x[1]) || lower(x[2:])), ' ') AS p_name,
+       lower(p_brand) AS p_brand, upper(lower(p_type)) AS p_type, p_size = 1 AS p_size
+FROM part""")
+def map_columns_q(spark, sf_dir):
+    """PRJ5 + SC12 + SC15: one function applied to a list of named columns."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = map_columns(p, ["p_name"], title_case)
+    p = map_columns(p, ["p_brand", "p_type"], F.lower)
+    p = map_columns(p, ["p_type"], F.upper)
+    return map_columns(p, ["p_size"], is_one)
+
+
+@register("strip_prefix", """
+SELECT c_custkey, regexp_replace(c_name, '^Customer#0*', '') AS fin FROM customer""")
+def strip_prefix_q(spark, sf_dir):
+    """SC13: leading pattern removed from an id text."""
+    c = _t(spark, sf_dir, "customer")
+    return c.select("c_custkey", strip_prefix("c_name", "^Customer#0*").alias("fin"))
+
+
+@register("safe_number", """
+SELECT event_id, TRY_CAST(CASE WHEN event_type IN ('view', 'click') THEN CAST(value AS VARCHAR)
+                               ELSE event_type END AS DOUBLE) AS result_num
+FROM events""")
+def safe_number_q(spark, sf_dir):
+    """SC14: a text result column mixing numbers and words -> number or NULL."""
+    e = _t(spark, sf_dir, "events")
+    text = F.when(F.col("event_type").isin("view", "click"), F.col("value").cast("string")).otherwise(F.col("event_type"))
+    return e.select("event_id", safe_number(text).alias("result_num"))
+
+
+RACE_FLAGS = [("f_debt", "debt"), ("f_building", "building"), ("f_low_nation", "low_nation")]
+
+
+def _flag_frame(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    return c.select("c_custkey",
+                    (F.col("c_acctbal") < 0).alias("f_debt"),
+                    F.nullif(F.col("c_mktsegment") == "BUILDING", F.lit(False)).alias("f_building"),
+                    (F.col("c_nationkey") < 10).alias("f_low_nation"))
+
+
+@register("collapse_flags", """
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'debt'
+                       WHEN nullif(c_mktsegment = 'BUILDING', false) THEN 'building'
+                       WHEN c_nationkey < 10 THEN 'low_nation' END AS label
+FROM customer""")
+def collapse_flags(spark, sf_dir):
+    """SC8: first TRUE flag gives the label; NULL flags do not match; no
+    match gives NULL."""
+    f = _flag_frame(spark, sf_dir)
+    return f.select("c_custkey", first_true(RACE_FLAGS).alias("label"))
+
+
+def _device_frame(spark, sf_dir):
+    p = _t(spark, sf_dir, "part")
+    dev = to_missing(F.substring(F.col("p_size").cast("string"), -1, 1), "0")
+    return p.select("p_partkey", "p_size", dev.alias("device"))
+
+
+@register("recode_missing", """
+SELECT p_partkey, upper(coalesce(nullif(right(CAST(p_size AS VARCHAR), 1), '0'), 'none')) AS mcs_device,
+       nullif(right(CAST(p_size AS VARCHAR), 1), '0') IS NOT NULL AS mcs
+FROM part""")
+def recode_missing(spark, sf_dir):
+    """SC9-SC11: '0' -> missing, presence flag, missing -> 'none', upper case."""
+    d = _device_frame(spark, sf_dir)
+    return d.select("p_partkey", F.upper(fill("device", "none")).alias("mcs_device"), present("device").alias("mcs"))
+
+
+@register("complete_rows", """
+SELECT p_partkey, nullif(right(CAST(p_size AS VARCHAR), 1), '0') AS device FROM part
+WHERE nullif(right(CAST(p_size AS VARCHAR), 1), '0') IS NOT NULL AND NOT (p_size > 40)""")
+def complete_rows(spark, sf_dir):
+    """FLT10 + FLT11: rows with the recoded value present and a logical FALSE."""
+    d = _device_frame(spark, sf_dir).withColumn("big", F.col("p_size") > 40)
+    return d.filter(F.col("device").isNotNull()).filter(~F.col("big")).select("p_partkey", "device")
+
+
+@register("level_order", """
+WITH c AS (SELECT n.n_name AS level, count(*) AS n FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+           GROUP BY 1)
+SELECT level, n,
+       CAST(row_number() OVER (ORDER BY CASE WHEN level = 'GERMANY' THEN 0 ELSE 1 END, n DESC, level) AS INTEGER)
+         AS position,
+       CAST(row_number() OVER (ORDER BY level) AS INTEGER) AS alpha_position
+FROM c""")
+def level_order(spark, sf_dir):
+    """AGG6 + CAT1-CAT3: levels by frequency (ties by name) with one level
+    moved first, next to the default alphabetical position."""
+    c = _t(spark, sf_dir, "customer").join(
+        _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
+    freq = level_table(c, "n_name", by="freq", first="GERMANY")
+    alpha = level_table(c, "n_name", by="alpha").select("level", F.col("position").alias("alpha_position"))
+    return freq.join(alpha, "level").select("level", "n", "position", "alpha_position")
+
+
+SEGMENTS_OTHER = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("dummy_columns", """
+SELECT c_custkey, """ + ", ".join(
+    f"CAST(CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END AS INTEGER) AS c_mktsegment_{s}" for s in SEGMENTS_OTHER)
+    + " FROM customer")
+def dummy_columns(spark, sf_dir):
+    """CAT4: treatment dummies, first level (forced: AUTOMOBILE) is the
+    baseline and gets no column."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    lv = levels(c, "c_mktsegment", by="freq", first="AUTOMOBILE")
+    return dummies(c, "c_mktsegment", lv).select("c_custkey", *sorted(x for x in dummies(c, "c_mktsegment", lv).columns
+                                                                     if x != "c_custkey"))
+
+
+def _summary_sql():
+    parts = []
+    for col, num in [("c_custkey", True), ("c_name", False), ("c_nationkey", True),
+                     ("c_acctbal", True), ("c_mktsegment", False)]:
+        if num:
+            stats = (f"CAST(min({col}) AS DOUBLE), CAST(max({col}) AS DOUBLE), round(avg({col}), 6), "
+                     f"round(stddev_samp({col}), 6)")
+        else:
+            stats = "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT '{col}' AS column_name, count({col}) AS n, count(*) - count({col}) AS n_missing, "
+                     f"count(DISTINCT {col}) AS n_distinct, {stats} FROM customer")
+    body = " UNION ALL ".join(parts)
+    return f"SELECT column_name, n, n_missing, n_distinct, c0 AS min, c1 AS max, c2 AS mean, c3 AS sd FROM ({body}) " \
+           f"AS t(column_name, n, n_missing, n_distinct, c0, c1, c2, c3)"
+
+
+@register("frame_summary", _summary_sql())
+def frame_summary_q(spark, sf_dir):
+    """AGG7: per-column summary in one aggregate."""
+    return frame_summary(_t(spark, sf_dir, "customer"))
+
+
+# --- models (PL22-PL24) ---------------------------------------------------------
+
+def model_frame(spark, sf_dir):
+    """Fixture analysis frame: one row per line, logical/factor/numeric terms."""
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select(
+        (F.col("l_linestatus") == "O").alias("outcome"),
+        (F.col("l_returnflag") == "R").alias("flag_r"),
+        F.col("l_returnflag").alias("flag"),
+        (F.col("l_discount") > 0.05).alias("disc_hi"),
+        (F.col("l_tax") > 0.04).alias("tax_hi"),
+        F.col("l_quantity").alias("qty"),
+        (F.col("l_shipdate") > F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")).alias("ship_late"),
+    )
+
+
+def _or_2x2_sql(where: str = "TRUE") -> str:
+    return f"""
+WITH t AS (SELECT l_linestatus = 'O' AS y, l_returnflag = 'R' AS x FROM lineitem WHERE {where}),
+c AS (SELECT CAST(sum(CASE WHEN y AND x THEN 1 ELSE 0 END) AS DOUBLE) AS a,
+             CAST(sum(CASE WHEN NOT y AND x THEN 1 ELSE 0 END) AS DOUBLE) AS b,
+             CAST(sum(CASE WHEN y AND NOT x THEN 1 ELSE 0 END) AS DOUBLE) AS c,
+             CAST(sum(CASE WHEN NOT y AND NOT x THEN 1 ELSE 0 END) AS DOUBLE) AS d FROM t),
+e AS (SELECT '(Intercept)' AS term, ln(c / d) AS b, sqrt(1 / c + 1 / d) AS se FROM c
+      UNION ALL SELECT 'flag_rTRUE', ln(a * d / (b * c)), sqrt(1 / a + 1 / b + 1 / c + 1 / d) FROM c)
+SELECT term, round(exp(b), 6) AS estimate, round(se, 6) AS std_error, round(b / se, 6) AS statistic,
+       round(exp(b - {Z} * se), 6) AS conf_low, round(exp(b + {Z} * se), 6) AS conf_high FROM e"""
+
+
+def _wald_table(lf, spark):
+    return or_table(lf, spark, conf="wald", digits=6, p_value=False)
+
+
+@register("or_table_binary", _or_2x2_sql())
+def or_table_binary(spark, sf_dir):
+    """ST1 + ST2: binary outcome on one logical term; odds ratios with Wald
+    limits (the profile form is ``or_table_profile``).  p-values are in the
+    library's table and checked in the tests; the SQL oracle has no normal
+    CDF, so this registered table leaves them out."""
+    lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag_r"]))
+    return _wald_table(lf, spark)
+
+
+@register("or_table_factor", f"""
+WITH g AS (SELECT l_returnflag AS lv, CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) AS y1,
+                  CAST(sum(CASE WHEN l_linestatus = 'O' THEN 0 ELSE 1 END) AS DOUBLE) AS y0
+           FROM lineitem GROUP BY 1),
+base AS (SELECT * FROM g WHERE lv = 'A'),
+e AS (SELECT '(Intercept)' AS term, ln(y1 / y0) AS b, sqrt(1 / y1 + 1 / y0) AS se FROM base
+      UNION ALL
+      SELECT 'flag' || g.lv, ln((g.y1 / g.y0) / (base.y1 / base.y0)),
+             sqrt(1 / g.y1 + 1 / g.y0 + 1 / base.y1 + 1 / base.y0) FROM g, base WHERE g.lv <> 'A')
+SELECT term, round(exp(b), 6) AS estimate, round(se, 6) AS std_error, round(b / se, 6) AS statistic,
+       round(exp(b - {Z} * se), 6) AS conf_low, round(exp(b + {Z} * se), 6) AS conf_high FROM e""")
+def or_table_factor(spark, sf_dir):
+    """ST1 + ST2 + CAT4: a 3-level factor term, first level baseline."""
+    lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag"]))
+    return _wald_table(lf, spark)
+
+
+@register("or_table_subset", _or_2x2_sql("NOT (l_discount > 0.05)"))
+def or_table_subset(spark, sf_dir):
+    """ST8 + FLT11: the model refitted on the rows where a logical is FALSE."""
+    mf = model_frame(spark, sf_dir).filter(~F.col("disc_hi"))
+    lf = fit(build_design(mf, "outcome", ["flag_r"]))
+    return _wald_table(lf, spark)
+
+
+@register("or_table_two")
+def or_table_two(spark, sf_dir):
+    """ST1 + ST2, two terms; full table with p-values and Wald limits (checked
+    by the score equations in the tests)."""
+    lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag_r", "disc_hi"]))
+    return or_table(lf, spark, conf="wald", digits=6)
+
+
+@register("or_table_profile")
+def or_table_profile(spark, sf_dir):
+    """ST3: profile-likelihood limits (the tidy default for GLMs), rounded
+    to 3 digits as the report does."""
+    lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag_r", "disc_hi"]))
+    return or_table(lf, spark, conf="profile", digits=3)
+
+
+STEP_TERMS = ["flag", "disc_hi", "tax_hi", "qty", "ship_late"]
+
+
+@register("stepwise_terms")
+def stepwise_terms(spark, sf_dir):
+    """ST4: backward AIC search over whole terms on one fixed row set, then
+    the odds-ratio table of the kept model (Wald limits)."""
+    d = build_design(model_frame(spark, sf_dir), "outcome", STEP_TERMS)
+    lf = backward_aic(d)
+    return or_table(lf, spark, conf="wald", digits=3)
+
+
+# --- propensity and matching (PL19) ---------------------------------------------
+
+@register("propensity_score", """
+SELECT c_custkey AS person_id, c_mktsegment = 'AUTOMOBILE' AS treat,
+       round(avg(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1.0 ELSE 0.0 END)
+             OVER (PARTITION BY c_nationkey), 6) AS score
+FROM customer""")
+def propensity_score(spark, sf_dir):
+    """ST5: saturated model (one factor) -- the score equals the group rate."""
+    c = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("person_id"), (F.col("c_mktsegment") == "AUTOMOBILE").alias("treat"),
+        F.col("c_nationkey").cast("string").alias("nation"))
+    s = propensity(c, "treat", ["nation"])
+    return s.select("person_id", "treat", F.round("score", 6).alias("score"))
+
+
+MATCH_CASES = """
+cs AS (SELECT s_suppkey AS id, s_acctbal AS score, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS prio
+       FROM supplier WHERE s_nationkey < 6),
+ct AS (SELECT s_suppkey AS id, s_acctbal AS score FROM supplier WHERE s_nationkey >= 6)"""
+
+
+def _supplier_frame(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier")
+    return s.select("s_suppkey", "s_acctbal", (F.col("s_nationkey") < 6).alias("treat"))
+
+
+@register("match_nearest_replace", "WITH " + MATCH_CASES + """,
+p AS (SELECT cs.id AS case_id, ct.id AS control_id, abs(ct.score - cs.score) AS dist,
+             row_number() OVER (PARTITION BY cs.id ORDER BY abs(ct.score - cs.score), ct.id) AS k FROM cs, ct)
+SELECT case_id, control_id, CAST(k AS INTEGER) AS round, round(dist, 6) AS dist FROM p WHERE k <= 2""")
+def match_nearest_replace(spark, sf_dir):
+    """ST6 with replacement: each case's two nearest controls (exact k-NN by
+    equi-joins on control ranks)."""
+    pr = match_pairs(_supplier_frame(spark, sf_dir), "treat", "s_acctbal", "s_suppkey", ratio=2, replace=True)
+    return pr.select("case_id", "control_id", "round", F.round("dist", 6).alias("dist"))
+
+
+@register("match_ratio2", "WITH RECURSIVE " + MATCH_CASES + """,
+nc AS (SELECT count(*) AS n FROM cs),
+m(i, used, case_id, control_id) AS (
+  SELECT 0, CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  UNION ALL
+  SELECT m.i + 1, CASE WHEN pick.cid IS NULL THEN m.used ELSE list_append(m.used, pick.cid) END, cs.id, pick.cid
+  FROM m JOIN nc ON m.i < 2 * nc.n
+  JOIN cs ON cs.prio = (m.i % nc.n) + 1
+  LEFT JOIN LATERAL (SELECT arg_min(ct.id, (abs(ct.score - cs.score), ct.id)) AS cid FROM ct
+                     WHERE NOT list_contains(m.used, ct.id)) pick ON true),
+pairs AS (SELECT case_id, control_id FROM m WHERE i > 0 AND control_id IS NOT NULL),
+per AS (SELECT case_id, count(*) AS k FROM pairs GROUP BY 1),
+raw AS (SELECT p.control_id AS id, p.case_id AS subclass, 1.0 / per.k AS r FROM pairs p JOIN per USING (case_id)),
+tot AS (SELECT count(*) AS n, sum(r) AS s FROM raw),
+w AS (SELECT case_id AS id, case_id AS subclass, 1.0 AS weights FROM per
+      UNION ALL SELECT raw.id, raw.subclass, round(raw.r * tot.n / tot.s, 6) FROM raw, tot)
+SELECT s.s_suppkey, s.s_acctbal, s.s_nationkey < 6 AS treat, w.subclass, w.weights, s.s_acctbal AS distance
+FROM supplier s JOIN w ON w.id = s.s_suppkey""")
+def match_ratio2(spark, sf_dir):
+    """PL19 / ST6 + ST7: 2:1 nearest matching without replacement, matched
+    rows with subclass, weights and distance."""
+    df = _supplier_frame(spark, sf_dir)
+    pairs = match_pairs(df, "treat", "s_acctbal", "s_suppkey", ratio=2)
+    return matched_rows(df, pairs, "treat", "s_acctbal", "s_suppkey").select(
+        "s_suppkey", "s_acctbal", "treat", "subclass", "weights", "distance")

@@ -67,82 +67,112 @@ def propensity(df: DataFrame, treat: str, covariates: Sequence[str],
 
 # --- k nearest controls (exact, no pairs) -------------------------------------
 
-def nearest_controls(cases: DataFrame, controls: DataFrame, k: int | DataFrame) -> DataFrame:
+class ControlIndex:
+    """Controls numbered once per round, and each case's insertion point.
+
+    ``r_up``: position by (score up, id up).  ``r_down``: position by (score
+    down, id up), derived from ``r_up`` and the first/last ``r_up`` of each
+    equal-score group (one aggregate, partial per map task, so a score shared
+    by a third of all controls is no hot spot).  ``below``: for each case, the
+    number of controls with a smaller score, from one ordered pass over cases
+    and controls together.
+    """
+
+    def __init__(self, cases: DataFrame, controls: DataFrame):
+        ctl = controls.select(F.col("id").alias("control_id"), F.col("score").alias("c_score"))
+        up = positions(ctl, [F.col("c_score").asc(), F.col("control_id").asc()], out="r_up")
+        grp = up.groupBy("c_score").agg(F.min("r_up").alias("g_lo"), F.max("r_up").alias("g_hi"))
+        self.n = up.count()
+        n = F.lit(self.n).cast("long")
+        self.ranked = cut_lineage(
+            up.join(grp, "c_score")
+            .withColumn("r_down", n - F.col("g_hi") + F.col("r_up") - F.col("g_lo") + 1)
+            .select("control_id", "c_score", "r_up", "r_down"))
+        both = (cases.select(F.col("id"), F.col("score"), F.lit(0).alias("kind"))
+                .unionByName(ctl.select(F.col("control_id").alias("id"), F.col("c_score").alias("score"),
+                                        F.lit(1).alias("kind"))))
+        ordered = positions(both, [F.col("score").asc(), F.col("kind").asc(), F.col("id").asc()],
+                            out="__u", running={"below": F.col("kind")})
+        self.cases = cut_lineage(ordered.filter(F.col("kind") == 0).select(
+            F.col("id").alias("case_id"), F.col("score").alias("t_score"), F.col("below").cast("long")))
+
+    def candidates(self, k: int | DataFrame) -> DataFrame:
+        """Each case's ``k`` nearest controls by (distance, control id): the
+        first ``k`` to the right (``r_up`` = below+1 ..) and to the left
+        (``r_down`` = n-below+1 ..), found by equi-joins on those numbers;
+        then the best ``k`` of the at most ``2k``.  ``k`` may be a frame
+        ``(case_id, k)``; only those cases are returned then."""
+        cs = self.cases
+        if isinstance(k, DataFrame):
+            cs = cs.join(k.select("case_id", F.col("k").alias("__k")), "case_id")
+        else:
+            cs = cs.withColumn("__k", F.lit(int(k)))
+
+        def seq(lo, hi):
+            return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<long>"))
+
+        n = F.lit(self.n).cast("long")
+        kk = F.col("__k").cast("long")
+        right = seq(F.col("below") + 1, F.least(F.col("below") + kk, n))
+        left = seq(n - F.col("below") + 1, F.least(n - F.col("below") + kk, n))
+        up = self.ranked.select("r_up", "control_id", "c_score")
+        down = self.ranked.select("r_down", "control_id", "c_score")
+        r = cs.withColumn("r_up", F.explode(right)).join(up, "r_up")
+        l_ = cs.withColumn("r_down", F.explode(left)).join(down, "r_down")
+        cols = ["case_id", "t_score", "__k", "control_id", "c_score"]
+        cand = r.select(*cols).unionByName(l_.select(*cols))
+        cand = cand.withColumn("dist", F.abs(F.col("c_score") - F.col("t_score")))
+        w = Window.partitionBy("case_id").orderBy(F.col("dist").asc(), F.col("control_id").asc())
+        cand = cand.withColumn("cand_rank", F.row_number().over(w)).filter(F.col("cand_rank") <= F.col("__k"))
+        return cand.select("case_id", "control_id", "dist", "cand_rank")
+
+
+def nearest_controls(cases: DataFrame, controls: DataFrame, k: int) -> DataFrame:
     """For each case ``(id, score)`` its ``k`` nearest controls ``(id, score)``
-    by (distance, control id).  ``k`` may be a frame ``(id, k)`` giving a
-    per-case count.  Returns ``case_id, control_id, dist, cand_rank``."""
-    ctl = controls.select(F.col("id").alias("control_id"), F.col("score").alias("c_score"))
-    up = positions(ctl, [F.col("c_score").asc(), F.col("control_id").asc()], out="r_up")
-    down = positions(ctl, [F.col("c_score").desc(), F.col("control_id").asc()], out="r_down")
-    n_ctl = ctl.count()
-
-    both = (cases.select(F.col("id"), F.col("score"), F.lit(0).alias("kind"))
-            .unionByName(ctl.select(F.col("control_id").alias("id"), F.col("c_score").alias("score"),
-                                    F.lit(1).alias("kind"))))
-    ordered = positions(both, [F.col("score").asc(), F.col("kind").asc(), F.col("id").asc()],
-                        out="__u", running={"below": F.col("kind")})
-    cs = ordered.filter(F.col("kind") == 0).select(F.col("id").alias("case_id"), F.col("score").alias("t_score"),
-                                                   F.col("below"))
-    if isinstance(k, DataFrame):
-        cs = cs.join(k.select(F.col("id").alias("case_id"), F.col("k").alias("__k")), "case_id")
-    else:
-        cs = cs.withColumn("__k", F.lit(int(k)))
-
-    def seq(lo, hi):
-        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<long>"))
-
-    n = F.lit(n_ctl).cast("long")
-    right_lo, right_hi = F.col("below") + 1, F.least(F.col("below") + F.col("__k"), n)
-    left_lo, left_hi = n - F.col("below") + 1, F.least(n - F.col("below") + F.col("__k"), n)
-    r = cs.withColumn("r_up", F.explode(seq(right_lo.cast("long"), right_hi.cast("long")))).join(up, "r_up")
-    l_ = cs.withColumn("r_down", F.explode(seq(left_lo.cast("long"), left_hi.cast("long")))).join(down, "r_down")
-    cand = (r.select("case_id", "t_score", "__k", "control_id", "c_score")
-            .unionByName(l_.select("case_id", "t_score", "__k", "control_id", "c_score")))
-    cand = cand.withColumn("dist", F.abs(F.col("c_score") - F.col("t_score")))
-    w = Window.partitionBy("case_id").orderBy(F.col("dist").asc(), F.col("control_id").asc())
-    cand = cand.withColumn("cand_rank", F.row_number().over(w)).filter(F.col("cand_rank") <= F.col("__k"))
-    return cand.select("case_id", "control_id", "dist", "cand_rank")
+    by (distance, control id): ``case_id, control_id, dist, cand_rank``."""
+    return ControlIndex(cases, controls).candidates(k)
 
 
 # --- one round of serial greedy via deferred acceptance ------------------------
 
-def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 4, max_passes: int = 10_000) -> DataFrame:
+def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passes: int = 100_000) -> DataFrame:
     """cases ``(id, score, prio)``, controls ``(id, score)`` -> ``(case_id,
     control_id, dist)`` with each case and each control at most once."""
-    n_ctl = controls.count()
+    spark = cases.sparkSession
+    idx = ControlIndex(cases, controls)
+    n_ctl = idx.n
     if n_ctl == 0:
-        return cases.sparkSession.createDataFrame([], "case_id long, control_id long, dist double")
+        return spark.createDataFrame([], "case_id long, control_id long, dist double")
     prio = cases.select(F.col("id").alias("case_id"), "prio")
     kk = min(k0, n_ctl)
-    cand = cut_lineage(nearest_controls(cases, controls, kk).join(prio, "case_id")
-                       .withColumn("K", F.lit(kk)))
-    holders = cases.sparkSession.createDataFrame([], "control_id long, case_id long, prio long")
-    done = cases.sparkSession.createDataFrame([], "case_id long")
+    cand = cut_lineage(idx.candidates(kk).join(prio, "case_id").withColumn("K", F.lit(kk)))
+    holders = spark.createDataFrame([], "control_id long, case_id long, prio long")
+    done = spark.createDataFrame([], "case_id long")
     for _ in range(max_passes):
-        held = holders.select("case_id")
-        free = cand.join(held, "case_id", "left_anti").join(done, "case_id", "left_anti")
+        free = (cand.join(holders.select("case_id"), "case_id", "left_anti")
+                .join(done, "case_id", "left_anti"))
         h = holders.select("control_id", F.col("prio").alias("h_prio"))
         win = free.join(h, "control_id", "left").filter(F.col("h_prio").isNull() | (F.col("h_prio") > F.col("prio")))
-        props = (win.groupBy("case_id", "prio")
-                 .agg(F.min(F.struct("cand_rank", "control_id", "dist")).alias("b"))
-                 .select("case_id", "prio", F.col("b.control_id").alias("control_id")))
-        # free cases with no winnable candidate: widen their list, or give up
-        stuck = (free.select("case_id", "K").distinct().join(props.select("case_id"), "case_id", "left_anti"))
-        n_props, n_stuck = props.count(), stuck.count()
+        best = (win.groupBy("case_id")
+                .agg(F.min(F.struct("cand_rank", "control_id")).getField("control_id").alias("pick")))
+        # one row per free case: its proposal, or NULL when no candidate is winnable
+        choice = cut_lineage(free.select("case_id", "prio", "K").distinct().join(best, "case_id", "left"))
+        n_props, n_stuck = choice.agg(F.count("pick"), F.count(F.when(F.col("pick").isNull(), 1))).first()
         if n_props == 0 and n_stuck == 0:
             break
         if n_stuck:
-            grow = stuck.filter(F.col("K") < n_ctl)
+            stuck = choice.filter(F.col("pick").isNull())
             done = cut_lineage(done.unionByName(stuck.filter(F.col("K") >= n_ctl).select("case_id")))
-            if grow.count():
-                newk = grow.select(F.col("case_id").alias("id"), F.least(F.col("K") * 2, F.lit(n_ctl)).alias("k"))
-                extra = (nearest_controls(cases.join(newk.select("id"), "id"), controls, newk)
-                         .join(prio, "case_id").join(newk.select(F.col("id").alias("case_id"),
-                                                                 F.col("k").alias("K")), "case_id"))
-                cand = cut_lineage(cand.join(newk.select(F.col("id").alias("case_id")), "case_id", "left_anti")
-                                   .unionByName(extra.select(*cand.columns)))
+            grow = stuck.filter(F.col("K") < n_ctl).select(
+                "case_id", "prio", F.least(F.col("K") * 4, F.lit(n_ctl)).alias("k"))
+            extra = (idx.candidates(grow.select("case_id", "k"))
+                     .join(grow.select("case_id", "prio", F.col("k").alias("K")), "case_id"))
+            cand = cut_lineage(cand.join(grow.select("case_id"), "case_id", "left_anti")
+                               .unionByName(extra.select(*cand.columns)))
         if n_props:
-            pool = holders.unionByName(props.select("control_id", "case_id", "prio"))
+            props = choice.filter(F.col("pick").isNotNull()).select(
+                F.col("pick").alias("control_id"), "case_id", "prio")
+            pool = holders.unionByName(props)
             holders = cut_lineage(pool.groupBy("control_id").agg(F.min(F.struct("prio", "case_id")).alias("b"))
                                   .select("control_id", F.col("b.case_id").alias("case_id"),
                                           F.col("b.prio").alias("prio")))
@@ -153,7 +183,7 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 4, max_passes
 
 
 def match_pairs(df: DataFrame, treat: str, score: str, id_col: str, ratio: int = 1,
-                replace: bool = False, k0: int = 4) -> DataFrame:
+                replace: bool = False, k0: int = 16) -> DataFrame:
     """ST6: ``(case_id, control_id, round, dist)`` pairs."""
     base = df.select(F.col(id_col).alias("id"), F.col(score).cast("double").alias("score"), F.col(treat).alias("t"))
     base = base.filter(F.col("score").isNotNull() & F.col("t").isNotNull())

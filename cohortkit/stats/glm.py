@@ -4,11 +4,17 @@ Fitting runs on Spark ML's ``GeneralizedLinearRegression`` (binomial,
 logit; IRLS whose weighted least-squares pass is a distributed aggregate --
 the driver only solves the p x p system).
 
-Scale: before fitting, rows are compressed to distinct patterns of
-(outcome, design columns) with a count weight.  With 0/1 outcomes grouped
-this way, deviance, AIC and standard errors equal the row-level fit, and
-every IRLS pass reads the pattern table instead of the rows -- for logical
-and factor terms that is a few hundred rows whatever the data size.  The
+Scale: before fitting, rows are compressed to distinct patterns of the
+design columns, each with its number of rows ``n`` and of events ``k``; the
+model is fitted to the proportion ``k/n`` with weight ``n`` (grouped
+binomial).  Coefficients and standard errors equal the row-level fit; the
+row-level deviance is the grouped one plus a data constant
+``-2 * sum(k log(k/n) + (n-k) log((n-k)/n))``, and AIC = deviance + 2 *
+(number of coefficients), as for 0/1 rows.  Every IRLS pass reads the
+pattern table instead of the rows -- for logical and factor terms that is a
+few hundred rows whatever the data size.  (Weighted 0/1 rows would also
+give the row-level numbers, but IRLS started from such rows diverges once
+the weights are large.)  The
 compressed table is checkpointed to the shared folder, so the many refits
 of stepwise search and profile limits do not re-read the source.
 
@@ -56,6 +62,7 @@ class Design:
     outcome: str
     terms: list[TermSpec]
     n_rows: int = 0
+    dev_const: float = 0.0           # row-level deviance - grouped deviance
 
     @property
     def columns(self) -> list[str]:
@@ -67,7 +74,7 @@ class Design:
 
     def subset(self, term_names: Sequence[str]) -> "Design":
         keep = [t for t in self.terms if t.name in set(term_names)]
-        return Design(self.frame, self.outcome, keep, self.n_rows)
+        return Design(self.frame, self.outcome, keep, self.n_rows, self.dev_const)
 
 
 @dataclass
@@ -120,13 +127,19 @@ def build_design(df: DataFrame, outcome: str, terms: Sequence[str],
             specs.append(TermSpec(t, kind, [n], [f"{t}TRUE" if kind == "logical" else t]))
     x = cc.select(*[c.alias(n) for n, c in cols.items()])
     if compress:
-        x = x.groupBy(*cols.keys()).agg(F.count(F.lit(1)).cast("double").alias(W))
+        design_cols = [n for n in cols if n != Y]
+        x = (x.groupBy(*design_cols)
+             .agg(F.sum(Y).alias("__k"), F.count(F.lit(1)).cast("double").alias(W))
+             .withColumn(Y, F.col("__k") / F.col(W)))
     else:
-        x = x.withColumn(W, F.lit(1.0))
+        x = x.withColumn(W, F.lit(1.0)).withColumn("__k", F.col(Y))
     if checkpoint:
         x = cut_lineage(x)
-    d = Design(x, outcome, specs)
-    d.n_rows = int(x.agg(F.sum(W)).first()[0] or 0)
+    k, n = F.col("__k"), F.col(W)
+    const = -2.0 * (F.when(k > 0, k * F.log(k / n)).otherwise(0.0)
+                    + F.when(n - k > 0, (n - k) * F.log((n - k) / n)).otherwise(0.0))
+    tot = x.agg(F.sum(W), F.sum(const)).first()
+    d = Design(x.drop("__k"), outcome, specs, int(tot[0] or 0), float(tot[1] or 0.0))
     return d
 
 
@@ -217,8 +230,10 @@ def fit(design: Design, intercept: bool = True, check_aliased: bool = True) -> L
         se.append(se_by.get(c))
         z.append(z_by.get(c))
         p.append(p_by.get(c))
-    return LogitFit(design, labels, coef, se, z, p, float(s.aic), float(s.deviance),
-                    float(s.nullDeviance), int(s.numIterations),
+    dev = float(s.deviance) + design.dev_const
+    n_coef = len(use) + (1 if intercept else 0)
+    return LogitFit(design, labels, coef, se, z, p, dev + 2.0 * n_coef, dev,
+                    float(s.nullDeviance) + design.dev_const, int(s.numIterations),
                     [labels_by_col[c] for c in aliased], intercept)
 
 
@@ -237,6 +252,8 @@ def constrained_deviance(lf: LogitFit, index: int, value: float) -> float:
     d = lf.design
     cols = [c for c, lb in zip(d.columns, d.labels) if lb not in lf.aliased]
     if lf.intercept and index == 0:
+        if not cols:
+            return _deviance_fixed(d.frame, F.lit(float(value)))
         model = _fit_raw(d.frame, cols, intercept=False, offset=F.lit(float(value)))
     else:
         j = index - (1 if lf.intercept else 0)
@@ -245,11 +262,12 @@ def constrained_deviance(lf: LogitFit, index: int, value: float) -> float:
         if not rest and not lf.intercept:
             return _deviance_fixed(d.frame, F.lit(float(value)) * F.col(col))
         model = _fit_raw(d.frame, rest, intercept=lf.intercept, offset=F.lit(float(value)) * F.col(col))
-    return float(model.summary.deviance)
+    return float(model.summary.deviance) + d.dev_const
 
 
 def _deviance_fixed(frame: DataFrame, eta) -> float:
-    """Binomial deviance of a fixed linear predictor (no free coefficient)."""
+    """Row-level binomial deviance of a fixed linear predictor (no free
+    coefficient): ``-2 * sum(n (y log p + (1 - y) log(1 - p)))``."""
     p = 1.0 / (1.0 + F.exp(-eta))
     ll = F.col(Y) * F.log(p) + (1.0 - F.col(Y)) * F.log(1.0 - p)
     return float(-2.0 * frame.agg(F.sum(F.col(W) * ll)).first()[0])

@@ -29,10 +29,15 @@ def fill_false(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
 def pattern_flags(df: DataFrame, key: str | Sequence[str], code_col: str,
                   patterns: Mapping[str, str]) -> DataFrame:
     """AGG3: one logical column per ``{flag: regex}`` -- any code of the key
-    matches (unanchored, like ``str_detect``)."""
+    matches (unanchored, like ``str_detect``).  Only keys with at least one
+    matching code get a row (as the union of the per-flag filtered id lists
+    would); non-matching rows are dropped before the shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
     c = F.col(code_col)
-    return df.groupBy(*keys).agg(*[F.bool_or(c.rlike(p)).alias(f) for f, p in patterns.items()])
+    hit = None
+    for p in patterns.values():
+        hit = c.rlike(p) if hit is None else hit | c.rlike(p)
+    return df.filter(hit).groupBy(*keys).agg(*[F.bool_or(c.rlike(p)).alias(f) for f, p in patterns.items()])
 
 
 def value_flags(df: DataFrame, key: str | Sequence[str], name_col: str, names: Sequence[str]) -> DataFrame:

@@ -77,17 +77,12 @@ def allergy_list(spark, sf_dir):
     return a.join(_person_demog(spark, sf_dir), "millennium_id").select("fin", "allergy")
 
 
-def _flag_sql(names, expr):
-    return ", ".join(f"coalesce(f.{n}, false) AS {n}" for n in names), ", ".join(
-        expr(n) for n in names)
-
-
 @register("history_flags", """
 WITH f AS (SELECT user_id, bool_or(regexp_matches(event_type, 'purch')) AS a_fib,
                   bool_or(regexp_matches(event_type, 'sign')) AS cva,
                   bool_or(regexp_matches(event_type, 'err|vie')) AS pe,
                   bool_or(regexp_matches(event_type, 'cli')) AS dvt
-           FROM events GROUP BY user_id)
+           FROM events WHERE regexp_matches(event_type, 'purch|sign|err|vie|cli') GROUP BY user_id)
 SELECT c.c_name AS fin, coalesce(f.a_fib, false) AS a_fib, coalesce(f.cva, false) AS cva,
        coalesce(f.pe, false) AS pe, coalesce(f.dvt, false) AS dvt
 FROM customer c FULL JOIN f ON f.user_id = c.c_custkey""")

@@ -1,0 +1,5 @@
+"""cohortkit: cohort selection, time-bounded fact extraction, history flags,
+recoding, logistic models and case-control matching as Spark DataFrame
+operators."""
+
+__version__ = "0.1.0"

@@ -201,18 +201,18 @@ def id_batches(spark, sf_dir):
 
 
 @register("stack_groups", """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, true AS cangrelor
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, true AS is_case
 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
 UNION ALL
-SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment, false AS cangrelor
+SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment, false AS is_case
 FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' AND c_acctbal IS NOT NULL""")
 def stack_groups(spark, sf_dir):
     """SET2 + PRJ2 + FLT10: two tagged sheets stacked by column name; the
     second lacks a column, which becomes NULL."""
     cust = _t(spark, sf_dir, "customer")
-    cases = cust.filter(F.col("c_mktsegment") == "AUTOMOBILE").withColumn("cangrelor", F.lit(True))
+    cases = cust.filter(F.col("c_mktsegment") == "AUTOMOBILE").withColumn("is_case", F.lit(True))
     others = (cust.filter((F.col("c_mktsegment") != "AUTOMOBILE") & F.col("c_acctbal").isNotNull())
-              .drop("c_acctbal").withColumn("cangrelor", F.lit(False)))
+              .drop("c_acctbal").withColumn("is_case", F.lit(False)))
     return stack_by_name([cases, others])
 
 

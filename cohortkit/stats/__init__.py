@@ -1,0 +1 @@
+"""Statistical operators: logistic models, stepwise selection, matching."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import flag_text
 from ..functions.timeops import age_years, local_day, local_to_utc, parse_prompt, utc_to_local
 from ..operators.cohort import CohortSpec, build_cohort, by_ids, code_set, tag_groups
-from ..operators.lookup import attach_display
+from ..operators.lookup import attach_display, bounded_broadcast
 from ..operators.picks import first_by, max_at_first, max_at_first_many
 from ..operators.predicates import any_of, between, current_rows, in_codes, matches
 from ..operators.windows import events_around, events_before
@@ -331,6 +331,6 @@ def code_display(spark, sf_dir):
     p = r.person.select("person_id", "race_cd")
     p = attach_display(p, r.code_value, "race_cd", "race")
     nat = r.table("nation").select(F.col("n_nationkey").alias("race_cd"), F.col("n_regionkey").alias("region_cd"))
-    p = p.join(F.broadcast(nat), "race_cd", "left")
+    p = p.join(bounded_broadcast(nat), "race_cd", "left")
     p = attach_display(p, regions(r.table("region")), "region_cd", "region")
     return p.select("person_id", "race_cd", "race", "region")

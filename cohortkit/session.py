@@ -63,6 +63,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(lineage cuts and scratch tables are written there)")
         d = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     # getCheckpointDir() may return a per-app sub folder; both are shared paths

@@ -145,20 +145,26 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
         return spark.createDataFrame([], "case_id long, control_id long, dist double")
     prio = cases.select(F.col("id").alias("case_id"), "prio")
     kk = min(k0, n_ctl)
-    cand = cut_lineage(idx.candidates(kk).join(prio, "case_id").withColumn("K", F.lit(kk)))
+    cand = cut_lineage(idx.candidates(kk).join(prio, "case_id").withColumn("K", F.lit(kk)).repartition("case_id"))
     holders = spark.createDataFrame([], "control_id long, case_id long, prio long")
     done = spark.createDataFrame([], "case_id long")
     for _ in range(max_passes):
         free = (cand.join(holders.select("case_id"), "case_id", "left_anti")
                 .join(done, "case_id", "left_anti"))
         h = holders.select("control_id", F.col("prio").alias("h_prio"))
-        win = free.join(h, "control_id", "left").filter(F.col("h_prio").isNull() | (F.col("h_prio") > F.col("prio")))
-        best = (win.groupBy("case_id")
-                .agg(F.min(F.struct("cand_rank", "control_id")).getField("control_id").alias("pick")))
-        # one row per free case: its proposal, or NULL when no candidate is winnable
-        choice = cut_lineage(free.select("case_id", "prio", "K").distinct().join(best, "case_id", "left"))
+        winnable = F.col("h_prio").isNull() | (F.col("h_prio") > F.col("prio"))
+        # one row per free case: its proposal, or NULL when no candidate is
+        # winnable.  ``cand`` is checkpointed hash-partitioned by case_id, and
+        # the anti/lookup joins broadcast the small sides, so this aggregate
+        # needs no shuffle of the candidate lists.
+        choice = (free.join(h, "control_id", "left")
+                  .groupBy("case_id", "prio", "K")
+                  .agg(F.min(F.when(winnable, F.struct("cand_rank", "control_id"))).getField("control_id")
+                       .alias("pick"))
+                  .persist())
         n_props, n_stuck = choice.agg(F.count("pick"), F.count(F.when(F.col("pick").isNull(), 1))).first()
         if n_props == 0 and n_stuck == 0:
+            choice.unpersist()
             break
         if n_stuck:
             stuck = choice.filter(F.col("pick").isNull())
@@ -168,7 +174,7 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
             extra = (idx.candidates(grow.select("case_id", "k"))
                      .join(grow.select("case_id", "prio", F.col("k").alias("K")), "case_id"))
             cand = cut_lineage(cand.join(grow.select("case_id"), "case_id", "left_anti")
-                               .unionByName(extra.select(*cand.columns)))
+                               .unionByName(extra.select(*cand.columns)).repartition("case_id"))
         if n_props:
             props = choice.filter(F.col("pick").isNotNull()).select(
                 F.col("pick").alias("control_id"), "case_id", "prio")
@@ -176,6 +182,7 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
             holders = cut_lineage(pool.groupBy("control_id").agg(F.min(F.struct("prio", "case_id")).alias("b"))
                                   .select("control_id", F.col("b.case_id").alias("case_id"),
                                           F.col("b.prio").alias("prio")))
+        choice.unpersist()
     cs = cases.select(F.col("id").alias("case_id"), F.col("score").alias("t_score"))
     ct = controls.select(F.col("id").alias("control_id"), F.col("score").alias("c_score"))
     return (holders.join(cs, "case_id").join(ct, "control_id")

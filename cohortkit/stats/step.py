@@ -21,11 +21,14 @@ def backward_aic(design: Design, trace: list | None = None) -> LogitFit:
     removal gives the lowest AIC, while that AIC is below the current one
     (ties keep the current model, as stepAIC does)."""
     current = fit(design)
+    # columns of a full-rank design stay full rank in every sub-model, so the
+    # rank check is needed again only if the start had aliased terms
+    check = bool(current.aliased)
     names = [t.name for t in design.terms]
     while names:
         best = None
         for t in names:
-            cand = fit(design.subset([n for n in names if n != t]))
+            cand = fit(design.subset([n for n in names if n != t]), check_aliased=check)
             if trace is not None:
                 trace.append((tuple(names), t, cand.aic))
             if best is None or cand.aic < best[1].aic:

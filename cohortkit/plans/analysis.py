@@ -262,8 +262,8 @@ def stepwise_terms(spark, sf_dir):
 
 @register("propensity_score", """
 SELECT c_custkey AS person_id, c_mktsegment = 'AUTOMOBILE' AS treat,
-       round(avg(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1.0 ELSE 0.0 END)
-             OVER (PARTITION BY c_nationkey), 6) AS score
+       CAST(round(avg(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1.0 ELSE 0.0 END)
+                  OVER (PARTITION BY c_nationkey), 6) AS DOUBLE) AS score
 FROM customer""")
 def propensity_score(spark, sf_dir):
     """ST5: saturated model (one factor) -- the score equals the group rate."""
@@ -308,10 +308,11 @@ m(i, used, case_id, control_id) AS (
                      WHERE NOT list_contains(m.used, ct.id)) pick ON true),
 pairs AS (SELECT case_id, control_id FROM m WHERE i > 0 AND control_id IS NOT NULL),
 per AS (SELECT case_id, count(*) AS k FROM pairs GROUP BY 1),
-raw AS (SELECT p.control_id AS id, p.case_id AS subclass, 1.0 / per.k AS r FROM pairs p JOIN per USING (case_id)),
+raw AS (SELECT p.control_id AS id, p.case_id AS subclass, CAST(1.0 AS DOUBLE) / per.k AS r
+        FROM pairs p JOIN per USING (case_id)),
 tot AS (SELECT count(*) AS n, sum(r) AS s FROM raw),
-w AS (SELECT case_id AS id, case_id AS subclass, 1.0 AS weights FROM per
-      UNION ALL SELECT raw.id, raw.subclass, round(raw.r * tot.n / tot.s, 6) FROM raw, tot)
+w AS (SELECT case_id AS id, case_id AS subclass, CAST(1.0 AS DOUBLE) AS weights FROM per
+      UNION ALL SELECT raw.id, raw.subclass, CAST(round(raw.r * tot.n / tot.s, 6) AS DOUBLE) FROM raw, tot)
 SELECT s.s_suppkey, s.s_acctbal, s.s_nationkey < 6 AS treat, w.subclass, w.weights, s.s_acctbal AS distance
 FROM supplier s JOIN w ON w.id = s.s_suppkey""")
 def match_ratio2(spark, sf_dir):

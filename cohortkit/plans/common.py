@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cohort import CohortSpec, build_cohort
+from ..session import cut_lineage
 from ..sources.roles import Roles
 
 TZ = "America/Chicago"
@@ -34,9 +35,17 @@ def roles(spark: SparkSession, sf_dir: str) -> Roles:
     return Roles(spark, sf_dir)
 
 
-def cohort(spark: SparkSession, sf_dir: str, spec: CohortSpec = SPEC) -> tuple[DataFrame, DataFrame, DataFrame]:
+def cohort(spark: SparkSession, sf_dir: str, spec: CohortSpec = SPEC,
+           materialize: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(procedure cohort, listed cohort, union).  ``materialize`` writes the
+    union once to the shared checkpoint folder: a query that uses the cohort
+    in differently-pruned places would otherwise compute it (a full scan of
+    the procedure facts) more than once."""
     r = roles(spark, sf_dir)
-    return build_cohort(r.encounter, r.procedure, r.nomenclature, r.alias, spec)
+    pts, listed, allp = build_cohort(r.encounter, r.procedure, r.nomenclature, r.alias, spec)
+    if materialize:
+        allp = cut_lineage(allp)
+    return pts, listed, allp
 
 
 # SQL prefix shared by the DuckDB oracles: the same role views and cohort.

@@ -169,7 +169,7 @@ LEFT JOIN bmi ON bmi.encntr_id = a.encntr_id"""))
 def demographics(spark, sf_dir):
     """PL2: cohort + age at admission + first measures + display lookups."""
     r = roles(spark, sf_dir)
-    _, listed, allp = cohort(spark, sf_dir)
+    _, listed, allp = cohort(spark, sf_dir, materialize=True)   # used twice below
     enc = r.encounter
     base = (tag_groups(allp, listed)
             .join(enc.select("encntr_id", "encntr_type_class_cd"), "encntr_id")

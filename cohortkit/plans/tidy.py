@@ -110,9 +110,13 @@ def comorbidity_flags(spark, sf_dir):
     """AGG4 + SC16: codes -> condition groups by prefix (broadcast condition
     table, equi join on generated prefixes), one flag per condition,
     diabetes = DM OR DMcx, every encounter kept."""
-    diag = X.diagnoses(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("diag_type") == "FINAL")
     cond = literal_table(spark, CONDITIONS, "condition string, prefix string")
-    coded = prefix_conditions(diag, "diag_code", cond)
+    # codes -> conditions on the code dimension (one row per code), then the
+    # diagnosis facts join only the codes that have a condition
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("diag_code"))
+    coded_parts = prefix_conditions(part, "diag_code", cond).select(F.col("p_partkey").alias("l_partkey"), "condition")
+    diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
+    coded = diag.join(coded_parts, "l_partkey")
     flags = condition_flags(coded, "millennium_id", "condition", [c for c, _ in CONDITIONS])
     flags = flags.select("millennium_id", F.col("HTN").alias("htn"), any_of(["DM", "DMcx"]).alias("diabetes"))
     base = _enc_demog(spark, sf_dir)

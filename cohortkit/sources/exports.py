@@ -45,15 +45,21 @@ def measures(events: DataFrame) -> DataFrame:
                          F.col("event_id"))
 
 
+def diagnosis_keys(lineitem: DataFrame) -> DataFrame:
+    """diagnosis topic before the code text is attached: millennium_id,
+    l_partkey (code id), diag_type, diag_seq."""
+    return lineitem.select(
+        F.col("l_orderkey").alias("millennium_id"), "l_partkey",
+        F.when(F.col("l_linestatus") == "F", "FINAL").otherwise("WORKING").alias("diag_type"),
+        F.when(F.col("l_linenumber") == 1, "Primary").otherwise("Secondary").alias("diag_seq"))
+
+
 def diagnoses(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """diagnosis topic: millennium_id, diag_code, diag_type, diag_seq, diag_description."""
     p = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("diag_code"),
                     F.col("p_name").alias("diag_description"))
-    return (lineitem.join(p, "l_partkey")
-            .select(F.col("l_orderkey").alias("millennium_id"), "diag_code",
-                    F.when(F.col("l_linestatus") == "F", "FINAL").otherwise("WORKING").alias("diag_type"),
-                    F.when(F.col("l_linenumber") == 1, "Primary").otherwise("Secondary").alias("diag_seq"),
-                    "diag_description"))
+    return (diagnosis_keys(lineitem).join(p, "l_partkey")
+            .select("millennium_id", "diag_code", "diag_type", "diag_seq", "diag_description"))
 
 
 def procedures(lineitem: DataFrame, part: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.picks import first_by, first_value_many
 from ..session import scratch_path
 from ..sources import exports as X
 from ..sources.sinks import batch_ids, write_table
-from ..sources.tables import load, read_positional
+from ..sources.tables import canonicalise, load, read_positional, read_topic, schema_of
 from .registry import register
 
 # Fixed values of the fixture study.
@@ -234,3 +234,31 @@ def positional_scan(spark, sf_dir):
     path = scratch_path(spark, "positional")
     write_table(_t(spark, sf_dir, "customer"), path, fmt="csv")
     return read_positional(spark, path, POSITIONAL)
+
+
+# Fixed values of the fixture export: topic of each event type, report headers.
+MEASURE_TYPES = ("view", "click", "purchase")
+RAW_MEASURE_HEADERS = [("Event Id", "string"), ("Millennium Encounter ID", "string"),
+                       ("Clinical Event", "string"), ("Clinical Event Result", "string")]
+
+
+@register("topic_scan", """
+SELECT event_id, user_id AS millennium_id, event_type AS event,
+       TRY_CAST(CASE WHEN event_type IN ('view', 'click') THEN CAST(value AS VARCHAR) ELSE 'n/a' END AS DOUBLE)
+         AS event_result
+FROM events WHERE event_type IN ('view', 'click', 'purchase')""")
+def topic_scan(spark, sf_dir):
+    """SRC1 + SRC2: events exported as two topic folders with report headers
+    (results as text, some not numeric); one topic is read back by name and
+    its raw headers mapped to canonical names with safe casts."""
+    ev = _t(spark, sf_dir, "events")
+    text = F.when(F.col("event_type").isin("view", "click"), F.col("value").cast("string")).otherwise(F.lit("n/a"))
+    raw = ev.select(F.col("event_id").cast("string").alias("Event Id"),
+                    F.col("user_id").cast("string").alias("Millennium Encounter ID"),
+                    F.col("event_type").alias("Clinical Event"), text.alias("Clinical Event Result"))
+    folder = scratch_path(spark, "exports")
+    write_table(raw.filter(F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/measures_2024", fmt="csv")
+    write_table(raw.filter(~F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/allergies_2024", fmt="csv")
+    got = read_topic(spark, folder, "measures", schema=schema_of(RAW_MEASURE_HEADERS))
+    return canonicalise(got, {"event_id": ("Event Id", "long"), "millennium_id": ("Millennium Encounter ID", "long"),
+                              "event": "Clinical Event", "event_result": ("Clinical Event Result", "double")})

@@ -48,20 +48,20 @@ def schema_of(columns: Iterable[tuple[str, str]]) -> T.StructType:
 
 def read_topic(spark: SparkSession, folder: str, topic: str, schema: T.StructType | None = None,
                fmt: str = "csv", header: bool = True) -> DataFrame:
-    """All files of ``folder`` whose name contains ``topic`` (SRC1).
-
-    The glob filter is evaluated by the file lister, so only matching files
-    are opened.  A schema should be given on large folders; inference reads
-    the data twice.
+    """Every export of one topic in ``folder`` (SRC1): files *or* sub-folders
+    whose name contains ``topic`` (a path glob, resolved by the file lister,
+    so other topics are never opened).  Give a schema on large folders --
+    inference reads the data twice; raw exports are best read as text and
+    typed by :func:`canonicalise`.
     """
-    r = spark.read.format(fmt).option("pathGlobFilter", f"*{topic}*")
+    r = spark.read.format(fmt)
     if fmt == "csv":
         r = r.option("header", str(header).lower())
         if schema is None:
             r = r.option("inferSchema", "true")
     if schema is not None:
         r = r.schema(schema)
-    return r.load(folder)
+    return r.load(f"{folder.rstrip('/')}/*{topic}*")
 
 
 def canonicalise(df: DataFrame, mapping: Mapping[str, tuple[str, str] | str],

@@ -138,3 +138,19 @@ def test_nearest_controls_equal_brute_force(spark):
             best = sorted(ctl, key=lambda c: (abs(c[1] - s), c[0]))[:3]
             want += [(i, c[0], k + 1) for k, c in enumerate(best)]
     assert got == sorted(want)
+
+
+def test_matching_independent_of_partitioning(spark):
+    rnd = random.Random(21)
+    rows = [(i, float(rnd.randrange(15)), rnd.random() < 0.35) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, score double, t boolean")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append(sorted(tuple(r) for r in match_pairs(df, "t", "score", "id", ratio=2).select(
+                "case_id", "control_id", "round").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]

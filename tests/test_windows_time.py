@@ -78,3 +78,12 @@ def test_age_truncates_toward_zero(spark):
 def test_flag_text_null_is_false(spark):
     df = spark.createDataFrame([(1,), (0,), (None,)], "f int")
     assert [r.x for r in df.select(flag_text("f").alias("x")).collect()] == ["TRUE", "FALSE", "FALSE"]
+
+
+def test_composite_key_bound(spark):
+    d = dt.datetime(2020, 5, 1)
+    enc = spark.createDataFrame([(1, 10, d), (1, 11, d)], "eid int, pid int, disch timestamp_ntz")
+    ev = spark.createDataFrame([(1, 10, d), (1, 99, d), (1, 11, d + dt.timedelta(days=1))],
+                               "eid int, pid int, t timestamp_ntz")
+    got = events_before(ev, enc, ["eid", "pid"], "t", "disch", strict=False).collect()
+    assert [(r.eid, r.pid) for r in got] == [(1, 10)]     # person must match too; bound holds

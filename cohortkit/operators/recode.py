@@ -21,14 +21,18 @@ def level_counts(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = None) -> DataFrame:
+def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = None,
+                max_levels: int = MAX_LEVELS) -> DataFrame:
     """Levels with their position (1 = baseline).
 
     ``by="freq"``: most frequent first, ties by name (CAT2); ``by="alpha"``:
     sorted by name (CAT1).  ``first`` moves one level to position 1 (CAT3).
-    The window runs over the level table (one row per level), not the data.
+    The window runs over the level table (one row per level), not the data;
+    the number of levels is checked first, so that window stays bounded.
     """
     counts = level_counts(df, col)
+    if counts.limit(max_levels + 1).count() > max_levels:
+        raise ValueError(f"{col}: more than {max_levels} levels; not a categorical column")
     order = [F.col("n").desc(), F.col("level").asc()] if by == "freq" else [F.col("level").asc()]
     if first is not None:
         order = [F.when(F.col("level") == F.lit(first), 0).otherwise(1)] + order
@@ -39,11 +43,8 @@ def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = N
 def levels(df: DataFrame, col: str, by: str = "freq", first: str | None = None,
            max_levels: int = MAX_LEVELS) -> list:
     """Ordered level list (bounded)."""
-    t = level_table(df, col, by, first)
-    rows = t.orderBy("position").limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} levels; not a categorical column")
-    return [r["level"] for r in rows]
+    t = level_table(df, col, by, first, max_levels)
+    return [r["level"] for r in t.orderBy("position").collect()]
 
 
 def dummy_name(col: str, level) -> str:

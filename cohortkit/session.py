@@ -90,3 +90,10 @@ def cut_lineage(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, minimum: int = 8) -> int:
+    """A starting shuffle width for ``input_bytes`` of scanned data: about one
+    partition per ``target_bytes``.  AQE coalesces small partitions at run
+    time, so erring high is cheap; erring low makes tasks spill."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))

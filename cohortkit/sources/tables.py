@@ -36,6 +36,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def load_catalog(spark: SparkSession, name: str) -> DataFrame:
+    """A warehouse table registered in the session catalog (SRC5)."""
+    return spark.table(name)
+
+
+def load_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int,
+              num_partitions: int, properties: dict | None = None) -> DataFrame:
+    """A warehouse table read over JDBC in ``num_partitions`` parallel range
+    reads on ``partition_column`` (SRC5); filters on the result are pushed
+    into the remote query."""
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+                           numPartitions=num_partitions, properties=properties or {})
+
+
 def load_all(spark: SparkSession, sf_dir: str,
              names: Iterable[str] = FIXTURE_TABLES) -> dict[str, DataFrame]:
     return {n: load(spark, sf_dir, n) for n in names}

@@ -322,3 +322,21 @@ def match_ratio2(spark, sf_dir):
     pairs = match_pairs(df, "treat", "s_acctbal", "s_suppkey", ratio=2)
     return matched_rows(df, pairs, "treat", "s_acctbal", "s_suppkey").select(
         "s_suppkey", "s_acctbal", "treat", "subclass", "weights", "distance")
+
+
+@register("match_propensity")
+def match_propensity(spark, sf_dir):
+    """PL19 end to end: propensity of being a case from a logistic model on a
+    numeric and a factor covariate (ST5), 2:1 nearest matching on that score
+    without replacement (ST6), matched rows with subclass, weights and the
+    score as distance (ST7).  Rows-only check; the matcher itself is checked
+    against a serial brute force in the tests."""
+    s = _t(spark, sf_dir, "supplier")
+    n = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    r = _t(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    df = (s.join(n, "s_nationkey", "left").join(r, "n_regionkey", "left")
+          .select("s_suppkey", "s_acctbal", "region", (F.col("s_nationkey") < 6).alias("treat")))
+    scored = propensity(df, "treat", ["s_acctbal", "region"], out="ps")
+    pairs = match_pairs(scored, "treat", "ps", "s_suppkey", ratio=2)
+    return matched_rows(scored, pairs, "treat", "ps", "s_suppkey").select(
+        "s_suppkey", "treat", "subclass", "weights", F.round("distance", 6).alias("distance"))

@@ -19,17 +19,22 @@ Distributed form, exact:
   lists inside a group, and no cross join.
 * **Serial greedy = deferred acceptance.**  Every control ranks cases the
   same way (the case order), so the case-proposing deferred-acceptance
-  outcome is unique and equals the serial greedy result.  Each pass: every
-  free case proposes to its nearest candidate it could still win (free, or
-  held by a later case); every control keeps its best proposer.  A case that
-  runs out of candidates gets twice as many.  Holders are checkpointed every
-  pass.
+  outcome is unique and equals the serial greedy result, whatever order the
+  proposals are made in.  Each pass, every block of consecutive cases (a
+  score range) makes its proposals one by one inside a task
+  (``applyInPandas``) against the last global holders; the global merge
+  keeps each control's best claimant, and only conflicts between blocks need
+  another pass.  A case that runs out of candidates gets 8x as many, and
+  later rounds start from longer lists (nearby controls are used up).  The
+  state is checkpointed every pass.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,62 +140,113 @@ def nearest_controls(cases: DataFrame, controls: DataFrame, k: int) -> DataFrame
 
 # --- one round of serial greedy via deferred acceptance ------------------------
 
-def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passes: int = 100_000) -> DataFrame:
+BLOCK_CASES = 2048          # cases per block of the local proposal step
+GROWTH = 8                  # candidate-list growth when a case runs out
+_CHOICE_SCHEMA = "case_id long, prio long, K long, pick long"
+
+
+def _local_proposals(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Deferred acceptance inside one block of cases, run one proposal at a
+    time (pandas inside the task; the block is bounded by BLOCK_CASES cases x
+    their candidate lists).
+
+    Rows: one per (case, candidate) with the candidate's current holder
+    (prio, case) from the last global state and the control the case holds.
+    Controls held by cases of other blocks are treated as held; a local case
+    may still take one from a worse outside holder (the global merge settles
+    it).  Output: per case the control it holds after the local step, NULL
+    when its candidate list is exhausted."""
+    pdf = pdf.sort_values(["prio", "cand_rank"])
+    cands: dict[int, list[int]] = {}
+    prio: dict[int, int] = {}
+    kk: dict[int, int] = {}
+    holding: dict[int, int] = {}
+    held_by: dict[int, tuple[int, int]] = {}
+    for case, pr, k, held, ctl, hp, hc in zip(pdf["case_id"], pdf["prio"], pdf["K"], pdf["held_ctl"],
+                                               pdf["control_id"], pdf["h_prio"], pdf["h_case"]):
+        case, ctl = int(case), int(ctl)
+        cands.setdefault(case, []).append(ctl)
+        prio[case], kk[case] = int(pr), int(k)
+        if not pd.isna(hp):
+            held_by[ctl] = (int(hp), int(hc))
+        if not pd.isna(held):
+            holding[case] = int(held)
+    queue = deque(c for c in cands if c not in holding)
+    while queue:
+        u = queue.popleft()
+        for c in cands[u]:
+            h = held_by.get(c)
+            if h is None or h[0] > prio[u]:
+                if h is not None and h[1] in cands and holding.get(h[1]) == c:
+                    del holding[h[1]]
+                    queue.append(h[1])        # displaced inside the block: goes on locally
+                held_by[c] = (prio[u], u)
+                holding[u] = c
+                break
+    rows = [(u, prio[u], kk[u], holding.get(u)) for u in cands]
+    out = pd.DataFrame(rows, columns=["case_id", "prio", "K", "pick"])
+    out["pick"] = out["pick"].astype("Int64")
+    return out
+
+
+def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passes: int = 100_000,
+                  block: int = BLOCK_CASES) -> DataFrame:
     """cases ``(id, score, prio)``, controls ``(id, score)`` -> ``(case_id,
-    control_id, dist)`` with each case and each control at most once."""
+    control_id, dist)`` with each case and each control at most once.
+
+    Case-proposing deferred acceptance, which with a common control ranking
+    equals serial greedy.  Each pass: every block of ``block`` consecutive
+    cases (by priority, so a score range) runs its proposals locally against
+    the last global holders; the global merge keeps, per control, the best
+    claimant.  Only conflicts between blocks need further passes.  A case
+    whose candidate list runs out gets GROWTH times as many candidates."""
     spark = cases.sparkSession
     idx = ControlIndex(cases, controls)
     n_ctl = idx.n
     if n_ctl == 0:
         return spark.createDataFrame([], "case_id long, control_id long, dist double")
-    prio = cases.select(F.col("id").alias("case_id"), "prio")
+    prio = cases.select(F.col("id").alias("case_id"), "prio",
+                        F.floor((F.col("prio") - 1) / block).cast("long").alias("blk"))
     kk = min(k0, n_ctl)
-    cand = cut_lineage(idx.candidates(kk).join(prio, "case_id").withColumn("K", F.lit(kk)).repartition("case_id"))
-    holders = spark.createDataFrame([], "control_id long, case_id long, prio long")
+    cand = cut_lineage(idx.candidates(kk).join(prio, "case_id").withColumn("K", F.lit(kk).cast("long"))
+                       .repartition("blk"))
+    holders = spark.createDataFrame([], "control_id long, h_case long, h_prio long")
     done = spark.createDataFrame([], "case_id long")
     for _ in range(max_passes):
-        free = (cand.join(holders.select("case_id"), "case_id", "left_anti")
-                .join(done, "case_id", "left_anti"))
-        h = holders.select("control_id", F.col("prio").alias("h_prio"))
-        winnable = F.col("h_prio").isNull() | (F.col("h_prio") > F.col("prio"))
-        # one row per free case: its proposal, or NULL when no candidate is
-        # winnable.  ``cand`` is checkpointed hash-partitioned by case_id, and
-        # the anti/lookup joins broadcast the small sides, so this aggregate
-        # needs no shuffle of the candidate lists.
-        choice = (free.join(h, "control_id", "left")
-                  .groupBy("case_id", "prio", "K")
-                  .agg(F.min(F.when(winnable, F.struct("cand_rank", "control_id"))).getField("control_id")
-                       .alias("pick"))
-                  .persist())
-        n_props, n_stuck = choice.agg(F.count("pick"), F.count(F.when(F.col("pick").isNull(), 1))).first()
-        if n_props == 0 and n_stuck == 0:
-            choice.unpersist()
+        held = holders.select(F.col("h_case").alias("case_id"), F.col("control_id").alias("held_ctl"))
+        rows = (cand.join(done, "case_id", "left_anti")
+                .join(holders, "control_id", "left")
+                .join(held, "case_id", "left")
+                .select("blk", "case_id", "prio", "K", "held_ctl", "control_id", "cand_rank", "h_prio", "h_case"))
+        choice = cut_lineage(rows.groupBy("blk").applyInPandas(_local_proposals, _CHOICE_SCHEMA))
+        claims = choice.filter(F.col("pick").isNotNull())
+        new_holders = cut_lineage(
+            claims.groupBy(F.col("pick").alias("control_id"))
+            .agg(F.min(F.struct("prio", "case_id")).alias("b"))
+            .select("control_id", F.col("b.case_id").alias("h_case"), F.col("b.prio").alias("h_prio")))
+        n_claims, n_stuck = choice.agg(F.count("pick"), F.count(F.when(F.col("pick").isNull(), 1))).first()
+        n_lost = n_claims - new_holders.count()
+        holders = new_holders
+        if n_lost == 0 and n_stuck == 0:
             break
         if n_stuck:
             stuck = choice.filter(F.col("pick").isNull())
             done = cut_lineage(done.unionByName(stuck.filter(F.col("K") >= n_ctl).select("case_id")))
             grow = stuck.filter(F.col("K") < n_ctl).select(
-                "case_id", "prio", F.least(F.col("K") * 4, F.lit(n_ctl)).alias("k"))
-            extra = (idx.candidates(grow.select("case_id", "k"))
-                     .join(grow.select("case_id", "prio", F.col("k").alias("K")), "case_id"))
-            cand = cut_lineage(cand.join(grow.select("case_id"), "case_id", "left_anti")
-                               .unionByName(extra.select(*cand.columns)).repartition("case_id"))
-        if n_props:
-            props = choice.filter(F.col("pick").isNotNull()).select(
-                F.col("pick").alias("control_id"), "case_id", "prio")
-            pool = holders.unionByName(props)
-            holders = cut_lineage(pool.groupBy("control_id").agg(F.min(F.struct("prio", "case_id")).alias("b"))
-                                  .select("control_id", F.col("b.case_id").alias("case_id"),
-                                          F.col("b.prio").alias("prio")))
-        choice.unpersist()
+                "case_id", F.least(F.col("K") * GROWTH, F.lit(n_ctl)).cast("long").alias("k"))
+            if grow.count():
+                extra = (idx.candidates(grow.select("case_id", "k")).join(prio, "case_id")
+                         .join(grow.select("case_id", F.col("k").alias("K")), "case_id"))
+                cand = cut_lineage(cand.join(grow.select("case_id"), "case_id", "left_anti")
+                                   .unionByName(extra.select(*cand.columns)).repartition("blk"))
     cs = cases.select(F.col("id").alias("case_id"), F.col("score").alias("t_score"))
     ct = controls.select(F.col("id").alias("control_id"), F.col("score").alias("c_score"))
-    return (holders.join(cs, "case_id").join(ct, "control_id")
+    return (holders.select("control_id", F.col("h_case").alias("case_id")).join(cs, "case_id").join(ct, "control_id")
             .select("case_id", "control_id", F.abs(F.col("c_score") - F.col("t_score")).alias("dist")))
 
 
 def match_pairs(df: DataFrame, treat: str, score: str, id_col: str, ratio: int = 1,
-                replace: bool = False, k0: int = 16) -> DataFrame:
+                replace: bool = False, k0: int = 16, block: int = BLOCK_CASES) -> DataFrame:
     """ST6: ``(case_id, control_id, round, dist)`` pairs."""
     base = df.select(F.col(id_col).alias("id"), F.col(score).cast("double").alias("score"), F.col(treat).alias("t"))
     base = base.filter(F.col("score").isNotNull() & F.col("t").isNotNull())
@@ -203,7 +259,9 @@ def match_pairs(df: DataFrame, treat: str, score: str, id_col: str, ratio: int =
     out = None
     remaining = controls
     for r in range(1, ratio + 1):
-        pr = cut_lineage(_greedy_round(cases, remaining, k0).withColumn("round", F.lit(r)))
+        # later rounds start with longer lists: the nearest controls were taken
+        k_r = k0 * 4 ** (r - 1)
+        pr = cut_lineage(_greedy_round(cases, remaining, k_r, block=block).withColumn("round", F.lit(r)))
         out = pr if out is None else out.unionByName(pr)
         remaining = cut_lineage(remaining.join(pr.select(F.col("control_id").alias("id")), "id", "left_anti"))
     return out

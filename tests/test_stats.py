@@ -154,3 +154,15 @@ def test_matching_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
+
+
+@pytest.mark.parametrize("seed,block,k0", [(31, 2, 2), (32, 3, 1), (33, 5, 3)])
+def test_matching_small_blocks_equal_serial_greedy(spark, seed, block, k0):
+    """Tiny blocks force conflicts between blocks through the global merge."""
+    rnd = random.Random(seed)
+    rows = [(i, float(rnd.randrange(10)), rnd.random() < 0.3) for i in range(45)]
+    df = spark.createDataFrame(rows, "id long, score double, t boolean")
+    got = sorted((r.case_id, r.control_id, r.round) for r in
+                 match_pairs(df, "t", "score", "id", ratio=2, k0=k0, block=block).collect())
+    want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
+    assert got == want

@@ -142,6 +142,7 @@ def nearest_controls(cases: DataFrame, controls: DataFrame, k: int) -> DataFrame
 
 BLOCK_CASES = 2048          # cases per block of the local proposal step
 GROWTH = 8                  # candidate-list growth when a case runs out
+EXHAUST_CHECK_K = 4096      # lists this long are built only for cases that can still win
 _CHOICE_SCHEMA = "case_id long, prio long, K long, pick long"
 
 
@@ -189,6 +190,16 @@ def _local_proposals(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _all_controls_taken(holders: DataFrame, cases: DataFrame, n_ctl: int) -> DataFrame:
+    """Ids of ``cases (case_id, prio)`` for which all ``n_ctl`` controls are
+    held by cases of better priority (counted in one ordered pass)."""
+    h = holders.select(F.col("h_prio").alias("key"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("case_id"))
+    q = cases.select(F.col("prio").alias("key"), F.lit(1).alias("kind"), "case_id")
+    ordered = positions(h.unionByName(q), [F.col("key").asc(), F.col("kind").asc()], out="__u",
+                        running={"better": (F.col("kind") == 0).cast("long")})
+    return ordered.filter((F.col("kind") == 1) & (F.col("better") >= n_ctl)).select("case_id")
+
+
 def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passes: int = 100_000,
                   block: int = BLOCK_CASES) -> DataFrame:
     """cases ``(id, score, prio)``, controls ``(id, score)`` -> ``(case_id,
@@ -232,8 +243,16 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
         if n_stuck:
             stuck = choice.filter(F.col("pick").isNull())
             done = cut_lineage(done.unionByName(stuck.filter(F.col("K") >= n_ctl).select("case_id")))
-            grow = stuck.filter(F.col("K") < n_ctl).select(
-                "case_id", F.least(F.col("K") * GROWTH, F.lit(n_ctl)).cast("long").alias("k"))
+            grow = stuck.filter(F.col("K") < n_ctl)
+            big = grow.filter(F.col("K") * GROWTH >= EXHAUST_CHECK_K).select("case_id", "prio")
+            if big.count():
+                # before a long list is built: a case for which every control
+                # is held by a better case can never be matched -- exact, and
+                # one ordered pass over holders and these cases
+                hopeless = _all_controls_taken(holders, big, n_ctl)
+                done = cut_lineage(done.unionByName(hopeless))
+                grow = grow.join(hopeless, "case_id", "left_anti")
+            grow = grow.select("case_id", F.least(F.col("K") * GROWTH, F.lit(n_ctl)).cast("long").alias("k"))
             if grow.count():
                 extra = (idx.candidates(grow.select("case_id", "k")).join(prio, "case_id")
                          .join(grow.select("case_id", F.col("k").alias("K")), "case_id"))

@@ -166,3 +166,17 @@ def test_matching_small_blocks_equal_serial_greedy(spark, seed, block, k0):
                  match_pairs(df, "t", "score", "id", ratio=2, k0=k0, block=block).collect())
     want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
     assert got == want
+
+
+def test_scarce_controls_stop_early(spark, monkeypatch):
+    """Fewer controls than cases: cases that can never win stop as soon as
+    every control is held by a better case; the result is still serial greedy."""
+    import cohortkit.stats.match as M
+    monkeypatch.setattr(M, "EXHAUST_CHECK_K", 1)
+    rnd = random.Random(41)
+    rows = [(i, float(rnd.randrange(8)), i < 14) for i in range(20)]     # 14 cases, 6 controls
+    df = spark.createDataFrame(rows, "id long, score double, t boolean")
+    got = sorted((r.case_id, r.control_id, r.round) for r in
+                 match_pairs(df, "t", "score", "id", ratio=2, k0=1, block=3).collect())
+    want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
+    assert got == want

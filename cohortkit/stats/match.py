@@ -31,10 +31,12 @@ Distributed form, exact:
 
 from __future__ import annotations
 
+import sys
 from collections import deque
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,11 @@ from ..operators.ordering import positions
 from ..session import cut_lineage
 from .glm import LogitFit, build_design, fit
 
+# The local proposal step runs in Python workers (applyInPandas).  Pickle this
+# module's functions by value, so executors need no installed copy of the
+# package (workers may not have the repository on their path).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # --- propensity (ST5) ----------------------------------------------------------
 

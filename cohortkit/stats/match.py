@@ -272,7 +272,7 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
 
 
 def match_pairs(df: DataFrame, treat: str, score: str, id_col: str, ratio: int = 1,
-                replace: bool = False, k0: int = 16, block: int = BLOCK_CASES) -> DataFrame:
+                replace: bool = False, k0: int = 32, block: int = BLOCK_CASES) -> DataFrame:
     """ST6: ``(case_id, control_id, round, dist)`` pairs."""
     base = df.select(F.col(id_col).alias("id"), F.col(score).cast("double").alias("score"), F.col(treat).alias("t"))
     base = base.filter(F.col("score").isNotNull() & F.col("t").isNotNull())

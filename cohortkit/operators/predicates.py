@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -105,9 +104,3 @@ def complete(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 def negate(col: str) -> Column:
     """Negated logical (FLT11); NULL stays NULL and the row is dropped."""
     return ~F.col(col)
-
-
-def literal_prefix_regex(pattern: str) -> bool:
-    """True when ``pattern`` is nothing but an anchored literal prefix."""
-    pre = literal_prefix(pattern)
-    return bool(pre) and pattern == "^" + re.escape(pre)

@@ -88,3 +88,20 @@ def test_prefix_conditions_equal_startswith(spark):
     got = sorted((r.id, r.condition) for r in prefix_conditions(codes, "code", cond).collect())
     want = sorted((i, c) for i, code in codes.collect() for c, p in cond.collect() if code.startswith(p))
     assert got == want
+
+
+def test_in_codes_list_and_table_agree(spark):
+    from cohortkit.operators.predicates import complete, in_codes
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (4, "a", 4.0)],
+                               "id int, code string, v double")
+    codes = spark.createDataFrame([("a",), ("c",), ("c",)], "code string")
+    by_list = sorted(r.id for r in in_codes(df, "code", ["a", "c"]).collect())
+    by_table = sorted(r.id for r in in_codes(df, "code", codes).collect())
+    assert by_list == by_table == [1, 3, 4]
+    assert sorted(r.id for r in complete(df, ["code", "v"]).collect()) == [1, 3, 4]
+
+
+def test_shuffle_width_helper():
+    from cohortkit.session import shuffle_partitions_for
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 << 40) == 409600        # 100 TB / 256 MB

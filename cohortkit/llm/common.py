@@ -1,8 +1,4 @@
-"""Helpers shared by the operators of this subpackage.
-
-Python functions that run in tasks live in importable modules, so the package
-has to be importable on the executors (``--py-files`` or an installed copy).
-"""
+"""Helpers shared by the operators of this subpackage."""
 
 from __future__ import annotations
 

@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import small_batches, table
+import public_tokenizers
+
+from ..session import scratch_path
+from .common import table
+from .packing import pack_documents
 from .sharding import shard_documents
+from .token_files import read_token_files, write_token_files
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return read_token_files(spark, path)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
-QUERIES = {f.__name__: f for f in (op9_sharding,)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op7_packing, op9_sharding)}
 ORACLES: dict[str, str] = {}

@@ -26,15 +26,25 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Spark's own setting: shuffle files go when the execution that made them ends
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
     Cuts the lineage at a table that survives lost executors, and gives the
-    planner the real size of the data for its own broadcast decisions.
+    planner the real size of the data for its own broadcast decisions.  The
+    shuffle files of the write are not needed again and go with it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -85,3 +95,27 @@ def text_or_empty(c: str | Column) -> Column:
 def only(df: DataFrame, **cols: Column | str) -> DataFrame:
     """Pick named inputs first, so that extra columns cannot clash later."""
     return df.select([(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in cols.items()])
+
+
+def quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def wrapped(df: DataFrame, **cols: Column | str) -> DataFrame:
+    """All columns in one struct ``_row`` beside the named ones, so that no name of ``df`` can clash."""
+    row = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("_row")
+    return df.select(row, *[(F.col(quoted(v)) if isinstance(v, str) else v).alias(k) for k, v in cols.items()])
+
+
+def unwrapped(df: DataFrame, like: DataFrame, text: str | None = None) -> DataFrame:
+    """The columns of ``like`` from ``_row``; with ``text``, the texts of that column replace its own
+    (and ``n_chars``, where there is one, follows)."""
+    out = []
+    for c in like.columns:
+        own = F.col("_row." + quoted(c))
+        if text and c == "text":
+            own = F.col(text)
+        elif text and c == "n_chars":
+            own = F.length(text).cast(dict(like.dtypes)[c])
+        out.append(own.alias(c))
+    return df.select(out)

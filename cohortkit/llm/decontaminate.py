@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, small_batches
+from .common import materialize, only, small_batches, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, keys, normalized
 
 #: words of one automaton, about
@@ -283,25 +283,24 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``docs`` with the hit spans cut out of ``text``; every row and every other column stays."""
+    """``docs`` with the hit spans cut out of ``text``; every row and every other column stays
+    (``n_chars``, where there is one, follows the text)."""
     small_batches(docs.sparkSession)
-    schema, at = docs.schema, docs.columns.index("text")
+    rows = wrapped(docs, text="text")
+    schema = rows.schema
     autos = automata(benchmark, window)
     for n, auto in enumerate(autos):
         def run(batches: Iterator[pa.RecordBatch], auto=auto) -> Iterator[pa.RecordBatch]:
             a = auto.value
             for b in batches:
-                col = b.column(at).to_pylist()
+                col = b.column(1).to_pylist()
                 texts = [normalized(t) for t in col]
-                hit = False
                 for x, y in groups_by_size(texts):
-                    for i, (_, s, *_rest) in enumerate(a.match(texts[x:y]), x):
-                        if len(s):
-                            col[i], hit = a.cleaned(col[i]), True
-                if hit:
-                    b = b.set_column(at, b.schema.field(at), pa.array(col, b.schema.field(at).type))
-                yield b
-        docs = docs.mapInArrow(run, schema)
+                    for i, (_, starts, *_rest) in enumerate(a.match(texts[x:y]), x):
+                        if len(starts):
+                            col[i] = a.cleaned(col[i])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], ["_row", "text"])
+        rows = rows.mapInArrow(run, schema)
         if n + 1 < len(autos):
-            docs = materialize(docs, "decontaminate-block")    # one automaton in a task at a time
-    return docs
+            rows = materialize(rows, "decontaminate-block")    # one automaton in a task at a time
+    return unwrapped(rows, docs, "text")

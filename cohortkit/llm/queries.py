@@ -9,10 +9,14 @@ import public_tokenizers
 from ..session import scratch_path
 from .common import table
 from .decontaminate import report
+from .embedding_dedup import near_duplicate_vectors
+from .license_scan import license_report
 from .packing import pack_documents
+from .quality import quality_report
 from .sharding import shard_documents
 from .simhash import fingerprint_hex, near_duplicate_classes
 from .token_files import read_token_files, write_token_files
+from .warc import archive_pages
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +25,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicate_classes(table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return rows.select("doc_id", fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)
 
@@ -34,9 +51,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op5_simhash, op7_packing, op9_sharding, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_license_scan, op4_warc, op5_simhash, op6_quality, op7_packing, op8_embedding_dedup, op9_sharding, op10_decontaminate)}
 ORACLES: dict[str, str] = {}

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, small_batches
+from .common import materialize, only, small_batches, unwrapped, wrapped
 from .components import components
 
 SEED, BITS = 42, 64
@@ -110,7 +110,6 @@ def fingerprint_hex(fp) -> F.Column:
 
 def near_dedup(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id (then text hash, then any)."""
-    cols = docs.columns
     classes = materialize(near_duplicate_classes(docs, shingle, distance), "simhash-rows")
     # a group without any id still has to keep one document
     first = classes.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")) \
@@ -121,13 +120,11 @@ def near_dedup(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFram
                        .select(keep["_id"], keep["_h"], "_n"), "simhash-keep")
 
     def rows(k: DataFrame) -> DataFrame:
-        # a renamed copy: no column of docs can clash
-        src = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"),
-                          F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
+        src = wrapped(docs, _d=F.col("doc_id").cast("long"), _t=F.xxhash64("text"))
         return src.join(k, src["_d"].eqNullSafe(k["_id"]) & (src["_t"] == k["_h"]), "left_semi")
 
     out = rows(keep.filter("_n = 1"))
     again = keep.filter("_n > 1")
     if not again.isEmpty():                    # repeated rows: one of each
         out = out.unionByName(rows(again).dropDuplicates(["_d", "_t"]))
-    return out.select("_row.*")
+    return unwrapped(out, docs)

@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import report
 from .embedding_dedup import near_duplicate_vectors
 from .license_scan import license_report
+from .line_dedup import line_report
 from .packing import pack_documents
 from .quality import quality_report
 from .sharding import shard_documents
@@ -29,6 +30,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,5 +64,62 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_license_scan, op4_warc, op5_simhash, op6_quality, op7_packing, op8_embedding_dedup, op9_sharding, op10_decontaminate)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_license_scan, op3_line_dedup, op4_warc, op5_simhash, op6_quality, op7_packing,
+    op8_embedding_dedup, op9_sharding, op10_decontaminate)}
+ORACLES = {
+    "op4_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
+FROM k
+""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS len FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND a.len > 0 AND b.len > 0
+   AND list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.9
+), reach(vec_id, r) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT link.a, reach.r FROM reach JOIN link ON link.b = reach.vec_id
+)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) n ON n.a = v.vec_id
+JOIN (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) c ON c.vec_id = v.vec_id
+""",
+    "op10_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, w, least(10, len(w)) AS n FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0
+), win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b)
+), pos AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b)
+), hit AS (
+  SELECT p.doc_id, p.i, p.n, win.item_id FROM pos p
+  JOIN win ON win.n = p.n AND win.g = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')
+), words AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+}

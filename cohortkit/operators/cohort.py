@@ -3,8 +3,8 @@
 * ``code_set``      -- code dimension reduced to the ids of matching codes.
 * ``by_procedure``  -- encounters in a time window that have a procedure with
   a code in the set.  Written as left-semi joins: an existence test never
-  multiplies rows, needs no DISTINCT afterwards, and the (small) code set is
-  broadcast while the procedure side is only scanned for its two key columns.
+  multiplies rows, needs no DISTINCT afterwards, and the procedure side is
+  only scanned for its two key columns.
 * ``by_ids``        -- encounters named by an outside id list (the "prompt"),
   tagged with a group label.
 * ``union_cohorts`` -- de-duplicating union: one DISTINCT after the UNION.
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeops import local_to_utc
-from .lookup import bounded_broadcast
 from .predicates import between, matches
 
 COHORT_COLS = ("encntr_id", "person_id", "reg_dt_tm")
@@ -67,9 +66,9 @@ def by_procedure(encounters: DataFrame, procedures: DataFrame, codes: DataFrame,
     enc = in_window(encounters, window, tz)
     for c, v in (filters or {}).items():
         enc = enc.filter(F.col(c) == F.lit(v))
-    # the code set is broadcast only after its size is proved small
+    # no hint: the planner broadcasts the code set when its size is under the threshold
     coded = procedures.select("encntr_id", "nomenclature_id").join(
-        bounded_broadcast(codes.select("nomenclature_id")), "nomenclature_id", "left_semi")
+        codes.select("nomenclature_id"), "nomenclature_id", "left_semi")
     # de-duplicate before the shuffle: the partial (map-side) distinct folds an
     # encounter with a third of all procedure rows to one row per map task
     return enc.join(coded.select("encntr_id").distinct(), "encntr_id", "left_semi").select(*cols)

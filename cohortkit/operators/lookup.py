@@ -1,10 +1,8 @@
-"""Joins to small dimensions (JN9) and the size-checked broadcast rule.
+"""Joins to small dimensions (JN9).
 
-A broadcast hint is given only to a side whose row count is *proved* to be
-under a bound: ``limit(bound + 1).count()`` reads at most ``bound + 1`` rows,
-so the check is cheap even when the side turns out to be large.  Above the
-bound the hint is left out and the planner (with AQE's runtime statistics)
-picks a shuffle join.
+No broadcast hint is given on a table that could grow: the planner broadcasts
+a side whose size statistics or run-time size (adaptive execution) are under
+its threshold and shuffles it otherwise, so building a plan runs no job.
 """
 
 from __future__ import annotations
@@ -12,17 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
 
 def literal_table(spark, rows, schema) -> DataFrame:
     """A small table given by the caller (code set, condition map).  Its size is
@@ -31,10 +18,7 @@ def literal_table(spark, rows, schema) -> DataFrame:
 
 
 def attach_display(df: DataFrame, codes: DataFrame, col: str, out: str,
-                   code_col: str = "code", display_col: str = "display",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join one code column to its display text (JN9).  Call once per
-    column; each join is a broadcast hash join when the lookup is small."""
+                   code_col: str = "code", display_col: str = "display") -> DataFrame:
+    """Left join one code column to its display text (JN9).  Call once per column."""
     lk = codes.select(F.col(code_col).alias("__code"), F.col(display_col).alias(out))
-    lk = bounded_broadcast(lk, max_rows)
     return (df.join(lk, df[col].cast("long") == lk["__code"], "left").drop("__code"))

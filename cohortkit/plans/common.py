@@ -74,9 +74,9 @@ pts AS (SELECT DISTINCT e.encntr_id, e.person_id, e.reg_dt_tm FROM enc e, icd, l
         WHERE e.reg_dt_tm BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-07-01'
           AND e.encntr_type_class_cd = 'F'
           AND e.encntr_id = l.l_orderkey AND l.l_partkey = icd.nomenclature_id),
-cang AS (SELECT DISTINCT encntr_id, person_id, reg_dt_tm, 'CASE' AS pt_group FROM enc
+listed AS (SELECT DISTINCT encntr_id, person_id, reg_dt_tm, 'CASE' AS pt_group FROM enc
          WHERE person_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)),
-allp AS (SELECT encntr_id, person_id, reg_dt_tm FROM cang UNION SELECT * FROM pts)"""
+allp AS (SELECT encntr_id, person_id, reg_dt_tm FROM listed UNION SELECT * FROM pts)"""
 
 
 def with_cohort(body: str) -> str:

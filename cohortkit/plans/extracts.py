@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import flag_text
 from ..functions.timeops import age_years, local_day, local_to_utc, parse_prompt, utc_to_local
 from ..operators.cohort import CohortSpec, build_cohort, by_ids, code_set, tag_groups
-from ..operators.lookup import attach_display, bounded_broadcast
+from ..operators.lookup import attach_display
 from ..operators.picks import first_by, max_at_first, max_at_first_many
 from ..operators.predicates import any_of, between, current_rows, in_codes, matches
 from ..operators.windows import events_around, events_before
@@ -30,7 +30,7 @@ def cohort_by_procedure(spark, sf_dir):
     return cohort(spark, sf_dir)[0]
 
 
-@register("cohort_by_ids", with_cohort("SELECT * FROM cang"))
+@register("cohort_by_ids", with_cohort("SELECT * FROM listed"))
 def cohort_by_ids(spark, sf_dir):
     return cohort(spark, sf_dir)[1]
 
@@ -53,7 +53,7 @@ def cohort_union(spark, sf_dir):
 
 COHORT_TAG_SQL = with_cohort("""
 SELECT a.encntr_id, a.person_id, e.encntr_type_class_cd, a.reg_dt_tm, e.disch_dt_tm, c.pt_group
-FROM allp a LEFT JOIN cang c ON a.encntr_id = c.encntr_id
+FROM allp a LEFT JOIN listed c ON a.encntr_id = c.encntr_id
 JOIN enc e ON a.encntr_id = e.encntr_id""")
 
 
@@ -161,7 +161,7 @@ SELECT a.encntr_id, c.pt_group, e.encntr_type_class_cd, {AGE_SQL} AS age,
        n.n_name AS race, p.sex_cd AS sex, height.height, weight.weight, bmi.bmi
 FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id
 JOIN per p ON p.person_id = a.person_id
-LEFT JOIN cang c ON c.encntr_id = a.encntr_id
+LEFT JOIN listed c ON c.encntr_id = a.encntr_id
 LEFT JOIN nation n ON n.n_nationkey = p.race_cd
 LEFT JOIN weight ON weight.encntr_id = a.encntr_id
 LEFT JOIN height ON height.encntr_id = a.encntr_id
@@ -244,7 +244,7 @@ def tz_local_day(spark, sf_dir):
                               AND timezone('UTC', timezone('America/Chicago', TIMESTAMP '1999-07-01'))
           AND e.encntr_type_class_cd = 'F'
           AND e.encntr_id = l.l_orderkey AND l.l_partkey = icd.nomenclature_id),
-allp_local AS (SELECT encntr_id, person_id, reg_dt_tm FROM cang UNION SELECT * FROM pts_local)
+allp_local AS (SELECT encntr_id, person_id, reg_dt_tm FROM listed UNION SELECT * FROM pts_local)
 """ + PROC_DAYS_SQL.format(src="allp_local")))
 def tz_local_day_fixed(spark, sf_dir):
     """PL5: fixed window at local midnight (PRM3 + SC1), local procedure days."""
@@ -254,7 +254,7 @@ def tz_local_day_fixed(spark, sf_dir):
     return _proc_days(r, allp.select("encntr_id"))
 
 
-@register("tz_local_day_listed", with_cohort(PROC_DAYS_SQL.format(src="cang")))
+@register("tz_local_day_listed", with_cohort(PROC_DAYS_SQL.format(src="listed")))
 def tz_local_day_listed(spark, sf_dir):
     """PL6: listed cohort only."""
     r = roles(spark, sf_dir)
@@ -307,7 +307,7 @@ SELECT DISTINCT c.encntr_id,
        timezone('America/Chicago', timezone('UTC', l.l_shipdate + to_hours(l.l_linenumber))) AS surgery_stop,
        CASE l.l_linenumber WHEN 1 THEN 'TRUE' ELSE 'FALSE' END AS primary_procedure,
        l.l_partkey AS surg_proc_cd, p.p_name AS surgery
-FROM cang c JOIN lineitem l ON l.l_orderkey = c.encntr_id JOIN part p ON p.p_partkey = l.l_partkey"""))
+FROM listed c JOIN lineitem l ON l.l_orderkey = c.encntr_id JOIN part p ON p.p_partkey = l.l_partkey"""))
 def surgery_list(spark, sf_dir):
     """PL9: surgeries of the listed cohort (JN11, JN1, SC2, SC7, JN9)."""
     r = roles(spark, sf_dir)
@@ -331,6 +331,6 @@ def code_display(spark, sf_dir):
     p = r.person.select("person_id", "race_cd")
     p = attach_display(p, r.code_value, "race_cd", "race")
     nat = r.table("nation").select(F.col("n_nationkey").alias("race_cd"), F.col("n_regionkey").alias("region_cd"))
-    p = p.join(bounded_broadcast(nat), "race_cd", "left")
+    p = p.join(nat, "race_cd", "left")
     p = attach_display(p, regions(r.table("region")), "region_cd", "region")
     return p.select("person_id", "race_cd", "race", "region")

@@ -54,9 +54,9 @@ def patient_table(spark, sf_dir):
     The measure text is parsed with a safe cast (SC14); the three picks are
     one aggregate."""
     m = X.measures(_t(spark, sf_dir, "events")).withColumn("event_result", safe_number("event_result"))
-    picks = first_value_many(m, "millennium_id", ["event_datetime", "event_id"], {
+    picks = first_value_many(m, "encounter_key", ["event_datetime", "event_id"], {
         out: ("event_result", F.col("event") == ev) for out, ev in MEASURE_EVENTS.items()})
-    out = _person_demog(spark, sf_dir).join(picks, "millennium_id", "left")
+    out = _person_demog(spark, sf_dir).join(picks, "encounter_key", "left")
     return out.select("fin", "gender", "race", "weight", "height", "bmi")
 
 
@@ -68,13 +68,13 @@ def allergy_list(spark, sf_dir):
     """PL11: rename report headers (PRJ3), lower case (SC12), drop missing,
     inactive and excluded entries (FLT10, FLT4), distinct, attach fin (JN5)."""
     raw = X.allergies_raw(_t(spark, sf_dir, "events"))
-    a = raw.withColumnsRenamed({"Encounter Identifier": "millennium_id", "Allergies": "allergy",
+    a = raw.withColumnsRenamed({"Encounter Ref": "encounter_key", "Allergies": "allergy",
                                 "Allergy Active Status": "allergy_status"})
     a = a.withColumn("allergy", F.lower("allergy"))
     a = a.filter(F.col("allergy").isNotNull() & (F.col("allergy_status") == "Active")
                  & ~F.col("allergy").rlike(EXCLUDED_ALLERGY))
-    a = a.select("millennium_id", "allergy").distinct()
-    return a.join(_person_demog(spark, sf_dir), "millennium_id").select("fin", "allergy")
+    a = a.select("encounter_key", "allergy").distinct()
+    return a.join(_person_demog(spark, sf_dir), "encounter_key").select("fin", "allergy")
 
 
 @register("history_flags", """
@@ -89,11 +89,11 @@ FROM customer c FULL JOIN f ON f.user_id = c.c_custkey""")
 def history_flags(spark, sf_dir):
     """PL12: code-pattern flags (AGG3) in one groupBy, joined to every id
     (JN6, full outer like the tidy chain) and filled with FALSE (PRJ6)."""
-    codes = _t(spark, sf_dir, "events").select(F.col("user_id").alias("millennium_id"),
+    codes = _t(spark, sf_dir, "events").select(F.col("user_id").alias("encounter_key"),
                                               F.col("event_type").alias("diag_code"))
-    flags = pattern_flags(codes, "millennium_id", "diag_code", HISTORY_PATTERNS)
-    base = _person_demog(spark, sf_dir).select("millennium_id", "fin")
-    return attach_flags(base, flags, "millennium_id", how="full").select("fin", *HISTORY_PATTERNS)
+    flags = pattern_flags(codes, "encounter_key", "diag_code", HISTORY_PATTERNS)
+    base = _person_demog(spark, sf_dir).select("encounter_key", "fin")
+    return attach_flags(base, flags, "encounter_key", how="full").select("fin", *HISTORY_PATTERNS)
 
 
 @register("comorbidity_flags", """
@@ -117,10 +117,10 @@ def comorbidity_flags(spark, sf_dir):
     coded_parts = prefix_conditions(part, "diag_code", cond).select(F.col("p_partkey").alias("l_partkey"), "condition")
     diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
     coded = diag.join(coded_parts, "l_partkey")
-    flags = condition_flags(coded, "millennium_id", "condition", [c for c, _ in CONDITIONS])
-    flags = flags.select("millennium_id", F.col("HTN").alias("htn"), any_of(["DM", "DMcx"]).alias("diabetes"))
+    flags = condition_flags(coded, "encounter_key", "condition", [c for c, _ in CONDITIONS])
+    flags = flags.select("encounter_key", F.col("HTN").alias("htn"), any_of(["DM", "DMcx"]).alias("diabetes"))
     base = _enc_demog(spark, sf_dir)
-    return attach_flags(base, flags, "millennium_id", how="full").select("fin", "htn", "diabetes")
+    return attach_flags(base, flags, "encounter_key", how="full").select("fin", "htn", "diabetes")
 
 
 @register("primary_code", """
@@ -130,9 +130,9 @@ WHERE l.l_linestatus = 'F' AND l.l_linenumber = 1""")
 def primary_code(spark, sf_dir):
     """PL13: final primary diagnoses (FLT1), fin attached (JN5), key first (PRJ4)."""
     diag = X.diagnoses(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("diag_type") == "FINAL")
-    p = diag.filter(F.col("diag_seq") == "Primary").select("millennium_id", "diag_code", "diag_description")
-    p = p.join(_enc_demog(spark, sf_dir), "millennium_id")
-    return key_first(p, "fin", drop=["millennium_id"])
+    p = diag.filter(F.col("diag_seq") == "Primary").select("encounter_key", "diag_code", "diag_description")
+    p = p.join(_enc_demog(spark, sf_dir), "encounter_key")
+    return key_first(p, "fin", drop=["encounter_key"])
 
 
 @register("procedure_list", """
@@ -143,8 +143,8 @@ WHERE regexp_matches(p.p_brand, '1')""")
 def procedure_list(spark, sf_dir):
     """PL14: procedures whose code contains a pattern anywhere (FLT3), fin first."""
     pr = X.procedures(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")).filter(F.col("proc_code").rlike("1"))
-    pr = pr.join(_enc_demog(spark, sf_dir), "millennium_id")
-    return key_first(pr, "fin", drop=["millennium_id"])
+    pr = pr.join(_enc_demog(spark, sf_dir), "encounter_key")
+    return key_first(pr, "fin", drop=["encounter_key"])
 
 
 @register("plan_list", """
@@ -154,10 +154,10 @@ JOIN customer c ON c.c_custkey = e.user_id WHERE e.rn = 1""")
 def plan_list(spark, sf_dir):
     """PL15: first plan row per (id, plan type) in file order (WIN2), fin attached."""
     raw = X.insurance_raw(_t(spark, sf_dir, "events")).withColumnsRenamed({
-        "Millennium Encounter ID": "millennium_id", "Primary Health Plan Name": "plan_name",
+        "Encounter ID": "encounter_key", "Primary Health Plan Name": "plan_name",
         "Primary Health Plan Type": "plan_type", "Primary Health Plan Fin Class": "plan_class"})
-    first = first_by(raw, ["millennium_id", "plan_type"], ["input_order"])
-    return first.join(_person_demog(spark, sf_dir), "millennium_id").select("fin", "plan_name", "plan_type", "plan_class")
+    first = first_by(raw, ["encounter_key", "plan_type"], ["input_order"])
+    return first.join(_person_demog(spark, sf_dir), "encounter_key").select("fin", "plan_name", "plan_type", "plan_class")
 
 
 def _med_flags_sql(names, parity):
@@ -173,9 +173,9 @@ SELECT c.c_name AS fin, {outs} FROM customer c FULL JOIN f ON f.user_id = c.c_cu
 
 def _med_flags(spark, sf_dir, med_type, names):
     o = X.outpatient(_t(spark, sf_dir, "events")).filter(F.col("med_type") == med_type)
-    flags = value_flags(o, "millennium_id", "med", names)
-    base = _person_demog(spark, sf_dir).select("millennium_id", "fin")
-    return attach_flags(base, flags, "millennium_id", how="full").select("fin", *names)
+    flags = value_flags(o, "encounter_key", "med", names)
+    base = _person_demog(spark, sf_dir).select("encounter_key", "fin")
+    return attach_flags(base, flags, "encounter_key", how="full").select("fin", *names)
 
 
 @register("med_flags_home", _med_flags_sql(HOME_MEDS, 0))
@@ -238,12 +238,12 @@ def positional_scan(spark, sf_dir):
 
 # Fixed values of the fixture export: topic of each event type, report headers.
 MEASURE_TYPES = ("view", "click", "purchase")
-RAW_MEASURE_HEADERS = [("Event Id", "string"), ("Millennium Encounter ID", "string"),
+RAW_MEASURE_HEADERS = [("Event Id", "string"), ("Encounter ID", "string"),
                        ("Clinical Event", "string"), ("Clinical Event Result", "string")]
 
 
 @register("topic_scan", """
-SELECT event_id, user_id AS millennium_id, event_type AS event,
+SELECT event_id, user_id AS encounter_key, event_type AS event,
        TRY_CAST(CASE WHEN event_type IN ('view', 'click') THEN CAST(value AS VARCHAR) ELSE 'n/a' END AS DOUBLE)
          AS event_result
 FROM events WHERE event_type IN ('view', 'click', 'purchase')""")
@@ -254,11 +254,11 @@ def topic_scan(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     text = F.when(F.col("event_type").isin("view", "click"), F.col("value").cast("string")).otherwise(F.lit("n/a"))
     raw = ev.select(F.col("event_id").cast("string").alias("Event Id"),
-                    F.col("user_id").cast("string").alias("Millennium Encounter ID"),
+                    F.col("user_id").cast("string").alias("Encounter ID"),
                     F.col("event_type").alias("Clinical Event"), text.alias("Clinical Event Result"))
     folder = scratch_path(spark, "exports")
     write_table(raw.filter(F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/measures_2024", fmt="csv")
     write_table(raw.filter(~F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/allergies_2024", fmt="csv")
     got = read_topic(spark, folder, "measures", schema=schema_of(RAW_MEASURE_HEADERS))
-    return canonicalise(got, {"event_id": ("Event Id", "long"), "millennium_id": ("Millennium Encounter ID", "long"),
+    return canonicalise(got, {"event_id": ("Event Id", "long"), "encounter_key": ("Encounter ID", "long"),
                               "event": "Clinical Event", "event_result": ("Clinical Event Result", "double")})

@@ -10,6 +10,7 @@ caller sizes to the data.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,22 +57,19 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local tests -- a private folder is created
-    and registered, so that ``DataFrame.checkpoint()`` works.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Where neither is set, a session of one process (``local[...]``, tests)
+    takes a folder of its own; any other session has to be started with one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
-                               "(lineage cuts and scratch tables are written there)")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("start the session with spark.checkpoint.dir set to a folder that the driver and "
+                               "all executors share (lineage cuts and scratch tables are written there)")
         d = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    # getCheckpointDir() may return a per-app sub folder; both are shared paths
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

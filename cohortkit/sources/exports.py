@@ -25,70 +25,70 @@ DISCHARGE = "Prescription/Discharge Order"
 
 
 def person_demographics(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """demographics topic, person level: millennium_id, fin, gender, race."""
+    """demographics topic, person level: encounter_key, fin, gender, race."""
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("race"))
     return (customer.join(n, "c_nationkey", "left")
-            .select(F.col("c_custkey").alias("millennium_id"), F.col("c_name").alias("fin"),
+            .select(F.col("c_custkey").alias("encounter_key"), F.col("c_name").alias("fin"),
                     F.col("c_mktsegment").alias("gender"), "race"))
 
 
 def encounter_demographics(orders: DataFrame) -> DataFrame:
-    """demographics topic, encounter level: millennium_id, fin."""
-    return orders.select(F.col("o_orderkey").alias("millennium_id"),
+    """demographics topic, encounter level: encounter_key, fin."""
+    return orders.select(F.col("o_orderkey").alias("encounter_key"),
                          F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("fin"))
 
 
 def measures(events: DataFrame) -> DataFrame:
     """measures topic: the result is exported as text."""
-    return events.select(F.col("user_id").alias("millennium_id"), F.col("event_type").alias("event"),
+    return events.select(F.col("user_id").alias("encounter_key"), F.col("event_type").alias("event"),
                          F.col("ts").alias("event_datetime"), F.col("value").cast("string").alias("event_result"),
                          F.col("event_id"))
 
 
 def diagnosis_keys(lineitem: DataFrame) -> DataFrame:
-    """diagnosis topic before the code text is attached: millennium_id,
+    """diagnosis topic before the code text is attached: encounter_key,
     l_partkey (code id), diag_type, diag_seq."""
     return lineitem.select(
-        F.col("l_orderkey").alias("millennium_id"), "l_partkey",
+        F.col("l_orderkey").alias("encounter_key"), "l_partkey",
         F.when(F.col("l_linestatus") == "F", "FINAL").otherwise("WORKING").alias("diag_type"),
         F.when(F.col("l_linenumber") == 1, "Primary").otherwise("Secondary").alias("diag_seq"))
 
 
 def diagnoses(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """diagnosis topic: millennium_id, diag_code, diag_type, diag_seq, diag_description."""
+    """diagnosis topic: encounter_key, diag_code, diag_type, diag_seq, diag_description."""
     p = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("diag_code"),
                     F.col("p_name").alias("diag_description"))
     return (diagnosis_keys(lineitem).join(p, "l_partkey")
-            .select("millennium_id", "diag_code", "diag_type", "diag_seq", "diag_description"))
+            .select("encounter_key", "diag_code", "diag_type", "diag_seq", "diag_description"))
 
 
 def procedures(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """procedures topic: millennium_id, proc_code, proc_description, proc_date."""
+    """procedures topic: encounter_key, proc_code, proc_description, proc_date."""
     p = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("proc_code"),
                     F.col("p_name").alias("proc_description"))
     return (lineitem.join(p, "l_partkey")
-            .select(F.col("l_orderkey").alias("millennium_id"), "proc_code", "proc_description",
+            .select(F.col("l_orderkey").alias("encounter_key"), "proc_code", "proc_description",
                     F.col("l_shipdate").alias("proc_date")))
 
 
 def allergies_raw(events: DataFrame) -> DataFrame:
     """allergies topic with its report header names."""
     status = F.when(F.col("event_id") % 7 == 0, "Inactive").otherwise("Active")
-    return events.select(F.col("user_id").alias("Encounter Identifier"),
+    return events.select(F.col("user_id").alias("Encounter Ref"),
                          F.upper(F.col("event_type")).alias("Allergies"),
                          status.alias("Allergy Active Status"))
 
 
 def outpatient(events: DataFrame) -> DataFrame:
-    """outpatient meds topic: millennium_id, med, med_type."""
+    """outpatient meds topic: encounter_key, med, med_type."""
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    return events.select(F.col("user_id").alias("millennium_id"), F.col("event_type").alias("med"),
+    return events.select(F.col("user_id").alias("encounter_key"), F.col("event_type").alias("med"),
                          F.when(k % 2 == 0, HOME).otherwise(DISCHARGE).alias("med_type"))
 
 
 def insurance_raw(events: DataFrame) -> DataFrame:
     """insurance topic with its report header names, plus the file order."""
-    return events.select(F.col("user_id").alias("Millennium Encounter ID"),
+    return events.select(F.col("user_id").alias("Encounter ID"),
                          F.col("props").alias("Primary Health Plan Name"),
                          F.col("event_type").alias("Primary Health Plan Type"),
                          F.col("value").alias("Primary Health Plan Fin Class"),

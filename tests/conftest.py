@@ -11,10 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 @pytest.fixture(scope="session")
 def spark():
     from cohortkit.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4)
-    # tests only: the shared checkpoint folder is unset here, so set our own
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortkit-test-ckpt-"))
+    # the tests' own shared folder, given when the session starts
+    s = build_session("local[4]", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohortkit-test-ckpt-")})
     yield s
     s.stop()
 

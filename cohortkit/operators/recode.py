@@ -1,8 +1,9 @@
 """Categorical encoding (CAT1-CAT4, AGG6).
 
-Level lists are computed by Spark (``groupBy().count()``) and only the
-distinct levels -- bounded by the category's cardinality, checked against
-``max_levels`` -- come to the driver to name dummy columns.
+Levels are a table (``groupBy().count()``) that may have any number of rows:
+their order comes from a parallel numbering and their index reaches the data
+by a join.  A list of levels is made on the driver only for the dummy columns
+and coefficients of one model, which the model's solver bounds.
 """
 
 from __future__ import annotations
@@ -10,10 +11,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
+from .ordering import positions
 
 
 def level_counts(df: DataFrame, col: str) -> DataFrame:
@@ -21,30 +22,28 @@ def level_counts(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = None,
-                max_levels: int = MAX_LEVELS) -> DataFrame:
-    """Levels with their position (1 = baseline).
+def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = None) -> DataFrame:
+    """(level, n, position): levels with their position (1 = baseline).
 
     ``by="freq"``: most frequent first, ties by name (CAT2); ``by="alpha"``:
     sorted by name (CAT1).  ``first`` moves one level to position 1 (CAT3).
-    The window runs over the level table (one row per level), not the data;
-    the number of levels is checked first, so that window stays bounded.
     """
-    counts = level_counts(df, col)
-    if counts.limit(max_levels + 1).count() > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} levels; not a categorical column")
     order = [F.col("n").desc(), F.col("level").asc()] if by == "freq" else [F.col("level").asc()]
     if first is not None:
-        order = [F.when(F.col("level") == F.lit(first), 0).otherwise(1)] + order
-    w = Window.orderBy(*order)
-    return counts.withColumn("position", F.row_number().over(w).cast("int"))
+        order = [F.when(F.col("level") == F.lit(first), 0).otherwise(1).asc()] + order
+    return positions(level_counts(df, col), order, out="position").withColumn("position", F.col("position").cast("int"))
 
 
-def levels(df: DataFrame, col: str, by: str = "freq", first: str | None = None,
-           max_levels: int = MAX_LEVELS) -> list:
-    """Ordered level list (bounded)."""
-    t = level_table(df, col, by, first, max_levels)
-    return [r["level"] for r in t.orderBy("position").collect()]
+def level_index(df: DataFrame, col: str, table: DataFrame, out: str) -> DataFrame:
+    """``df`` with the 0-based level index of ``col`` (0 = baseline); rows
+    whose value is no level of ``table`` drop out, as missing factor values do."""
+    t = table.select(F.col("level").alias("__level"), (F.col("position") - 1).cast("int").alias(out))
+    return df.join(t, df[col] == t["__level"]).drop("__level")
+
+
+def levels(df: DataFrame, col: str, by: str = "freq", first: str | None = None) -> list:
+    """Ordered level list, for a caller that needs the names on the driver."""
+    return [r["level"] for r in level_table(df, col, by, first).orderBy("position").collect()]
 
 
 def dummy_name(col: str, level) -> str:

@@ -1,25 +1,15 @@
-"""Sinks (SNK1-SNK5) and id batching.
-
-``batch_ids`` numbers ids in one global order without a single-partition
-window: the frame is range-partitioned and sorted by the order, each row gets
-its position inside its partition, the per-partition counts (one row per
-partition -- a bounded table) give each partition's offset, and the offsets
-are broadcast back.  The numbered frame is checkpointed to the shared folder
-first, so the counts and the rows come from the same materialised data even
-if an executor is lost.
-"""
+"""Sinks (SNK1-SNK5) and id batching.  ``batch_ids`` numbers ids in one global
+order with :func:`..operators.ordering.positions`, not in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
-
-_LOCAL_BITS = (1 << 33) - 1
+from ..operators.ordering import positions
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -50,32 +40,13 @@ def read_bundle(spark, paths: Mapping[str, str], fmt: str = "parquet") -> dict[s
     return {n: spark.read.format(fmt).load(p) for n, p in paths.items()}
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], out: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
-    """1-based position of each row in the total order ``order`` (which must
-    be unique, e.g. end with an id), computed in parallel."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    s = s.withColumn("__pid", F.spark_partition_id()).withColumn(
-        "__local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
-    s = cut_lineage(s)
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a bounded table, safe to order in one task
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__pid", "__off")
-    return (s.join(F.broadcast(offs), "__pid")
-            .withColumn(out, F.col("__off") + F.col("__local") + 1)
-            .drop("__pid", "__local", "__off"))
-
-
 def batch_ids(df: DataFrame, id_col: str, size: int = 40, sep: str = ";") -> DataFrame:
     """SNK4: distinct ids joined into delimited strings, in chunks of ``size``
     in id order (numeric order for numeric ids).  Each chunk holds at most
     ``size`` ids, so no group is unbounded; an unchunked list is asked for
     with a large ``size``."""
     ids = df.select(F.col(id_col).alias("id")).distinct()
-    numbered = global_row_number(ids, ["id"])
+    numbered = positions(ids, ["id"])
     b = numbered.withColumn("batch", F.floor((F.col("rn") - 1) / size).cast("long"))
     packed = F.array_sort(F.collect_list(F.struct("rn", F.col("id").cast(T.StringType()).alias("s"))))
     return b.groupBy("batch").agg(

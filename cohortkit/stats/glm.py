@@ -1,80 +1,81 @@
 """Logistic models and odds-ratio tables (ST1, ST2, ST3, ST8, SNK5).
 
-Fitting runs on Spark ML's ``GeneralizedLinearRegression`` (binomial,
-logit; IRLS whose weighted least-squares pass is a distributed aggregate --
-the driver only solves the p x p system).
-
-Scale: before fitting, rows are compressed to distinct patterns of the
-design columns, each with its number of rows ``n`` and of events ``k``; the
-model is fitted to the proportion ``k/n`` with weight ``n`` (grouped
-binomial).  Coefficients and standard errors equal the row-level fit; the
-row-level deviance is the grouped one plus a data constant
-``-2 * sum(k log(k/n) + (n-k) log((n-k)/n))``, and AIC = deviance + 2 *
-(number of coefficients), as for 0/1 rows.  Every IRLS pass reads the
-pattern table instead of the rows -- for logical and factor terms that is a
-few hundred rows whatever the data size.  (Weighted 0/1 rows would also
-give the row-level numbers, but IRLS started from such rows diverges once
-the weights are large.)  The
-compressed table is checkpointed to the shared folder, so the many refits
-of stepwise search and profile limits do not re-read the source.
+Models are fitted by Newton steps.  One step of any number of models on the
+same frame is one Spark job: every task adds up the gradients and weighted
+cross products of its rows for all models at once, a ``groupBy`` sums them,
+and the driver solves the p x p systems.  A backward search fits all
+candidates of a step together, and all profile limits of a table advance
+together.
+
+Rows are compressed to distinct patterns (rows ``n``, events ``k``) when
+every term is logical or a factor; with a numeric term they are not, as a
+continuous column leaves nothing to fold.  That is decided by the type of the
+terms, never by size.  The design frame is checkpointed to the shared
+folder, so the many steps do not re-read the source.
 
 Design follows R's formula rules as the study uses them: rows with any
 missing term are dropped (complete cases), logical terms enter as
 ``<name>TRUE``, factor terms as treatment contrasts ``<name><level>``
 with the *first* level as baseline, numeric terms as they are.
+
+A fit that has not converged, or whose standard errors blow up (separated
+data), is flagged; a profile limit that cannot be found is NULL.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GeneralizedLinearRegression
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.recode import levels as level_list
+from ..operators.recode import level_index, level_table
 from ..session import cut_lineage
 
 Z975 = 1.959963984540054        # qnorm(0.975)
-CHISQ95_1 = Z975 * Z975          # qchisq(0.95, 1) = 3.841458820694124
 INTERCEPT = "(Intercept)"
-Y, W, OFF = "__y", "__w", "__off"
+K, N = "__k", "__n"             # events and rows of a pattern
+STEPS, TOL = 50, 1e-11
+#: standard error beyond which data count as separated
+SEPARATED_SE = 1e3
+#: cells of the dense design block built at once in a task
+CELLS = 1 << 20
 
 
 @dataclass
 class TermSpec:
     name: str
     kind: str                        # numeric | logical | factor
-    columns: list[str]               # design column names
+    column: str                      # column of the frame: a number, or the level's index
     labels: list[str]                # coefficient names
     levels: list | None = None
 
 
 @dataclass
 class Design:
-    frame: DataFrame                 # compressed: __y, design columns, __w
+    frame: DataFrame                 # term columns, events, rows
     outcome: str
     terms: list[TermSpec]
     n_rows: int = 0
-    dev_const: float = 0.0           # row-level deviance - grouped deviance
-
-    @property
-    def columns(self) -> list[str]:
-        return [c for t in self.terms for c in t.columns]
+    n_events: int = 0
 
     @property
     def labels(self) -> list[str]:
         return [lb for t in self.terms for lb in t.labels]
 
-    def subset(self, term_names: Sequence[str]) -> "Design":
-        keep = [t for t in self.terms if t.name in set(term_names)]
-        return Design(self.frame, self.outcome, keep, self.n_rows, self.dev_const)
+    def columns_of(self, names: Sequence[str]) -> list[int]:
+        """Design columns of the named terms (0 is the intercept)."""
+        out, at = [], 1
+        for t in self.terms:
+            if t.name in names:
+                out += range(at, at + len(t.labels))
+            at += len(t.labels)
+        return out
 
 
 @dataclass
@@ -91,6 +92,26 @@ class LogitFit:
     iterations: int
     aliased: list[str] = field(default_factory=list)
     intercept: bool = True
+    converged: bool = True
+    columns: list[int] = field(default_factory=list)     # design column of each label
+    terms: list[str] = field(default_factory=list)       # terms of the model
+
+
+@dataclass
+class Model:
+    """Free design columns, and fixed ones with their values."""
+    free: list[int]
+    fixed: dict[int, float] = field(default_factory=dict)
+    beta: np.ndarray | None = None
+
+
+@dataclass
+class Solution:
+    beta: np.ndarray
+    gram: np.ndarray                 # of the free columns, at beta
+    deviance: float
+    iterations: int
+    converged: bool
 
 
 def _kind(dtype) -> str:
@@ -102,227 +123,287 @@ def _kind(dtype) -> str:
 
 
 def build_design(df: DataFrame, outcome: str, terms: Sequence[str],
-                 levels: Mapping[str, Sequence] | None = None, compress: bool = True,
-                 checkpoint: bool = True) -> Design:
-    """Complete cases over ``outcome`` + ``terms``, design columns, and (by
-    default) the compressed, checkpointed pattern table."""
+                 levels: Mapping[str, Sequence | DataFrame] | None = None) -> Design:
+    """Complete cases over ``outcome`` + ``terms``, with one column per term.
+    ``levels``: a level list, or a level table, per factor; by default the
+    levels sorted by name."""
     levels = dict(levels or {})
     cond = F.col(outcome).isNotNull()
     for t in terms:
         cond = cond & F.col(t).isNotNull()
-    cc = df.filter(cond)
+    x = df.filter(cond).select(outcome, *terms)
     specs: list[TermSpec] = []
-    cols = {Y: F.col(outcome).cast("double")}
-    for t in terms:
-        kind = _kind(df.schema[t].dataType)
-        if kind == "factor":
-            lv = list(levels[t]) if t in levels else level_list(cc, t, by="alpha")
-            names = [f"__d{len(cols)}_{i}" for i in range(len(lv) - 1)]
-            for n, level in zip(names, lv[1:]):
-                cols[n] = (F.col(t) == F.lit(level)).cast("double")
-            specs.append(TermSpec(t, kind, names, [f"{t}{level}" for level in lv[1:]], lv))
+    kinds = {t: _kind(df.schema[t].dataType) for t in terms}
+    for i, t in enumerate(terms):
+        c = f"__t{i}"
+        if kinds[t] == "factor":
+            lv = levels.get(t)
+            if lv is None:
+                lv = level_table(df.filter(cond), t, by="alpha")
+            elif not isinstance(lv, DataFrame):
+                lv = df.sparkSession.createDataFrame([(v, k) for k, v in enumerate(lv, 1)], "level string, position int")
+            x = level_index(x, t, lv, c)
+            # the names of this model's coefficients
+            names = [r["level"] for r in lv.orderBy("position").select("level").collect()]
+            specs.append(TermSpec(t, "factor", c, [f"{t}{level}" for level in names[1:]], names))
         else:
-            n = f"__d{len(cols)}"
-            cols[n] = F.col(t).cast("double")
-            specs.append(TermSpec(t, kind, [n], [f"{t}TRUE" if kind == "logical" else t]))
-    x = cc.select(*[c.alias(n) for n, c in cols.items()])
-    if compress:
-        design_cols = [n for n in cols if n != Y]
-        x = (x.groupBy(*design_cols)
-             .agg(F.sum(Y).alias("__k"), F.count(F.lit(1)).cast("double").alias(W))
-             .withColumn(Y, F.col("__k") / F.col(W)))
+            x = x.withColumn(c, F.col(t).cast("double"))
+            specs.append(TermSpec(t, kinds[t], c, [f"{t}TRUE" if kinds[t] == "logical" else t]))
+    cols = [s.column for s in specs]
+    y = F.col(outcome).cast("double")
+    if "numeric" in kinds.values():
+        x = x.select(*cols, y.alias(K), F.lit(1.0).alias(N))
+    elif cols:
+        x = x.groupBy(*cols).agg(F.sum(y).alias(K), F.count(F.lit(1)).cast("double").alias(N))
     else:
-        x = x.withColumn(W, F.lit(1.0)).withColumn("__k", F.col(Y))
-    if checkpoint:
-        x = cut_lineage(x)
-    k, n = F.col("__k"), F.col(W)
-    const = -2.0 * (F.when(k > 0, k * F.log(k / n)).otherwise(0.0)
-                    + F.when(n - k > 0, (n - k) * F.log((n - k) / n)).otherwise(0.0))
-    tot = x.agg(F.sum(W), F.sum(const)).first()
-    d = Design(x.drop("__k"), outcome, specs, int(tot[0] or 0), float(tot[1] or 0.0))
-    return d
-
-
-def gram_aliased(frame: DataFrame, columns: Sequence[str], intercept: bool = True,
-                 tol: float = 1e-7) -> list[str]:
+        x = x.agg(F.sum(y).alias(K), F.count(F.lit(1)).cast("double").alias(N))
+    x = cut_lineage(x)
+    n, k = x.agg(F.sum(N), F.sum(K)).first()
+    return Design(x, outcome, specs, int(n or 0), int(k or 0))
+
+
+def _block(cols: list[np.ndarray], kinds: list[tuple[bool, int]], a: int, z: int) -> np.ndarray:
+    """Dense design rows a..z: intercept, numbers, one column per further level."""
+    width = 1 + sum(w for _, w in kinds)
+    x = np.zeros((z - a, width))
+    x[:, 0] = 1.0
+    at = 1
+    for c, (factor, w) in zip(cols, kinds):
+        if factor:
+            v = c[a:z].astype(np.int64)
+            r = np.flatnonzero(v > 0)
+            x[r, at + v[r] - 1] = 1.0
+        else:
+            x[:, at] = c[a:z]
+        at += w
+    return x
+
+
+def _sums(kinds: list[tuple[bool, int]], models: list[Model]):
+    """Per model: (-1, -1) the log likelihood, (i, -1) the gradient, (i, j) the weighted cross products."""
+    def run(batches):
+        total: list[tuple] = [None] * len(models)
+        for b in batches:
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(len(kinds))]
+            k, n = (b.column(len(kinds) + i).to_numpy() for i in range(2))
+            step = max(1, CELLS // (1 + sum(w for _, w in kinds)))
+            for a in range(0, len(k), step):
+                z = min(len(k), a + step)
+                x = _block(cols, kinds, a, z)
+                for i, m in enumerate(models):
+                    eta = x[:, m.free] @ m.beta
+                    for c, v in m.fixed.items():
+                        eta = eta + v * x[:, c]
+                    p = 0.5 * (1 + np.tanh(eta / 2))
+                    like = float((k[a:z] * eta - n[a:z] * np.logaddexp(0, eta)).sum())
+                    xf = x[:, m.free]
+                    grad = xf.T @ (k[a:z] - n[a:z] * p)
+                    gram = xf.T @ (xf * (n[a:z] * p * (1 - p))[:, None])
+                    t = total[i]
+                    total[i] = (like, grad, gram) if t is None else (t[0] + like, t[1] + grad, t[2] + gram)
+        for i, t in enumerate(total):
+            if t is None:
+                continue
+            r, c = np.nonzero(t[2])
+            up = c >= r
+            rows = np.concatenate([[-1], np.arange(len(t[1])), r[up]])
+            cols_ = np.concatenate([np.full(1 + len(t[1]), -1), c[up]])
+            vals = np.concatenate([[t[0]], t[1], t[2][r[up], c[up]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), i), pa.int32()), pa.array(rows, pa.int32()),
+                                              pa.array(cols_, pa.int32()), pa.array(vals, pa.float64())],
+                                             ["m", "i", "j", "v"])
+    return run
+
+
+def _evaluate(design: Design, models: list[Model]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """(deviance, gradient, Gram matrix) of each model at its beta: one job."""
+    kinds = [(t.kind == "factor", len(t.labels)) for t in design.terms]
+    frame = design.frame.select(*[t.column for t in design.terms], K, N)
+    rows = (frame.mapInArrow(_sums(kinds, models), "m int, i int, j int, v double")
+            .groupBy("m", "i", "j").agg(F.sum("v").alias("v")).collect())     # p x p numbers per model
+    out = [[0.0, np.zeros(len(m.free)), np.zeros((len(m.free), len(m.free)))] for m in models]
+    for r in rows:
+        o = out[r["m"]]
+        if r["i"] < 0:
+            o[0] = -2.0 * r["v"]
+        elif r["j"] < 0:
+            o[1][r["i"]] = r["v"]
+        else:
+            o[2][r["i"], r["j"]] = o[2][r["j"], r["i"]] = r["v"]
+    return [tuple(o) for o in out]
+
+
+def solve_models(design: Design, models: list[Model]) -> list[Solution]:
+    """Newton steps for all models at once, with halving where the deviance rises."""
+    for m in models:
+        if m.beta is None:
+            m.beta = np.zeros(len(m.free))
+    out: list[Solution | None] = [None] * len(models)
+    best: list[tuple | None] = [None] * len(models)        # (beta, deviance, gradient, gram)
+    todo = list(range(len(models)))
+    for step in range(STEPS):
+        got = _evaluate(design, [models[i] for i in todo])
+        nxt = []
+        for i, (dev, grad, gram) in zip(todo, got):
+            m, old = models[i], best[i]
+            if old is not None and not dev <= old[1] + 1e-9 * (abs(old[1]) + 1):
+                m.beta = 0.5 * (m.beta + old[0])            # too far: half the step
+                if np.allclose(m.beta, old[0], rtol=1e-14, atol=1e-14):
+                    out[i] = Solution(old[0], old[3], old[1], step, True)
+                else:
+                    nxt.append(i)
+                continue
+            settled = old is not None and abs(old[1] - dev) <= TOL * (abs(dev) + 0.1)
+            best[i] = (m.beta, dev, grad, gram)
+            if settled or not m.free:
+                out[i] = Solution(m.beta, gram, dev, step, True)
+                continue
+            try:
+                delta = np.linalg.solve(gram, grad)
+            except np.linalg.LinAlgError:
+                out[i] = Solution(m.beta, gram, dev, step, False)
+                continue
+            m.beta = m.beta + delta
+            nxt.append(i)
+        todo = nxt
+        if not todo:
+            break
+    for i in todo:
+        out[i] = Solution(best[i][0], best[i][3], best[i][1], STEPS, False)
+    return out
+
+
+def aliased_columns(design: Design, columns: Sequence[int], tol: float = 1e-7) -> list[int]:
     """Design columns that are linear combinations of earlier ones (R reports
-    them as NA).  One aggregate builds the weighted p x p cross-product
-    matrix; the rank check runs on that small matrix."""
-    cols = ([None] if intercept else []) + list(columns)
-    exprs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            ea = F.lit(1.0) if a is None else F.col(a)
-            eb = F.lit(1.0) if b is None else F.col(b)
-            exprs.append(F.sum(F.col(W) * ea * eb))
-    vals = frame.agg(*exprs).first()
-    k = len(cols)
-    g = np.zeros((k, k))
-    it = iter(vals)
-    for i in range(k):
-        for j in range(i, k):
-            g[i, j] = g[j, i] = float(next(it) or 0.0)
+    them as NA): a rank check on one p x p cross-product matrix."""
+    _, _, g = _evaluate(design, [Model(list(columns), beta=np.zeros(len(columns)))])[0]
     kept: list[int] = []
-    aliased = []
-    for j in range(k):
+    out = []
+    for j in range(len(columns)):
+        resid = g[j, j]
         if kept:
-            s = np.array(kept)
-            gss = g[np.ix_(s, s)]
-            gsj = g[s, j]
-            resid = g[j, j] - gsj @ np.linalg.solve(gss, gsj)
-        else:
-            resid = g[j, j]
+            resid -= g[kept, j] @ np.linalg.solve(g[np.ix_(kept, kept)], g[kept, j])
         if resid <= tol * max(g[j, j], 1e-300):
-            if cols[j] is not None:
-                aliased.append(cols[j])
+            out.append(columns[j])
         else:
             kept.append(j)
-    return aliased
-
-
-def _features(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    if columns:
-        return VectorAssembler(inputCols=list(columns), outputCol="__features").transform(frame)
-    return frame.withColumn("__features", array_to_vector(F.array().cast("array<double>")))
-
-
-def _glr(offset: bool, intercept: bool) -> GeneralizedLinearRegression:
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="__features",
-                                      labelCol=Y, weightCol=W, fitIntercept=intercept,
-                                      maxIter=100, tol=1e-10, regParam=0.0)
-    if offset:
-        glr.setOffsetCol(OFF)
-    return glr
-
-
-def _fit_raw(frame: DataFrame, columns: Sequence[str], intercept: bool = True, offset=None):
-    f = frame
-    if offset is not None:
-        f = f.withColumn(OFF, offset)
-    model = _glr(offset is not None, intercept).fit(_features(f, columns))
-    return model
-
-
-def fit(design: Design, intercept: bool = True, check_aliased: bool = True) -> LogitFit:
-    """ST1: binomial GLM on the (compressed) design."""
-    cols = design.columns
-    labels_by_col = dict(zip(cols, design.labels))
-    aliased = gram_aliased(design.frame, cols, intercept) if (check_aliased and cols) else []
-    use = [c for c in cols if c not in aliased]
-    model = _fit_raw(design.frame, use, intercept)
-    s = model.summary
-    ses, zs, ps = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-    k = len(use)
-    coef_by = {c: float(model.coefficients[i]) for i, c in enumerate(use)}
-    se_by = {c: ses[i] for i, c in enumerate(use)}
-    z_by = {c: zs[i] for i, c in enumerate(use)}
-    p_by = {c: ps[i] for i, c in enumerate(use)}
-    labels, coef, se, z, p = [], [], [], [], []
-    if intercept:
-        labels.append(INTERCEPT)
-        coef.append(float(model.intercept))
-        se.append(ses[k])
-        z.append(zs[k])
-        p.append(ps[k])
-    for c in cols:
-        labels.append(labels_by_col[c])
-        coef.append(coef_by.get(c))
-        se.append(se_by.get(c))
-        z.append(z_by.get(c))
-        p.append(p_by.get(c))
-    dev = float(s.deviance) + design.dev_const
-    n_coef = len(use) + (1 if intercept else 0)
-    return LogitFit(design, labels, coef, se, z, p, dev + 2.0 * n_coef, dev,
-                    float(s.nullDeviance) + design.dev_const, int(s.numIterations),
-                    [labels_by_col[c] for c in aliased], intercept)
+    return out
+
+
+def _table(design: Design, columns: list[int], aliased: list[int], s: Solution, use: list[int]) -> LogitFit:
+    names = [INTERCEPT, *design.labels]
+    try:
+        cov = np.linalg.inv(s.gram) if len(use) else np.zeros((0, 0))
+        se = np.sqrt(np.diag(cov))
+    except np.linalg.LinAlgError:
+        se = np.full(len(use), np.inf)
+    at = {c: i for i, c in enumerate(use)}
+    coef = [float(s.beta[at[c]]) if c in at else None for c in columns]
+    ses = [float(se[at[c]]) if c in at else None for c in columns]
+    zs = [None if b is None else b / e if e else math.inf for b, e in zip(coef, ses)]
+    ps = [None if z is None else math.erfc(abs(z) / math.sqrt(2.0)) for z in zs]
+    n, k = design.n_rows, design.n_events
+    null = -2.0 * ((k * math.log(k / n) if k else 0.0) + ((n - k) * math.log(1 - k / n) if n > k else 0.0)) if n else 0.0
+    ok = s.converged and all(e is None or (math.isfinite(e) and e < SEPARATED_SE) for e in ses)
+    return LogitFit(design, [names[c] for c in columns], coef, ses, zs, ps, s.deviance + 2.0 * len(use), s.deviance,
+                    null, s.iterations, [names[c] for c in aliased], 0 in columns, ok, columns,
+                    [t.name for t in design.terms if set(design.columns_of([t.name])) <= set(columns)])
+
+
+def fit_many(design: Design, choices: Sequence[Sequence[str]], aliased: Sequence[int] = ()) -> list[LogitFit]:
+    """One model (with intercept) per list of term names, all fitted together."""
+    columns = [[0, *design.columns_of(names)] for names in choices]
+    use = [[c for c in cols if c not in aliased] for cols in columns]
+    sols = solve_models(design, [Model(u) for u in use])
+    return [_table(design, c, [a for a in aliased if a in c], s, u) for c, s, u in zip(columns, sols, use)]
+
+
+def fit(design: Design, intercept: bool = True) -> LogitFit:
+    """ST1: binomial GLM on the design."""
+    columns = [*([0] if intercept else []), *design.columns_of([t.name for t in design.terms])]
+    aliased = aliased_columns(design, columns) if len(columns) > 1 else []
+    use = [c for c in columns if c not in aliased]
+    return _table(design, columns, aliased, solve_models(design, [Model(use)])[0], use)
 
 
 def logit(df: DataFrame, outcome: str, terms: Sequence[str],
-          levels: Mapping[str, Sequence] | None = None, compress: bool = True) -> LogitFit:
+          levels: Mapping[str, Sequence | DataFrame] | None = None) -> LogitFit:
     """``glm(outcome ~ terms, family = binomial)``."""
-    return fit(build_design(df, outcome, terms, levels, compress))
+    return fit(build_design(df, outcome, terms, levels))
 
 
 # --- profile-likelihood limits (ST3) -----------------------------------------
 
-def constrained_deviance(lf: LogitFit, index: int, value: float) -> float:
-    """Minimum deviance with coefficient ``index`` (0 = intercept) fixed at
-    ``value``: the other coefficients are refitted with ``value * x`` as an
-    offset."""
-    d = lf.design
-    cols = [c for c, lb in zip(d.columns, d.labels) if lb not in lf.aliased]
-    if lf.intercept and index == 0:
-        if not cols:
-            return _deviance_fixed(d.frame, F.lit(float(value)))
-        model = _fit_raw(d.frame, cols, intercept=False, offset=F.lit(float(value)))
-    else:
-        j = index - (1 if lf.intercept else 0)
-        col = d.columns[j]
-        rest = [c for c in cols if c != col]
-        if not rest and not lf.intercept:
-            return _deviance_fixed(d.frame, F.lit(float(value)) * F.col(col))
-        model = _fit_raw(d.frame, rest, intercept=lf.intercept, offset=F.lit(float(value)) * F.col(col))
-    return float(model.summary.deviance) + d.dev_const
-
-
-def _deviance_fixed(frame: DataFrame, eta) -> float:
-    """Row-level binomial deviance of a fixed linear predictor (no free
-    coefficient): ``-2 * sum(n (y log p + (1 - y) log(1 - p)))``."""
-    p = 1.0 / (1.0 + F.exp(-eta))
-    ll = F.col(Y) * F.log(p) + (1.0 - F.col(Y)) * F.log(1.0 - p)
-    return float(-2.0 * frame.agg(F.sum(F.col(W) * ll)).first()[0])
-
-
-def profile_limits(lf: LogitFit, index: int, level: float = 0.95, tol: float = 1e-6,
-                   max_fits: int = 40) -> tuple[float | None, float | None]:
-    """Profile-likelihood limits of one coefficient: the values where the
-    signed root of the deviance rise reaches -z and +z.  Secant steps on the
-    signed root (nearly linear in the coefficient), started at the Wald
-    limits, bracketed and safeguarded by bisection."""
-    b0, se = lf.coef[index], lf.se[index]
-    if b0 is None or se is None or not math.isfinite(se):
-        return None, None
+@dataclass
+class _Search:
+    """One limit: the value where the signed root of the deviance rise reaches ``target``."""
+    index: int
+    target: float
+    at: float                        # value to try next
+    lo: tuple[float, float]          # (value, root) on the near side
+    hi: tuple[float, float] | None = None
+    found: float | None = None
+
+    def take(self, root: float, tol: float) -> bool:
+        """Use the root found at ``at``; True while more values are to be tried."""
+        sign = math.copysign(1.0, self.target)
+        if abs(root - self.target) < tol:
+            self.found = self.at
+            return False
+        if (root - self.target) * sign < 0:
+            near = self.lo
+            self.lo = (self.at, root)
+            if self.hi is None:
+                self.at = self.at + 2.0 * (self.at - near[0])
+                return math.isfinite(self.at) and abs(self.at) < 1e6
+        else:
+            self.hi = (self.at, root)
+        (a, ra), (b, rb) = self.lo, self.hi
+        if abs(b - a) <= 1e-12 * max(1.0, abs(a)):
+            self.found = 0.5 * (a + b)
+            return False
+        at = a + (self.target - ra) * (b - a) / (rb - ra) if rb != ra else 0.5 * (a + b)
+        width = abs(b - a)
+        inside = min(a, b) + 1e-3 * width < at < max(a, b) - 1e-3 * width
+        self.at = at if inside else min(max(at, min(a, b) + 1e-3 * width), max(a, b) - 1e-3 * width)
+        return True
+
+
+def profile_limits(lf: LogitFit, level: float = 0.95, tol: float = 1e-8, rounds: int = 60) -> list[tuple]:
+    """Profile-likelihood limits of every coefficient: the values where the
+    signed root of the deviance rise reaches -z and +z.  All limits advance
+    together: each round fits the constrained models of all open searches.
+    A limit that is not reached (separated data, or after ``rounds``) is None."""
     z = Z975 if abs(level - 0.95) < 1e-12 else _qnorm(0.5 + level / 2.0)
-    dmin = lf.deviance
-
-    def root(b):
-        rise = max(constrained_deviance(lf, index, b) - dmin, 0.0)
-        return math.copysign(math.sqrt(rise), b - b0)
-
-    out = []
-    for sign in (-1.0, 1.0):
-        target = sign * z
-        lo_b, lo_r = b0, 0.0
-        b = b0 + sign * z * se
-        r = root(b)
-        fits = 1
-        # bracket
-        while (r - target) * sign < 0 and fits < max_fits:
-            lo_b, lo_r = b, r
-            b = b0 + (b - b0) * 2.0
-            r = root(b)
-            fits += 1
-        hi_b, hi_r = b, r
-        # secant / bisection inside [lo, hi]
-        while abs(hi_b - lo_b) > tol * max(1.0, abs(b0)) and fits < max_fits:
-            if hi_r != lo_r:
-                cand = lo_b + (target - lo_r) * (hi_b - lo_b) / (hi_r - lo_r)
-            else:
-                cand = 0.5 * (lo_b + hi_b)
-            lo_, hi_ = min(lo_b, hi_b), max(lo_b, hi_b)
-            if not (lo_ < cand < hi_):
-                cand = 0.5 * (lo_b + hi_b)
-            rc = root(cand)
-            fits += 1
-            if abs(rc - target) < 1e-9:
-                lo_b = hi_b = cand
-                break
-            if (rc - target) * sign < 0:
-                lo_b, lo_r = cand, rc
-            else:
-                hi_b, hi_r = cand, rc
-        out.append(0.5 * (lo_b + hi_b))
-    return out[0], out[1]
+    use = [c for c, b in zip(lf.columns, lf.coef) if b is not None]
+    beta = {c: b for c, b in zip(lf.columns, lf.coef) if b is not None}
+    open_ = []
+    for i, (b, se) in enumerate(zip(lf.coef, lf.se)):
+        if b is not None and se is not None and math.isfinite(se) and se < SEPARATED_SE:
+            open_ += [_Search(i, s * z, b + s * z * se, (b, 0.0)) for s in (-1.0, 1.0)]
+    every = list(open_)
+    warm: dict[int, np.ndarray] = {}
+    for _ in range(rounds):
+        if not open_:
+            break
+        models = []
+        for s in open_:
+            col = lf.columns[s.index]
+            rest = [c for c in use if c != col]
+            start = warm.get(id(s))
+            models.append(Model(rest, {col: s.at}, start if start is not None else np.array([beta[c] for c in rest])))
+        left = []
+        for s, sol in zip(open_, solve_models(lf.design, models)):
+            warm[id(s)] = sol.beta
+            rise = max(sol.deviance - lf.deviance, 0.0)
+            root = math.copysign(math.sqrt(rise), s.at - beta[lf.columns[s.index]])
+            if sol.converged and s.take(root, tol):
+                left.append(s)
+        open_ = left
+    out: list[list] = [[None, None] for _ in lf.coef]
+    for s in every:
+        out[s.index][s.target > 0] = s.found
+    return [tuple(o) for o in out]
 
 
 def _qnorm(p: float) -> float:
@@ -340,34 +421,31 @@ def _qnorm(p: float) -> float:
 def or_table(lf: LogitFit, spark=None, exponentiate: bool = True, conf: str = "profile",
              level: float = 0.95, digits: int | None = 3, p_value: bool = True) -> DataFrame:
     """ST2 + SNK5: one row per coefficient -- term, estimate, std_error,
-    statistic, p_value, conf_low, conf_high.  ``exponentiate`` turns the
-    estimate and the limits into odds ratios (not the standard error).
-    ``conf``: ``"profile"`` (likelihood-profile limits, the tidy default
-    for GLMs) or ``"wald"`` (estimate +- z * SE, cheap).  Numbers are
-    rounded to ``digits``.  Aliased terms have NULL numbers."""
+    statistic, p_value, conf_low, conf_high, converged.  ``exponentiate``
+    turns the estimate and the limits into odds ratios (not the standard
+    error).  ``conf``: ``"profile"`` (likelihood-profile limits, the tidy
+    default for GLMs) or ``"wald"`` (estimate +- z * SE, cheap).  Numbers
+    are rounded to ``digits``.  Aliased terms have NULL numbers."""
     spark = spark or lf.design.frame.sparkSession
     z = Z975 if abs(level - 0.95) < 1e-12 else _qnorm(0.5 + level / 2.0)
-    rows = []
-    for i, term in enumerate(lf.labels):
-        b, se, st, pv = lf.coef[i], lf.se[i], lf.z[i], lf.p[i]
-        if b is None:
-            lo = hi = None
-        elif conf == "wald":
-            lo, hi = b - z * se, b + z * se
-        else:
-            lo, hi = profile_limits(lf, i, level)
-        est = b
-        if exponentiate and b is not None:
-            est, lo, hi = math.exp(b), (math.exp(lo) if lo is not None else None), \
-                (math.exp(hi) if hi is not None else None)
-        rows.append((term, est, se, st, pv, lo, hi))
-
-    def rnd(v):
-        if v is None or digits is None:
-            return v
-        return float(round(v, digits))
-    rows = [(r[0],) + tuple(rnd(v) for v in r[1:]) for r in rows]
+    if conf == "wald":
+        limits = [(None, None) if b is None else (b - z * se, b + z * se) for b, se in zip(lf.coef, lf.se)]
+    else:
+        limits = profile_limits(lf, level)
+
+    def number(v, exp=False):
+        if v is None:
+            return None
+        try:
+            v = math.exp(v) if exp else v
+        except OverflowError:
+            v = math.inf
+        return v if digits is None or not math.isfinite(v) else float(round(v, digits))
+
+    rows = [(term, number(b, exponentiate), number(se), number(st), number(pv), number(lo, exponentiate),
+             number(hi, exponentiate), lf.converged)
+            for term, b, se, st, pv, (lo, hi) in zip(lf.labels, lf.coef, lf.se, lf.z, lf.p, limits)]
     schema = ("term string, estimate double, std_error double, statistic double, p_value double, "
-              "conf_low double, conf_high double")
+              "conf_low double, conf_high double, converged boolean")
     df = spark.createDataFrame(rows, schema)
     return df if p_value else df.drop("p_value")

@@ -31,12 +31,10 @@ Distributed form, exact:
 
 from __future__ import annotations
 
-import sys
 from collections import deque
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,28 +42,26 @@ from ..operators.ordering import positions
 from ..session import cut_lineage
 from .glm import LogitFit, build_design, fit
 
-# The local proposal step runs in Python workers (applyInPandas).  Pickle this
-# module's functions by value, so executors need no installed copy of the
-# package (workers may not have the repository on their path).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 # --- propensity (ST5) ----------------------------------------------------------
 
-def linear_predictor(lf: LogitFit, df: DataFrame):
-    """Column expression of the fitted linear predictor on any frame with the
-    model's source columns (no Python per row)."""
-    coef = dict(zip(lf.labels, lf.coef))
-    eta = F.lit(coef.get("(Intercept)") or 0.0)
-    for t in lf.design.terms:
+def linear_predictor(lf: LogitFit, df: DataFrame, out: str = "__eta") -> DataFrame:
+    """``df`` with the fitted linear predictor, on any frame with the model's
+    source columns.  Factor coefficients come by a join to the level table
+    (NULL for a value that is no level)."""
+    coef = {lb: b or 0.0 for lb, b in zip(lf.labels, lf.coef)}
+    eta = F.lit(coef.get("(Intercept)", 0.0))
+    res, extra = df, []
+    for i, t in enumerate(lf.design.terms):
         if t.kind == "factor":
-            for level, lb in zip(t.levels[1:], t.labels):
-                if coef.get(lb) is not None:
-                    eta = eta + F.lit(coef[lb]) * (F.col(t.name) == F.lit(level)).cast("double")
+            name = f"__b{i}"
+            rows = [(t.levels[0], 0.0), *((v, coef[lb]) for v, lb in zip(t.levels[1:], t.labels))]
+            tab = df.sparkSession.createDataFrame(rows, f"__v{i} string, {name} double")
+            res = res.join(tab, res[t.name] == tab[f"__v{i}"], "left").drop(f"__v{i}")
+            extra.append(name)
+            eta = eta + F.col(name)
         else:
-            if coef.get(t.labels[0]) is not None:
-                eta = eta + F.lit(coef[t.labels[0]]) * F.col(t.name).cast("double")
-    return eta
+            eta = eta + F.lit(coef[t.labels[0]]) * F.col(t.name).cast("double")
+    return res.withColumn(out, eta).drop(*extra)
 
 
 def propensity(df: DataFrame, treat: str, covariates: Sequence[str],
@@ -73,8 +69,7 @@ def propensity(df: DataFrame, treat: str, covariates: Sequence[str],
     """ST5: logistic model of ``treat`` on ``covariates``; the fitted
     probability is added as ``out`` (NULL where a covariate is missing)."""
     lf = fit(build_design(df, treat, covariates, levels))
-    eta = linear_predictor(lf, df)
-    return df.withColumn(out, 1.0 / (1.0 + F.exp(-eta)))
+    return linear_predictor(lf, df).withColumn(out, 1.0 / (1.0 + F.exp(-F.col("__eta")))).drop("__eta")
 
 
 # --- k nearest controls (exact, no pairs) -------------------------------------
@@ -265,6 +260,8 @@ def _greedy_round(cases: DataFrame, controls: DataFrame, k0: int = 16, max_passe
                          .join(grow.select("case_id", F.col("k").alias("K")), "case_id"))
                 cand = cut_lineage(cand.join(grow.select("case_id"), "case_id", "left_anti")
                                    .unionByName(extra.select(*cand.columns)).repartition("blk"))
+    else:
+        raise RuntimeError(f"matching has not settled after {max_passes} passes")
     cs = cases.select(F.col("id").alias("case_id"), F.col("score").alias("t_score"))
     ct = controls.select(F.col("id").alias("control_id"), F.col("score").alias("c_score"))
     return (holders.select("control_id", F.col("h_case").alias("case_id")).join(cs, "case_id").join(ct, "control_id")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from cohortkit.functions.text import fill, first_true, present, to_missing
 from cohortkit.operators.ordering import positions
 from cohortkit.operators.recode import dummies, level_table, levels
-from cohortkit.sources.sinks import batch_ids, global_row_number, read_bundle, write_bundle, write_table
+from cohortkit.operators.ordering import positions
+from cohortkit.sources.sinks import batch_ids, read_bundle, write_bundle, write_table
 from cohortkit.sources.tables import read_positional
 
 
@@ -54,7 +55,7 @@ def test_positional_read(spark, tmp_out):
 
 def test_global_numbering_and_batches(spark):
     df = spark.range(0, 1037).select((F.col("id") * 7 % 1037).alias("k"))
-    rn = {r.k: r.rn for r in global_row_number(df, ["k"]).collect()}
+    rn = {r.k: r.rn for r in positions(df, ["k"]).collect()}
     assert rn == {k: k + 1 for k in range(1037)}
     pos = positions(df.withColumn("odd", (F.col("k") % 2).cast("long")), [F.col("k").desc()],
                     running={"n_odd": F.col("odd")})

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cohortkit.stats.glm import CHISQ95_1, build_design, constrained_deviance, fit, or_table, profile_limits
+from cohortkit.stats.glm import Model, Z975, build_design, fit, fit_many, or_table, profile_limits, solve_models
 from cohortkit.stats.match import linear_predictor, match_pairs, matched_rows, nearest_controls
 from cohortkit.stats.step import backward_aic
 
@@ -39,24 +39,50 @@ def test_saturated_closed_form(spark):
 
 def test_compressed_equals_rows_and_aic(spark):
     df = _frame(spark)
-    full = fit(build_design(df, "y", ["x", "g", "q"], compress=False))
-    comp = fit(build_design(df, "y", ["x", "g", "q"]))
-    for u, v in zip(full.coef, comp.coef):
-        assert abs(u - v) < 1e-7
-    for u, v in zip(full.se, comp.se):
-        assert abs(u - v) < 1e-7
-    assert abs(full.deviance - comp.deviance) < 1e-6
-    assert abs(comp.aic - (comp.deviance + 2 * len(comp.coef))) < 1e-9
-    assert abs(full.aic - comp.aic) < 1e-6
-    assert comp.labels == ["(Intercept)", "xTRUE", "gb", "gc", "q"]
+    # a numeric term keeps the rows as they are; factors and logicals are folded to patterns
+    full = fit(build_design(df.withColumn("z", F.lit(0.0)), "y", ["x", "g", "z"]))
+    comp = fit(build_design(df, "y", ["x", "g"]))
+    assert full.aliased == ["z"] and full.design.frame.count() == 4000 and comp.design.frame.count() == 6
+    for u, v in zip(full.coef[:4], comp.coef):
+        assert abs(u - v) < 1e-9
+    for u, v in zip(full.se[:4], comp.se):
+        assert abs(u - v) < 1e-9
+    assert abs(full.deviance - comp.deviance) < 1e-7 and abs(full.null_deviance - comp.null_deviance) < 1e-9
+    assert abs(comp.aic - (comp.deviance + 2 * len(comp.coef))) < 1e-9 and abs(full.aic - comp.aic) < 1e-7
+    assert comp.labels == ["(Intercept)", "xTRUE", "gb", "gc"] and comp.converged
+
+
+def test_separated_data_are_flagged(spark):
+    df = spark.createDataFrame([(i, i >= 50, i >= 50) for i in range(100)], "id long, y boolean, x boolean")
+    lf = fit(build_design(df, "y", ["x"]))
+    assert not lf.converged
+    t = {r.term: r for r in or_table(lf, spark).collect()}
+    assert t["xTRUE"].conf_low is None and t["xTRUE"].conf_high is None and not t["xTRUE"].converged
+
+
+def test_factor_of_many_levels(spark):
+    """More levels than any cap: ordered by Spark and fitted; a saturated factor has the log odds of its levels."""
+    rows = [(f"L{i:04d}", (i * j) % 7 < 3) for i in range(1, 301) for j in range(1, 15)]
+    df = spark.createDataFrame(rows, "g string, y boolean")
+    from cohortkit.operators.recode import level_table
+    assert level_table(df, "g", by="freq", first="L0100").orderBy("position").first()["level"] == "L0100"
+    d = build_design(df, "y", ["g"])
+    s = solve_models(d, [Model([0, *range(1, 300)])])[0]
+    rate = {r.g: r.p for r in df.groupBy("g").agg(F.avg(F.col("y").cast("int")).alias("p")).collect()}
+    for label, b in zip(d.labels, s.beta[1:]):
+        p = rate[label[1:]]
+        if 0 < p < 1 and 0 < rate["L0001"] < 1:
+            assert abs(b - (math.log(p / (1 - p)) - math.log(rate["L0001"] / (1 - rate["L0001"])))) < 1e-6
+    many = spark.range(3000).select(F.format_string("K%05d", "id").alias("g"))
+    assert level_table(many, "g", by="alpha").agg(F.max("position")).first()[0] == 3000
 
 
 def test_score_equations(spark):
     df = _frame(spark)
     lf = fit(build_design(df, "y", ["x", "g", "q"]))
-    p = 1 / (1 + F.exp(-linear_predictor(lf, df)))
+    p = 1 / (1 + F.exp(-F.col("__eta")))
     r = F.col("y").cast("double") - p
-    s = df.agg(F.sum(r), F.sum(r * F.col("x").cast("double")), F.sum(r * F.col("q")),
+    s = linear_predictor(lf, df).agg(F.sum(r), F.sum(r * F.col("x").cast("double")), F.sum(r * F.col("q")),
                F.sum(r * (F.col("g") == "b").cast("double"))).first()
     assert all(abs(v) < 1e-6 for v in s)
 
@@ -68,18 +94,19 @@ def test_collinear_term_reported(spark):
     assert lf.coef[lf.labels.index("x2TRUE")] is None
 
 
+def _constrained(lf, j, value):
+    rest = [c for c in lf.columns if c != lf.columns[j]]
+    return solve_models(lf.design, [Model(rest, {lf.columns[j]: value})])[0].deviance
+
+
 def test_profile_limits_deviance_rise(spark):
     df = _frame(spark, n=1500)
-    lf = fit(build_design(df, "y", ["x", "q"]))
-    for j in (0, 1):
-        lo, hi = profile_limits(lf, j)
-        assert lo < lf.coef[j] < hi
-        for b in (lo, hi):
-            assert abs(constrained_deviance(lf, j, b) - lf.deviance - CHISQ95_1) < 2e-3
-    # a one-term model profiles its intercept with no feature left
-    one = fit(build_design(df, "y", ["x"]))
-    lo, hi = profile_limits(one, 1)
-    assert abs(constrained_deviance(one, 1, hi) - one.deviance - CHISQ95_1) < 2e-3
+    # a one-term model profiles its intercept with one feature left, and its term with none but the intercept
+    for lf in (fit(build_design(df, "y", ["x", "q"])), fit(build_design(df, "y", ["x"]))):
+        for j, (lo, hi) in enumerate(profile_limits(lf)):
+            assert lo < lf.coef[j] < hi
+            for b in (lo, hi):
+                assert abs(_constrained(lf, j, b) - lf.deviance - Z975 ** 2) < 1e-5
 
 
 def test_stepwise_invariants_and_fixed_rows(spark):
@@ -88,10 +115,8 @@ def test_stepwise_invariants_and_fixed_rows(spark):
     n = d.n_rows
     lf = backward_aic(d)
     assert lf.design.n_rows == n                 # same rows at every step
-    kept = [t.name for t in lf.design.terms]
-    for t in kept:                               # no single removal lowers AIC
-        smaller = fit(d.subset([k for k in kept if k != t]))
-        assert smaller.aic >= lf.aic - 1e-9
+    smaller = fit_many(d, [[k for k in lf.terms if k != t] for t in lf.terms])
+    assert lf.terms and all(s.aic >= lf.aic - 1e-9 for s in smaller)     # no single removal lowers AIC
 
 
 def _serial_greedy(cases, controls, ratio):

@@ -34,11 +34,29 @@ def ntz_literal(value) -> Column:
     return F.to_timestamp_ntz(F.lit(str(value)))
 
 
+#: window of an extraction whose prompt is left empty (PRM2)
+DEFAULT_BEGIN, DEFAULT_END = dt.datetime(1996, 1, 1), dt.datetime(1999, 7, 1)
+
+
 def parse_prompt(text: str, mask: str) -> Column:
     """Prompt text -> timestamp by a configured mask (SC4); bad text -> NULL."""
     return F.try_to_timestamp(F.lit(text), F.lit(mask)).cast("timestamp_ntz")
 
 
+def prompt_bound(text: str | None, mask: str, default: dt.datetime) -> Column:
+    """One bound of a window from prompt text (PRM2): empty text takes the
+    default; text that does not fit the mask raises when the query runs,
+    instead of a NULL bound that would empty the cohort silently."""
+    if text is None or not text.strip():
+        return ntz_literal(default)
+    bad = F.raise_error(F.lit(f"prompt {text!r} does not fit the mask {mask!r}")).cast("timestamp_ntz")
+    return F.coalesce(parse_prompt(text, mask), bad)
+
+
+def prompt_window(begin: str | None, end: str | None, mask: str) -> tuple[Column, Column]:
+    return prompt_bound(begin, mask, DEFAULT_BEGIN), prompt_bound(end, mask, DEFAULT_END)
+
+
 def local_to_utc(value, tz: str | None) -> Column:
     """Local wall time -> UTC wall time (SC1).  ``tz=None`` leaves it as is.
 

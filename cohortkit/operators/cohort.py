@@ -37,6 +37,7 @@ class CohortSpec:
     encounter_filters: dict = field(default_factory=dict)  # column -> required value
     ids: Sequence | DataFrame | None = None   # listed cohort (alias values)
     group: str = "CASE"
+    alias_type: str | None = None        # type of the listed aliases
 
 
 def code_set(nomenclature: DataFrame, pattern: str, vocabulary: str | None = None,
@@ -74,23 +75,25 @@ def by_procedure(encounters: DataFrame, procedures: DataFrame, codes: DataFrame,
     return enc.join(coded.select("encntr_id").distinct(), "encntr_id", "left_semi").select(*cols)
 
 
-def listed_encounters(aliases: DataFrame, ids) -> DataFrame:
-    """Encounter ids whose alias is in ``ids`` (PRM1, JN11).
+def listed_encounters(aliases: DataFrame, ids, alias_type: str | None = None) -> DataFrame:
+    """Encounter ids whose alias (of ``alias_type``) is in ``ids`` (PRM1, JN11).
 
-    A short Python list is an ``isin`` filter (pushed to the scan); a
-    DataFrame of ids is a left-semi join (broadcast by AQE when small)."""
+    A short Python list is an ``isin`` filter; a DataFrame of ids is a
+    left-semi join (broadcast by the planner when small)."""
+    if alias_type is not None:
+        aliases = aliases.filter(F.col("alias_type_cd") == F.lit(alias_type))
     if isinstance(ids, DataFrame):
         key = ids.columns[0]
-        sel = aliases.join(ids.select(F.col(key).alias("alias")).distinct(), "alias", "left_semi")
+        sel = aliases.join(ids.select(F.col(key).cast("string").alias("alias")).distinct(), "alias", "left_semi")
     else:
-        sel = aliases.filter(F.col("alias").isin(list(ids)))
+        sel = aliases.filter(F.col("alias").isin([str(i) for i in ids]))
     return sel.select("encntr_id").distinct()
 
 
 def by_ids(encounters: DataFrame, aliases: DataFrame, ids, group: str | None = "CASE",
-           cols: Sequence[str] = COHORT_COLS) -> DataFrame:
+           cols: Sequence[str] = COHORT_COLS, alias_type: str | None = None) -> DataFrame:
     """Listed cohort (JN11): outside ids -> encounters, tagged (PRJ2)."""
-    enc = encounters.join(listed_encounters(aliases, ids), "encntr_id", "left_semi").select(*cols)
+    enc = encounters.join(listed_encounters(aliases, ids, alias_type), "encntr_id", "left_semi").select(*cols)
     if group is not None:
         enc = enc.withColumn("pt_group", F.lit(group))
     return enc
@@ -122,6 +125,6 @@ def build_cohort(enc: DataFrame, proc: DataFrame, nomen: DataFrame, alias: DataF
     """(procedure cohort, listed cohort, union) for one spec."""
     codes = code_set(nomen, spec.code_pattern, spec.vocabulary)
     pts = by_procedure(enc, proc, codes, spec.window, spec.tz, spec.encounter_filters)
-    listed = by_ids(enc, alias, spec.ids, spec.group)
+    listed = by_ids(enc, alias, spec.ids, spec.group, alias_type=spec.alias_type)
     allp = union_cohorts(listed, pts)
     return pts, listed, allp

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cohort import CohortSpec, build_cohort
 from ..session import cut_lineage
-from ..sources.roles import Roles
+from ..sources.roles import LISTING, Roles
 
 TZ = "America/Chicago"
 LISTED_IDS = (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)
@@ -28,6 +28,7 @@ SPEC = CohortSpec(
     encounter_filters={"encntr_type_class_cd": "F"},
     ids=LISTED_IDS,
     group="CASE",
+    alias_type=LISTING,
 )
 
 
@@ -67,16 +68,25 @@ pev AS (
          props
   FROM events)"""
 
-ORACLE_COHORT = ORACLE_ROLES + """,
-icd AS (SELECT DISTINCT p_partkey AS nomenclature_id FROM part
+FIN_SQL = """,
+fin AS (
+  SELECT encntr_id, lpad(CAST(encntr_id AS VARCHAR), 10, '0') AS fin FROM enc
+  UNION ALL SELECT encntr_id, 'T' || CAST(encntr_id AS VARCHAR) FROM enc WHERE encntr_id % 13 = 0),
+cv AS (SELECT n_nationkey AS code, n_name AS display FROM nation)"""
+
+# in the oracle's own form: existence tests on the role views
+ORACLE_COHORT = ORACLE_ROLES + FIN_SQL + """,
+icd AS (SELECT p_partkey AS nomenclature_id FROM part
         WHERE regexp_matches(p_brand, '^Brand#[1-3]$') AND p_type = 'PROMO'),
-pts AS (SELECT DISTINCT e.encntr_id, e.person_id, e.reg_dt_tm FROM enc e, icd, lineitem l
-        WHERE e.reg_dt_tm BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-07-01'
-          AND e.encntr_type_class_cd = 'F'
-          AND e.encntr_id = l.l_orderkey AND l.l_partkey = icd.nomenclature_id),
-listed AS (SELECT DISTINCT encntr_id, person_id, reg_dt_tm, 'CASE' AS pt_group FROM enc
-         WHERE person_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)),
-allp AS (SELECT encntr_id, person_id, reg_dt_tm FROM listed UNION SELECT * FROM pts)"""
+pts AS (SELECT encntr_id, person_id, reg_dt_tm FROM enc
+        WHERE reg_dt_tm >= TIMESTAMP '1996-01-01' AND reg_dt_tm <= TIMESTAMP '1999-07-01'
+          AND encntr_type_class_cd = 'F'
+          AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = encntr_id
+                      AND l_partkey IN (SELECT nomenclature_id FROM icd))),
+listed AS (SELECT encntr_id, person_id, reg_dt_tm, 'CASE' AS pt_group FROM enc
+           WHERE person_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)),
+allp AS (SELECT encntr_id, person_id, reg_dt_tm FROM enc
+         WHERE encntr_id IN (SELECT encntr_id FROM pts) OR encntr_id IN (SELECT encntr_id FROM listed))"""
 
 
 def with_cohort(body: str) -> str:

@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.text import flag_text
-from ..functions.timeops import age_years, local_day, local_to_utc, parse_prompt, utc_to_local
+from ..functions.timeops import age_years, local_day, local_to_utc, prompt_window, utc_to_local
 from ..operators.cohort import CohortSpec, build_cohort, by_ids, code_set, tag_groups
-from ..operators.lookup import attach_display
+from ..operators.lookup import attach_alias, attach_display
 from ..operators.picks import first_by, max_at_first, max_at_first_many
 from ..operators.predicates import any_of, between, current_rows, in_codes, matches
 from ..operators.windows import events_around, events_before
-from ..sources.roles import regions
+from ..sources.roles import FIN, LISTING, letter_code, regions
 from .common import SPEC, TZ, cohort, roles, with_cohort, with_roles
 from .registry import register
 
@@ -43,7 +43,7 @@ def cohort_by_id_table(spark, sf_dir):
     (left-semi join path of PRM1 instead of an inlined IN list)."""
     r = roles(spark, sf_dir)
     ids = r.table("customer").filter(F.col("c_mktsegment") == "AUTOMOBILE").select("c_custkey")
-    return by_ids(r.encounter, r.alias, ids, "LISTED")
+    return by_ids(r.encounter, r.alias, ids, "LISTED", alias_type=LISTING)
 
 
 @register("cohort_union", with_cohort("SELECT * FROM allp"))
@@ -52,16 +52,21 @@ def cohort_union(spark, sf_dir):
 
 
 COHORT_TAG_SQL = with_cohort("""
-SELECT a.encntr_id, a.person_id, e.encntr_type_class_cd, a.reg_dt_tm, e.disch_dt_tm, c.pt_group
+SELECT a.encntr_id, a.person_id, e.encntr_type_class_cd, cv.display AS encounter_class,
+       a.reg_dt_tm, e.disch_dt_tm, c.pt_group
 FROM allp a LEFT JOIN listed c ON a.encntr_id = c.encntr_id
-JOIN enc e ON a.encntr_id = e.encntr_id""")
+JOIN enc e ON a.encntr_id = e.encntr_id
+LEFT JOIN cv ON cv.code = ascii(e.encntr_type_class_cd) - 65""")
 
 
 def cohort_group_tag_df(spark, sf_dir):
+    """PL1: the union cohort with the listed group's label, class and its display, times."""
+    r = roles(spark, sf_dir)
     _, listed, allp = cohort(spark, sf_dir)
-    enc = roles(spark, sf_dir).encounter
-    out = tag_groups(allp, listed, enc, ("encntr_type_class_cd", "disch_dt_tm"))
-    return out.select("encntr_id", "person_id", "encntr_type_class_cd", "reg_dt_tm", "disch_dt_tm", "pt_group")
+    out = tag_groups(allp, listed, r.encounter, ("encntr_type_class_cd", "disch_dt_tm"))
+    out = attach_display(out, r.code_value, letter_code("encntr_type_class_cd"), "encounter_class")
+    return out.select("encntr_id", "person_id", "encntr_type_class_cd", "encounter_class", "reg_dt_tm",
+                      "disch_dt_tm", "pt_group")
 
 
 register("cohort_group_tag", COHORT_TAG_SQL)(cohort_group_tag_df)
@@ -90,7 +95,7 @@ def tz_bounds(spark, sf_dir):
 WEIGHT = ("A", "F")
 HEIGHT = ("N", "O")
 BMI_EVENT = "R"                      # no unit filter for BMI (as in the study)
-DRUG_CODES = (1, 2, 3, 4)            # drugs searched
+DRUG_CODES = (1, 2, 3, 4, 6)            # drugs searched
 IV_EVENTS = ("A", "R")               # begin-bag / rate-change style events
 TYPES_LISTED = ("PROMO", "STANDARD")  # diagnosis vocabularies listed
 
@@ -129,9 +134,10 @@ def first_measure_row(spark, sf_dir):
 
 
 def _measures(enc, events, cohort_ids):
-    """Weight, height and BMI of the cohort's encounters in one aggregate."""
-    facts = events_before(events.join(cohort_ids, "encntr_id", "left_semi"), enc, "encntr_id",
-                          "event_end_dt_tm", "disch_dt_tm", strict=False)
+    """Weight, height and BMI of the cohort's encounters in one aggregate:
+    current versions (FLT8), encounter and person both matching (JN7)."""
+    facts = events_before(current_rows(events.join(cohort_ids, "encntr_id", "left_semi")), enc,
+                          ["encntr_id", "person_id"], "event_end_dt_tm", "disch_dt_tm", strict=False)
     ev, un = F.col("event_cd"), F.col("result_units_cd")
     return max_at_first_many(facts, "encntr_id", "event_end_dt_tm", {
         "weight": ("result_val", (ev == WEIGHT[0]) & (un == WEIGHT[1])),
@@ -149,37 +155,46 @@ AGE_SQL = ("CAST(trunc(epoch(timezone('America/Chicago', timezone('UTC', e.reg_d
            " / 86400.0 / 365.25) AS INTEGER)")
 
 
-@register("demographics", with_cohort(f"""
+# events of an encounter with their own person, current versions only
+EVENTS_SQL = """
+, evt AS (SELECT l.*, CASE WHEN l.l_linenumber = 6 THEN o.o_custkey + 1 ELSE o.o_custkey END AS person_id
+          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linenumber <> 7)"""
+
+
+@register("demographics", with_cohort(EVENTS_SQL + f"""
 , m AS (SELECT l.l_orderkey AS encntr_id, l.l_returnflag AS ev, l.l_linestatus AS u, l.l_quantity AS v,
                l.l_shipdate AS t
-        FROM lineitem l JOIN enc e ON e.encntr_id = l.l_orderkey
+        FROM evt l JOIN enc e ON e.encntr_id = l.l_orderkey AND e.person_id = l.person_id
         WHERE l.l_orderkey IN (SELECT encntr_id FROM allp) AND l.l_shipdate <= e.disch_dt_tm),
 {_rank_first_sql('weight', "ev = 'A' AND u = 'F'")},
 {_rank_first_sql('height', "ev = 'N' AND u = 'O'")},
 {_rank_first_sql('bmi', "ev = 'R'")}
-SELECT a.encntr_id, c.pt_group, e.encntr_type_class_cd, {AGE_SQL} AS age,
-       n.n_name AS race, p.sex_cd AS sex, height.height, weight.weight, bmi.bmi
+SELECT fin.fin, a.encntr_id, c.pt_group, cl.display AS encounter_class, {AGE_SQL} AS age,
+       n.display AS race, sx.display AS sex, height.height, weight.weight, bmi.bmi
 FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id
 JOIN per p ON p.person_id = a.person_id
+LEFT JOIN fin ON fin.encntr_id = a.encntr_id
 LEFT JOIN listed c ON c.encntr_id = a.encntr_id
-LEFT JOIN nation n ON n.n_nationkey = p.race_cd
+LEFT JOIN cv n ON n.code = p.race_cd
+LEFT JOIN cv sx ON sx.code = ascii(p.sex_cd) - 65
+LEFT JOIN cv cl ON cl.code = ascii(e.encntr_type_class_cd) - 65
 LEFT JOIN weight ON weight.encntr_id = a.encntr_id
 LEFT JOIN height ON height.encntr_id = a.encntr_id
 LEFT JOIN bmi ON bmi.encntr_id = a.encntr_id"""))
 def demographics(spark, sf_dir):
-    """PL2: cohort + age at admission + first measures + display lookups."""
+    """PL2: cohort + outside number (JN10) + age at admission + first measures
+    of the same encounter and person (JN7, FLT8) + a display per code (JN9)."""
     r = roles(spark, sf_dir)
     _, listed, allp = cohort(spark, sf_dir, materialize=True)   # used twice below
-    enc = r.encounter
-    base = (tag_groups(allp, listed)
-            .join(enc.select("encntr_id", "encntr_type_class_cd"), "encntr_id")
+    base = (tag_groups(allp, listed, r.encounter, ("encntr_type_class_cd",))
             .join(r.person, "person_id"))
     base = base.withColumn("age", age_years("reg_dt_tm", "birth_dt_tm", TZ))
     base = attach_display(base, r.code_value, "race_cd", "race")
-    meas = _measures(enc, r.encounter_event, allp.select("encntr_id"))
-    out = base.join(meas, "encntr_id", "left")
-    return out.select("encntr_id", "pt_group", "encntr_type_class_cd", "age", "race",
-                      F.col("sex_cd").alias("sex"), "height", "weight", "bmi")
+    base = attach_display(base, r.code_value, letter_code("sex_cd"), "sex")
+    base = attach_display(base, r.code_value, letter_code("encntr_type_class_cd"), "encounter_class")
+    meas = _measures(r.encounter, r.encounter_person_event, allp.select("encntr_id"))
+    out = attach_alias(base.join(meas, "encntr_id", "left"), r.alias, FIN)
+    return out.select("fin", "encntr_id", "pt_group", "encounter_class", "age", "race", "sex", "height", "weight", "bmi")
 
 
 @register("age_at_admission", with_roles(f"""
@@ -191,48 +206,58 @@ def age_at_admission(spark, sf_dir):
     return j.select("encntr_id", age_years("reg_dt_tm", "birth_dt_tm", TZ).alias("age"))
 
 
+FINAL_TYPE = "F"
+
+
 @register("diagnosis_list", with_cohort("""
-SELECT DISTINCT a.encntr_id, p.p_type AS code_type, p.p_brand AS code, p.p_name AS description,
+SELECT DISTINCT fin.fin, p.p_type AS code_type, ty.display AS code_type_name, p.p_brand AS code, p.p_name AS description,
        l.l_linenumber AS priority
 FROM allp a JOIN lineitem l ON l.l_orderkey = a.encntr_id JOIN part p ON p.p_partkey = l.l_partkey
-WHERE p.p_type IN ('PROMO', 'STANDARD')"""))
+LEFT JOIN fin ON fin.encntr_id = a.encntr_id LEFT JOIN cv ty ON ty.code = ascii(p.p_type) - 65
+WHERE p.p_type IN ('PROMO', 'STANDARD') AND l.l_linestatus = 'F'"""))
 def diagnosis_list(spark, sf_dir):
-    """PL3: cohort diagnoses with a listed vocabulary (JN1, FLT5, JN10)."""
+    """PL3: final cohort diagnoses with a listed vocabulary and its display
+    (JN1, FLT5, FLT1, JN9), one row per outside number (JN10)."""
     r = roles(spark, sf_dir)
     allp = cohort(spark, sf_dir)[2].select("encntr_id")
     nomen = r.nomenclature.filter(F.col("source_vocabulary").isin(*TYPES_LISTED))
-    diag = r.procedure.join(allp, "encntr_id", "left_semi")
-    return (diag.join(nomen, "nomenclature_id")
-            .select("encntr_id", F.col("source_vocabulary").alias("code_type"),
+    nomen = attach_display(nomen, r.code_value, letter_code("source_vocabulary"), "code_type_name")
+    diag = r.procedure.filter(F.col("diag_type_cd") == FINAL_TYPE).join(allp, "encntr_id", "left_semi")
+    return (attach_alias(diag.join(nomen, "nomenclature_id"), r.alias, FIN)
+            .select("fin", F.col("source_vocabulary").alias("code_type"), "code_type_name",
                     F.col("source_identifier").alias("code"), F.col("source_string").alias("description"),
                     "priority")
             .distinct())
 
 
 def _proc_days(r, cohort_ids):
-    """PL4-PL6 body: cohort procedures with a coded pattern, local day."""
-    codes = r.nomenclature.filter(matches("source_identifier", SPEC.code_pattern))
+    """PL4-PL6 body: cohort procedures coded by pattern in one vocabulary
+    (with its display), outside number, local day."""
+    codes = r.nomenclature.filter(matches("source_identifier", SPEC.code_pattern)
+                                  & (F.col("source_vocabulary") == SPEC.vocabulary))
+    codes = attach_display(codes, r.code_value, letter_code("source_vocabulary"), "vocabulary")
     proc = r.procedure.join(cohort_ids, "encntr_id", "left_semi")
-    return (proc.join(codes, "nomenclature_id")
-            .select("encntr_id", local_day("proc_dt_tm", TZ).alias("proc_day"),
-                    F.col("source_identifier").alias("code"), F.col("source_string").alias("code_text"),
-                    F.col("source_vocabulary").alias("vocabulary"))
+    return (attach_alias(proc.join(codes, "nomenclature_id"), r.alias, FIN)
+            .select("fin", local_day("proc_dt_tm", TZ).alias("proc_day"),
+                    F.col("source_identifier").alias("code"), F.col("source_string").alias("code_text"), "vocabulary")
             .distinct())
 
 
 PROC_DAYS_SQL = """
-SELECT DISTINCT l.l_orderkey AS encntr_id,
+SELECT DISTINCT fin.fin,
        CAST(timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS DATE) AS proc_day,
-       p.p_brand AS code, p.p_name AS code_text, p.p_type AS vocabulary
-FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-WHERE regexp_matches(p.p_brand, '^Brand#[1-3]$') AND l.l_orderkey IN (SELECT encntr_id FROM {src})"""
+       p.p_brand AS code, p.p_name AS code_text, vo.display AS vocabulary
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey LEFT JOIN fin ON fin.encntr_id = l.l_orderkey
+LEFT JOIN cv vo ON vo.code = ascii(p.p_type) - 65
+WHERE regexp_matches(p.p_brand, '^Brand#[1-3]$') AND p.p_type = 'PROMO'
+  AND l.l_orderkey IN (SELECT encntr_id FROM {src})"""
 
 
 @register("tz_local_day", with_cohort(PROC_DAYS_SQL.format(src="allp")))
 def tz_local_day(spark, sf_dir):
     """PL4: window from prompt text parsed by a mask (SC4), local procedure days."""
     r = roles(spark, sf_dir)
-    window = (parse_prompt("01/01/1996", "MM/dd/yyyy"), parse_prompt("07/01/1999", "MM/dd/yyyy"))
+    window = prompt_window("01/01/1996", "07/01/1999", "MM/dd/yyyy")
     spec = CohortSpec(**{**SPEC.__dict__, "window": window})
     allp = build_cohort(r.encounter, r.procedure, r.nomenclature, r.alias, spec)[2]
     return _proc_days(r, allp.select("encntr_id"))
@@ -258,28 +283,66 @@ def tz_local_day_fixed(spark, sf_dir):
 def tz_local_day_listed(spark, sf_dir):
     """PL6: listed cohort only."""
     r = roles(spark, sf_dir)
-    listed = by_ids(r.encounter, r.alias, SPEC.ids, SPEC.group)
+    listed = by_ids(r.encounter, r.alias, SPEC.ids, SPEC.group, alias_type=LISTING)
     return _proc_days(r, listed.select("encntr_id"))
 
 
-@register("meds_given", with_cohort("""
-SELECT DISTINCT l.l_orderkey AS encntr_id,
+@register("meds_given", with_cohort(EVENTS_SQL + """
+SELECT DISTINCT fin.fin,
        timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS dose_datetime,
-       l.l_linenumber AS medication, l.l_quantity AS dose, l.l_discount AS rate, l.l_linestatus AS route
-FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id JOIN lineitem l ON l.l_orderkey = a.encntr_id
-WHERE l.l_linenumber IN (1, 2, 3, 4) AND l.l_shipdate < e.disch_dt_tm
+       md.display AS medication, l.l_quantity AS dose, du.display AS dose_unit,
+       l.l_discount AS rate, ru.display AS rate_unit, iv.display AS iv_event
+FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id
+JOIN evt l ON l.l_orderkey = e.encntr_id AND l.person_id = e.person_id
+LEFT JOIN fin ON fin.encntr_id = a.encntr_id
+LEFT JOIN cv md ON md.code = l.l_linenumber
+LEFT JOIN cv du ON du.code = ascii(l.l_returnflag) - 65
+LEFT JOIN cv ru ON ru.code = ascii(l.l_linestatus) - 65
+LEFT JOIN cv iv ON iv.code = ascii(l.l_returnflag) - 65
+WHERE l.l_linenumber IN (1, 2, 3, 4, 6) AND l.l_shipdate < e.disch_dt_tm
   AND (l.l_quantity > 25 OR l.l_returnflag IN ('A', 'R'))"""))
 def meds_given(spark, sf_dir):
     """PL7: drugs given before discharge (strict bound), dose > 0-style test OR
-    an IV event (FLT5, FLT7, FLT9)."""
+    an IV event (FLT5, FLT7, FLT9); current rows of the same encounter and
+    person (FLT8, JN7); outside number, units and displays (JN10, JN9)."""
     r = roles(spark, sf_dir)
     allp = cohort(spark, sf_dir)[2].select("encntr_id")
-    ev = in_codes(r.encounter_event.join(allp, "encntr_id", "left_semi"), "line_cd", DRUG_CODES)
-    ev = ev.filter(any_of([F.col("result_val") > 25, F.col("event_cd").isin(*IV_EVENTS)]))
-    ev = events_before(ev, r.encounter, "encntr_id", "event_end_dt_tm", "disch_dt_tm", strict=True)
-    return ev.select("encntr_id", utc_to_local("event_end_dt_tm", TZ).alias("dose_datetime"),
-                     F.col("line_cd").alias("medication"), F.col("result_val").alias("dose"),
-                     F.col("infusion_rate").alias("rate"), F.col("result_units_cd").alias("route")).distinct()
+    ev = in_codes(r.encounter_person_event.join(allp, "encntr_id", "left_semi"), "line_cd", DRUG_CODES)
+    ev = current_rows(ev).filter(any_of([F.col("result_val") > 25, F.col("event_cd").isin(*IV_EVENTS)]))
+    ev = events_before(ev, r.encounter, ["encntr_id", "person_id"], "event_end_dt_tm", "disch_dt_tm", strict=True)
+    for code, out in (("line_cd", "medication"), (letter_code("event_cd"), "dose_unit"),
+                      (letter_code("result_units_cd"), "rate_unit"), (letter_code("event_cd"), "iv_event")):
+        ev = attach_display(ev, r.code_value, code, out)
+    ev = attach_alias(ev, r.alias, FIN)
+    return ev.select("fin", utc_to_local("event_end_dt_tm", TZ).alias("dose_datetime"), "medication",
+                     F.col("result_val").alias("dose"), "dose_unit", F.col("infusion_rate").alias("rate"), "rate_unit",
+                     "iv_event").distinct()
+
+
+@register("vitals_around_procedure", with_cohort("""
+, anc AS (SELECT l.l_orderkey AS encntr_id, l.l_shipdate AS at FROM lineitem l
+          WHERE l.l_orderkey IN (SELECT encntr_id FROM listed)
+            AND l.l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')),
+f AS (SELECT l_orderkey AS encntr_id, l_shipdate AS t, l_linenumber, l_returnflag, l_quantity FROM lineitem
+      WHERE l_returnflag IN ('A', 'R') AND l_linenumber <> 7)
+SELECT DISTINCT fin.fin, timezone('America/Chicago', timezone('UTC', f.t)) AS event_datetime,
+       cv.display AS event, f.l_quantity AS result
+FROM f JOIN anc ON anc.encntr_id = f.encntr_id AND f.t BETWEEN anc.at - INTERVAL 12 HOUR AND anc.at + INTERVAL 10 DAY
+LEFT JOIN fin ON fin.encntr_id = f.encntr_id LEFT JOIN cv ON cv.code = ascii(f.l_returnflag) - 65"""))
+def vitals_around_procedure(spark, sf_dir):
+    """PL8 of the listed cohort: current measurements from half a day before
+    to ten days after a coded procedure of the same encounter (JN8, JN1,
+    FLT8), with outside number and display."""
+    r = roles(spark, sf_dir)
+    listed = by_ids(r.encounter, r.alias, SPEC.ids, None, alias_type=LISTING).select("encntr_id")
+    codes = r.nomenclature.filter(F.col("source_vocabulary") == SPEC.vocabulary).select("nomenclature_id")
+    anchors = (r.procedure.join(listed, "encntr_id", "left_semi").join(codes, "nomenclature_id", "left_semi"))
+    facts = current_rows(r.encounter_event.filter(F.col("event_cd").isin(*IV_EVENTS)))
+    facts = facts.join(listed, "encntr_id", "left_semi")
+    hit = events_around(facts, anchors, "encntr_id", "event_end_dt_tm", "proc_dt_tm", 0.5, 10.0)
+    hit = attach_alias(attach_display(hit, r.code_value, letter_code("event_cd"), "event"), r.alias, FIN)
+    return hit.select("fin", utc_to_local("event_end_dt_tm", TZ).alias("event_datetime"), "event",
+                      F.col("result_val").alias("result")).distinct()
 
 
 @register("events_around_anchor", with_roles("""
@@ -311,7 +374,7 @@ FROM listed c JOIN lineitem l ON l.l_orderkey = c.encntr_id JOIN part p ON p.p_p
 def surgery_list(spark, sf_dir):
     """PL9: surgeries of the listed cohort (JN11, JN1, SC2, SC7, JN9)."""
     r = roles(spark, sf_dir)
-    listed = by_ids(r.encounter, r.alias, SPEC.ids, None).select("encntr_id")
+    listed = by_ids(r.encounter, r.alias, SPEC.ids, None, alias_type=LISTING).select("encntr_id")
     s = r.surgery.join(listed, "encntr_id", "left_semi")
     names = r.nomenclature.select(F.col("nomenclature_id").alias("surg_proc_cd"), F.col("source_string").alias("surgery"))
     s = s.join(names, "surg_proc_cd", "left")

@@ -12,7 +12,11 @@ DuckDB oracles repeat them):
   discharge  = admit + (encounter id % 60) days, NULL when encounter id % 11 = 0
   birth      = 1930-01-01 + (person id * 17 % 20000) days
   valid_until = event time when event id % 7 = 0, else 2100-12-31
-  alias      = the person id of the encounter (a listed cohort names persons)
+  alias      = type FIN: the encounter id, zero-padded to 10 (a second one, 'T' + id, when id % 13 = 0);
+               type LISTING: the person id (a listed cohort names persons)
+  event      = its person is the encounter's, but the next id on line 6; valid_until is the event time on
+               line 7, else 2100-12-31; dose unit = return flag, rate unit = line status
+  code text  = of a text code: the display of its first letter's number, A = 0
 """
 
 from __future__ import annotations
@@ -79,19 +83,28 @@ def procedures(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def encounter_events(lineitem: DataFrame) -> DataFrame:
-    """CLINICAL_EVENT scoped to an encounter (measures, drugs given)."""
-    return lineitem.select(
+def encounter_events(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """CLINICAL_EVENT scoped to an encounter (measures, drugs given).  With
+    ``orders`` the event's own person comes along (the composite key)."""
+    line = F.col("l_linenumber")
+    valid = F.when(line == 7, F.col("l_shipdate")).otherwise(F.lit(OPEN_END).cast("timestamp_ntz"))
+    cols = [
         F.col("l_orderkey").alias("encntr_id"),
         F.col("l_returnflag").alias("event_cd"),
         F.col("l_linestatus").alias("result_units_cd"),
         F.col("l_quantity").alias("result_val"),
         F.col("l_shipdate").alias("event_end_dt_tm"),
-        F.col("l_linenumber").alias("line_cd"),
+        line.alias("line_cd"),
         F.col("l_partkey").alias("nomenclature_id"),
         F.col("l_discount").alias("infusion_rate"),
         F.col("l_tax").alias("tax"),
-    )
+        valid.cast("timestamp_ntz").alias("valid_until_dt_tm"),
+    ]
+    if orders is None:
+        return lineitem.select(*cols)
+    o = orders.select("o_orderkey", "o_custkey")
+    person = F.when(line == 6, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    return lineitem.join(o, lineitem["l_orderkey"] == o["o_orderkey"]).select(*cols, person.alias("person_id"))
 
 
 def person_events(events: DataFrame) -> DataFrame:
@@ -108,9 +121,25 @@ def person_events(events: DataFrame) -> DataFrame:
     )
 
 
+FIN, LISTING = "FIN", "LISTING"      # alias types
+
+
 def aliases(orders: DataFrame) -> DataFrame:
-    """ENCNTR_ALIAS: outside identifiers of an encounter."""
-    return orders.select(F.col("o_orderkey").alias("encntr_id"), F.col("o_custkey").alias("alias"))
+    """ENCNTR_ALIAS: outside identifiers of an encounter, by type.  One branch
+    per type, so that a filter on the type drops the others."""
+    k, key = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+
+    def branch(kind, alias, rows=orders):
+        return rows.select(k.alias("encntr_id"), F.lit(kind).alias("alias_type_cd"), alias.alias("alias"))
+
+    return (branch(FIN, F.lpad(key, 10, "0"))
+            .unionByName(branch(FIN, F.concat(F.lit("T"), key), orders.filter(k % 13 == 0)))
+            .unionByName(branch(LISTING, F.col("o_custkey").cast("string"))))
+
+
+def letter_code(col: str):
+    """Numeric code of a coded text column: its first letter, A = 0."""
+    return F.ascii(F.col(col)) - 65
 
 
 def surgeries(lineitem: DataFrame) -> DataFrame:
@@ -165,6 +194,10 @@ class Roles:
     def encounter_event(self) -> DataFrame:
         return encounter_events(self.table("lineitem"))
 
+    @property
+    def encounter_person_event(self) -> DataFrame:
+        return encounter_events(self.table("lineitem"), self.table("orders"))
+
     @property
     def person_event(self) -> DataFrame:
         return person_events(self.table("events"))

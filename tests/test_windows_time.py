@@ -87,3 +87,17 @@ def test_composite_key_bound(spark):
                                "eid int, pid int, t timestamp_ntz")
     got = events_before(ev, enc, ["eid", "pid"], "t", "disch", strict=False).collect()
     assert [(r.eid, r.pid) for r in got] == [(1, 10)]     # person must match too; bound holds
+
+
+def test_prompt_window_defaults_and_bad_text(spark):
+    import datetime as dt
+
+    from cohortkit.functions.timeops import DEFAULT_BEGIN, DEFAULT_END, prompt_window
+    one = spark.range(1)
+    lo, hi = prompt_window("", None, "MM/dd/yyyy")
+    assert tuple(one.select(lo, hi).first()) == (DEFAULT_BEGIN, DEFAULT_END)
+    lo, hi = prompt_window("02/03/1997", " ", "MM/dd/yyyy")
+    assert tuple(one.select(lo, hi).first()) == (dt.datetime(1997, 2, 3), DEFAULT_END)
+    bad, _ = prompt_window("1997-02-03", None, "MM/dd/yyyy")
+    with pytest.raises(Exception, match="does not fit the mask"):
+        one.select(bad).collect()

@@ -70,16 +70,15 @@ def full_join_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:
     return fill_false(out)
 
 
-def prefix_conditions(codes: DataFrame, code_col: str, conditions: DataFrame,
+def prefix_conditions(codes: DataFrame, code_col: str, conditions: DataFrame, lengths: Iterable[int],
                       condition_col: str = "condition", prefix_col: str = "prefix") -> DataFrame:
     """AGG4: map each code to the named condition groups whose prefix it starts
-    with.  Prefixes of the code are generated only for the prefix lengths that
-    occur in the (small, broadcast) condition table, then equi-joined -- no
-    nested-loop ``startswith`` join.  Returns the code rows x matching
-    conditions (codes with no condition drop out)."""
-    lengths = sorted({len(r[0]) for r in conditions.select(prefix_col).distinct().collect()})
-    cond = F.broadcast(conditions.select(F.col(prefix_col).alias("__prefix"), F.col(condition_col)))
-    exploded = codes.withColumn("__len", F.explode(F.array(*[F.lit(n) for n in lengths])))
+    with.  Prefixes of the code are generated for the prefix ``lengths`` the
+    caller names, then equi-joined -- no nested-loop ``startswith`` join.
+    Returns the code rows x matching conditions (codes with no condition drop
+    out)."""
+    cond = conditions.select(F.col(prefix_col).alias("__prefix"), F.col(condition_col))
+    exploded = codes.withColumn("__len", F.explode(F.array(*[F.lit(n) for n in sorted(set(lengths))])))
     exploded = exploded.withColumn("__prefix", F.expr(f"substring(`{code_col}`, 1, __len)"))
     exploded = exploded.filter(F.length(F.col(code_col)) >= F.col("__len"))
     return exploded.join(cond, "__prefix").drop("__prefix", "__len")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ordering import positions
+
 
 def key_first(df: DataFrame, key: str, drop: Sequence[str] = ()) -> DataFrame:
     """Key column first, then every other column, surrogate ids dropped (PRJ4)."""
@@ -34,30 +36,63 @@ def stack_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def frame_summary(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Per-column summary (AGG7): rows, missing, distinct values, and for
-    numeric columns min / max / mean / sample sd.  One pass: a single
-    aggregate over all columns, then the wide row is unpivoted with
-    ``stack`` -- no per-column jobs."""
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+
+
+def quartiles(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
+    """(column_name, q1, median, q3) of one numeric column, exact and
+    interpolated: the values at the four-part positions of a parallel sort, so
+    no task holds the column."""
+    v = df.select(F.col(f"`{col}`").cast("double").alias("v")).filter(F.col("v").isNotNull())
+    ranked = positions(v, ["v"], out="rn")
+    n = ranked.agg(F.max("rn").alias("n")).withColumn("n", F.coalesce("n", F.lit(0)))      # one row
+    at = (n.select("n", F.explode(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p"))
+          .withColumn("h", F.col("p") * (F.col("n") - 1) + 1)
+          .withColumn("rn", F.explode(F.array_distinct(F.array(F.floor("h"), F.ceil("h")))))
+          .withColumn("w", F.when(F.floor("h") == F.ceil("h"), 1.0).otherwise(1.0 - F.abs(F.col("h") - F.col("rn")))))
+    q = at.join(ranked, "rn", "left").groupBy("p").agg(F.sum(F.col("v") * F.col("w")).alias("q"))
+    pick = [F.round(F.max(F.when(F.col("p") == x, F.col("q"))), digits).alias(name)
+            for x, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
+    return q.agg(*pick).select(F.lit(col).alias("column_name"), "q1", "median", "q3")
+
+
+def frame_summary(df: DataFrame, digits: int = 6, with_quartiles: bool = True) -> DataFrame:
+    """Per-column summary (AGG7): rows, missing, and for numeric columns min,
+    quartiles, max, mean and sample sd.  One aggregate over all columns,
+    unpivoted with ``stack``; the quartiles take one parallel sort per numeric
+    column.  Level counts of the other columns: :func:`level_summary`."""
+    numeric = set(numeric_columns(df))
     aggs, names = [], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
-        is_num = isinstance(f.dataType, numeric)
-        aggs += [
-            F.count(c).alias(f"a{i}_n"),
-            F.sum(c.isNull().cast("long")).alias(f"a{i}_na"),
-            F.count_distinct(c).alias(f"a{i}_nd"),
-            (F.min(c).cast("double") if is_num else F.lit(None).cast("double")).alias(f"a{i}_min"),
-            (F.max(c).cast("double") if is_num else F.lit(None).cast("double")).alias(f"a{i}_max"),
-            (F.round(F.avg(c), digits) if is_num else F.lit(None).cast("double")).alias(f"a{i}_mean"),
-            (F.round(F.stddev_samp(c), digits) if is_num else F.lit(None).cast("double")).alias(f"a{i}_sd"),
-        ]
+        x = c if f.name in numeric else F.lit(None).cast("double")
+        aggs += [F.count(c).alias(f"a{i}_n"), F.sum(c.isNull().cast("long")).alias(f"a{i}_na"),
+                 F.min(x).cast("double").alias(f"a{i}_min"), F.max(x).cast("double").alias(f"a{i}_max"),
+                 F.round(F.avg(x), digits).cast("double").alias(f"a{i}_mean"),
+                 F.round(F.stddev_samp(x), digits).cast("double").alias(f"a{i}_sd")]
         names.append(f.name)
-    wide = df.agg(*aggs)
     parts = []
     for i, n in enumerate(names):
         esc = n.replace("'", "''")
-        parts.append(f"'{esc}', a{i}_n, a{i}_na, a{i}_nd, a{i}_min, a{i}_max, a{i}_mean, a{i}_sd")
-    expr = f"stack({len(names)}, {', '.join(parts)}) AS (column_name, n, n_missing, n_distinct, min, max, mean, sd)"
-    return wide.selectExpr(expr)
+        parts.append(f"'{esc}', a{i}_n, a{i}_na, a{i}_min, a{i}_max, a{i}_mean, a{i}_sd")
+    out = df.agg(*aggs).selectExpr(
+        f"stack({len(names)}, {', '.join(parts)}) AS (column_name, n, n_missing, min, max, mean, sd)")
+    if with_quartiles and numeric:
+        qs = [quartiles(df, c, digits) for c in sorted(numeric)]
+        every = qs[0]
+        for q in qs[1:]:
+            every = every.unionByName(q)
+        out = out.join(every, "column_name", "left")
+    return out
+
+
+def level_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, level, n): level counts of the named columns (AGG7) in one
+    aggregate; a missing value is a NULL level."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("level")) for c in cols])
+    return (df.select(F.explode(pairs).alias("p")).select("p.*")
+            .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n")))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fill, first_true, is_one, present, safe_number, strip_prefix, title_case, to_missing
-from ..operators.frames import frame_summary, map_columns
-from ..operators.recode import dummies, level_table, levels
+from ..operators.frames import frame_summary, level_summary, map_columns, map_type
+from ..operators.recode import dummies, level_table
 from ..sources.tables import load
 from ..stats.glm import build_design, fit, or_table
 from ..stats.match import match_pairs, matched_rows, propensity
@@ -18,6 +19,19 @@ from .registry import register
 Z = "1.959963984540054"   # qnorm(0.975), used by the Wald-limit oracles
 
 
+def _p_sql(z: str) -> str:
+    """Two-sided normal tail of ``z``: Simpson's rule over [|z|, |z| + 12] in 2,000 steps."""
+    f = f"exp(-pow(abs({z}) + k * 0.006, 2) / 2)"
+    return (f"round(2 * 0.006 / 3 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 2001), lambda k: "
+            f"{f} * (CASE WHEN k = 0 OR k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END))), 6)")
+
+
+TABLE_SQL = f"""
+SELECT term, round(exp(b), 6) AS estimate, round(se, 6) AS std_error, round(b / se, 6) AS statistic,
+       {_p_sql("(b / se)")} AS p_value,
+       round(exp(b - {Z} * se), 6) AS conf_low, round(exp(b + {Z} * se), 6) AS conf_high, true AS converged FROM e"""
+
+
 def _t(spark, sf_dir, name):
     return load(spark, sf_dir, name)
 
@@ -135,9 +149,7 @@ def dummy_columns(spark, sf_dir):
     """CAT4: treatment dummies, first level (forced: AUTOMOBILE) is the
     baseline and gets no column."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    lv = levels(c, "c_mktsegment", by="freq", first="AUTOMOBILE")
-    return dummies(c, "c_mktsegment", lv).select("c_custkey", *sorted(x for x in dummies(c, "c_mktsegment", lv).columns
-                                                                     if x != "c_custkey"))
+    return dummies(c, "c_mktsegment", ["AUTOMOBILE", *SEGMENTS_OTHER])
 
 
 def _summary_sql():
@@ -146,22 +158,50 @@ def _summary_sql():
                      ("c_acctbal", True), ("c_mktsegment", False)]:
         if num:
             stats = (f"CAST(min({col}) AS DOUBLE), CAST(max({col}) AS DOUBLE), round(avg({col}), 6), "
-                     f"round(stddev_samp({col}), 6)")
+                     f"round(stddev_samp({col}), 6), "
+                     + ", ".join(f"round(quantile_cont(CAST({col} AS DOUBLE), {q}), 6)" for q in (0.25, 0.5, 0.75)))
         else:
-            stats = "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"
+            stats = ", ".join(["CAST(NULL AS DOUBLE)"] * 7)
         parts.append(f"SELECT '{col}' AS column_name, count({col}) AS n, count(*) - count({col}) AS n_missing, "
-                     f"count(DISTINCT {col}) AS n_distinct, {stats} FROM customer")
+                     f"{stats} FROM customer")
     body = " UNION ALL ".join(parts)
-    return f"SELECT column_name, n, n_missing, n_distinct, c0 AS min, c1 AS max, c2 AS mean, c3 AS sd FROM ({body}) " \
-           f"AS t(column_name, n, n_missing, n_distinct, c0, c1, c2, c3)"
+    return f"SELECT * FROM ({body}) AS t(column_name, n, n_missing, min, max, mean, sd, q1, median, q3)"
 
 
 @register("frame_summary", _summary_sql())
 def frame_summary_q(spark, sf_dir):
-    """AGG7: per-column summary in one aggregate."""
+    """AGG7: per-column summary with exact quartiles."""
     return frame_summary(_t(spark, sf_dir, "customer"))
 
 
+@register("frame_levels", """
+SELECT 'c_mktsegment' AS column_name, c_mktsegment AS level, count(*) AS n FROM customer GROUP BY 2
+UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR), count(*) FROM customer GROUP BY 2
+UNION ALL SELECT 'big', CASE WHEN nullif(c_custkey % 3, 0) IS NULL THEN NULL
+                             WHEN c_acctbal > 5000 THEN 'true' ELSE 'false' END, count(*) FROM customer GROUP BY 2""")
+def frame_levels(spark, sf_dir):
+    """AGG7: level counts of the factor and logical columns, missing ones too."""
+    c = _t(spark, sf_dir, "customer")
+    c = c.withColumn("big", F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal") > 5000))
+    return level_summary(c, ["c_mktsegment", "c_nationkey", "big"])
+
+
+@register("edit_by_type", """
+SELECT p_partkey, p_size, lower(p_name) AS p_name, lower(p_brand) AS p_brand,
+       coalesce(CASE WHEN p_partkey % 4 <> 0 THEN p_size > 20 END, false) AS large,
+       coalesce(CASE WHEN p_partkey % 5 <> 0 THEN p_type = 'PROMO' END, false) AS promo
+FROM part""")
+def edit_by_type(spark, sf_dir):
+    """PRJ6: one function on every column of a type, whatever its name: missing
+    logicals become FALSE, texts lower case, numbers stay."""
+    p = _t(spark, sf_dir, "part").select(
+        "p_partkey", "p_size", "p_name", "p_brand",
+        F.when(F.col("p_partkey") % 4 != 0, F.col("p_size") > 20).alias("large"),
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_type") == "PROMO").alias("promo"))
+    p = map_type(p, T.BooleanType, lambda c: F.coalesce(c, F.lit(False)))
+    return map_type(p, T.StringType, F.lower)
+
+
 # --- models (PL22-PL24) ---------------------------------------------------------
 
 def model_frame(spark, sf_dir):
@@ -187,20 +227,17 @@ c AS (SELECT CAST(sum(CASE WHEN y AND x THEN 1 ELSE 0 END) AS DOUBLE) AS a,
              CAST(sum(CASE WHEN NOT y AND NOT x THEN 1 ELSE 0 END) AS DOUBLE) AS d FROM t),
 e AS (SELECT '(Intercept)' AS term, ln(c / d) AS b, sqrt(1 / c + 1 / d) AS se FROM c
       UNION ALL SELECT 'flag_rTRUE', ln(a * d / (b * c)), sqrt(1 / a + 1 / b + 1 / c + 1 / d) FROM c)
-SELECT term, round(exp(b), 6) AS estimate, round(se, 6) AS std_error, round(b / se, 6) AS statistic,
-       round(exp(b - {Z} * se), 6) AS conf_low, round(exp(b + {Z} * se), 6) AS conf_high FROM e"""
+""" + TABLE_SQL
 
 
 def _wald_table(lf, spark):
-    return or_table(lf, spark, conf="wald", digits=6, p_value=False)
+    return or_table(lf, spark, conf="wald", digits=6)
 
 
 @register("or_table_binary", _or_2x2_sql())
 def or_table_binary(spark, sf_dir):
-    """ST1 + ST2: binary outcome on one logical term; odds ratios with Wald
-    limits (the profile form is ``or_table_profile``).  p-values are in the
-    library's table and checked in the tests; the SQL oracle has no normal
-    CDF, so this registered table leaves them out."""
+    """ST1 + ST2: binary outcome on one logical term; odds ratios, p-values and
+    Wald limits (the profile form is ``or_table_profile``)."""
     lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag_r"]))
     return _wald_table(lf, spark)
 
@@ -214,8 +251,7 @@ e AS (SELECT '(Intercept)' AS term, ln(y1 / y0) AS b, sqrt(1 / y1 + 1 / y0) AS s
       UNION ALL
       SELECT 'flag' || g.lv, ln((g.y1 / g.y0) / (base.y1 / base.y0)),
              sqrt(1 / g.y1 + 1 / g.y0 + 1 / base.y1 + 1 / base.y0) FROM g, base WHERE g.lv <> 'A')
-SELECT term, round(exp(b), 6) AS estimate, round(se, 6) AS std_error, round(b / se, 6) AS statistic,
-       round(exp(b - {Z} * se), 6) AS conf_low, round(exp(b + {Z} * se), 6) AS conf_high FROM e""")
+""" + TABLE_SQL)
 def or_table_factor(spark, sf_dir):
     """ST1 + ST2 + CAT4: a 3-level factor term, first level baseline."""
     lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag"]))
@@ -230,12 +266,41 @@ def or_table_subset(spark, sf_dir):
     return _wald_table(lf, spark)
 
 
-@register("or_table_two")
+def _two_term_sql() -> str:
+    """Newton steps on the four cells of two logical terms (y, n per cell),
+    each solved by Cramer's rule, then the table."""
+    p = "(1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))))"
+    sums = (f"sum(n * {p} * (1 - {p})) AS s00, sum(n * {p} * (1 - {p}) * x1) AS s01, "
+            f"sum(n * {p} * (1 - {p}) * x2) AS s02, sum(n * {p} * (1 - {p}) * x1 * x2) AS s12, "
+            f"sum(y - n * {p}) AS g0, sum((y - n * {p}) * x1) AS g1, sum((y - n * {p}) * x2) AS g2")
+    det = "(s00 * (s01 * s02 - s12 * s12) - s01 * (s01 * s02 - s12 * s02) + s02 * (s01 * s12 - s01 * s02))"
+    inv = {"00": "(s01 * s02 - s12 * s12)", "01": "(s02 * s12 - s01 * s02)", "02": "(s01 * s12 - s02 * s01)",
+           "11": "(s00 * s02 - s02 * s02)", "12": "(s01 * s02 - s00 * s12)", "22": "(s00 * s01 - s01 * s01)"}
+    step = [f"({inv['00']} * g0 + {inv['01']} * g1 + {inv['02']} * g2) / {det}",
+            f"({inv['01']} * g0 + {inv['11']} * g1 + {inv['12']} * g2) / {det}",
+            f"({inv['02']} * g0 + {inv['12']} * g1 + {inv['22']} * g2) / {det}"]
+    return f"""
+WITH RECURSIVE cell AS (
+  SELECT CAST(l_returnflag = 'R' AS INTEGER) AS x1, CAST(l_discount > 0.05 AS INTEGER) AS x2,
+         CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS n
+  FROM lineitem GROUP BY 1, 2),
+it(i, b0, b1, b2) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, b0 + {step[0]}, b1 + {step[1]}, b2 + {step[2]}
+  FROM (SELECT i, b0, b1, b2, {sums} FROM it, cell WHERE i < 30 GROUP BY i, b0, b1, b2)),
+fin AS (SELECT b0, b1, b2, {sums} FROM it, cell WHERE i = 30 GROUP BY b0, b1, b2),
+e AS (SELECT '(Intercept)' AS term, b0 AS b, sqrt({inv['00']} / {det}) AS se FROM fin
+      UNION ALL SELECT 'flag_rTRUE', b1, sqrt({inv['11']} / {det}) FROM fin
+      UNION ALL SELECT 'disc_hiTRUE', b2, sqrt({inv['22']} / {det}) FROM fin)
+""" + TABLE_SQL
+
+
+@register("or_table_two", _two_term_sql())
 def or_table_two(spark, sf_dir):
-    """ST1 + ST2, two terms; full table with p-values and Wald limits (checked
-    by the score equations in the tests)."""
+    """ST1 + ST2, two terms; full table with p-values and Wald limits."""
     lf = fit(build_design(model_frame(spark, sf_dir), "outcome", ["flag_r", "disc_hi"]))
-    return or_table(lf, spark, conf="wald", digits=6)
+    return _wald_table(lf, spark)
 
 
 @register("or_table_profile")

@@ -23,5 +23,5 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all():
-    from . import extracts, tidy, analysis  # noqa: F401  (registration side effect)
+    from . import extracts, tidy, analysis, regression  # noqa: F401  (registration side effect)
     return QUERIES, ORACLES

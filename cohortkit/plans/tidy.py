@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import safe_number, strip_prefix
-from ..operators.flags import (any_of, attach_flags, condition_flags, pattern_flags,
+from ..operators.flags import (any_of, attach_flags, condition_flags, full_join_chain, pattern_flags,
                                prefix_conditions, value_flags)
 from ..operators.frames import key_first, stack_by_name
 from ..operators.lookup import literal_table
 from ..operators.picks import first_by, first_value_many
 from ..session import scratch_path
 from ..sources import exports as X
-from ..sources.sinks import batch_ids, write_table
+from ..sources.sinks import batch_ids, read_bundle, write_bundle, write_table
 from ..sources.tables import canonicalise, load, read_positional, read_topic, schema_of
-from .registry import register
+from .registry import ORACLES, QUERIES, register
 
 # Fixed values of the fixture study.
 MEASURE_EVENTS = {"weight": "purchase", "height": "view", "bmi": "click"}
 HISTORY_PATTERNS = {"a_fib": "purch", "cva": "sign", "pe": "err|vie", "dvt": "cli"}
 CONDITIONS = [("HTN", "Brand#1"), ("DM", "Brand#2"), ("DMcx", "Brand#3")]
 HOME_MEDS = ["purchase", "view", "click"]
-DISCHARGE_MEDS = ["purchase", "view", "click", "signup", "error", "refund", "login", "logout", "search"]
+DISCHARGE_MEDS = ["purchase", "view", "click", "signup", "error", "refund"]      # the last is in no data
 EXCLUDED_ALLERGY = "err"
 ID_PREFIX = "^Customer#"
 BATCH_SIZE = 40
@@ -42,22 +42,24 @@ def _enc_demog(spark, sf_dir):
 @register("patient_table", """
 WITH f AS (SELECT user_id AS id, event_type AS ev, value AS v,
                   row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS LAST, event_id) AS rn
-           FROM events WHERE event_type IN ('purchase', 'view', 'click'))
-SELECT c.c_name AS fin, c.c_mktsegment AS gender, n.n_name AS race,
+           FROM events WHERE event_type = 'click' OR (event_type IN ('purchase', 'view') AND event_id % 5 <> 0))
+SELECT c.c_name AS fin, CAST(20 + c.c_custkey % 70 AS DOUBLE) AS age, c.c_mktsegment AS gender, n.n_name AS race,
        w.v AS weight, h.v AS height, b.v AS bmi
 FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
 LEFT JOIN f w ON w.id = c.c_custkey AND w.ev = 'purchase' AND w.rn = 1
 LEFT JOIN f h ON h.id = c.c_custkey AND h.ev = 'view' AND h.rn = 1
 LEFT JOIN f b ON b.id = c.c_custkey AND b.ev = 'click' AND b.rn = 1""")
 def patient_table(spark, sf_dir):
-    """PL10: demographics left-joined to three first measures (WIN1 x3, JN4).
-    The measure text is parsed with a safe cast (SC14); the three picks are
-    one aggregate."""
+    """PL10: demographics left-joined to three first measures (WIN1 x3, JN4),
+    weight and height in the standard unit only.  The measure text is parsed
+    with a safe cast (SC14); the three picks are one aggregate."""
     m = X.measures(_t(spark, sf_dir, "events")).withColumn("event_result", safe_number("event_result"))
+    std = F.col("event_result_units") == "std"
     picks = first_value_many(m, "encounter_key", ["event_datetime", "event_id"], {
-        out: ("event_result", F.col("event") == ev) for out, ev in MEASURE_EVENTS.items()})
+        out: ("event_result", (F.col("event") == ev) if out == "bmi" else (F.col("event") == ev) & std)
+        for out, ev in MEASURE_EVENTS.items()})
     out = _person_demog(spark, sf_dir).join(picks, "encounter_key", "left")
-    return out.select("fin", "gender", "race", "weight", "height", "bmi")
+    return out.select("fin", "age", "gender", "race", "weight", "height", "bmi")
 
 
 @register("allergy_list", """
@@ -114,7 +116,8 @@ def comorbidity_flags(spark, sf_dir):
     # codes -> conditions on the code dimension (one row per code), then the
     # diagnosis facts join only the codes that have a condition
     part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("diag_code"))
-    coded_parts = prefix_conditions(part, "diag_code", cond).select(F.col("p_partkey").alias("l_partkey"), "condition")
+    coded_parts = prefix_conditions(part, "diag_code", cond, [len(p) for _, p in CONDITIONS]) \
+        .select(F.col("p_partkey").alias("l_partkey"), "condition")
     diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
     coded = diag.join(coded_parts, "l_partkey")
     flags = condition_flags(coded, "encounter_key", "condition", [c for c, _ in CONDITIONS])
@@ -123,6 +126,38 @@ def comorbidity_flags(spark, sf_dir):
     return attach_flags(base, flags, "encounter_key", how="full").select("fin", "htn", "diabetes")
 
 
+# Fixed values of the fixture study: code patterns of the one history table.
+HISTORY_CODES = {"a_fib": "1$", "cva": "2$", "pe": "#[34]", "dvt": "5$"}
+
+
+@register("history_table", """
+WITH d AS (SELECT l.l_orderkey AS id, p.p_brand AS code FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+           WHERE l.l_linestatus = 'F'),
+f AS (SELECT id, bool_or(starts_with(code, 'Brand#1')) AS htn,
+             bool_or(starts_with(code, 'Brand#2') OR starts_with(code, 'Brand#3')) AS diabetes,
+             bool_or(regexp_matches(code, '1$')) AS a_fib, bool_or(regexp_matches(code, '2$')) AS cva,
+             bool_or(regexp_matches(code, '#[34]')) AS pe, bool_or(regexp_matches(code, '5$')) AS dvt
+      FROM d GROUP BY id)
+SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS fin, coalesce(htn, false) AS htn,
+       coalesce(diabetes, false) AS diabetes, coalesce(a_fib, false) AS a_fib, coalesce(cva, false) AS cva,
+       coalesce(pe, false) AS pe, coalesce(dvt, false) AS dvt
+FROM orders o LEFT JOIN f ON f.id = o.o_orderkey""")
+def history_table(spark, sf_dir):
+    """PL12 on one id: hypertension, diabetes and four code flags, joined by a
+    chain of full outer joins (JN6) on the encounter and filled with FALSE."""
+    cond = literal_table(spark, CONDITIONS, "condition string, prefix string")
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("diag_code"))
+    coded_parts = prefix_conditions(part, "diag_code", cond, [len(p) for _, p in CONDITIONS]) \
+        .select(F.col("p_partkey").alias("l_partkey"), "condition")
+    diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
+    groups = condition_flags(diag.join(coded_parts, "l_partkey"), "encounter_key", "condition", [c for c, _ in CONDITIONS])
+    groups = groups.select("encounter_key", F.col("HTN").alias("htn"), any_of(["DM", "DMcx"]).alias("diabetes"))
+    codes = diag.join(part.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
+    flags = pattern_flags(codes, "encounter_key", "diag_code", HISTORY_CODES)
+    chain = full_join_chain([_enc_demog(spark, sf_dir), groups, flags], "encounter_key")
+    return chain.filter(F.col("fin").isNotNull()).select("fin", "htn", "diabetes", *HISTORY_CODES)
+
+
 @register("primary_code", """
 SELECT lpad(CAST(o.o_orderkey AS VARCHAR), 10, '0') AS fin, p.p_brand AS diag_code, p.p_name AS diag_description
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -248,9 +283,9 @@ SELECT event_id, user_id AS encounter_key, event_type AS event,
          AS event_result
 FROM events WHERE event_type IN ('view', 'click', 'purchase')""")
 def topic_scan(spark, sf_dir):
-    """SRC1 + SRC2: events exported as two topic folders with report headers
-    (results as text, some not numeric); one topic is read back by name and
-    its raw headers mapped to canonical names with safe casts."""
+    """SRC1 + SRC2: measures exported as a topic folder with report headers
+    (results as text, some not numeric), found by the topic's name, and the
+    raw headers mapped to canonical names with safe casts."""
     ev = _t(spark, sf_dir, "events")
     text = F.when(F.col("event_type").isin("view", "click"), F.col("value").cast("string")).otherwise(F.lit("n/a"))
     raw = ev.select(F.col("event_id").cast("string").alias("Event Id"),
@@ -258,7 +293,36 @@ def topic_scan(spark, sf_dir):
                     F.col("event_type").alias("Clinical Event"), text.alias("Clinical Event Result"))
     folder = scratch_path(spark, "exports")
     write_table(raw.filter(F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/measures_2024", fmt="csv")
-    write_table(raw.filter(~F.col("Clinical Event").isin(*MEASURE_TYPES)), f"{folder}/allergies_2024", fmt="csv")
     got = read_topic(spark, folder, "measures", schema=schema_of(RAW_MEASURE_HEADERS))
     return canonicalise(got, {"event_id": ("Event Id", "long"), "encounter_key": ("Encounter ID", "long"),
                               "event": "Clinical Event", "event_result": ("Clinical Event Result", "double")})
+
+
+# --- the deliverable (PL18) -------------------------------------------------------
+
+BUNDLE = {"patients": "patient_table", "allergies": "allergy_list", "history": "history_table",
+          "primary diagnosis": "primary_code", "procedures": "procedure_list", "insurance": "plan_list",
+          "home meds": "med_flags_home", "discharge meds": "med_flags_discharge"}
+
+
+@register("tidy_bundle", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, {len(cols)} AS n_columns, '{codec}' AS codec FROM ({ORACLES[q]}) t"
+    for name, q, cols, codec in [
+        ("patients", "patient_table", range(7), "snappy"), ("allergies", "allergy_list", range(2), "snappy"),
+        ("history", "history_table", range(7), "gz"), ("primary diagnosis", "primary_code", range(3), "snappy"),
+        ("procedures", "procedure_list", range(4), "snappy"), ("insurance", "plan_list", range(4), "snappy"),
+        ("home meds", "med_flags_home", range(4), "snappy"), ("discharge meds", "med_flags_discharge", range(7), "snappy")]))
+def tidy_bundle(spark, sf_dir):
+    """PL18 / SNK1-SNK3: the eight tidy tables written as one deliverable, one
+    of them with another codec, and read back: rows, columns and codec."""
+    folder = scratch_path(spark, "bundle")
+    frames = {n: QUERIES[q](spark, sf_dir) for n, q in BUNDLE.items()}
+    paths = write_bundle({n: f for n, f in frames.items() if n != "history"}, folder)
+    paths |= write_bundle({"history": frames["history"]}, folder, compression="gzip")
+    out = None
+    for name, df in read_bundle(spark, paths).items():
+        codec = F.regexp_extract(F.input_file_name(), r"\.(gz|snappy)\.parquet$", 1)
+        row = df.select(codec.alias("codec")).agg(F.count(F.lit(1)).alias("n_rows"), F.max("codec").alias("codec")).select(
+            F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"), "codec")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -12,6 +12,8 @@ Fixed values of the fixture mapping (the DuckDB oracles repeat them):
   diagnosis seq     = 'Primary' for line 1, else 'Secondary'
   med type          = 'Recorded / Home Meds' when props.k is even,
                       else 'Prescription/Discharge Order'
+  person age        = 20 + customer key % 70
+  result unit       = 'alt' when event id % 5 = 0, else 'std'
   allergy status    = 'Inactive' when event id % 7 = 0, else 'Active'
 """
 
@@ -25,10 +27,11 @@ DISCHARGE = "Prescription/Discharge Order"
 
 
 def person_demographics(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """demographics topic, person level: encounter_key, fin, gender, race."""
+    """demographics topic, person level: encounter_key, fin, age, gender, race."""
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("race"))
     return (customer.join(n, "c_nationkey", "left")
             .select(F.col("c_custkey").alias("encounter_key"), F.col("c_name").alias("fin"),
+                    (F.col("c_custkey") % 70 + 20).cast("double").alias("age"),
                     F.col("c_mktsegment").alias("gender"), "race"))
 
 
@@ -42,6 +45,7 @@ def measures(events: DataFrame) -> DataFrame:
     """measures topic: the result is exported as text."""
     return events.select(F.col("user_id").alias("encounter_key"), F.col("event_type").alias("event"),
                          F.col("ts").alias("event_datetime"), F.col("value").cast("string").alias("event_result"),
+                         F.when(F.col("event_id") % 5 == 0, "alt").otherwise("std").alias("event_result_units"),
                          F.col("event_id"))
 
 

@@ -85,7 +85,7 @@ def test_prefix_conditions_equal_startswith(spark):
                                   "id long, code string")
     cond = literal_table(spark, [("DM", "E119"), ("DMcx", "E116"), ("HTN", "I10"), ("ANY_E", "E1")],
                          "condition string, prefix string")
-    got = sorted((r.id, r.condition) for r in prefix_conditions(codes, "code", cond).collect())
+    got = sorted((r.id, r.condition) for r in prefix_conditions(codes, "code", cond, [2, 3, 4]).collect())
     want = sorted((i, c) for i, code in codes.collect() for c, p in cond.collect() if code.startswith(p))
     assert got == want
 

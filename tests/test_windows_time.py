@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cohortkit.functions.text import flag_text

@@ -1,10 +1,12 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from cohortkit.stats.glm import Model, Z975, build_design, fit, fit_many, or_table, profile_limits, solve_models
+import cohortkit.stats.match as M
 from cohortkit.stats.match import linear_predictor, match_pairs, matched_rows, nearest_controls
 from cohortkit.stats.step import backward_aic
 
@@ -141,7 +143,7 @@ def test_matching_equals_serial_greedy(spark, seed, n_case, n_ctl):
     # tied scores on purpose: few distinct values
     rows = [(ids[i], float(rnd.randrange(12)), i < n_case) for i in range(n_case + n_ctl)]
     df = spark.createDataFrame(rows, "id long, score double, t boolean")
-    got = sorted((r.case_id, r.control_id, r.round) for r in match_pairs(df, "t", "score", "id", ratio=2, k0=2).collect())
+    got = sorted((r.case_id, r.control_id, r.round) for r in match_pairs(df, "t", "score", "id", ratio=2).collect())
     want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
     assert got == want
     assert len({c for _, c, _ in got}) == len(got)          # no control reused
@@ -181,27 +183,79 @@ def test_matching_independent_of_partitioning(spark):
     assert out[0] == out[1]
 
 
-@pytest.mark.parametrize("seed,block,k0", [(31, 2, 2), (32, 3, 1), (33, 5, 3)])
-def test_matching_small_blocks_equal_serial_greedy(spark, seed, block, k0):
-    """Tiny blocks force conflicts between blocks through the global merge."""
+def _by_blocks(cases, controls, size):
+    """The matcher's passes without Spark: same blocks, same states, same task function."""
+    rows = sorted([(-s, 0, i, s) for i, s in cases] + [(-s, 1, i, s) for i, s in controls])
+    rank, numbered = 0, []
+    for n, (_, k, i, s) in enumerate(rows):
+        rank += k
+        numbered.append((n // size, k, n + 1, i, s, rank))
+    blocks = []
+    for b in range(numbered[-1][0] + 1 if rows else 0):
+        c = [r for r in numbered if r[0] == b and r[1]]
+        blocks.append(M._Block(sum(r[0] == b and not r[1] for r in numbered), c[0][5] if c else 0, c[-1][5] if c else 0,
+                               max((r[4] for r in c), default=None), min((r[4] for r in c), default=None)))
+    M._mark_shared(blocks)
+    n_ctl = max((b.last for b in blocks), default=0)
+    by_rank = {r[5]: r for r in numbered if r[1]}
+    left, pairs, passes, fed = {}, {}, 0, 0
+    while True:
+        states, todo = M._states(blocks)
+        if not todo:
+            return sorted(x for o in pairs.values() for x in o), passes, fed
+        out = {}
+        for i in todo:
+            (start, top, _), b = states[i], blocks[i]
+            feed = [(i, M.BELOW, d, by_rank[d][3], by_rank[d][4], d <= b.last)
+                    for d in range(start, min(n_ctl, max(b.last, start - 1) + b.n_cases) + 1)]
+            feed += [(i, M.CASE, r[2], r[3], r[4], False) for r in numbered if r[0] == i and not r[1]]
+            at = 0
+            for j, v, first, n in top:
+                feed += [(i, M.ABOVE, at + k, *left[(j, v, first + k)], False) for k in range(n)]
+                at += n
+            fed += len(feed)
+            if feed:
+                out[i] = M._run_block(pd.DataFrame(feed, columns=[c.split()[0] for c in M._IN.split(", ")]))
+        for i in todo:
+            o = out.get(i)
+            M._note(blocks[i], states[i], passes, None if o is None else o[o.kind == M.SUMMARY].iloc[0].to_dict())
+            pairs[i] = [] if o is None else [(int(r.case_id), int(r.control_id)) for r in o[o.kind == M.MATCH].itertuples()]
+            if o is not None:
+                left.update({(i, passes, int(r.ord)): (r.control_id, r.score) for r in o[o.kind == M.LEFT].itertuples()})
+        passes += 1
+
+
+def test_blocks_equal_serial_greedy():
+    """Random cases and controls with many ties, blocks of 1 to 9 rows."""
+    rnd = random.Random(5)
+    for _ in range(250):
+        n, values, share = rnd.randint(1, 40), rnd.choice([3, 8, 30, 1000]), rnd.choice([0.2, 0.5, 0.8])
+        rows = [(i, float(rnd.randrange(values)), rnd.random() < share) for i in range(n)]
+        rnd.shuffle(rows)
+        cases, controls = [(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t]
+        got = _by_blocks(cases, controls, rnd.randint(1, 9))[0]
+        assert got == [(c, k) for c, k, _ in _serial_greedy(cases, controls, 1)]
+
+
+def test_rows_and_passes_stay_bounded_on_ties_and_separated_scores():
+    """2,400 tied cases: what the blocks are fed grows with the rows, not with their square."""
+    rnd = random.Random(6)
+    fed = []
+    for n in (600, 2400):
+        pairs, passes, rows = _by_blocks([(i, 0.5) for i in range(n)], [(n + i, 0.5) for i in range(2 * n)], n // 8)
+        assert len(pairs) == n and passes <= 25
+        fed.append(rows / passes)
+    assert fed[1] <= 4.5 * fed[0]
+    above = _by_blocks([(i, 1 + rnd.random()) for i in range(600)], [(600 + i, rnd.random()) for i in range(1200)], 50)
+    assert above[1] <= 4 and len(above[0]) == 600
+
+
+@pytest.mark.parametrize("seed,rows_n,block_rows", [(31, 45, 4), (32, 45, 7), (41, 20, 3)])
+def test_matching_small_blocks_equal_serial_greedy(spark, seed, rows_n, block_rows):
     rnd = random.Random(seed)
-    rows = [(i, float(rnd.randrange(10)), rnd.random() < 0.3) for i in range(45)]
+    rows = [(i, float(rnd.randrange(10)), i < 14 if seed == 41 else rnd.random() < 0.3) for i in range(rows_n)]
     df = spark.createDataFrame(rows, "id long, score double, t boolean")
     got = sorted((r.case_id, r.control_id, r.round) for r in
-                 match_pairs(df, "t", "score", "id", ratio=2, k0=k0, block=block).collect())
-    want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
-    assert got == want
-
-
-def test_scarce_controls_stop_early(spark, monkeypatch):
-    """Fewer controls than cases: cases that can never win stop as soon as
-    every control is held by a better case; the result is still serial greedy."""
-    import cohortkit.stats.match as M
-    monkeypatch.setattr(M, "EXHAUST_CHECK_K", 1)
-    rnd = random.Random(41)
-    rows = [(i, float(rnd.randrange(8)), i < 14) for i in range(20)]     # 14 cases, 6 controls
-    df = spark.createDataFrame(rows, "id long, score double, t boolean")
-    got = sorted((r.case_id, r.control_id, r.round) for r in
-                 match_pairs(df, "t", "score", "id", ratio=2, k0=1, block=3).collect())
+                 match_pairs(df, "t", "score", "id", ratio=2, block_rows=block_rows).collect())
     want = _serial_greedy([(i, s) for i, s, t in rows if t], [(i, s) for i, s, t in rows if not t], 2)
     assert got == want

@@ -76,6 +76,13 @@ class Automaton:
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.n_words = len(words)
 
+    @classmethod
+    def load(cls, state: dict) -> Automaton:
+        """From a broadcast: plain data, since executors need no copy of this class."""
+        a = cls.__new__(cls)
+        a.__dict__.update(state)
+        return a
+
     def _state(self, size: int, nxt: dict[int, int], link: int) -> int:
         self.next.append(nxt)
         self.size.append(size)
@@ -222,7 +229,7 @@ def automata(benchmark: DataFrame, window: int) -> list:
     for k in range(n):
         rows = items.filter(block == k).distinct().collect()          # about BLOCK_WORDS words
         seqs = [(r["item_id"], normalized(r["text"]).split()) for r in sorted(rows, key=str)]
-        out.append(sc.broadcast(Automaton([s for s in seqs if s[1]], window)))
+        out.append(sc.broadcast(vars(Automaton([s for s in seqs if s[1]], window))))
     return out
 
 
@@ -234,7 +241,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFram
 
     def one(auto) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a = auto.value
+            a = Automaton.load(auto.value)
             for b in batches:
                 texts = [normalized(t) for t in b.column(1).to_pylist()]
                 n, starts, ends, items = [], [], [], []
@@ -291,7 +298,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> D
     autos = automata(benchmark, window)
     for n, auto in enumerate(autos):
         def run(batches: Iterator[pa.RecordBatch], auto=auto) -> Iterator[pa.RecordBatch]:
-            a = auto.value
+            a = Automaton.load(auto.value)
             for b in batches:
                 col = b.column(1).to_pylist()
                 texts = [normalized(t) for t in col]

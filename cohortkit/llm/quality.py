@@ -195,7 +195,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame):
-    """Broadcast (word vectors, network): vectors from all of ``docs``, the network from labelled rows not held out."""
+    """Broadcast (word vectors, weights, prior): vectors from all of ``docs``, the network from labelled rows not held out."""
     spark = docs.sparkSession
     vectors = spark.sparkContext.broadcast(word_vectors(docs))
     known = only(labels, id=F.col("doc_id").cast("long"), quality=F.col("quality").cast("int")) \
@@ -217,7 +217,8 @@ def train(docs: DataFrame, labels: DataFrame):
     got = rows.orderBy(F.xxhash64("id"), "id", "x").limit(SAMPLE).collect()
     x = np.array([np.frombuffer(r["x"], np.float32) for r in got]).reshape(len(got), 3 * DIM)
     net = fit(x, np.array([r["quality"] for r in got], dtype=np.float64))
-    return spark.sparkContext.broadcast((vectors.value, net))
+    # plain data: executors need no copy of the class
+    return spark.sparkContext.broadcast((vectors.value, net.w, net.prior))
 
 
 def scored(texts: DataFrame, model) -> DataFrame:
@@ -227,7 +228,8 @@ def scored(texts: DataFrame, model) -> DataFrame:
     schema = StructType([*(texts.schema[c] for c in names), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, net = model.value
+        vectors, *parts = model.value
+        net = Network(*parts)
         for b in batches:
             x = features([(t or "").encode("utf-8") for t in b.column(b.num_columns - 1).to_pylist()], vectors)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(net.score(x), pa.float64())], [*names, "score"])

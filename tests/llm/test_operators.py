@@ -447,7 +447,7 @@ def test_pipeline_against_brute_force(spark):
     grams = {tuple(s[k:k + 10]) for _, s in items for k in range(max(1, len(s) - 9))}
     for d, t in left.items():
         while True:
-            at = [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)]
+            at = [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))]
             w = [lower(t[a:b]).encode() for a, b in at]
             hit = [False] * len(w)
             for k in range(len(w) - 9):

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _done(edges: DataFrame) -> bool:
+    """Are the edges a forest of stars already: one edge down from every node, to a node without any?"""
+    ends = edges.select(F.col("b").alias("a")).distinct()
+    return edges.groupBy("a").count().filter("count > 1").isEmpty() and edges.join(ends, "a", "left_semi").isEmpty()
 
 
 def _large_star(edges: DataFrame, name: str) -> DataFrame:
@@ -39,14 +39,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long); root is the smallest node reachable."""
     e = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .filter("a <> b").distinct(), name)
-    mark = _mark(e)
-    while mark[0]:
-        large = materialize(_large_star(e, name), name)
-        e = materialize(_small_star(large, name), name)
-        new = _mark(e)
-        if new == mark:
-            break
-        mark = new
+    first = True
+    while not _done(e):
+        # links to a few hubs are nearly stars: the first step is a small one
+        wide = e if first else materialize(_large_star(e, name), name)
+        e = materialize(_small_star(wide, name), name)
+        first = False
     roots = e.select(F.col("b").alias("node")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root")))

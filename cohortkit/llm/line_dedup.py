@@ -7,12 +7,14 @@ Jaccard similarity is computed; distributed union-find joins the verified
 pairs; one line of each component, the first occurrence by (document id,
 text hash, line number), stays.
 
-A bucket of any size is compared without listing all its pairs: its
-smallest line meets every other one (a star); what is left in buckets that
-still hold several components meets further stars, eight times as many in
-every round.  A pair in one bucket stays untested only if its lines are
-already connected, so no link is lost, and near-copies of one line, however
-many, are settled by the first star.
+A bucket of any size is compared without listing all its pairs: its lines
+fall into ``STARS`` parts, and the smallest line of each part meets every
+other line of the bucket that is not connected with it yet.  These hubs are
+then done, and what is left meets further hubs, ``GROWTH`` times as many
+parts in every round, until no pair is left to be tested.  A pair in one
+bucket stays untested only if its lines are already connected, so no link is
+lost, and near-copies of one line, however many, are settled by the first
+hubs.
 
 At a Jaccard similarity of 0.8, 99.7 % of the pairs share a bucket.
 
@@ -38,7 +40,9 @@ from .components import components
 from .words import mix
 
 SHINGLE, ROWS, BANDS, SIMILARITY = 8, 3, 8, 0.8
-GROWTH = 8
+STARS, GROWTH = 4, 16
+#: shingles of lines that a task keeps for its next pairs
+KEPT_SHINGLES = 500_000
 _P = np.uint64(0x100000001B3)
 _CHUNK = 1 << 17
 
@@ -128,6 +132,13 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "h", "no", "id", "bands"])
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, line, size): with the number of different shingles."""
+    for b in batches:
+        sizes = [len(shingles(x)) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes, pa.int64())], ["id", "line", "size"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, line) of the lines of a batch, each once."""
     for b in batches:
@@ -138,19 +149,23 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, set[str]] = {}
+        held = 0
+
+        def of(name: int, line: str) -> set[str]:
+            nonlocal held
+            s = kept.get(name)
+            if s is None:
+                if held > KEPT_SHINGLES:
+                    kept.clear()
+                    held = 0
+                s = kept[name] = shingles(line)
+                held += len(s)
+            return s
+
         for b in batches:
-            kept: dict[str, set[str]] = {}
-
-            def of(line: str) -> set[str]:
-                if line not in kept:
-                    if len(kept) > 256:
-                        kept.clear()
-                    kept[line] = shingles(line)
-                return kept[line]
-
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                ok.append(jaccard(of(x), of(y)) >= similarity)
+            a, c, x, y = (col.to_pylist() for col in b.columns)
+            ok = [jaccard(of(i, u), of(j, v)) >= similarity for i, j, u, v in zip(a, c, x, y)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
@@ -172,29 +187,34 @@ def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMIL
     need = materialize(members.select("id").distinct(), "lines-needed")
     small_batches(spark)
     found = docs.select("text").mapInArrow(_texts, "id long, line string")
-    texts = materialize(found.join(need, "id").groupBy("id").agg(F.any_value("line").alias("line")), "lines-texts")
+    texts = materialize(found.join(need, "id").groupBy("id").agg(F.any_value("line").alias("line"))
+                        .mapInArrow(_sizes, "id long, line string, size long"), "lines-texts")
+    members = materialize(members.join(texts.select("id", "size"), "id").select("band", "id", "size"), "lines-sized")
     comp: DataFrame | None = None
-    left, stars = members, 1
+    left, stars = members, STARS
     while True:
-        of = left if comp is None else left.join(comp.withColumnRenamed("node", "id"), "id", "left")
-        root = F.col("id") if comp is None else F.coalesce("root", "id")
-        of = of.select("band", "id", root.alias("root"))
-        open_ = of.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
-        left = materialize(of.join(materialize(open_, "lines-open"), "band"), "lines-left")
-        if left.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64("id", F.lit(stars)), F.lit(stars))
-        hubs = materialize(left.groupBy("band", salt.alias("s")).agg(F.min_by(F.struct("id", "root"), "id").alias("hub"))
-                           .select("band", F.col("hub.id").alias("hub"), F.col("hub.root").alias("hub_root")), "lines-hubs")
-        pairs = materialize(left.join(hubs, "band").filter("root <> hub_root")
+        if comp is None:
+            rows = left.withColumn("root", F.col("id"))
+        else:
+            known = comp.withColumnRenamed("node", "id")
+            rows = materialize(left.join(known, "id", "left").select("band", "id", "size", F.coalesce("root", "id").alias("root")),
+                               "lines-left")
+        part = F.pmod(F.xxhash64("id", F.lit(stars)), F.lit(stars))
+        hubs = materialize(rows.groupBy("band", part.alias("part")).agg(F.min_by(F.struct("id", "size", "root"), "id").alias("hub"))
+                           .select("band", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size"),
+                                   F.col("hub.root").alias("hub_root")), "lines-hubs")
+        # sets of sizes m <= n have a similarity of m / n at most
+        fits = F.least("size", "hub_size") >= similarity * F.greatest("size", "hub_size")
+        pairs = materialize(rows.join(hubs, "band").filter("root <> hub_root").filter(fits)
                             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(),
                             "lines-pairs")
+        if pairs.isEmpty():
+            break
         links = verified_links(pairs, texts, similarity)
         if comp is not None:
             links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        comp = materialize(components(links, "lines-components"), "lines-comp")
-        used = hubs.select("band", F.col("hub").alias("id"))
-        left = materialize(left.select("band", "id").join(used, ["band", "id"], "left_anti"), "lines-left")
+        comp = components(links, "lines-components")
+        left = rows.select("band", "id", "size").join(hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti")
         stars *= GROWTH
     return comp if comp is not None else members.select(F.col("id").alias("node"), F.col("id").alias("root"))
 

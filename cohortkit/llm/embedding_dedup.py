@@ -5,7 +5,8 @@ transform; the coordinate of largest magnitude (with its sign) is one hash.
 A table joins ``HASHES`` of them, and a vector goes into the ``PROBES`` most
 likely buckets of each of ``TABLES`` tables.  Pairs that meet in a bucket are
 verified by their cosine in double precision; a pair is counted only in the
-smallest bucket the two share, so no list of pairs is made.  Equal vectors
+first bucket the two share (a row carries its bucket keys, in the order of
+the tables), so no list of pairs is made.  Equal vectors
 are one class with a count.  A bucket of any size is compared in blocks of
 bounded size, dealt out as (bucket, block, block).
 
@@ -34,6 +35,8 @@ from .components import components
 from .words import mix
 
 TABLES, HASHES, PROBES, SEED = 8, 3, 4, 42
+#: a key holds its table above so many bits
+TABLE_SHIFT = 58
 #: vectors of a bucket compared at once, about
 BLOCK = 1024
 
@@ -56,7 +59,7 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 
 def buckets(u: np.ndarray) -> np.ndarray:
-    """Bucket keys (rows, TABLES, PROBES), int64, different in one row."""
+    """Bucket keys (rows, TABLES, PROBES), int64; the table stands in the high bits."""
     n, dim = u.shape
     d = 1 << max(1, (dim - 1).bit_length())
     padded = np.zeros((n, d))
@@ -83,6 +86,7 @@ def buckets(u: np.ndarray) -> np.ndarray:
         key = np.full((n, best.shape[1]), t * 8192 + dim, np.uint64)
         for k in range(HASHES):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + code[:, k][rows, picks[best, k]] + np.uint64(1))
+        key = np.uint64(t << TABLE_SHIFT) | key >> np.uint64(64 - TABLE_SHIFT)
         out[:, t] = key[:, np.arange(PROBES) % key.shape[1]]
     return out.view(np.int64)
 
@@ -110,22 +114,26 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fresh = np.ones_like(order, bool)
             fresh[:, 1:] = order[:, 1:] != order[:, :-1]
             row, _ = np.nonzero(fresh)
+            own = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), TABLES * PROBES).cast(pa.list_(pa.int64()))
             take = pa.array(at[row])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(order[fresh]), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take)],
-                ["key", "cls", "n", "vec"])
+                [pa.array(order[fresh]), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take),
+                 own.take(pa.array(row))], ["key", "cls", "n", "vec", "keys"])
 
 
-def _first_common(u: np.ndarray, i: np.ndarray, j: np.ndarray, key: int) -> np.ndarray:
-    """Is ``key`` the smallest bucket that the rows i and j share?"""
-    own = np.unique(np.concatenate([i, j]))
-    b = buckets(u[own])
-    at, to = np.searchsorted(own, i), np.searchsorted(own, j)
+def _first_common(own: np.ndarray, i: np.ndarray, j: np.ndarray, key: int) -> np.ndarray:
+    """Is ``key`` the first bucket that the rows i and j share?  ``own``: (rows, TABLES, PROBES)."""
     first = np.ones(len(i), bool)
-    for t in range(TABLES):
-        x, y = b[:, t][at], b[:, t][to]
-        same = (x[:, :, None] == y[:, None, :]) & (x < key)[:, :, None]
-        first &= ~same.any(axis=(1, 2))
+    left = np.arange(len(i))
+    last = key >> TABLE_SHIFT
+    for t in range(last + 1):
+        x, y = own[i[left], t], own[j[left], t]
+        same = x[:, :, None] == y[:, None, :]
+        if t == last:
+            same &= (x < key)[:, :, None]
+        shared = same.any(axis=(1, 2))
+        first[left[shared]] = False
+        left = left[~shared]
     return first
 
 
@@ -144,11 +152,12 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _compare(key: int, p: int, q: int, cls: np.ndarray, n: np.ndarray, side: np.ndarray,
-             vec: list, cosine: float) -> tuple[np.ndarray, ...] | None:
+             vec: list, own: np.ndarray, cosine: float) -> tuple[np.ndarray, ...] | None:
     """(cls, links, root) of the rows of one block pair that have a link."""
     sizes = np.array([len(v) for v in vec])
     if (sizes != sizes[0]).any():                    # a key shared by chance: each length by itself
-        parts = [_compare(key, p, q, cls[m], n[m], side[m], [vec[k] for k in np.flatnonzero(m)], cosine)
+        parts = [_compare(key, p, q, cls[m], n[m], side[m], [vec[k] for k in np.flatnonzero(m)],
+                          own[m], cosine)
                  for m in (sizes == s for s in np.unique(sizes))]
         parts = [x for x in parts if x]
         return tuple(np.concatenate(x) for x in zip(*parts)) if parts else None
@@ -161,7 +170,7 @@ def _compare(key: int, p: int, q: int, cls: np.ndarray, n: np.ndarray, side: np.
     if len(i) == 0:
         return None
     root = _forest(len(cls), i, j)
-    counted = np.concatenate([_first_common(u, i[k:k + 65536], j[k:k + 65536], key) for k in range(0, len(i), 65536)])
+    counted = np.concatenate([_first_common(own, i[k:k + 65536], j[k:k + 65536], key) for k in range(0, len(i), 65536)])
     i, j = i[counted], j[counted]
     links = np.bincount(i, n[j], len(cls)) + np.bincount(j, n[i], len(cls))
     some = np.flatnonzero((links > 0) | (root != np.arange(len(cls))))
@@ -182,16 +191,16 @@ def linked(cosine: float):
             big = np.flatnonzero(np.diff(done) > 1)
             if len(big):
                 cls, n, side = (t.column(c).to_numpy() for c in ("cls", "n", "side"))
-                vec = t.column("vec")
+                vec, keys = t.column("vec"), t.column("keys")
                 for g in big:
                     a, z = int(done[g]), int(done[g + 1])
-                    v = vec.slice(a, z - a).combine_chunks()
-                    parts = _lists(v if isinstance(v, pa.Array) else v.chunk(0))
+                    parts = _lists(pa.concat_arrays(vec.slice(a, z - a).chunks))
                     rows = [None] * (z - a)
                     for at, m in parts:
                         for x, y in zip(at, m):
                             rows[x] = y
-                    got = _compare(int(k[a]), int(p[a]), int(q[a]), cls[a:z], n[a:z], side[a:z], rows, cosine)
+                    own = pa.concat_arrays(keys.slice(a, z - a).chunks).flatten().to_numpy().reshape(-1, TABLES, PROBES)
+                    got = _compare(int(k[a]), int(p[a]), int(q[a]), cls[a:z], n[a:z], side[a:z], rows, own, cosine)
                     if got:
                         out.append(got)
             return out, t.slice(int(done[-1]))
@@ -219,21 +228,22 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame
     """(vec_id, n_links, component_id, kept), one row per vector."""
     spark = vectors.sparkSession
     small_batches(spark, 4096)
-    rows = only(vectors, vec_id=F.col("vec_id").cast("long"), e=F.col("embedding").cast("array<double>"))
-    sound = (F.size("e") > 0) & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) \
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = only(vectors, vec_id=F.col("vec_id").cast("long"), e=F.col("embedding").cast(kind))
+    sound = (F.size("e") > 0) & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x).cast("double") < F.lit(float("inf")))) \
         & F.exists("e", lambda x: x != 0)
     rows = rows.withColumn("cls", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("e")))
     classes = materialize(rows.filter("cls is not null").groupBy("cls").agg(
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("e").alias("e")), "vec-classes")
     placed = materialize(classes.select("cls", "n", F.col("e").alias("vec"))
-                         .mapInArrow(_bucket_rows, "key long, cls long, n long, vec array<double>"), "vec-buckets")
+                         .mapInArrow(_bucket_rows, f"key long, cls long, n long, vec {kind}, keys array<long>"), "vec-buckets")
     many = materialize(placed.groupBy("key").count().filter("count > 1").select(
         "key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "vec-shared")
     blocks = (placed.join(many, "key")
               .withColumn("side", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
-                      "side", "cls", "n", "vec"))
+                      "side", "cls", "n", "vec", "keys"))
     found = materialize(blocks.repartition(width(spark), "key", "p", "q").sortWithinPartitions("key", "p", "q")
                         .mapInArrow(linked(cosine), "cls long, links long, root long"), "vec-links")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))

@@ -3,7 +3,7 @@ order with :func:`..operators.ordering.positions`, not in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

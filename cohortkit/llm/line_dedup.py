@@ -11,10 +11,10 @@ A bucket of any size is compared without listing all its pairs: its lines
 fall into ``STARS`` parts, and the smallest line of each part meets every
 other line of the bucket that is not connected with it yet.  These hubs are
 then done, and what is left meets further hubs, ``GROWTH`` times as many
-parts in every round, until no pair is left to be tested.  A pair in one
-bucket stays untested only if its lines are already connected, so no link is
-lost, and near-copies of one line, however many, are settled by the first
-hubs.
+parts in every round, until no bucket has lines left that are not connected.
+A pair in one bucket stays untested only if its lines are already connected
+or their sizes exclude the similarity, so no link is lost, and near-copies of
+one line, however many, are settled by the first hubs.
 
 At a Jaccard similarity of 0.8, 99.7 % of the pairs share a bucket.
 
@@ -197,8 +197,12 @@ def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMIL
             rows = left.withColumn("root", F.col("id"))
         else:
             known = comp.withColumnRenamed("node", "id")
-            rows = materialize(left.join(known, "id", "left").select("band", "id", "size", F.coalesce("root", "id").alias("root")),
-                               "lines-left")
+            rows = left.join(known, "id", "left").select("band", "id", "size", F.coalesce("root", "id").alias("root"))
+            open_ = materialize(rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                                .filter("lo < hi").select("band"), "lines-open")
+            if open_.isEmpty():
+                break
+            rows = materialize(rows.join(open_, "band"), "lines-left")
         part = F.pmod(F.xxhash64("id", F.lit(stars)), F.lit(stars))
         hubs = materialize(rows.groupBy("band", part.alias("part")).agg(F.min_by(F.struct("id", "size", "root"), "id").alias("hub"))
                            .select("band", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size"),
@@ -208,15 +212,15 @@ def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMIL
         pairs = materialize(rows.join(hubs, "band").filter("root <> hub_root").filter(fits)
                             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(),
                             "lines-pairs")
-        if pairs.isEmpty():
-            break
-        links = verified_links(pairs, texts, similarity)
-        if comp is not None:
-            links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        comp = components(links, "lines-components")
+        # no pair in this round says nothing about the rows that were no hubs
+        if comp is None or not pairs.isEmpty():
+            links = verified_links(pairs, texts, similarity)
+            if comp is not None:
+                links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            comp = components(links, "lines-components")
         left = rows.select("band", "id", "size").join(hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti")
         stars *= GROWTH
-    return comp if comp is not None else members.select(F.col("id").alias("node"), F.col("id").alias("root"))
+    return comp
 
 
 def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

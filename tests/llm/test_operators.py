@@ -170,6 +170,21 @@ def test_line_dedup_of_many_near_copies(spark):
     assert got[0].count("\n") == 1 and all(t.startswith("own line") for d, t in got.items() if d)
 
 
+def test_line_components_of_two_sizes_in_crowded_buckets(spark):
+    # the hubs of every round but the last are long lines, whose size excludes the short ones
+    long, short = ("".join(hashlib.md5(f"{k}{i}".encode()).hexdigest() for i in range(n)) for k, n in (("l", 8), ("s", 4)))
+    longs = [f"{long}{i:04d}" for i in range(600)]
+    top = max(line_dedup.line_id(x) for x in longs)
+    shorts = [x for x in (f"{short}{i:04d}" for i in range(20_000)) if line_dedup.line_id(x) > top][:5]
+    assert len(shorts) == 5
+    lines = spark.createDataFrame([(line_dedup.line_id(x), [1, 2]) for x in longs + shorts],
+                                  "id long, bands array<long>")
+    docs = spark.createDataFrame([(1, "\n".join(longs + shorts))], "doc_id long, text string")
+    root = {r["node"]: r["root"] for r in line_dedup.line_components(lines, docs).collect()}
+    for group in (longs, shorts):
+        assert {root.get(line_dedup.line_id(x)) for x in group} == {min(map(line_dedup.line_id, group))}
+
+
 def test_line_dedup_odd(odd, none):
     out = {r["doc_id"]: r for r in line_dedup.line_dedup(odd).collect()}
     assert line_dedup.line_dedup(odd).columns == odd.columns and line_dedup.line_dedup(odd).count() == len(ROWS)

@@ -9,7 +9,9 @@ item, are skipped by numpy before the automaton sees them.
 
 Test items are taken in blocks of bounded word count (by item hash); each
 block's automaton is broadcast and sees all documents, so the broadcast does
-not grow with the benchmark.
+not grow with the benchmark.  Spans of all blocks are cut together, and texts
+that were cut are looked at again, so the cut texts do not depend on the
+blocks.
 
 Defined results: null or wordless texts have no words, no hits; wordless or
 null items have no window; an item without id hits but is not listed;
@@ -19,12 +21,13 @@ rows or no hits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from .common import materialize, only, small_batches, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, keys, normalized
@@ -210,14 +213,30 @@ class Automaton:
             _, starts, ends, _, b, doc = self.match([normalized(text)])[0]
             if len(starts) == 0:
                 break
-            keep, at, base = [], 0, int(b.first[doc])
-            for x, y in zip(starts.tolist(), ends.tolist()):
-                keep.append(raw[at:b.starts[base + x]])
-                at = int(b.ends[base + y - 1])
-            text = b"".join([*keep, raw[at:]]).decode("utf-8")
+            text = without(raw, b, int(b.first[doc]), zip(starts.tolist(), ends.tolist()))
         return text
 
 
+def without(raw: bytes, b: WordBatch, base: int, spans: Iterable[tuple[int, int]]) -> str:
+    """The text without the spans (ordered, apart); its words are those of ``b`` from ``base``."""
+    keep, at = [], 0
+    for x, y in spans:
+        keep.append(raw[at:b.starts[base + x]])
+        at = int(b.ends[base + y - 1])
+    return b"".join([*keep, raw[at:]]).decode("utf-8")
+
+
+def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that meet or overlap as one, ordered."""
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and x <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], y))
+        else:
+            out.append((x, y))
+    return out
+
+
 def automata(benchmark: DataFrame, window: int) -> list:
     """Broadcast automata of bounded blocks of items."""
     sc = benchmark.sparkSession.sparkContext
@@ -294,20 +313,66 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> D
     (``n_chars``, where there is one, follows the text)."""
     small_batches(docs.sparkSession)
     rows = wrapped(docs, text="text")
-    schema = rows.schema
     autos = automata(benchmark, window)
-    for n, auto in enumerate(autos):
-        def run(batches: Iterator[pa.RecordBatch], auto=auto) -> Iterator[pa.RecordBatch]:
+    if len(autos) > 1:
+        return unwrapped(_cut_by_blocks(rows, autos), docs, "text")
+    auto = autos[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = Automaton.load(auto.value)
+        for b in batches:
+            col = b.column(1).to_pylist()
+            texts = [normalized(t) for t in col]
+            for x, y in groups_by_size(texts):
+                for i, (_, starts, *_rest) in enumerate(a.match(texts[x:y]), x):
+                    if len(starts):
+                        col[i] = a.cleaned(col[i])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], ["_row", "text"])
+    return unwrapped(rows.mapInArrow(run, rows.schema), docs, "text")
+
+
+def _cut_by_blocks(rows: DataFrame, autos: list) -> DataFrame:
+    """As ``cleaned``, one automaton in a task at a time: the spans of all blocks are found in the same
+    text and cut together; texts that were cut go through all blocks again, until none is."""
+    spans = ArrayType(IntegerType())
+    schema = StructType([*rows.schema.fields, StructField("starts", spans), StructField("ends", spans)])
+    names = schema.names
+
+    def find(auto):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = Automaton.load(auto.value)
             for b in batches:
-                col = b.column(1).to_pylist()
-                texts = [normalized(t) for t in col]
+                starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
+                texts = [normalized(t) for t in b.column(1).to_pylist()]
                 for x, y in groups_by_size(texts):
-                    for i, (_, starts, *_rest) in enumerate(a.match(texts[x:y]), x):
-                        if len(starts):
-                            col[i] = a.cleaned(col[i])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], ["_row", "text"])
-        rows = rows.mapInArrow(run, schema)
-        if n + 1 < len(autos):
-            rows = materialize(rows, "decontaminate-block")    # one automaton in a task at a time
-    return unwrapped(rows, docs, "text")
+                    for i, (_, s, e, *_rest) in enumerate(a.match(texts[x:y]), x):
+                        starts[i] += s.tolist()
+                        ends[i] += e.tolist()
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(starts, pa.list_(pa.int32())),
+                                                  pa.array(ends, pa.list_(pa.int32()))], names)
+        return run
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column(1).to_pylist()
+            for i, (s, e) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
+                if s:
+                    col[i] = without(col[i].encode("utf-8"), WordBatch([normalized(col[i])]), 0, joined(zip(s, e)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], names[:2])
+
+    done = []
+    plain = rows.schema
+    while True:
+        none = F.array().cast(spans)
+        rows = rows.withColumns({"starts": none, "ends": none})
+        for auto in autos:
+            rows = materialize(rows.mapInArrow(find(auto), schema), "decontaminate-block")
+        done.append(rows.filter(F.size("starts") == 0).select(*names[:2]))
+        rows = rows.filter(F.size("starts") > 0)
+        if rows.isEmpty():
+            break
+        rows = materialize(rows.mapInArrow(cut, plain), "decontaminate-cut")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out

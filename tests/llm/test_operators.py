@@ -422,6 +422,21 @@ def test_decontamination_in_blocks_of_items(spark, odd, items, monkeypatch):
     assert {r["doc_id"]: r["text"] for r in decontaminate.decontaminated(odd, items).collect()}[8] == "intro  outro"
 
 
+def test_decontaminated_text_does_not_depend_on_the_blocks(spark, monkeypatch):
+    # windows that only a cut of another block joins, in every order, and windows of two blocks that overlap
+    seq = [[f"{k}{i}" for i in range(12)] for k in "abcdef"]
+    items = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(seq)] + [(9, " ".join(seq[0][6:] + seq[1][:6]))],
+                                  "item_id long, text string")
+    texts = [" ".join(["in", *x[:5], *y, *x[5:], "out"]) for x in seq for y in seq if x is not y]
+    texts += [" ".join(["in", *seq[0], *seq[1], "out"]), " ".join(["in", *seq[0][:5], *seq[1][:5], *seq[2], *seq[1][5:], *seq[0][5:], "out"]),
+              None, "nothing to cut", "in out"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one = rows_of(decontaminate.decontaminated(docs, items, 10))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 5)
+    assert len(decontaminate.automata(items, 10)) > 2
+    assert rows_of(decontaminate.decontaminated(docs, items, 10)) == one
+
+
 # -- SQL and pipeline -----------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))

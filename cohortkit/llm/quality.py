@@ -12,8 +12,10 @@ its probabilities.
 
 Scores depend on the text alone.  Defined results: null and empty texts get
 the score of the zero vector; labels without id or quality, and documents
-without label, teach nothing; without both labels to learn from, every score
-is the share of label 1 (0.5 without labels); no rows give no rows.
+without label, teach nothing; fewer than ``FEW`` labelled rows are all fitted
+on, from the share of label 1 and with strong weight decay, without a
+temperature; without both labels to learn from, every score is the share of
+label 1 (0.5 without labels); no rows give no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from .words import eight, groups_by_size, keys
 BUCKETS, DIM, NONZERO, WINDOW = 8192, 64, 2, 2
 SAMPLE, HIDDEN, EPOCHS, SEED = 20_000, 32, 60, 7
 THRESHOLD = 0.7
+#: labelled rows below which none are held out for the temperature
+FEW = 10
 
 #: 0: white space and control, 1: digit, 2: letter or beyond ASCII, 3: other marks
 _KIND = np.array([0 if b <= 0x20 or b == 0x7F else 1 if 0x30 <= b <= 0x39 else
@@ -153,15 +157,22 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray) -> Network:
     prior = float(y.mean()) if len(y) else 0.5
-    if len(y) < 10 or y.min() == y.max():
+    if len(y) == 0 or y.min() == y.max():
         return Network(None, prior)
+    few = len(y) < FEW
+    decay = 1e-1 if few else 1e-4
     r = np.random.default_rng(SEED)
     order = r.permutation(len(y))
-    held, train = order[:max(1, len(y) // 5)], order[max(1, len(y) // 5):]
+    n_held = 0 if few else max(1, len(y) // 5)
+    held, train = order[:n_held], order[n_held:]
     x = x.astype(np.float64)
     w = {"mean": x[train].mean(axis=0), "scale": x[train].std(axis=0) + 1e-6,
          "a": r.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), "p": np.zeros(HIDDEN),
          "b": r.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), "q": np.zeros(()), "temperature": np.ones(())}
+    if few:
+        # a feature that hardly differs in a few rows says nothing; the score starts at the share of label 1
+        w["scale"] = np.maximum(w["scale"], max(float(w["scale"].mean()), 0.01))
+        w["b"], w["q"] = np.zeros(HIDDEN), np.array(np.log(prior / (1 - prior)))
     z = (x - w["mean"]) / w["scale"]
     names = ("a", "p", "b", "q")
     m1, m2 = ({k: np.zeros_like(w[k]) for k in names} for _ in range(2))
@@ -173,13 +184,15 @@ def fit(x: np.ndarray, y: np.ndarray) -> Network:
             h = np.tanh(z[i] @ w["a"] + w["p"])
             e = (sigmoid(h @ w["b"] + w["q"]) - y[i]) / len(i)
             back = np.outer(e, w["b"]) * (1 - h * h)
-            grad = {"a": z[i].T @ back + 1e-4 * w["a"], "p": back.sum(axis=0), "b": h.T @ e + 1e-4 * w["b"], "q": e.sum()}
+            grad = {"a": z[i].T @ back + decay * w["a"], "p": back.sum(axis=0), "b": h.T @ e + decay * w["b"], "q": e.sum()}
             step += 1
             for k in names:
                 m1[k] = 0.9 * m1[k] + 0.1 * grad[k]
                 m2[k] = 0.999 * m2[k] + 0.001 * grad[k] ** 2
                 w[k] = w[k] - 2e-3 * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)
     net = Network(w, prior)
+    if few:
+        return net
     logit = net.logit(x[held])
     grid = np.exp(np.linspace(np.log(0.25), np.log(8), 61))
     loss = [-np.mean(np.log(np.clip(np.where(y[held] == 1, sigmoid(logit / t), sigmoid(-logit / t)), 1e-9, 1))) for t in grid]

@@ -284,6 +284,21 @@ def test_quality_learns_and_ignores_held_out_labels(spark):
     assert all(abs(again[d] - r["score"]) < 1e-9 for d, r in out.items())
 
 
+def test_quality_learns_from_few_rows():
+    r = np.random.default_rng(1)
+    for n in (2, 4, 9):
+        y = np.arange(n) % 2.0
+        side = np.where(np.arange(3 * quality.DIM) % 2, 1, -1) * 0.1
+        def some(y):
+            return np.outer(2 * y - 1, side) + r.normal(0, 0.02, (len(y), 3 * quality.DIM))
+        net = quality.fit(some(y), y)
+        new = np.arange(40) % 2.0
+        score = net.score(some(new))
+        assert score[new == 1].min() > 0.5 > score[new == 0].max(), n
+    assert (quality.fit(np.zeros((4, 3 * quality.DIM)), np.array([0, 1, 1, 1.0])).score(some(new)) > 0.5).all()
+    assert (quality.fit(some(np.ones(3)), np.ones(3)).score(some(new)) == 1).all()
+
+
 def test_quality_odd(spark, odd, none, labels):
     out = quality.quality_report(odd, labels).collect()
     assert len(out) == len(ROWS) and all(0 <= r["score"] <= 1 for r in out)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import fill, first_true, is_one, present, safe_number, strip_prefix, title_case, to_missing
 from ..operators.frames import frame_summary, level_summary, map_columns, map_type
-from ..operators.recode import dummies, level_table
+from ..operators.recode import dummies, level_table, levels
 from ..sources.tables import load
 from ..stats.glm import build_design, fit, or_table
 from ..stats.match import match_pairs, matched_rows, propensity
@@ -147,9 +147,10 @@ SELECT c_custkey, """ + ", ".join(
     + " FROM customer")
 def dummy_columns(spark, sf_dir):
     """CAT4: treatment dummies, first level (forced: AUTOMOBILE) is the
-    baseline and gets no column."""
+    baseline and gets no column.  The levels are those of the table (CAT2)."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return dummies(c, "c_mktsegment", ["AUTOMOBILE", *SEGMENTS_OTHER])
+    out = dummies(c, "c_mktsegment", levels(c, "c_mktsegment", by="freq", first="AUTOMOBILE"))
+    return out.select("c_custkey", *sorted(x for x in out.columns if x != "c_custkey"))
 
 
 def _summary_sql():

@@ -70,3 +70,12 @@ def test_backward_search_keeps_some_terms_and_drops_others(spark):
     from cohortkit.plans.regression import MODEL_TERMS, subset_search
     lf = subset_search(spark, "/root/testdata/sf0.01")
     assert {"pmh_dm", "age"} <= set(lf.terms) and len(MODEL_TERMS) - len(lf.terms) >= 2
+
+
+def test_dummy_columns_of_a_further_segment(spark, tmp_out):
+    c = spark.createDataFrame([(1, "AUTOMOBILE"), (2, "BUILDING"), (3, "MARINE"), (4, None)],
+                              "c_custkey long, c_mktsegment string")
+    c.write.parquet(f"{tmp_out}/customer.parquet")
+    out = QUERIES["dummy_columns"](spark, tmp_out)
+    assert out.columns == ["c_custkey", "c_mktsegment_BUILDING", "c_mktsegment_MARINE"]
+    assert sorted(map(tuple, out.collect())) == [(1, 0, 0), (2, 1, 0), (3, 0, 1), (4, None, None)]

@@ -75,10 +75,15 @@ def prefix_conditions(codes: DataFrame, code_col: str, conditions: DataFrame, le
     """AGG4: map each code to the named condition groups whose prefix it starts
     with.  Prefixes of the code are generated for the prefix ``lengths`` the
     caller names, then equi-joined -- no nested-loop ``startswith`` join.
+    A prefix of another length raises an error when the query runs.
     Returns the code rows x matching conditions (codes with no condition drop
     out)."""
-    cond = conditions.select(F.col(prefix_col).alias("__prefix"), F.col(condition_col))
-    exploded = codes.withColumn("__len", F.explode(F.array(*[F.lit(n) for n in sorted(set(lengths))])))
+    lengths = sorted(set(lengths))
+    p = F.col(prefix_col)
+    unnamed = F.raise_error(F.concat(F.lit(f"prefix of a length not in {lengths}: "), p))
+    cond = conditions.select(F.when(~F.length(p).isin(lengths), unnamed).otherwise(p).alias("__prefix"),
+                             F.col(condition_col))
+    exploded = codes.withColumn("__len", F.explode(F.array(*[F.lit(n) for n in lengths])))
     exploded = exploded.withColumn("__prefix", F.expr(f"substring(`{code_col}`, 1, __len)"))
     exploded = exploded.filter(F.length(F.col(code_col)) >= F.col("__len"))
     return exploded.join(cond, "__prefix").drop("__prefix", "__len")

@@ -2,6 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from cohortkit.operators.cohort import by_ids, by_procedure, code_set, tag_groups, union_cohorts
 from cohortkit.operators.flags import (attach_flags, full_join_chain, pattern_flags, prefix_conditions,
                                        value_flags)
@@ -90,6 +92,13 @@ def test_prefix_conditions_equal_startswith(spark):
     assert got == want
 
 
+def test_prefix_conditions_of_a_length_not_named(spark):
+    codes = spark.createDataFrame([(1, "E119"), (2, "I10")], "id long, code string")
+    cond = literal_table(spark, [("DM", "E119"), ("HTN", "I10")], "condition string, prefix string")
+    with pytest.raises(Exception, match="length"):
+        prefix_conditions(codes, "code", cond, [3]).collect()
+
+
 def test_in_codes_list_and_table_agree(spark):
     from cohortkit.operators.predicates import complete, in_codes
     df = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (4, "a", 4.0)],

@@ -8,7 +8,8 @@ diagonal has all its votes.  Words left out or put in shift a passage to a
 neighbouring diagonal, so diagonals a few words apart are merged, and the
 merged span is verified: enough of the template's grams, in a span about as
 long as the template.  A second hash of the gram, carried in the row, checks
-the first.
+the first.  A notice that stands whole on one diagonal is a span by itself;
+only partial diagonals are merged.
 
 The template table is a constant of this module, so its broadcast is bounded.
 
@@ -150,11 +151,15 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
     exact = votes.filter(F.col("base") & (F.col("votes") == full)).select(
         "row", "template", "label", F.lit(True).alias("exact"), F.col("diagonal").alias("start"),
         (F.col("diagonal") + F.col("size")).alias("end"), F.lit(1.0).alias("coverage"))
+    # a notice that is all there on one diagonal is a span of its own
+    whole = votes.filter(~F.col("base") & (F.col("votes") == full)).select(
+        "row", "template", "label", F.lit(False).alias("exact"), F.col("diagonal").alias("start"),
+        (F.col("diagonal") + F.col("size")).alias("end"), F.lit(1.0).alias("coverage"))
     # one document and template at a time: neighbours by diagonal, near each other in the text
     w = Window.partitionBy("row", "template").orderBy("diagonal", "lo")
     near = (F.col("diagonal") - F.lag("diagonal").over(w) <= DRIFT) & \
         (F.col("lo") - F.lag("hi").over(w) <= F.col("size")) & (F.lag("lo").over(w) - F.col("hi") <= F.col("size"))
-    merged = (votes.filter(~F.col("base"))
+    merged = (votes.filter(~F.col("base") & (F.col("votes") < full))
               .withColumn("new", (~F.coalesce(near, F.lit(False))).cast("int"))
               .withColumn("span", F.sum("new").over(w))
               .groupBy("row", "template", "label", "size", "span")
@@ -163,7 +168,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
     fuzzy = merged.withColumn("coverage", coverage).filter(
         (F.col("coverage") >= COVERAGE) & (F.col("end") - F.col("start") <= 1.5 * F.col("size"))).select(
         "row", "template", "label", F.lit(False).alias("exact"), "start", "end", "coverage")
-    return hits.filter("template is null").select("row", "doc_id", "n_words"), exact.unionByName(fuzzy)
+    return hits.filter("template is null").select("row", "doc_id", "n_words"), exact.unionByName(whole).unionByName(fuzzy)
 
 
 def license_report(docs: DataFrame) -> DataFrame:

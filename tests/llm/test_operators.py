@@ -127,6 +127,16 @@ def test_license_notice_with_changes(spark):
     assert got[2]["labels"] == "" and got[2]["score"] == 0
 
 
+def test_license_notice_back_to_back(spark):
+    text = "All rights reserved. All rights reserved."
+    long = next(t for t, label in license_scan.NOTICES.items() if label == "apache-2.0")
+    docs = spark.createDataFrame([(1, text), (2, f"{text} page 2 {text}"), (3, f"{long} {long}"), (4, "all rights")],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.license_report(docs).collect()}
+    assert got[1] == got[2] == ("all-rights-reserved", 1.0) and got[4] == ("", 0.0)
+    assert got[3][1] == 1.0 and "apache-2.0" in got[3][0].split(",")
+
+
 # -- op3 ----------------------------------------------------------------------
 
 def brute_lines(docs, similarity=0.8):

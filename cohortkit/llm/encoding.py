@@ -5,7 +5,8 @@ follows other text, and between an ASCII letter and a punctuation mark that
 is no apostrophe.  Pieces are encoded by the ``tokenizers`` library, kept in
 a bounded table per worker, and the ids of a batch are put together by numpy.
 Texts with white space beyond ASCII or with ``<|`` (special tokens) are
-encoded whole.  Tokenizers of another kind are always used whole.
+encoded whole.  Tokenizers of another kind are always used whole, and so are
+the texts of a batch in which two different pieces share a 64-bit key.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import sys
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .words import eight, groups_by_size, keys
+from .words import LONG_WORD, _MASKS, eight, groups_by_size, keys
 
 #: distinct pieces kept per worker before the table is started anew
 MAX_PIECES = 600_000
@@ -101,30 +102,33 @@ class Encoder:
         at = np.flatnonzero(start)
         return at, np.append(at[1:], len(buf))
 
-    def _add(self, pieces: list[bytes]) -> None:
+    def _ids(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(pieces in the order of their ids, ids, ids per piece)."""
         plain, other = [], []
         full = _PLAIN[self.kind].fullmatch
         for p in pieces:
             (plain if full(p.decode("utf-8")) else other).append(p)
         found: list[np.ndarray] = []
-        order = plain + other
+        sizes: list[np.ndarray] = []
         if plain:
             joined = " ".join(p.decode("latin-1").translate(self.letters) for p in plain)
             ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
             hit = np.flatnonzero(self.mark[ids])
             bounds = np.concatenate([[0], hit + 1]) if self.kind == "drop" else np.append(hit, len(ids))
             if len(bounds) != len(plain) + 1 or bounds[0] != 0 or bounds[-1] != len(ids):
-                raise AssertionError("token marks do not separate the words")
-            sizes = [np.diff(bounds)]
-            found.append(ids)
-        else:
-            sizes = []
+                other, plain = plain + other, []          # the marks do not separate these words
+            else:
+                sizes.append(np.diff(bounds))
+                found.append(ids)
         if other:
             got = self.full.encode_batch_fast([p.decode("utf-8") for p in other], add_special_tokens=False)
             lists = [e.ids for e in got]
             sizes.append(np.array([len(x) for x in lists], dtype=np.int64))
             found.append(np.array([i for x in lists for i in x], dtype=np.uint32))
-        ids, size = np.concatenate(found), np.concatenate(sizes)
+        return plain + other, np.concatenate(found), np.concatenate(sizes)
+
+    def _add(self, pieces: list[bytes]) -> None:
+        order, ids, size = self._ids(pieces)
         n, k = len(self.index), len(order)
         while n + k > len(self.at):
             self.at, self.size = np.append(self.at, np.zeros_like(self.at)), np.append(self.size, np.zeros_like(self.size))
@@ -136,7 +140,17 @@ class Encoder:
         self.used += len(ids)
         self.index.update(zip(order, range(n, n + k)))
 
-    def _encode_cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.full.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _unsafe(self, data: bytes) -> bool:
+        return self.kind == "whole" or bool(_UNSAFE.search(data))
+
+    def _prepared(self, data: bytes) -> bytes:
+        return data.lower() if self.kind == "drop" else data
+
+    def _encode_cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, ids per text); None if two different pieces share a key."""
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         data = b"".join(texts)
         offsets = np.cumsum(sizes) - sizes
@@ -149,14 +163,8 @@ class Encoder:
         loads = eight(data)
         key = keys(data, starts, ends, loads)
         codes, rep = _codes(key)
-        # a piece is taken for its representative only if size, head and tail agree
-        size, tail = ends - starts, loads[np.maximum(ends - 8, 0)]
-        head = loads[starts]
-        same = size == size[rep][codes]
-        long = same & (size >= 8)
-        same &= ~long | ((head == head[rep][codes]) & (tail == tail[rep][codes]))
-        if not same.all():
-            raise AssertionError("two different pieces share a 64-bit key")
+        if not _same_pieces(data, loads, starts, ends, rep[codes]):
+            return None
         pieces = [data[a:b] for a, b in zip(starts[rep].tolist(), ends[rep].tolist())]
         if len(self.index) > MAX_PIECES:
             self._reset()
@@ -180,21 +188,44 @@ class Encoder:
         whole: list[int] = []
         for i, t in enumerate(texts):
             b = (t or "").encode("utf-8")
-            if self.kind == "whole" or _UNSAFE.search(b):
+            if self._unsafe(b):
                 whole.append(i)
             else:
                 fast.append(i)
-                data.append(b.lower() if self.kind == "drop" else b)
-        for i in whole:
-            e = self.full.encode_batch_fast([texts[i] or ""], add_special_tokens=False)
-            out[i] = np.array(e[0].ids, dtype=np.uint32)
+                data.append(self._prepared(b))
         for a, b in groups_by_size(data):
-            ids, counts = self._encode_cut(data[a:b])
+            got = self._encode_cut(data[a:b])
+            if got is None:
+                whole += fast[a:b]
+                continue
+            ids, counts = got
             for i, part in zip(fast[a:b], np.split(ids, np.cumsum(counts)[:-1])):
                 out[i] = part
+        for i in whole:
+            out[i] = self._whole(texts[i] or "")
         return out
 
 
+def _same_pieces(data: bytes, loads: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
+    """Is every piece, byte by byte, the piece ``like`` that stands for it?"""
+    size = ends - starts
+    if (size != size[like]).any():
+        return False
+    todo = np.flatnonzero((like != np.arange(len(like))) & (size <= LONG_WORD))
+    short = todo[size[todo] < 8]
+    left = _MASKS[size[short]]
+    if ((loads[starts[short]] ^ loads[starts[like[short]]]) & left).any():
+        return False
+    todo, at = todo[size[todo] >= 8], 0
+    while len(todo):                       # eight bytes at a time; the last eight may overlap
+        off = np.minimum(at, size[todo] - 8)
+        if (loads[starts[todo] + off] != loads[starts[like[todo]] + off]).any():
+            return False
+        at += 8
+        todo = todo[size[todo] > at]
+    return all(data[starts[i]:ends[i]] == data[starts[like[i]]:ends[like[i]]] for i in np.flatnonzero(size > LONG_WORD))
+
+
 def _codes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code of each key (0..n-1) and the position of one representative per code."""
     import pandas as pd

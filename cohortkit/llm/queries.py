@@ -1,4 +1,4 @@
-"""Queries of the ten operators and of the pipeline, with SQL where it can express them."""
+"""Queries of the thirteen operators, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -10,12 +10,15 @@ from ..session import scratch_path
 from .common import table
 from .decontaminate import report
 from .embedding_dedup import near_duplicate_vectors
+from .hard_negatives import hard_negatives
 from .license_scan import license_report
 from .line_dedup import line_report
 from .packing import pack_documents
 from .quality import quality_report
 from .sharding import shard_documents
 from .simhash import fingerprint_hex, near_duplicate_classes
+from .substring_dedup import passage_report
+from .token_alignment import aligned
 from .token_files import read_token_files, write_token_files
 from .warc import archive_pages
 
@@ -64,9 +67,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, _ = aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+    return texts.withColumn("doc_id", texts["doc_id"].cast("long"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(table(spark, sf_dir, "documents"), 50).drop("longest")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_license_scan, op3_line_dedup, op4_warc, op5_simhash, op6_quality, op7_packing,
-    op8_embedding_dedup, op9_sharding, op10_decontaminate)}
+    op8_embedding_dedup, op9_sharding, op10_decontaminate, op11_token_alignment, op12_hard_negatives, op13_substring_dedup)}
 ORACLES = {
     "op4_warc": """
 WITH p AS (
@@ -121,5 +138,48 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 5
+""",
+    "op13_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM win) WHERE least < doc_id
+), gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 50)))) AS k FROM hit GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, d.w, coalesce(k, []) AS k FROM d LEFT JOIN gone USING (doc_id)
+), words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS word FROM kept
+), left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS t
+  FROM words ANTI JOIN (SELECT doc_id, unnest(k) AS j FROM gone) g USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(k) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM kept LEFT JOIN left_over USING (doc_id)
 """,
 }

@@ -43,6 +43,8 @@ from .common import materialize, only, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, mix
 
 WINDOW = 50
+#: bytes of text whose windows are held at once
+GROUP = 1 << 20
 _A = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _B = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 _SPACES = bytes(0x20 if 9 <= b <= 13 else b for b in range(256))
@@ -113,7 +115,7 @@ def _anchors(window: int):
         for b in batches:
             texts = [spaced(t) for t in b.column(1).to_pylist()]
             names = b.column(0).to_numpy()
-            for x, y in groups_by_size(texts):
+            for x, y in groups_by_size(texts, GROUP):
                 s = _Texts(texts[x:y], window)
                 at = np.flatnonzero(picked(s.half, s.whole, s.size, window))
                 doc = s.doc[at]
@@ -130,7 +132,7 @@ def _windows(window: int):
             texts = [spaced(t) for t in b.column(2).to_pylist()]
             names, firsts = b.column(0).to_numpy(), b.column(1).to_numpy()
             places = b.column(3).to_pylist()
-            for x, y in groups_by_size(texts):
+            for x, y in groups_by_size(texts, GROUP):
                 s = _Texts(texts[x:y], window)
                 if len(s.whole) == 0:
                     continue
@@ -187,8 +189,8 @@ def _repeated(rows: DataFrame, name: str) -> DataFrame:
 
 
 def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(t, t2, first, places, longest), one row per distinct text: its smallest id, the starts of its windows that
-    stand in a document with a smaller id, and the greatest length of the levels at which it shares a window that
+    """(t, t2, first, gone, longest), one row per distinct text: its smallest id, the spans of words (start, end, ...)
+    that stand in a document with a smaller id, and the greatest length of the levels at which it shares a window that
     begins at a picked place (0: none)."""
     base = only(docs, o=F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), t=F.xxhash64("text"),
                 t2=F.xxhash64(F.lit(window), "text"), text="text")
@@ -205,7 +207,8 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         _windows(window), "t long, first long, pos int, k1 long, k2 long, more array<long>"), "passage-windows")
     alive = materialize(rows.join(_repeated(rows, "passage-repeated"), ["k1", "k2"])
                         .select("t", "first", "pos", (F.col("lo") < F.col("first")).alias("covered"), "more"), "passage-alive")
-    cover = alive.filter("covered").groupBy("t", "first").agg(F.collect_set("pos").alias("places"))
+    cover = alive.filter("covered").groupBy("t", "first").agg(F.sort_array(F.collect_set("pos")).alias("places")) \
+        .mapInArrow(_spans(window), "t long, first long, gone array<int>")
     # twice the length, as long as any candidate survives
     lengths = alive.select("t", "first", F.lit(window).alias("n")).distinct()
     size, level = window, alive.filter(F.size("more") > 0).select("t", "first", "more").distinct()
@@ -222,25 +225,34 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     longest = lengths.groupBy("t", "first").agg(F.max("n").alias("longest"))
     return materialize(classes.join(materialize(cover, "passage-cover"), ["t", "first"], "left")
                        .join(materialize(longest, "passage-longest"), ["t", "first"], "left")
-                       .select("t", "t2", "first", "places", F.coalesce("longest", F.lit(0)).alias("longest")), "passage-classes")
+                       .select("t", "t2", "first", "gone", F.coalesce("longest", F.lit(0)).alias("longest")), "passage-classes")
+
+
+def _spans(window: int):
+    """(t, first, gone): the words under the windows that start at the sorted places."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for places in b.column(2):
+                at = places.values.to_numpy()
+                cut = np.flatnonzero(np.diff(at) > window)
+                out.append(np.stack([at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)] + window], axis=1).ravel().tolist())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int32()))], ["t", "first", "gone"])
+    return run
 
 
 def _kept(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, total, gone = [], [], []
-            for text, copy, places in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for text, copy, gone_at in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 w = spaced(text).split()
                 n = len(w)
                 cut = n if copy and n >= window else 0
-                if not cut and places:
-                    edge = np.zeros(n + 1, np.int32)
-                    at = np.array(places)
-                    edge[at] += 1
-                    np.add.at(edge, at + window, -1)
-                    stay = np.flatnonzero(np.cumsum(edge[:n]) == 0).tolist()
-                    cut = n - len(stay)
-                    w = [w[i] for i in stay]
+                if not cut and gone_at:
+                    starts, ends = gone_at[::2], gone_at[1::2]
+                    w = [x for a, z in zip([0, *ends], [*starts, n]) for x in w[a:z]]
+                    cut = n - len(w)
                 total.append(n)
                 gone.append(cut)
                 out.append("" if cut == n else b" ".join(w).decode("utf-8"))
@@ -255,7 +267,7 @@ def without_repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFram
     cls = repeated_places(docs, window)
     rows = wrapped(docs, text="text", _o=F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), t=F.xxhash64("text"),
                    t2=F.xxhash64(F.lit(window), "text"))
-    rows = rows.join(cls, ["t", "t2"]).select("_row", "text", (F.col("_o") > F.col("first")).alias("copy"), "places", "longest")
+    rows = rows.join(cls, ["t", "t2"]).select("_row", "text", (F.col("_o") > F.col("first")).alias("copy"), "gone", "longest")
     schema = StructType([rows.schema["_row"], rows.schema["text"], StructField("n_words", LongType()),
                          StructField("n_removed", LongType()), StructField("longest", IntegerType())])
     return rows.mapInArrow(_kept(window), schema)

@@ -43,7 +43,7 @@ from .encoding import Encoder, byte_letters
 from .words import groups_by_size
 
 #: a chunk is closed beyond so many links or documents
-CHUNK_LINKS, CHUNK_DOCS = 1 << 22, 1 << 16
+CHUNK_LINKS, CHUNK_DOCS = 1 << 21, 1 << 16
 
 
 class PieceEncoder(Encoder):

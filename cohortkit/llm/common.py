@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: rows in one Arrow batch handed to a Python task; long texts make wide rows
-ARROW_ROWS = 512
+ARROW_ROWS = TEXT_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,21 +30,30 @@ def width(spark: SparkSession) -> int:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+ARROW_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
+    ``rows``: bound of the Arrow batches while it is written; the session's
+    own bound holds again afterwards.
+
     Cuts the lineage at a table that survives lost executors, and gives the
     planner the real size of the data for its own broadcast decisions.  The
     shuffle files of the write are not needed again and go with it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    held = {CLEANUP: "true", **({ARROW_BATCH: str(rows)} if rows else {})}
+    before = {k: spark.conf.get(k) for k in held}
     try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,14 +7,13 @@ Jaccard similarity is computed; distributed union-find joins the verified
 pairs; one line of each component, the first occurrence by (document id,
 text hash, line number), stays.
 
-A bucket of any size is compared without listing all its pairs: its lines
-fall into ``STARS`` parts, and the smallest line of each part meets every
-other line of the bucket that is not connected with it yet.  These hubs are
-then done, and what is left meets further hubs, ``GROWTH`` times as many
-parts in every round, until no bucket has lines left that are not connected.
-A pair in one bucket stays untested only if its lines are already connected
-or their sizes exclude the similarity, so no link is lost, and near-copies of
-one line, however many, are settled by the first hubs.
+A bucket of any size is compared in tiles: its lines fall into blocks of
+bounded size (in lines and in characters), dealt out as (bucket, block,
+block).  A pair is looked at only in the first bucket that its lines share
+(a row carries its bucket keys).  A tile counts the shingles that its lines
+have in common, all pairs at once, and returns no pairs but a forest: one
+link, verified on the strings, for each line it could connect.  So the rows
+that move grow with the lines of a bucket, not with its pairs.
 
 At a Jaccard similarity of 0.8, 99.7 % of the pairs share a bucket.
 
@@ -35,14 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialize, only, small_batches, unwrapped, wrapped
+from .common import TEXT_ROWS, materialize, only, unwrapped, width, wrapped
 from .components import components
 from .words import mix
 
 SHINGLE, ROWS, BANDS, SIMILARITY = 8, 3, 8, 0.8
-STARS, GROWTH = 4, 16
-#: shingles of lines that a task keeps for its next pairs
-KEPT_SHINGLES = 500_000
+#: lines and characters of a block of a bucket, about
+BLOCK_LINES, BLOCK_CHARS = 512, 1 << 20
+#: shingles whose occurrences are held at once as a dense block
+COLUMNS = 2048
 _P = np.uint64(0x100000001B3)
 _CHUNK = 1 << 17
 
@@ -71,12 +71,8 @@ def jaccard(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) bucket keys of lines that are not empty."""
-    rng = np.random.default_rng(11)
-    mul = rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-    add = rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64).astype(np.uint32)
-    low = np.empty((len(lines), ROWS * BANDS), np.uint32)
+def shingle_hashes(lines: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from, to, hashes, first hash of each line) of parts of ``lines``: every shingle's hash, repeats included."""
     pad = "\0" * (SHINGLE - 1)
     at = 0
     while at < len(lines):
@@ -96,10 +92,20 @@ def band_keys(lines: list[str]) -> np.ndarray:
         # the shingles of each line, without those that reach into the padding
         first = np.cumsum(count) - count
         pick = np.repeat(starts - first, count) + np.arange(int(count.sum()))
-        x = (mix(h[pick] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+        yield at, end, mix(h[pick] * np.uint64(0x9E3779B97F4A7C15)), first
+        at = end
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """(lines, BANDS) bucket keys of lines that are not empty."""
+    rng = np.random.default_rng(11)
+    mul = rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+    add = rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64).astype(np.uint32)
+    low = np.empty((len(lines), ROWS * BANDS), np.uint32)
+    for at, end, h, first in shingle_hashes(lines):
+        x = (h >> np.uint64(32)).astype(np.uint32)
         for p in range(ROWS * BANDS):
             low[at:end, p] = np.minimum.reduceat(x * mul[p] + add[p], first)
-        at = end
     keys = np.empty((len(lines), BANDS), np.uint64)
     for b in range(BANDS):
         k = np.full(len(lines), b + 1, np.uint64)
@@ -132,13 +138,6 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "h", "no", "id", "bands"])
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, line, size): with the number of different shingles."""
-    for b in batches:
-        sizes = [len(shingles(x)) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes, pa.int64())], ["id", "line", "size"])
-
-
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, line) of the lines of a batch, each once."""
     for b in batches:
@@ -147,88 +146,126 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(lines, pa.string())], ["id", "line"])
 
 
-def _verified(similarity: float):
+def _root(up: list[int], i: int) -> int:
+    while up[i] != i:
+        up[i] = up[up[i]]
+        i = up[i]
+    return i
+
+
+def _common(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(size of each line's shingle set, number of common shingles of every two lines), by hashes."""
+    row, code = [], []
+    for at, end, h, first in shingle_hashes(lines):
+        row.append(np.repeat(np.arange(at, end), np.diff(np.append(first, len(h)))))
+        code.append(h)
+    row, code = np.concatenate(row), np.concatenate(code)
+    order = np.lexsort((row, code))
+    row, code = row[order], code[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+    row, code = row[fresh], code[fresh]
+    size = np.bincount(row, minlength=len(lines))
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] != code[:-1]
+    number = np.cumsum(new) - 1
+    often = np.bincount(number) > 1                # the others are in one line alone
+    keep = often[number]
+    row, number = row[keep], (np.cumsum(often) - 1)[number[keep]]
+    both = np.zeros((len(lines), len(lines)), np.float32)
+    for a in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        lo, hi = np.searchsorted(number, [a, a + COLUMNS])
+        x = np.zeros((len(lines), COLUMNS), np.float32)
+        x[row[lo:hi], number[lo:hi] - a] = 1.0
+        both += x @ x.T
+    return size, both
+
+
+def tile_links(band: int, lines: list[str], keys: np.ndarray, side: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+    """A forest of verified links between the lines of a tile (``side``: only between the two blocks)."""
+    n, at = len(lines), int(np.flatnonzero(keys[0] == band)[0])
+    i, j = np.triu_indices(n, 1)
+    if side is not None:
+        cross = side[i] != side[j]
+        i, j = i[cross], j[cross]
+    for b in range(at):                            # pairs that met in an earlier bucket
+        apart = keys[i, b] != keys[j, b]
+        i, j = i[apart], j[apart]
+    up, out = list(range(n)), []
+    sets: dict[int, set[str]] = {}
+
+    def of(k: int) -> set[str]:
+        if k not in sets:
+            sets[k] = shingles(lines[k])
+        return sets[k]
+
+    if len(i) > 4 * n:
+        count, both = _common(lines)
+        near = both[i, j] >= similarity * (count[i] + count[j] - both[i, j]) - 0.5
+        i, j = i[near], j[near]
+    for a, b in zip(i.tolist(), j.tolist()):
+        x, y = _root(up, a), _root(up, b)
+        if x != y and jaccard(of(a), of(b)) >= similarity:
+            up[x] = y
+            out.append((a, b))
+    return out
+
+
+def _linked(similarity: float):
+    """Links of the tiles; the rows come sorted by (band, p, q)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, set[str]] = {}
-        held = 0
-
-        def of(name: int, line: str) -> set[str]:
-            nonlocal held
-            s = kept.get(name)
-            if s is None:
-                if held > KEPT_SHINGLES:
-                    kept.clear()
-                    held = 0
-                s = kept[name] = shingles(line)
-                held += len(s)
-            return s
+        held: list = []
+        name = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(held) < 2:
+                return
+            band, p, q = name
+            ids, lines, side, keys = (list(c) for c in zip(*held))
+            found = tile_links(band, lines, np.array(keys, np.int64), np.array(side) if p != q else None, similarity)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()),
+                                                  pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
 
         for b in batches:
-            a, c, x, y = (col.to_pylist() for col in b.columns)
-            ok = [jaccard(of(i, u), of(j, v)) >= similarity for i, j, u, v in zip(a, c, x, y)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            cols = {c: b.column(c).to_pylist() for c in b.schema.names}
+            for k, row in zip(zip(cols["band"], cols["p"], cols["q"]), zip(cols["id"], cols["line"], cols["side"], cols["keys"])):
+                if k != name:
+                    yield from done()
+                    held, name = [], k
+                held.append(row)
+        yield from done()
     return run
 
 
-def verified_links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return rows.mapInArrow(_verified(similarity), "a long, b long")
-
-
 def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) of the lines that are linked with others; ``lines`` as made by _occurrences."""
     spark = docs.sparkSession
-    banded = lines.select("id", F.explode("bands").alias("band"))
-    shared = materialize(banded.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                         .filter("lo < hi").select("band"), "lines-shared")
-    members = materialize(banded.join(shared, "band").distinct(), "lines-members")
-    need = materialize(members.select("id").distinct(), "lines-needed")
-    small_batches(spark)
+    each = materialize(lines.groupBy("id").agg(F.any_value("bands").alias("keys")), "lines-each")
+    banded = each.select("id", F.explode("keys").alias("band"))
+    many = materialize(banded.groupBy("band").count().filter("count > 1").select("band"), "lines-many")
+    need = materialize(banded.join(many, "band", "left_semi").select("id").distinct().join(each, "id"), "lines-needed")
     found = docs.select("text").mapInArrow(_texts, "id long, line string")
-    texts = materialize(found.join(need, "id").groupBy("id").agg(F.any_value("line").alias("line"))
-                        .mapInArrow(_sizes, "id long, line string, size long"), "lines-texts")
-    members = materialize(members.join(texts.select("id", "size"), "id").select("band", "id", "size"), "lines-sized")
-    comp: DataFrame | None = None
-    left, stars = members, STARS
-    while True:
-        if comp is None:
-            rows = left.withColumn("root", F.col("id"))
-        else:
-            known = comp.withColumnRenamed("node", "id")
-            rows = left.join(known, "id", "left").select("band", "id", "size", F.coalesce("root", "id").alias("root"))
-            open_ = materialize(rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                                .filter("lo < hi").select("band"), "lines-open")
-            if open_.isEmpty():
-                break
-            rows = materialize(rows.join(open_, "band"), "lines-left")
-        part = F.pmod(F.xxhash64("id", F.lit(stars)), F.lit(stars))
-        hubs = materialize(rows.groupBy("band", part.alias("part")).agg(F.min_by(F.struct("id", "size", "root"), "id").alias("hub"))
-                           .select("band", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size"),
-                                   F.col("hub.root").alias("hub_root")), "lines-hubs")
-        # sets of sizes m <= n have a similarity of m / n at most
-        fits = F.least("size", "hub_size") >= similarity * F.greatest("size", "hub_size")
-        pairs = materialize(rows.join(hubs, "band").filter("root <> hub_root").filter(fits)
-                            .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(),
-                            "lines-pairs")
-        # no pair in this round says nothing about the rows that were no hubs
-        if comp is None or not pairs.isEmpty():
-            links = verified_links(pairs, texts, similarity)
-            if comp is not None:
-                links = links.unionByName(comp.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            comp = components(links, "lines-components")
-        left = rows.select("band", "id", "size").join(hubs.select("band", F.col("hub").alias("id")), ["band", "id"], "left_anti")
-        stars *= GROWTH
-    return comp
+    texts = materialize(found.join(need, "id").groupBy("id").agg(F.any_value("line").alias("line"), F.any_value("keys").alias("keys")),
+                        "lines-texts", TEXT_ROWS)
+    size = F.greatest(F.count(F.lit(1)) / BLOCK_LINES, F.sum("chars") / BLOCK_CHARS)
+    shared = materialize(texts.select(F.length("line").alias("chars"), F.explode("keys").alias("band")).groupBy("band")
+                         .agg(F.count(F.lit(1)).alias("n"), F.ceil(size).cast("int").alias("blocks")).filter("n > 1")
+                         .select("band", "blocks"), "lines-shared")
+    tiles = (texts.select("id", "line", "keys", F.explode("keys").alias("band")).join(shared, "band")
+             .withColumn("side", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
+                     "id", "line", "side", "keys"))
+    links = tiles.repartition(width(spark), "band", "p", "q").sortWithinPartitions("band", "p", "q") \
+        .mapInArrow(_linked(similarity), "a long, b long")
+    return components(materialize(links, "lines-links", TEXT_ROWS), "lines-components")
 
 
 def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, h, drop): numbers of the lines that go, for every document that loses any."""
-    spark = docs.sparkSession
-    small_batches(spark)
     base = only(docs, doc_id=F.col("doc_id").cast("long"), h=F.xxhash64("text"), text="text")
-    lines = materialize(base.mapInArrow(_occurrences, "doc_id long, h long, no int, id long, bands array<long>"), "lines")
+    lines = materialize(base.mapInArrow(_occurrences, "doc_id long, h long, no int, id long, bands array<long>"), "lines", TEXT_ROWS)
     comp = line_components(lines, base, similarity)
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "no")
     first = materialize(lines.groupBy("id").agg(F.min(place).alias("lo"), F.max(place).alias("hi")), "lines-first")

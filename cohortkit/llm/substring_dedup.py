@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import materialize, only, unwrapped, wrapped
+from .common import TEXT_ROWS, materialize, only, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, mix
 
 WINDOW = 50
@@ -195,7 +195,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     base = only(docs, o=F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), t=F.xxhash64("text"),
                 t2=F.xxhash64(F.lit(window), "text"), text="text")
     classes = materialize(base.groupBy("t", "t2").agg(F.min("o").alias("first")), "passage-classes")
-    anchors = materialize(base.select("t", "text").mapInArrow(_anchors(window), "t long, pos int, key long"), "passage-anchors")
+    anchors = materialize(base.select("t", "text").mapInArrow(_anchors(window), "t long, pos int, key long"), "passage-anchors", TEXT_ROWS)
     shared = materialize(anchors.groupBy("key").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
                          .filter("lo <> hi").select("key"), "passage-shared")
     # the places of one text
@@ -204,7 +204,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     near = materialize(classes.join(places, "t").select("t", "t2", F.col("first").alias("o"), "at"), "passage-near")
     texts = base.join(near, ["t", "t2", "o"]).select("t", F.col("o").alias("first"), "text", "at")
     rows = materialize(texts.mapInArrow(
-        _windows(window), "t long, first long, pos int, k1 long, k2 long, more array<long>"), "passage-windows")
+        _windows(window), "t long, first long, pos int, k1 long, k2 long, more array<long>"), "passage-windows", TEXT_ROWS)
     alive = materialize(rows.join(_repeated(rows, "passage-repeated"), ["k1", "k2"])
                         .select("t", "first", "pos", (F.col("lo") < F.col("first")).alias("covered"), "more"), "passage-alive")
     cover = alive.filter("covered").groupBy("t", "first").agg(F.sort_array(F.collect_set("pos")).alias("places")) \

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, only, width
+from .common import TEXT_ROWS, materialize, only, width
 from .encoding import Encoder, byte_letters
 from .words import groups_by_size
 
@@ -296,7 +296,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, DataF
     id_type = pa.int32() if kind == "int" else pa.int64()
     if kind not in ("int", "bigint"):
         base, kind = base.withColumn("doc_id", F.col("doc_id").cast("long")), "bigint"
-    rows = materialize(base.mapInArrow(_align(path_a, path_b, id_type), _ROWS.format(id=kind)), "pairs-rows")
+    rows = materialize(base.mapInArrow(_align(path_a, path_b, id_type), _ROWS.format(id=kind)), "pairs-rows", TEXT_ROWS)
     n_b = sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
     counts = pair_counts(rows, n_b)
     held = rows.filter("pair is not null").select("chunk", "pair", "digits", "planes") \

@@ -219,3 +219,56 @@ def test_hadamard_keeps_lengths_and_is_its_own_inverse():
 def test_crc_of_split_ids_is_that_of_the_bytes():
     ids = np.array([1, 70000, 3], "<u4")
     assert zlib.crc32(ids.tobytes()) == zlib.crc32(b"\x01\0\0\0\x70\x11\x01\0\x03\0\0\0")
+
+
+def test_line_links_grow_with_the_lines(spark, monkeypatch):
+    """Near copies 0.5 to 0.95 alike: rows that move grow linearly, and every line pair of 0.8 is connected."""
+    import random
+    from itertools import combinations
+    base = " ".join(random.Random(1).choice(["alpha", "beta", "gamma", "delta", "river", "stone", "cloud"]) + str(i) for i in range(60))
+
+    def copies(n):
+        rnd = random.Random(n)
+        out = set()
+        while len(out) < n:
+            x = list(base)
+            for _ in range(rnd.choice([0, 1, 2, 4, 8])):
+                x[rnd.randrange(len(x))] = rnd.choice("qxz")
+            out.add("".join(x))
+        return sorted(out)
+
+    made = []
+    real = line_dedup.components
+    monkeypatch.setattr(line_dedup, "components", lambda e, name: made.append(e.count()) or real(e, name))
+    for n, block in ((100, 40), (200, 512)):
+        monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
+        lines = copies(n)
+        docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+        keys = line_dedup.band_keys(lines)
+        own = spark.createDataFrame([(line_dedup.line_id(x), k.tolist()) for x, k in zip(lines, keys)], "id long, bands array<long>")
+        root = {r["node"]: r["root"] for r in line_dedup.line_components(own, docs).collect()}
+        sets = {x: line_dedup.shingles(x) for x in lines}
+        up = {x: x for x in lines}
+
+        def top(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for (i, x), (j, y) in combinations(enumerate(lines), 2):
+            if (keys[i] == keys[j]).any() and line_dedup.jaccard(sets[x], sets[y]) >= 0.8:
+                up[top(x)] = top(y)
+        groups = {}
+        for x in lines:
+            groups.setdefault(top(x), set()).add(line_dedup.line_id(x))
+        assert {frozenset(g) for g in groups.values() if len(g) > 1} == \
+            {frozenset(k for k, v in root.items() if v == r) for r in set(root.values())}
+    assert made[1] < line_dedup.BANDS * 200               # at most a forest for each band
+
+
+def test_common_shingles_are_exact():
+    lines = ["abcdefghij", "abcdefghij klm", "short", "short", "xbcdefghij", "é" * 30]
+    size, both = line_dedup._common(lines)
+    sets = [line_dedup.shingles(x) for x in lines]
+    assert size.tolist() == [len(x) for x in sets]
+    assert all(both[i, j] == len(sets[i] & sets[j]) for i in range(6) for j in range(6) if i != j)

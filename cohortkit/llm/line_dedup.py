@@ -26,6 +26,7 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ SHINGLE, ROWS, BANDS, SIMILARITY = 8, 3, 8, 0.8
 BLOCK_LINES, BLOCK_CHARS = 512, 1 << 20
 #: shingles whose occurrences are held at once as a dense block
 COLUMNS = 2048
+#: tiles of so few lines are listed without numpy (same pairs, less overhead)
+FEW = 12
 _P = np.uint64(0x100000001B3)
 _CHUNK = 1 << 17
 
@@ -181,31 +184,38 @@ def _common(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return size, both
 
 
-def tile_links(band: int, lines: list[str], keys: np.ndarray, side: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
+def tile_links(band: int, lines: list[str], keys: list[list[int]], side: list[int] | None, similarity: float) -> list[tuple[int, int]]:
     """A forest of verified links between the lines of a tile (``side``: only between the two blocks)."""
-    n, at = len(lines), int(np.flatnonzero(keys[0] == band)[0])
-    i, j = np.triu_indices(n, 1)
-    if side is not None:
-        cross = side[i] != side[j]
-        i, j = i[cross], j[cross]
-    for b in range(at):                            # pairs that met in an earlier bucket
-        apart = keys[i, b] != keys[j, b]
-        i, j = i[apart], j[apart]
+    n, at = len(lines), keys[0].index(band)
+    if n <= FEW:
+        pairs = [(a, b) for a in range(n) for b in range(a + 1, n) if (side is None or side[a] != side[b])
+                 and not any(map(eq, keys[a][:at], keys[b][:at]))]          # those did not meet in an earlier bucket
+    else:
+        i, j = np.triu_indices(n, 1)
+        if side is not None:
+            part = np.array(side)
+            cross = part[i] != part[j]
+            i, j = i[cross], j[cross]
+        own = np.array(keys, np.int64)
+        for b in range(at):
+            apart = own[i, b] != own[j, b]
+            i, j = i[apart], j[apart]
+        if len(i) > 4 * n:
+            count, both = _common(lines)
+            near = both[i, j] >= similarity * (count[i] + count[j] - both[i, j]) - 0.5
+            i, j = i[near], j[near]
+        pairs = list(zip(i.tolist(), j.tolist()))
     up, out = list(range(n)), []
     sets: dict[int, set[str]] = {}
-
-    def of(k: int) -> set[str]:
-        if k not in sets:
-            sets[k] = shingles(lines[k])
-        return sets[k]
-
-    if len(i) > 4 * n:
-        count, both = _common(lines)
-        near = both[i, j] >= similarity * (count[i] + count[j] - both[i, j]) - 0.5
-        i, j = i[near], j[near]
-    for a, b in zip(i.tolist(), j.tolist()):
+    for a, b in pairs:
         x, y = _root(up, a), _root(up, b)
-        if x != y and jaccard(of(a), of(b)) >= similarity:
+        if x == y:
+            continue
+        for k in (a, b):
+            if k not in sets:
+                sets[k] = shingles(lines[k])
+        u, v = sets[a], sets[b]
+        if min(len(u), len(v)) >= similarity * max(len(u), len(v)) and jaccard(u, v) >= similarity:
             up[x] = y
             out.append((a, b))
     return out
@@ -222,7 +232,7 @@ def _linked(similarity: float):
                 return
             band, p, q = name
             ids, lines, side, keys = (list(c) for c in zip(*held))
-            found = tile_links(band, lines, np.array(keys, np.int64), np.array(side) if p != q else None, similarity)
+            found = tile_links(band, lines, keys, side if p != q else None, similarity)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()),
                                                   pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
@@ -241,7 +251,8 @@ def _linked(similarity: float):
 def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) of the lines that are linked with others; ``lines`` as made by _occurrences."""
     spark = docs.sparkSession
-    each = materialize(lines.groupBy("id").agg(F.any_value("bands").alias("keys")), "lines-each")
+    each = lines.groupBy("id").agg(*[F.max(F.get("bands", F.lit(b))).alias(f"k{b}") for b in range(BANDS)])
+    each = each.select("id", F.array_compact(F.array(*[f"k{b}" for b in range(BANDS)])).alias("keys"))
     banded = each.select("id", F.explode("keys").alias("band"))
     many = materialize(banded.groupBy("band").count().filter("count > 1").select("band"), "lines-many")
     need = materialize(banded.join(many, "band", "left_semi").select("id").distinct().join(each, "id"), "lines-needed")

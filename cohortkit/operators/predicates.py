@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,16 +44,63 @@ def literal_prefix(pattern: str) -> str:
     return "".join(out)
 
 
+#: prefixes beyond which a further class is not expanded (the regex decides then)
+MAX_PREFIXES = 256
+
+
+def _class_chars(body: str) -> list[str]:
+    """Members of a plain character class; [] where it is negated or holds escapes."""
+    if not body or body[0] == "^" or "\\" in body or "[" in body or "&&" in body:
+        return []
+    out, i = [], 0
+    while i < len(body):
+        if i + 2 < len(body) and body[i + 1] == "-":
+            out += [chr(c) for c in range(ord(body[i]), ord(body[i + 2]) + 1)]
+            i += 3
+        else:
+            out.append(body[i])
+            i += 1
+    return list(dict.fromkeys(out))
+
+
+def literal_prefixes(pattern: str) -> list[str]:
+    """Every text an anchored regex can start with, classes expanded ([] if none).
+
+    ``'^027[0-3]'`` -> 0270, 0271, 0272, 0273.  A quantifier after a char or
+    class ends the list there (``+`` keeps it, the others drop it).
+    """
+    if not pattern.startswith("^") or "|" in pattern or "(" in pattern:
+        return [p for p in [literal_prefix(pattern)] if p]
+    out, i = [""], 1
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\" and i + 1 < len(pattern) and not pattern[i + 1].isalnum():
+            step, end = [pattern[i + 1]], i + 2
+        elif ch == "[" and "]" in pattern[i + 2:]:
+            end = pattern.index("]", i + 2) + 1
+            step = _class_chars(pattern[i + 1:end - 1])
+        elif ch in _META:
+            break
+        else:
+            step, end = [ch], i + 1
+        after = pattern[end:end + 1]
+        if not step or after in ("*", "?", "{") and after or len(out) * len(step) > MAX_PREFIXES:
+            break
+        out = [p + c for p in out for c in step]
+        if after == "+":
+            break
+        i = end
+    return [] if out == [""] else out
+
+
 def matches(col: str | Column, pattern: str) -> Column:
     """Regex match (FLT2/FLT3).  An anchored pattern also gets a
-    ``startswith`` on its literal prefix: that part is pushed to the Parquet
-    reader (``rlike`` itself is not), so row groups are skipped early."""
+    ``startswith`` on each text it can start with: these are pushed to the
+    Parquet reader (``rlike`` itself is not), so row groups are skipped early."""
     c = F.col(col) if isinstance(col, str) else col
     cond = c.rlike(pattern)
-    pre = literal_prefix(pattern)
-    if pre:
-        cond = c.startswith(pre) & cond
-    return cond
+    pre = [c.startswith(p) for p in literal_prefixes(pattern)]
+    return reduce(or_, pre) & cond if pre else cond
 
 
 def in_codes(df: DataFrame, col: str, codes) -> DataFrame:

@@ -4,8 +4,12 @@
 ``[anchor - before, anchor + after]`` of *some* anchor, each fact once.
 
 The join is an equi join on ``(key, day bucket)`` plus the exact range test.
-Every anchor is copied to the (at most a few) day buckets its window touches;
-every fact has exactly one bucket.  So:
+Anchors of a key that lie in one cell of the window's own length have windows
+that overlap in a chain, so their union is one window from the first to the
+last of them: one aggregate by (key, cell) leaves at most one window per cell,
+however many anchors a key has there, without gathering them.  Every window
+is copied to the (at most a few) day buckets it touches; every fact has
+exactly one bucket.  So:
 
 * a key that holds a third of all facts is spread over its days instead of
   landing in one task (and AQE's skew split handles a hot key-day);
@@ -42,9 +46,10 @@ def events_around(facts: DataFrame, anchors: DataFrame, keys: Sequence[str] | st
     lo_off = int(round(before_days * MICROS_PER_DAY))
     hi_off = int(round(after_days * MICROS_PER_DAY))
 
-    a = anchors.select(*[F.col(k).alias(f"__a_{k}") for k in keys],
-                       _micros(anchor_time).alias("__at")).distinct()
-    a = a.withColumn("__lo", F.col("__at") - F.lit(lo_off)).withColumn("__hi", F.col("__at") + F.lit(hi_off))
+    cell = max(1, lo_off + hi_off)
+    a = anchors.select(*[F.col(k).alias(f"__a_{k}") for k in keys], _micros(anchor_time).alias("__at"))
+    a = (a.filter(F.col("__at").isNotNull()).groupBy(*[f"__a_{k}" for k in keys], F.floor(F.col("__at") / cell).alias("__cell"))
+         .agg((F.min("__at") - F.lit(lo_off)).alias("__lo"), (F.max("__at") + F.lit(hi_off)).alias("__hi")).drop("__cell"))
     a = a.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__lo") / width), F.floor(F.col("__hi") / width))))
 
     f = facts.withColumn("__ft", _micros(fact_time)).withColumn("__b", F.floor(F.col("__ft") / width))

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import positions
 from ..session import cut_lineage
+from .absorb import fit_absorbed
 from .glm import LogitFit, build_design, fit
 
 # --- propensity (ST5) ----------------------------------------------------------
@@ -63,9 +64,13 @@ def linear_predictor(lf: LogitFit, df: DataFrame, out: str = "__eta") -> DataFra
 
 
 def propensity(df: DataFrame, treat: str, covariates: Sequence[str],
-               levels: Mapping[str, Sequence] | None = None, out: str = "score") -> DataFrame:
+               levels: Mapping[str, Sequence] | None = None, out: str = "score", absorb: str | None = None) -> DataFrame:
     """ST5: logistic model of ``treat`` on ``covariates``; the fitted
-    probability is added as ``out`` (NULL where a covariate is missing)."""
+    probability is added as ``out`` (NULL where a covariate is missing).
+    ``absorb``: a factor of any number of levels, fitted without columns."""
+    if absorb is not None:
+        lf = fit_absorbed(df, treat, absorb, [c for c in covariates if c != absorb])
+        return lf.predict(df, out)
     lf = fit(build_design(df, treat, covariates, levels))
     return linear_predictor(lf, df).withColumn(out, 1.0 / (1.0 + F.exp(-F.col("__eta")))).drop("__eta")
 

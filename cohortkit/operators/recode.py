@@ -9,7 +9,7 @@ and coefficients of one model, which the model's solver bounds.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,23 @@ def level_table(df: DataFrame, col: str, by: str = "freq", first: str | None = N
     return positions(level_counts(df, col), order, out="position").withColumn("position", F.col("position").cast("int"))
 
 
+def level_tables(df: DataFrame, cols: Sequence[str], first: Mapping[str, str] | None = None) -> DataFrame:
+    """(column_name, level, n, position) of several columns in one pass: one
+    unpivoted count, one numbering over (column, count), and the column's first
+    number taken off.  By frequency, ties by name; ``first``: level moved to
+    position 1, by column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("level")) for c in cols])
+    counts = (df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("level").isNotNull())
+              .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n")))
+    moved = F.lit(1)
+    for c, lv in (first or {}).items():
+        moved = F.when((F.col("column_name") == c) & (F.col("level") == lv), 0).otherwise(moved)
+    every = positions(counts, [F.col("column_name"), moved.asc(), F.col("n").desc(), F.col("level")], out="rn")
+    start = every.groupBy("column_name").agg(F.min("rn").alias("lo"))              # one row per column
+    return every.join(F.broadcast(start), "column_name").select(
+        "column_name", "level", "n", (F.col("rn") - F.col("lo") + 1).cast("int").alias("position"))
+
+
 def level_index(df: DataFrame, col: str, table: DataFrame, out: str) -> DataFrame:
     """``df`` with the 0-based level index of ``col`` (0 = baseline); rows
     whose value is no level of ``table`` drop out, as missing factor values do."""

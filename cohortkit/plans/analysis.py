@@ -11,9 +11,11 @@ from ..functions.text import fill, first_true, is_one, present, safe_number, str
 from ..operators.frames import frame_summary, level_summary, map_columns, map_type
 from ..operators.recode import dummies, level_table, levels
 from ..sources.tables import load
+from ..stats.absorb import fit_absorbed
 from ..stats.glm import build_design, fit, or_table
 from ..stats.match import match_pairs, matched_rows, propensity
 from ..stats.step import backward_aic
+from .newton_sql import absorbed_sql, backward_sql, profile_ctes
 from .registry import register
 
 Z = "1.959963984540054"   # qnorm(0.975), used by the Wald-limit oracles
@@ -304,7 +306,13 @@ def or_table_two(spark, sf_dir):
     return _wald_table(lf, spark)
 
 
-@register("or_table_profile")
+_CELLS = """SELECT {x}, CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS DOUBLE) AS y,
+  CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY ALL"""
+_PROFILE = profile_ctes("two", _CELLS.format(
+    x="CAST(l_returnflag = 'R' AS DOUBLE) AS x1, CAST(l_discount > 0.05 AS DOUBLE) AS x2"), ["flag_r", "disc_hi"], None, _p_sql)
+
+
+@register("or_table_profile", "WITH RECURSIVE " + " ".join(_PROFILE))
 def or_table_profile(spark, sf_dir):
     """ST3: profile-likelihood limits (the tidy default for GLMs), rounded
     to 3 digits as the report does."""
@@ -315,7 +323,12 @@ def or_table_profile(spark, sf_dir):
 STEP_TERMS = ["flag", "disc_hi", "tax_hi", "qty", "ship_late"]
 
 
-@register("stepwise_terms")
+@register("stepwise_terms", backward_sql(_CELLS.format(
+    x="CAST(l_returnflag = 'N' AS DOUBLE) AS x1, CAST(l_returnflag = 'R' AS DOUBLE) AS x2, "
+      "CAST(l_discount > 0.05 AS DOUBLE) AS x3, CAST(l_tax > 0.04 AS DOUBLE) AS x4, CAST(l_quantity AS DOUBLE) AS x5, "
+      "CAST(l_shipdate > TIMESTAMP '1998-01-01' AS DOUBLE) AS x6"),
+    [("flag", ["flagN", "flagR"]), ("disc_hi", ["disc_hiTRUE"]), ("tax_hi", ["tax_hiTRUE"]), ("qty", ["qty"]),
+     ("ship_late", ["ship_lateTRUE"])], _p_sql))
 def stepwise_terms(spark, sf_dir):
     """ST4: backward AIC search over whole terms on one fixed row set, then
     the odds-ratio table of the kept model (Wald limits)."""
@@ -324,6 +337,21 @@ def stepwise_terms(spark, sf_dir):
     return or_table(lf, spark, conf="wald", digits=3)
 
 
+@register("or_table_absorbed", absorbed_sql(_CELLS.format(
+    x="CAST(l_suppkey AS VARCHAR) AS lv, CAST(l_discount > 0.05 AS DOUBLE) AS x1, CAST(l_tax > 0.04 AS DOUBLE) AS x2"),
+    ["disc_hi", "tax_hi"]))
+def or_table_absorbed(spark, sf_dir):
+    """ST1 with a factor of as many levels as there are suppliers: log odds
+    against the first level, and the other terms, without a column per level."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("supplier"), (F.col("l_linestatus") == "O").alias("outcome"),
+        (F.col("l_discount") > 0.05).alias("disc_hi"), (F.col("l_tax") > 0.04).alias("tax_hi"))
+    lf = fit_absorbed(li, "outcome", "supplier", ["disc_hi", "tax_hi"])
+    terms = spark.createDataFrame(list(zip(lf.labels, lf.coef, lf.se)), "term string, estimate double, std_error double")
+    table = lf.levels.filter("estimate is not null").select(F.col("level").alias("term"), "estimate", "std_error")
+    return table.unionByName(terms).select("term", F.round("estimate", 6).alias("estimate"), F.round("std_error", 6).alias("std_error"))
+
+
 # --- propensity and matching (PL19) ---------------------------------------------
 
 @register("propensity_score", """

@@ -310,11 +310,14 @@ def _table(design: Design, columns: list[int], aliased: list[int], s: Solution,
                     [t.name for t in design.terms if set(design.columns_of([t.name])) <= set(columns)])
 
 
-def fit_many(design: Design, choices: Sequence[Sequence[str]], aliased: Sequence[int] = ()) -> list[LogitFit]:
-    """One model (with intercept) per list of term names, all fitted together."""
+def fit_many(design: Design, choices: Sequence[Sequence[str]], aliased: Sequence[int] = (),
+             start: Mapping[int, float] | None = None) -> list[LogitFit]:
+    """One model (with intercept) per list of term names, all fitted together;
+    ``start``: coefficients by design column to begin the steps at."""
     columns = [[0, *design.columns_of(names)] for names in choices]
     use = [[c for c in cols if c not in aliased] for cols in columns]
-    sols = solve_models(design, [Model(u) for u in use])
+    begin = [np.array([start.get(c, 0.0) for c in u]) if start else None for u in use]
+    sols = solve_models(design, [Model(u, beta=b) for u, b in zip(use, begin)])
     return [_table(design, c, [a for a in aliased if a in c], s, u) for c, s, u in zip(columns, sols, use)]
 
 

@@ -26,7 +26,9 @@ def backward_aic(design: Design, trace: list | None = None) -> LogitFit:
     aliased = [labels.index(a) for a in current.aliased]
     names = [t.name for t in design.terms]
     while names:
-        cands = fit_many(design, [[n for n in names if n != t] for t in names], aliased)
+        # a candidate begins at the current coefficients, without the dropped term's
+        start = {c: b for c, b in zip(current.columns, current.coef) if b is not None} if current.converged else None
+        cands = fit_many(design, [[n for n in names if n != t] for t in names], aliased, start)
         if trace is not None:
             trace += [(tuple(names), t, c.aic) for t, c in zip(names, cands)]
         at = min(range(len(names)), key=lambda i: cands[i].aic)

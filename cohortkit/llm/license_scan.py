@@ -6,8 +6,8 @@ minus template position is the diagonal of a match; votes are counted per
 (document, template, diagonal).  A phrase stands at a place where one
 diagonal has all its votes.  Words left out or put in shift a passage to a
 neighbouring diagonal, so diagonals a few words apart are merged, and the
-merged span is verified: enough of the template's grams, in a span about as
-long as the template.  A second hash of the gram, carried in the row, checks
+merged span is verified: enough *different* grams of the template, in the
+template's order, in a span about as long as the template.  A second hash of the gram, carried in the row, checks
 the first.  A notice that stands whole on one diagonal is a span by itself;
 only partial diagonals are merged.
 
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, only, small_batches
@@ -91,6 +91,8 @@ def check_bits(b: WordBatch, text: np.ndarray, pos: np.ndarray, k: int) -> np.nd
 def templates(phrases: dict[str, str], k: int) -> list[tuple[int, int, int, int]]:
     """(template, position, key, check) of the grams of each phrase."""
     b = WordBatch([normalized(p) for p in phrases])
+    if max(np.diff(b.first), default=0) > 62:
+        raise ValueError("a template of more than 62 words: its votes are kept as bits of one long")
     text, pos, key = gram_keys(b, k)
     check = check_bits(b, text, pos, k)
     return list(zip(text.tolist(), pos.tolist(), key.view(np.int64).tolist(), check.tolist()))
@@ -145,7 +147,8 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
                                  "template int, label string, base boolean, size int")
     votes = (hits.filter("template is not null")
              .groupBy("row", "template", (F.col("pos") - F.col("at")).alias("diagonal"))
-             .agg(F.count(F.lit(1)).alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+             .agg(F.count(F.lit(1)).alias("votes"), F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"),
+                  F.min("pos").alias("lo"), F.max("pos").alias("hi"))
              .join(F.broadcast(info), "template"))
     full = F.col("size") - K + 1
     exact = votes.filter(F.col("base") & (F.col("votes") == full)).select(
@@ -163,14 +166,31 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, notices: dict[str, str] =
               .withColumn("new", (~F.coalesce(near, F.lit(False))).cast("int"))
               .withColumn("span", F.sum("new").over(w))
               .groupBy("row", "template", "label", "size", "span")
-              .agg(F.sum("votes").alias("votes"), F.min("lo").alias("start"), (F.max("hi") + K).alias("end")))
-    coverage = F.least(F.lit(1.0), F.col("votes") / full)
-    fuzzy = merged.withColumn("coverage", coverage).filter(
-        (F.col("coverage") >= COVERAGE) & (F.col("end") - F.col("start") <= 1.5 * F.col("size"))).select(
+              .agg(F.bit_or("mask").alias("mask"), F.min("lo").alias("start"), (F.max("hi") + K).alias("end")))
+    near = merged.filter((F.bit_count("mask") / full >= COVERAGE) & (F.col("end") - F.col("start") <= 1.5 * F.col("size")))
+    # the grams of a span, bounded by its length: how many stand in the template's order?
+    placed = near.join(hits.filter("template is not null").select(F.col("row").alias("r"), F.col("template").alias("t"), "pos", "at"),
+                       (F.col("row") == F.col("r")) & (F.col("template") == F.col("t"))
+                       & (F.col("pos") >= F.col("start")) & (F.col("pos") <= F.col("end") - K))
+    spans = placed.groupBy("row", "template", "label", "size", "span", "start", "end").agg(
+        F.array_sort(F.collect_set(F.struct("pos", (-F.col("at")).alias("back")))).alias("grams"))
+    fuzzy = spans.withColumn("coverage", in_order("grams", full) / full).filter(F.col("coverage") >= COVERAGE).select(
         "row", "template", "label", F.lit(False).alias("exact"), "start", "end", "coverage")
     return hits.filter("template is null").select("row", "doc_id", "n_words"), exact.unionByName(whole).unionByName(fuzzy)
 
 
+def in_order(grams: str, full: Column) -> Column:
+    """Length of the longest run of rising template positions among ``grams`` (pos, -at), sorted."""
+    zero = F.transform(F.sequence(F.lit(1), full), lambda x: F.lit(0))
+
+    def take(best: Column, g: Column) -> Column:
+        at = -g["back"]
+        before = F.when(at > 0, F.array_max(F.slice(best, F.lit(1), at))).otherwise(0)
+        return F.transform(best, lambda x, i: F.when(i == at, F.greatest(x, before + 1)).otherwise(x))
+
+    return F.aggregate(F.col(grams), zero, take, lambda best: F.array_max(best))
+
+
 def license_report(docs: DataFrame) -> DataFrame:
     texts, spans = scan(docs)
     def names(c):

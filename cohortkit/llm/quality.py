@@ -34,8 +34,8 @@ from .words import eight, groups_by_size, keys
 BUCKETS, DIM, NONZERO, WINDOW = 8192, 64, 2, 2
 SAMPLE, HIDDEN, EPOCHS, SEED = 20_000, 32, 60, 7
 THRESHOLD = 0.7
-#: labelled rows below which none are held out for the temperature
-FEW = 10
+#: tokens whose vectors are held at once
+PART = 2048
 
 #: 0: white space and control, 1: digit, 2: letter or beyond ASCII, 3: other marks
 _KIND = np.array([0 if b <= 0x20 or b == 0x7F else 1 if 0x30 <= b <= 0x39 else
@@ -111,24 +111,28 @@ def _normalized(m: np.ndarray) -> np.ndarray:
 
 
 def features(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """(texts, 3 DIM): mean word vector, and mean products of words one and two apart."""
+    """(texts, 3 DIM): mean word vector, and mean products of words one and two apart.
+
+    A text goes through one small buffer in parts of PART tokens, so its vectors stay in the cache.
+    """
     out = np.zeros((len(texts), 3 * DIM), np.float32)
+    buf = np.empty((PART + 2, DIM), np.float32)
     for x, y in groups_by_size(texts, 1 << 20):
         t, first = tokens(texts[x:y])
-        if len(t) == 0:
-            continue
-        n = np.diff(first)
-        some = np.flatnonzero(n)
-        v = vectors[t]
-        at = first[:-1][some]
-        out[x + some, :DIM] = np.add.reduceat(v, at, axis=0) / n[some][:, None]
-        doc = np.repeat(np.arange(len(n)), n)
-        for d in (1, 2):
-            pair = np.zeros_like(v)
-            pair[:-d] = v[:-d] * v[d:]
-            pair[:-d][doc[d:] != doc[:-d]] = 0      # no product across texts
-            out[x + some, d * DIM:(d + 1) * DIM] = \
-                np.add.reduceat(pair, at, axis=0) / np.maximum(n[some] - d, 1)[:, None]
+        for i, (a, z) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            n = z - a
+            if n == 0:
+                continue
+            total = np.zeros((3, DIM))
+            for at in range(a, z, PART):
+                end, more = min(at + PART, z), min(at + PART + 2, z)     # with the two words after the part
+                v = np.take(vectors, t[at:more], axis=0, out=buf[:more - at], mode="clip")
+                own = v[:end - at]
+                total[0] += own.sum(axis=0)
+                for d in (1, 2):
+                    after = v[d:d + end - at]
+                    total[d] += np.einsum("ij,ij->j", own[:len(after)], after)
+            out[x + i] = (total / np.array([[n], [max(n - 1, 1)], [max(n - 2, 1)]])).ravel()
     return out
 
 
@@ -159,20 +163,20 @@ def fit(x: np.ndarray, y: np.ndarray) -> Network:
     prior = float(y.mean()) if len(y) else 0.5
     if len(y) == 0 or y.min() == y.max():
         return Network(None, prior)
-    few = len(y) < FEW
-    decay = 1e-1 if few else 1e-4
+    # what few rows cannot say fades smoothly with their number: 1 for none, 0.5 for sqrt(20), 0.002 for 100
+    doubt = 20 / (20 + len(y) ** 2)
+    decay = 1e-4 + 0.2 * doubt
     r = np.random.default_rng(SEED)
     order = r.permutation(len(y))
-    n_held = 0 if few else max(1, len(y) // 5)
+    n_held = len(y) // 5
     held, train = order[:n_held], order[n_held:]
     x = x.astype(np.float64)
-    w = {"mean": x[train].mean(axis=0), "scale": x[train].std(axis=0) + 1e-6,
+    spread = x[train].std(axis=0) + 1e-6
+    # a feature that hardly differs in a few rows says nothing; the score starts at the share of label 1
+    w = {"mean": x[train].mean(axis=0), "scale": spread + doubt * max(float(spread.mean()), 0.01),
          "a": r.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), "p": np.zeros(HIDDEN),
-         "b": r.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), "q": np.zeros(()), "temperature": np.ones(())}
-    if few:
-        # a feature that hardly differs in a few rows says nothing; the score starts at the share of label 1
-        w["scale"] = np.maximum(w["scale"], max(float(w["scale"].mean()), 0.01))
-        w["b"], w["q"] = np.zeros(HIDDEN), np.array(np.log(prior / (1 - prior)))
+         "b": (1 - doubt) * r.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), "q": np.array(doubt * np.log(prior / (1 - prior))),
+         "temperature": np.ones(())}
     z = (x - w["mean"]) / w["scale"]
     names = ("a", "p", "b", "q")
     m1, m2 = ({k: np.zeros_like(w[k]) for k in names} for _ in range(2))
@@ -191,12 +195,13 @@ def fit(x: np.ndarray, y: np.ndarray) -> Network:
                 m2[k] = 0.999 * m2[k] + 0.001 * grad[k] ** 2
                 w[k] = w[k] - 2e-3 * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)
     net = Network(w, prior)
-    if few:
+    if n_held == 0:
         return net
     logit = net.logit(x[held])
     grid = np.exp(np.linspace(np.log(0.25), np.log(8), 61))
     loss = [-np.mean(np.log(np.clip(np.where(y[held] == 1, sigmoid(logit / t), sigmoid(-logit / t)), 1e-9, 1))) for t in grid]
-    w["temperature"] = np.array(grid[int(np.argmin(loss))])
+    # a temperature from few held-out rows is drawn towards 1
+    w["temperature"] = np.array(grid[int(np.argmin(loss))] ** (n_held / (n_held + 20)))
     return net
 
 

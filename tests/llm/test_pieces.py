@@ -272,3 +272,43 @@ def test_common_shingles_are_exact():
     sets = [line_dedup.shingles(x) for x in lines]
     assert size.tolist() == [len(x) for x in sets]
     assert all(both[i, j] == len(sets[i] & sets[j]) for i in range(6) for j in range(6) if i != j)
+
+
+def test_notices_on_random_words(spark):
+    """Notices need different grams in the template's order: repeated or turned grams are no notice."""
+    from itertools import combinations
+    from cohortkit.llm import license_scan
+    rnd = random.Random(5)
+    notices = {"all rights reserved": "arr", "one two three four five six": "num"}
+    vocabulary = ["all", "rights", "reserved", "one", "two", "three", "four", "five", "six", "x"]
+    texts = ["all rights all rights", "rights reserved rights reserved", "rights reserved x all rights", "all rights reserved",
+             "one two three x four five six", "four five six one two three", "one two three four five", "all rights x rights reserved"]
+    texts += [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(2, 9))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, spans = license_scan.scan(docs, {}, notices)
+    got = {}
+    for r in rows.join(spans, "row").select("doc_id", "label", "coverage").collect():
+        got[r["doc_id"], r["label"]] = max(got.get((r["doc_id"], r["label"]), 0), r["coverage"])
+    for d in range(4):
+        assert ((d, "arr") in got) == (d == 3)
+    # one word put in, turned halves, one word left out, a span too long for its template
+    assert got[4, "num"] == 0.8 and (5, "num") not in got and got[6, "num"] == 0.8 and (7, "arr") not in got
+    for (d, label), c in got.items():
+        t = next(p for p, lb in notices.items() if lb == label).split()
+        w, need = texts[d].split(), round(c * (len(t) - 1))
+        hits = [(i, j) for i in range(len(w) - 1) for j in range(len(t) - 1) if w[i:i + 2] == t[j:j + 2]]
+        assert any(all(a[0] < b[0] and a[1] < b[1] for a, b in zip(s, s[1:])) for s in combinations(sorted(hits), need)), texts[d]
+
+
+def test_features_by_hand():
+    from cohortkit.llm import quality
+    rnd = np.random.default_rng(1)
+    vectors = rnd.normal(size=(quality.BUCKETS, quality.DIM)).astype(np.float32)
+    texts = [b"", b"one", b"one two", b"a b c, d 12 e!", b" ".join(b"w%d" % (i % 50) for i in range(5000))]
+    got = quality.features(texts, vectors)
+    for t, row in zip(texts, got):
+        v = vectors[quality.tokens([t])[0]].astype(float)
+        for d in range(3):
+            own = v if d == 0 else v[:-d] * v[d:]
+            want = own.sum(axis=0) / max(len(v) - d, 1) if len(own) else np.zeros(quality.DIM)
+            assert np.allclose(row[d * quality.DIM:(d + 1) * quality.DIM], want, atol=1e-4)

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import fill, first_true, is_one, present, safe_number, strip_prefix, title_case, to_missing
-from ..operators.frames import frame_summary, level_summary, map_columns, map_type
+from ..operators.frames import frame_summary, level_summary, map_columns, map_type, stack_by_name
 from ..operators.recode import dummies, level_table, levels
-from ..sources.tables import load
+from ..session import scratch_path
+from ..sources.sinks import write_table
+from ..sources.tables import load, read_positional
 from ..stats.absorb import fit_absorbed
 from ..stats.glm import build_design, fit, or_table
 from ..stats.match import match_pairs, matched_rows, propensity
 from ..stats.step import backward_aic
-from .newton_sql import absorbed_sql, backward_sql, profile_ctes
+from .newton_sql import absorbed_sql, backward_sql, newton_ctes, profile_ctes
 from .registry import register
 
 Z = "1.959963984540054"   # qnorm(0.975), used by the Wald-limit oracles
@@ -390,7 +392,8 @@ def match_nearest_replace(spark, sf_dir):
     return pr.select("case_id", "control_id", "round", F.round("dist", 6).alias("dist"))
 
 
-@register("match_ratio2", "WITH RECURSIVE " + MATCH_CASES + """,
+#: serial greedy matching of cs (id, score, prio) with ct (id, score), two rounds, and the weights w
+GREEDY = """
 nc AS (SELECT count(*) AS n FROM cs),
 m(i, used, case_id, control_id) AS (
   SELECT 0, CAST([] AS BIGINT[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
@@ -406,7 +409,10 @@ raw AS (SELECT p.control_id AS id, p.case_id AS subclass, CAST(1.0 AS DOUBLE) /
         FROM pairs p JOIN per USING (case_id)),
 tot AS (SELECT count(*) AS n, sum(r) AS s FROM raw),
 w AS (SELECT case_id AS id, case_id AS subclass, CAST(1.0 AS DOUBLE) AS weights FROM per
-      UNION ALL SELECT raw.id, raw.subclass, CAST(round(raw.r * tot.n / tot.s, 6) AS DOUBLE) FROM raw, tot)
+      UNION ALL SELECT raw.id, raw.subclass, CAST(round(raw.r * tot.n / tot.s, 6) AS DOUBLE) FROM raw, tot)"""
+
+
+@register("match_ratio2", "WITH RECURSIVE " + MATCH_CASES + "," + GREEDY + """
 SELECT s.s_suppkey, s.s_acctbal, s.s_nationkey < 6 AS treat, w.subclass, w.weights, s.s_acctbal AS distance
 FROM supplier s JOIN w ON w.id = s.s_suppkey""")
 def match_ratio2(spark, sf_dir):
@@ -418,19 +424,49 @@ def match_ratio2(spark, sf_dir):
         "s_suppkey", "s_acctbal", "treat", "subclass", "weights", "distance")
 
 
-@register("match_propensity")
+#: the two sheets: columns by position, texts and 0/1 codes; the second one's rows without an age are left out
+_SHEETS = {"key": "CAST(s_suppkey AS {text})", "sex": "CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'M' END",
+           "age": "CASE WHEN s_nationkey < 6 OR s_suppkey % 11 <> 0 THEN floor(30 + s_acctbal / 250) END",
+           "chf": "s_suppkey % 3", "dm": "s_nationkey % 2",
+           "indication": "CASE s_suppkey % 5 WHEN 0 THEN 'acute' WHEN 1 THEN 'planned' ELSE 'stable' END",
+           "approach": "CASE WHEN s_suppkey % 7 < 3 THEN 'wrist' ELSE 'groin' END"}
+MATCH_TERMS = ["sex", "age", "chf", "dm", "indication", "approach"]
+
+
+def _propensity_sql() -> str:
+    x = ["CAST(sex = 'M' AS DOUBLE)", "age", "CAST(chf = 1 AS DOUBLE)", "CAST(dm = 1 AS DOUBLE)",
+         "CAST(indication = 'planned' AS DOUBLE)", "CAST(indication = 'stable' AS DOUBLE)", "CAST(approach = 'wrist' AS DOUBLE)"]
+    cols = ", ".join(f"{e.replace('{text}', 'VARCHAR')} AS {n}" for n, e in _SHEETS.items())
+    return f"""WITH RECURSIVE sheet AS (SELECT s_suppkey, s_nationkey < 6 AS treat, {cols} FROM supplier),
+df AS (SELECT s_suppkey, treat, {', '.join(f'{e} AS x{i}' for i, e in enumerate(x, 1))} FROM sheet WHERE treat OR age IS NOT NULL),
+{newton_ctes("ps", "SELECT *, CAST(treat AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS n FROM df", 1 + len(x))},
+scored AS (SELECT s_suppkey, treat, round(1 / (1 + exp(-(b0 + {' + '.join(f'b{i} * x{i}' for i in range(1, 1 + len(x)))}))), 9) AS ps
+           FROM df, ps_fin),
+cs AS (SELECT s_suppkey AS id, ps AS score, row_number() OVER (ORDER BY ps DESC, s_suppkey) AS prio FROM scored WHERE treat),
+ct AS (SELECT s_suppkey AS id, ps AS score FROM scored WHERE NOT treat),""" + GREEDY + """
+SELECT s.s_suppkey, s.treat, w.subclass, w.weights, round(s.ps, 6) AS distance FROM scored s JOIN w ON w.id = s.s_suppkey"""
+
+
+def _sheet(spark, sf_dir, cond: str):
+    s = _t(spark, sf_dir, "supplier").filter(cond)
+    path = scratch_path(spark, "match-sheet")
+    write_table(s.selectExpr(*[f"{e.replace('{text}', 'STRING')} AS `Column {i}`" for i, e in enumerate(_SHEETS.values())]), path, fmt="csv")
+    kinds = {"age": "double", "chf": "int", "dm": "int"}
+    return read_positional(spark, path, [(n, kinds.get(n, "string")) for n in _SHEETS])
+
+
+@register("match_propensity", _propensity_sql())
 def match_propensity(spark, sf_dir):
-    """PL19 end to end: propensity of being a case from a logistic model on a
-    numeric and a factor covariate (ST5), 2:1 nearest matching on that score
-    without replacement (ST6), matched rows with subclass, weights and the
-    score as distance (ST7).  Rows-only check; the matcher itself is checked
-    against a serial brute force in the tests."""
-    s = _t(spark, sf_dir, "supplier")
-    n = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
-    r = _t(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-    df = (s.join(n, "s_nationkey", "left").join(r, "n_regionkey", "left")
-          .select("s_suppkey", "s_acctbal", "region", (F.col("s_nationkey") < 6).alias("treat")))
-    scored = propensity(df, "treat", ["s_acctbal", "region"], out="ps")
+    """PL19 end to end: two sheets read by position and stacked by name (the
+    second without rows that lack an age), 0/1 codes made logical, propensity
+    on six covariates (ST5), 2:1 nearest matching on that score without
+    replacement (ST6), matched rows with subclass, weights and the score as
+    distance (ST7)."""
+    one = _sheet(spark, sf_dir, "s_nationkey < 6").withColumn("treat", F.lit(True))
+    two = _sheet(spark, sf_dir, "s_nationkey >= 6").filter(F.col("age").isNotNull()).withColumn("treat", F.lit(False))
+    df = map_columns(stack_by_name([one, two]), ["chf", "dm"], is_one).withColumn("s_suppkey", F.col("key").cast("long"))
+    # equal covariates have equal scores, whatever the order of the sums
+    scored = propensity(df, "treat", MATCH_TERMS, out="ps").withColumn("ps", F.round("ps", 9))
     pairs = match_pairs(scored, "treat", "ps", "s_suppkey", ratio=2)
     return matched_rows(scored, pairs, "treat", "ps", "s_suppkey").select(
         "s_suppkey", "treat", "subclass", "weights", F.round("distance", 6).alias("distance"))

@@ -93,6 +93,19 @@ def _eliminate(source: str, carry: Sequence[str], p: int, width: int) -> str:
     return q
 
 
+def newton_ctes(name: str, cells: str, p: int, steps: int = 15) -> str:
+    """CTEs of one model of p columns; ``<name>_fin`` holds its coefficients b0..."""
+    x = ["1", *[f"x{i}" for i in range(1, p)]]
+    bs = _b(p)
+    system = ", ".join(f"{e} AS m{r}_{c}" for r in range(p) for c, e in enumerate([*_info(p)[r], f"g{r}"]))
+    step = _eliminate(f"SELECT i, {bs}, {system} FROM (SELECT i, {bs}, {_sums(p, x)} FROM {name}_it, {name}_cell "
+                      f"WHERE i < {steps} GROUP BY i, {bs})", ["i", *[f"b{k}" for k in range(p)]], p, p + 1)
+    return f"""{name}_cell AS ({cells}),
+{name}_it(i, {bs}) AS (SELECT 0, {', '.join('CAST(0 AS DOUBLE)' for _ in range(p))} UNION ALL
+  SELECT i + 1, {', '.join(f'b{k} + m{k}_{p}' for k in range(p))} FROM ({step})),
+{name}_fin AS (SELECT {bs} FROM {name}_it WHERE i = {steps})"""
+
+
 def backward_sql(cells: str, terms: Sequence[tuple[str, Sequence[str]]], p_sql, digits: int = 3, steps: int = 12) -> str:
     """The backward AIC search: every subset of the terms (a bit mask) is fitted, then the path is walked.
     ``terms``: (name, labels of its columns); ``cells``: a query of x1.., y, n."""

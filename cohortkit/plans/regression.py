@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import fill, first_true, present, title_case, to_missing
 from ..operators.frames import map_columns
 from ..operators.recode import level_tables
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources.sinks import write_table
 from ..sources.tables import load, read_positional
 from ..stats.glm import build_design, fit, or_table
@@ -169,7 +169,8 @@ def _profile_sql(models) -> str:
 
 
 def _profile_tables(spark, sf_dir, models):
-    f = analysis_frame_df(spark, sf_dir)
+    used = sorted({c for y, terms in models for c in [y, *terms]})
+    f = cut_lineage(analysis_frame_df(spark, sf_dir).select(used))            # the models read the sheet once
     out = None
     for y, terms in models:
         t = or_table(fit(build_design(f, y, terms)), spark).select(F.lit(f"{y} ~ {' + '.join(terms)}").alias("model"), "*")

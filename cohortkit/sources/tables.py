@@ -66,7 +66,8 @@ def read_topic(spark: SparkSession, folder: str, topic: str, schema: T.StructTyp
     whose name contains ``topic`` (a path glob, resolved by the file lister,
     so other topics are never opened).  Give a schema on large folders --
     inference reads the data twice; raw exports are best read as text and
-    typed by :func:`canonicalise`.
+    typed by :func:`canonicalise`.  A file whose header is not the schema's,
+    name by name, is an error, not a silent shift of columns.
     """
     r = spark.read.format(fmt)
     if fmt == "csv":
@@ -75,6 +76,8 @@ def read_topic(spark: SparkSession, folder: str, topic: str, schema: T.StructTyp
             r = r.option("inferSchema", "true")
     if schema is not None:
         r = r.schema(schema)
+        if fmt == "csv" and header:
+            r = r.option("enforceSchema", "false")
     return r.load(f"{folder.rstrip('/')}/*{topic}*")
 
 

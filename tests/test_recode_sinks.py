@@ -65,3 +65,29 @@ def test_global_numbering_and_batches(spark):
     assert len(b) == 26 and all(r.n_ids <= 40 for r in b)
     assert b[0].ids.split(";")[:3] == ["0", "1", "2"]                 # numeric order kept
     assert sum(r.n_ids for r in b) == 1037
+
+
+def test_published_bundle_is_whole_or_absent(spark, tmp_out):
+    import pytest
+    from cohortkit.sources.sinks import publish_bundle, read_published
+    assert read_published(spark, tmp_out) == {}
+    a, b = spark.range(3), spark.range(5).withColumnRenamed("id", "k")
+    assert publish_bundle({"patients": a, "home meds": b}, tmp_out) == 1
+    bad = spark.range(4).select(F.raise_error(F.lit("lost")).alias("k"))
+    with pytest.raises(Exception):
+        publish_bundle({"patients": spark.range(9), "home meds": bad}, tmp_out)
+    got = read_published(spark, tmp_out)
+    assert {n: d.count() for n, d in got.items()} == {"patients": 3, "home meds": 5}
+    assert publish_bundle({"patients": spark.range(7)}, tmp_out, compression="gzip") == 2
+    assert {n: d.count() for n, d in read_published(spark, tmp_out).items()} == {"patients": 7}
+
+
+def test_topic_files_with_another_header_are_an_error(spark, tmp_out):
+    import pytest
+    from cohortkit.sources.tables import read_topic, schema_of
+    schema = schema_of([("a", "string"), ("b", "string")])
+    spark.createDataFrame([("1", "2")], "a string, b string").write.option("header", "true").csv(f"{tmp_out}/lab_one")
+    assert [tuple(r) for r in read_topic(spark, tmp_out, "lab", schema).collect()] == [("1", "2")]
+    spark.createDataFrame([("2", "1")], "b string, a string").write.option("header", "true").csv(f"{tmp_out}/lab_two")
+    with pytest.raises(Exception):
+        read_topic(spark, tmp_out, "lab", schema).collect()

@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from cohortkit.plans.registry import load_all

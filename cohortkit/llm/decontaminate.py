@@ -8,10 +8,17 @@ can be long enough, because two neighbouring words stand side by side in no
 item, are skipped by numpy before the automaton sees them.
 
 Test items are taken in blocks of bounded word count (by item hash); each
-block's automaton is broadcast and sees all documents, so the broadcast does
-not grow with the benchmark.  Spans of all blocks are cut together, and texts
-that were cut are looked at again, so the cut texts do not depend on the
-blocks.
+block's automaton is broadcast as flat arrays and sees all documents, so the
+broadcast does not grow with the benchmark.  Spans of all blocks are cut
+together, and texts that were cut are looked at again, so the cut texts do not
+depend on the blocks.
+
+A hit carries the automaton's state, never the items that hold its window:
+the states of different windows have disjoint marks, so the items of a text
+are one pass over at most a block's marks.  Texts with the same states share
+one row of items, and documents with the same text one row of spans, so a
+passage that thousands of items and of documents share costs items plus
+documents, not their product.
 
 Defined results: null or wordless texts have no words, no hits; wordless or
 null items have no window; an item without id hits but is not listed;
@@ -21,7 +28,9 @@ rows or no hits.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import materialize, only, small_batches, unwrapped, wrapped
+from .common import ARROW_ROWS, materialize, only, small_batches, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, keys, normalized
 
 #: words of one automaton, about
 BLOCK_WORDS = 500_000
-_MATCH = "starts array<int>, ends array<int>, items array<string>"
+_SPANS = "starts array<int>, ends array<int>, marks array<int>"
+#: unions of marks a task remembers
+UNIONS = 256
 
 
 class Automaton:
@@ -54,21 +65,30 @@ class Automaton:
                 last = self._extend(last, c)
                 marks.append((last, n))
         self._tour(marks)
-        #: state -> [(length, item)] of items shorter than the window that end there
+        #: groups of equal items shorter than the window; state -> [(length, group)] of those that end there
+        self.groups: list[list[int]] = []
         self.whole: dict[int, list[tuple[int, int]]] = {}
+        at: dict[tuple[int, int], int] = {}
         for n, seq in enumerate(seqs):
             if 0 < len(seq) < window:
                 s = 0
                 for c in seq:
                     s = self.next[s][c]
-                self.whole.setdefault(s, []).append((len(seq), n))
-        #: nearest state with whole items on the way to the root
-        self.near = [-1] * len(self.link)
+                g = at.setdefault((s, len(seq)), len(self.groups))
+                if g == len(self.groups):
+                    self.groups.append([])
+                    self.whole.setdefault(s, []).append((len(seq), g))
+                self.groups[g].append(n)
+        #: nearest state with whole items on the way to the root; the shortest state that still holds a window
+        near, top = [-1] * len(self.link), [-1] * len(self.link)
         for s in sorted(range(len(self.link)), key=self.size.__getitem__):
-            self.near[s] = s if s in self.whole else self.near[self.link[s]] if s else -1
+            up = self.link[s]
+            near[s] = s if s in self.whole else near[up] if s else -1
+            if self.size[s] >= window:
+                top[s] = top[up] if self.size[up] >= window else s
         self.shortest = min([window, *(len(s) for s in seqs if s)])
-        self._found: dict[int, np.ndarray] = {}
         words = sorted(self.vocab, key=self.vocab.get)
+        self.n_words = len(words)
         data = b"".join(words)
         ends = np.cumsum([len(w) for w in words], dtype=np.int64) if words else np.zeros(0, np.int64)
         starts = ends - np.array([len(w) for w in words], dtype=np.int64)
@@ -77,13 +97,37 @@ class Automaton:
         self.keys = k[self.order]
         pairs = {a * len(words) + b for s in seqs for a, b in zip(s, s[1:])}
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        self.n_words = len(words)
+        self._flatten(near, top)
+        self._views()
+
+    def _flatten(self, near: list[int], top: list[int]) -> None:
+        """The steps of all states as two arrays, ordered by (state, word); states as small integers."""
+        n = sum(map(len, self.next))
+        step = np.fromiter((s * self.n_words + c for s, m in enumerate(self.next) for c in m), np.int64, n)
+        to = np.fromiter((t for m in self.next for t in m.values()), np.int32, n)
+        by = np.argsort(step)
+        self.flat = {"step": step[by], "to": to[by],
+                     **{k: np.array(v, np.int32) for k, v in (
+                         ("link", self.link), ("size", self.size), ("near", near), ("top", top),
+                         ("enter", self.enter), ("leave", self.leave))}}
+        for k in ("next", "link", "size", "enter", "leave"):
+            delattr(self, k)
+
+    def _views(self) -> None:
+        #: memory views give plain integers, faster one at a time than the arrays
+        self.at = {k: memoryview(v) for k, v in self.flat.items()}
+        self.unions: dict[tuple[int, ...], np.ndarray] = {}
+
+    def packed(self) -> dict:
+        """What a broadcast carries."""
+        return {k: v for k, v in vars(self).items() if k not in ("at", "unions")}
 
     @classmethod
     def load(cls, state: dict) -> Automaton:
         """From a broadcast: plain data, since executors need no copy of this class."""
         a = cls.__new__(cls)
         a.__dict__.update(state)
+        a._views()
         return a
 
     def _state(self, size: int, nxt: dict[int, int], link: int) -> int:
@@ -134,34 +178,53 @@ class Automaton:
         self.mark_at = np.array([e for e, _ in order], dtype=np.int64)
         self.mark_item = np.array([n for _, n in order], dtype=np.int64)
 
-    def holders(self, state: int) -> np.ndarray:
-        """Items that contain the words of a state."""
-        if state not in self._found:
-            a, b = np.searchsorted(self.mark_at, [self.enter[state], self.leave[state]])
-            self._found[state] = np.unique(self.mark_item[a:b])
-        return self._found[state]
-
-    def stream(self, words: list[bytes]) -> Iterator[tuple[int, int, list[int]]]:
-        """(first, end, items) of the windows that end at each word."""
+    def holders(self, marks: tuple[int, ...]) -> np.ndarray:
+        """Items behind the marks of ``stream``: those that hold the words of a state, or a group of whole items."""
+        got = self.unions.get(marks)
+        if got is None:
+            flag = np.zeros(len(self.items), bool)
+            for m in marks:
+                if m < 0:
+                    flag[self.groups[~m]] = True
+                else:
+                    a, b = np.searchsorted(self.mark_at, [self.at["enter"][m], self.at["leave"][m]])
+                    flag[self.mark_item[a:b]] = True
+            if len(self.unions) >= UNIONS:
+                self.unions.clear()
+            got = self.unions[marks] = np.flatnonzero(flag)
+        return got
+
+    def stream(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """(first, end, mark) of the windows that end at each word; the mark is the state
+        of a window, or ~group of whole items."""
+        step, to, link, size, near, top = (self.at[k] for k in ("step", "to", "link", "size", "near", "top"))
+        n_steps, n_words, vocab, window = len(step), self.n_words, self.vocab, self.window
         s = length = 0
         for i, w in enumerate(words):
-            c = self.vocab.get(w, -1)
-            while s and c not in self.next[s]:
-                s = self.link[s]
-                length = self.size[s]
-            s = self.next[s].get(c, 0)
-            length = length + 1 if s else 0
-            if length >= self.window:
-                u = s
-                while self.size[self.link[u]] >= self.window:
-                    u = self.link[u]
-                yield i + 1 - self.window, i + 1, self.holders(u).tolist()
-            u = self.near[s]
+            c = vocab.get(w, -1)
+            if c < 0:
+                s = length = 0
+                continue
+            while True:
+                k = s * n_words + c
+                j = bisect_left(step, k)
+                if j < n_steps and step[j] == k:
+                    s = to[j]
+                    length += 1
+                    break
+                if s == 0:
+                    length = 0
+                    break
+                s = link[s]
+                length = size[s]
+            if length >= window:
+                yield i + 1 - window, i + 1, top[s]
+            u = near[s]
             while u != -1:
-                for n, item in self.whole[u]:
+                for n, group in self.whole[u]:
                     if n <= length:
-                        yield i + 1 - n, i + 1, [item]
-                u = self.near[self.link[u]] if u else -1
+                        yield i + 1 - n, i + 1, ~group
+                u = near[link[u]] if u else -1
 
     def runs(self, batch: WordBatch) -> list[tuple[int, int]]:
         """Word ranges of the batch in which a window can stand; none crosses a document."""
@@ -183,27 +246,23 @@ class Automaton:
         long = last - first >= self.shortest
         return list(zip(first[long].tolist(), last[long].tolist()))
 
-    def match(self, texts: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray, set[int], WordBatch, int]]:
-        """Per text: words, starts and ends of merged hit spans (words from 0), items, and where it lies."""
+    def match(self, texts: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray, tuple[int, ...], WordBatch, int]]:
+        """Per text: words, starts and ends of merged hit spans (words from 0), different marks
+        in order (see ``holders``), and where it lies."""
         b = WordBatch(texts)
-        hits: dict[int, list[tuple[int, int, list[int]]]] = {}
+        hits: dict[int, list[tuple[int, int, int]]] = {}
         for a, e in self.runs(b):
             doc = int(np.searchsorted(b.first, a, "right")) - 1
             base = int(b.first[doc])
             got = hits.setdefault(doc, [])
-            got += [(a - base + x, a - base + y, i) for x, y, i in self.stream([b.word(k) for k in range(a, e)])]
+            got += [(a - base + x, a - base + y, m) for x, y, m in self.stream([b.word(k) for k in range(a, e)])]
         out = []
         for doc in range(len(texts)):
             n = int(b.first[doc + 1] - b.first[doc])
-            starts, ends, items = [], [], set()
-            for x, y, i in sorted(hits.get(doc, ()), key=lambda h: h[:2]):
-                items.update(i)
-                if starts and x <= ends[-1]:
-                    ends[-1] = max(ends[-1], y)
-                else:
-                    starts.append(x)
-                    ends.append(y)
-            out.append((n, np.array(starts, np.int64), np.array(ends, np.int64), items, b, doc))
+            got = hits.get(doc, ())
+            spans = joined((x, y) for x, y, _ in got)
+            out.append((n, np.array([x for x, _ in spans], np.int64), np.array([y for _, y in spans], np.int64),
+                        tuple(sorted({m for _, _, m in got})), b, doc))
         return out
 
     def cleaned(self, text: str | None) -> str | None:
@@ -248,46 +307,80 @@ def automata(benchmark: DataFrame, window: int) -> list:
     for k in range(n):
         rows = items.filter(block == k).distinct().collect()          # about BLOCK_WORDS words
         seqs = [(r["item_id"], normalized(r["text"]).split()) for r in sorted(rows, key=str)]
-        out.append(sc.broadcast(vars(Automaton([s for s in seqs if s[1]], window))))
+        out.append(sc.broadcast(Automaton([s for s in seqs if s[1]], window).packed()))
     return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """(doc_id, n_words, starts, ends, items): merged hit spans in words, and the items they come from."""
-    small_batches(docs.sparkSession)
-    rows = only(docs, doc_id="doc_id", text="text", h=F.xxhash64("text"))
-    id_type = dict(rows.dtypes)["doc_id"]
+def _searched(rows: DataFrame, auto) -> DataFrame:
+    """Spans and marks of one block's automaton for each row of (doc_id, text, h, g)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = Automaton.load(auto.value)
+        for b in batches:
+            texts = [normalized(t) for t in b.column(1).to_pylist()]
+            n, starts, ends, marks = [], [], [], []
+            for x, y in groups_by_size(texts):
+                for words, s, e, m, _, _ in a.match(texts[x:y]):
+                    n.append(words)
+                    starts.append(s)
+                    ends.append(e)
+                    marks.append(m)
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), b.column(3), pa.array(n, pa.int64()), pa.array(starts, ints),
+                 pa.array(ends, ints), pa.array(marks, ints)],
+                ["doc_id", "h", "g", "n_words", "starts", "ends", "marks"])
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, h long, g long, n_words long, {_SPANS}")
+
+
+def _named(marks: DataFrame, auto) -> DataFrame:
+    """(marks, items): the items behind each different list of marks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = Automaton.load(auto.value)
+        for b in batches:
+            found = [[a.items[i] for i in a.holders(tuple(m)) if a.items[i] is not None] for m in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], ["marks", "items"])
+    return marks.mapInArrow(run, "marks array<int>, items array<string>")
+
+
+def found(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the automata find, each thing once.
+
+    ``docs``: (doc_id, h, g, n_words), a row per document; ``texts``: (h, g, starts, ends, sets), a row per
+    different text that is hit, with the merged spans of every block; ``items``: (sets, items), a row per
+    different list of item sets.  (h, g) are two 64-bit hashes of the text.
+    """
+    rows = only(docs, doc_id="doc_id", text="text", h=F.xxhash64("text"), g=F.xxhash64(F.lit(1), "text"))
+    every, texts, sets = None, [], []
+    for k, auto in enumerate(automata(benchmark, window)):
+        part = _searched(rows, auto)
+        if k:                                       # the first block says how many words there are
+            part = part.filter(F.size("starts") > 0)
+        part = materialize(part, "decontaminate-found", ARROW_ROWS)
+        every = part.select("doc_id", "h", "g", "n_words") if every is None else every
+        hit = part.filter(F.size("starts") > 0)
+        name = F.sha1(F.concat_ws(",", F.lit(str(k)), F.col("marks").cast("array<string>")).cast("binary")).alias("set")
+        texts.append(hit.select("h", "g", "starts", "ends", name).dropDuplicates(["h", "g"]))
+        names = materialize(_named(hit.select("marks").distinct(), auto), "decontaminate-items", ARROW_ROWS)
+        sets.append(names.select(name, "items"))
+    # at most one row per block in each of these groups
+    text = (reduce(DataFrame.unionByName, texts).groupBy("h", "g")
+            .agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
+                 F.array_sort(F.collect_list("set")).alias("sets")))
+    text = materialize(text, "decontaminate-texts")
+    item = (text.select("sets").distinct().withColumn("set", F.explode("sets"))
+            .join(reduce(DataFrame.unionByName, sets), "set").groupBy("sets")
+            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+    return every, text, materialize(item, "decontaminate-sets")
 
-    def one(auto) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a = Automaton.load(auto.value)
-            for b in batches:
-                texts = [normalized(t) for t in b.column(1).to_pylist()]
-                n, starts, ends, items = [], [], [], []
-                for x, y in groups_by_size(texts):
-                    for words, s, e, found, _, _ in a.match(texts[x:y]):
-                        n.append(words)
-                        starts.append(s)
-                        ends.append(e)
-                        items.append([a.items[i] for i in found if a.items[i] is not None])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(starts, pa.list_(pa.int32())),
-                     pa.array(ends, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
-                    ["doc_id", "h", "n_words", "starts", "ends", "items"])
-        return rows.mapInArrow(run, f"doc_id {id_type}, h long, n_words long, {_MATCH}")
-
-    parts = [one(a) for a in automata(benchmark, window)]
-    if len(parts) == 1:
-        return parts[0].drop("h")
-    every = parts[0].withColumn("_k", F.lit(0))
-    for k, p in enumerate(parts[1:], 1):
-        every = every.unionByName(p.withColumn("_k", F.lit(k)))
-    # one row per block and document; repeated rows are counted and given back
-    merged = every.groupBy("doc_id", "h", "n_words").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.count_if(F.col("_k") == 0).alias("_n"))
-    return merged.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).drop("_n", "h")
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """(doc_id, n_words, starts, ends, items): hit spans in words, merged within a block of items,
+    and the items they come from."""
+    every, text, item = found(docs, benchmark, window)
+    m = every.join(text.join(item, "sets"), ["h", "g"], "left")
+    none, no_item = F.array().cast("array<int>"), F.array().cast("array<string>")
+    return m.select("doc_id", "n_words", F.coalesce("starts", none).alias("starts"), F.coalesce("ends", none).alias("ends"),
+                    F.coalesce("items", no_item).alias("items"))
 
 
 def hit_words(starts: Column, ends: Column) -> Column:
@@ -300,12 +393,16 @@ def hit_words(starts: Column, ends: Column) -> Column:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    m = matches(docs, benchmark, window)
-    items = F.array_sort(F.array_distinct("items"))
-    return m.select("doc_id", "n_words", hit_words(F.col("starts"), F.col("ends")).alias("n_hit"),
-                    F.size(items).cast("long").alias("n_items"),
-                    F.sha2(F.encode(F.array_join(items, ","), "UTF-8"), 256).alias("items_sha256"),
-                    (F.size("starts") > 0).alias("contaminated"))
+    """Words, hit words, and number and digest of the items of each document."""
+    every, text, item = found(docs, benchmark, window)
+    digest = F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256)
+    text = text.join(item.select("sets", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256")), "sets")
+    text = text.select("h", "g", hit_words(F.col("starts"), F.col("ends")).alias("n_hit"), "n_items", "items_sha256")
+    m = every.join(text, ["h", "g"], "left")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return m.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+                    F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
+                    (n_hit > 0).alias("contaminated"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

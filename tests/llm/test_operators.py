@@ -447,6 +447,26 @@ def test_decontamination_in_blocks_of_items(spark, odd, items, monkeypatch):
     assert {r["doc_id"]: r["text"] for r in decontaminate.decontaminated(odd, items).collect()}[8] == "intro  outro"
 
 
+def test_decontamination_of_a_passage_shared_by_many_items(spark):
+    # 2,000 items hold one passage, a text holds 2,000 copies of it; copies of texts and short equal items too
+    words = [f"w{i}" for i in range(30)]
+    items = spark.createDataFrame([(i, " ".join([f"own{i}", *words])) for i in range(2000)]
+                                  + [(3000 + i, "tiny one") for i in range(500)], "item_id long, text string")
+    hot = " x ".join([" ".join(words)] * 2000)
+    docs = spark.createDataFrame([(1, hot), (2, hot), (2, hot), (3, "a tiny one b"), (4, " ".join(words[5:15]) + " tiny one"),
+                                  (5, "own7 " + " ".join(words[:9])), (6, None)], "doc_id long, text string")
+    got = sorted(decontaminate.report(docs, items, 10).collect())
+
+    def sha(ids):
+        return hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
+    long, tiny = range(2000), range(3000, 3500)
+    want = [(1, 61999, 60000, 2000, sha(long)), (2, 61999, 60000, 2000, sha(long)), (2, 61999, 60000, 2000, sha(long)),
+            (3, 4, 2, 500, sha(tiny)), (4, 12, 12, 2500, sha([*long, *tiny])), (5, 10, 10, 1, sha([7])), (6, 0, 0, 0, sha([]))]
+    assert [tuple(r)[:5] for r in got] == want
+    listed = decontaminate.matches(docs, items, 10).filter("doc_id = 4").first()["items"]
+    assert listed == sorted(map(str, [*long, *tiny]))
+
+
 def test_decontaminated_text_does_not_depend_on_the_blocks(spark, monkeypatch):
     # windows that only a cut of another block joins, in every order, and windows of two blocks that overlap
     seq = [[f"{k}{i}" for i in range(12)] for k in "abcdef"]

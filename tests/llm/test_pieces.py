@@ -144,12 +144,12 @@ def test_automaton_against_brute_force(seqs, docs, window):
     items = [(str(i), [w.encode() for w in s]) for i, s in enumerate(seqs) if s]
     a = decontaminate.Automaton(items, window)
     got = a.match([" ".join(d).encode() for d in docs])
-    for d, (n, starts, ends, found, _, _) in zip(docs, got):
+    for d, (n, starts, ends, marks, _, _) in zip(docs, got):
         hit, names = brute_windows([(i, s) for i, s in items], [w.encode() for w in d], window)
         mine = [False] * n
         for s, e in zip(starts, ends):
             mine[s:e] = [True] * (e - s)
-        assert mine == hit and {a.items[i] for i in found} == names
+        assert mine == hit and {a.items[i] for i in a.holders(marks)} == names
 
 
 def test_cleaned_removes_what_only_removal_joins():

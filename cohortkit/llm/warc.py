@@ -2,11 +2,15 @@
 
 Spark's text writer writes the records: a record ends with two line breaks,
 which is the writer's line separator, so its committed files are plain WARC
-files.  Reading parses each archive in one task and yields its captures as a
-locally sorted run.  The runs are dealt by range of (URL key, timestamp,
-page), so a URL with any number of captures is spread over tasks, and each
-task merges its part of all runs with a loser tree.  The tasks' outputs, in
-order, are the globally ordered capture histories.
+files.  Records are written by size class, each class with as many records a
+file as keep it under ``ARCHIVE_BYTES``; a longer record has a file of its own.
+Reading parses each archive in one task and yields its captures as a locally
+sorted run.  The runs are dealt by range of (URL key, timestamp, page), so a
+URL with any number of captures is spread over tasks; there are as many ranges
+as keep one at about ``RANGE_ROWS`` captures.  Each task merges its stretches
+of all runs, in the order they were sorted in, with a loser tree; it holds them
+as Arrow columns and decodes a few rows of each stretch at a time.  The tasks'
+outputs, in order, are the globally ordered capture histories.
 
 Of records with equal payloads of at least ``REVISIT_BYTES`` bytes, the one
 with the largest page id is the response, the others are revisits of it.
@@ -22,14 +26,21 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, only, small_batches, text_or_empty, width
+from .common import materialize, only, text_or_empty, width
 
 REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 2000
+#: records of an archive at most, and bytes of one of more than one record
+RECORDS_PER_FILE, ARCHIVE_BYTES = 2000, 128 << 20
+#: captures merged by one task, about
+RANGE_ROWS = 500_000
+#: rows of a stretch decoded at a time
+AHEAD = 256
 _END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _CAPTURE = ("run string, url_key string, ts string, page_id long, position long, length long, "
@@ -49,6 +60,11 @@ def write_warc(pages: DataFrame, path: str, time: Column | None = None) -> None:
                 url=F.regexp_replace(text_or_empty("url"), r"[\x00-\x20\x7f]", "%20"),
                 payload=text_or_empty("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("payload", "UTF-8"))).withColumn("size", F.octet_length("payload"))
+    # the least class is whatever fits RECORDS_PER_FILE times, then one class per power of two
+    least = (ARCHIVE_BYTES // RECORDS_PER_FILE).bit_length() - 1
+    held = F.col("size") + F.octet_length("url") + 1024             # payload, address and headers
+    power = F.greatest(F.ceil(F.log2(held.cast("double"))).cast("int"), F.lit(least))
+    classes = [r[0] for r in rows.select(power.alias("p")).distinct().orderBy("p").collect()]   # a few dozen at most
     copies = materialize(rows.filter(F.col("size") >= REVISIT_BYTES).groupBy("digest")
                          .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
                          .filter("n > 1 and keeper is not null").select("digest", "keeper"), "warc-copies")
@@ -66,8 +82,10 @@ def write_warc(pages: DataFrame, path: str, time: Column | None = None) -> None:
         .otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(body).cast("string"), F.lit(_END))
-    (rows.select(F.concat(head, body).alias("value")).write.option("lineSep", _END)
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "none").text(path))
+    line = F.concat(head, body).alias("value")
+    for n, p in enumerate(classes or [least]):
+        (rows.filter(power == p).select(line).write.mode("append" if n else "error").option("lineSep", _END)
+         .option("maxRecordsPerFile", min(RECORDS_PER_FILE, max(1, ARCHIVE_BYTES >> p))).option("compression", "none").text(path))
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], memoryview]]:
@@ -128,9 +146,8 @@ def _order(r: tuple) -> tuple:
 
 def capture_runs(spark: SparkSession, path: str) -> DataFrame:
     """Captures of every archive under ``path``; those of one archive stand in order."""
-    small_batches(spark, 1)                            # one archive at a time
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return materialize(files.select("path", "content").mapInArrow(_captures, _CAPTURE), "warc-runs")
+    return materialize(files.select("path", "content").mapInArrow(_captures, _CAPTURE), "warc-runs", 1)   # an archive at a time
 
 
 class LoserTree:
@@ -168,33 +185,60 @@ class LoserTree:
             self._play(w)
 
 
+class Stretch:
+    """Merge keys of the rows ``[start, stop)`` of a table, decoded a few at a time."""
+
+    def __init__(self, keys: pa.Table, start: int, stop: int):
+        self.keys, self.start, self.stop, self.at, self.rows = keys, start, stop, 0, []
+
+    def __len__(self) -> int:
+        return self.stop - self.start
+
+    def __getitem__(self, i: int) -> tuple:
+        if not self.at <= i < self.at + len(self.rows):
+            part = self.keys.slice(self.start + i, min(AHEAD, len(self) - i))
+            self.at, self.rows = i, list(zip(*(c.to_pylist() for c in part.columns)))
+        return self.rows[i - self.at]
+
+
+def stretches(keys: pa.Table) -> list[Stretch]:
+    """The table's longest stretches in ascending order of all its columns (none holds a null)."""
+    if keys.num_rows == 0:
+        return []
+    this, after = keys.slice(0, keys.num_rows - 1), keys.slice(1)
+    down = np.zeros(keys.num_rows - 1, bool)
+    same = np.ones(keys.num_rows - 1, bool)
+    for a, b in zip(this.columns, after.columns):
+        down |= same & pc.greater(a, b).to_numpy()
+        same &= pc.equal(a, b).to_numpy()
+    edges = [0, *(np.flatnonzero(down) + 1).tolist(), keys.num_rows]
+    return [Stretch(keys, a, b) for a, b in zip(edges, edges[1:])]
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one range, run after run, each in order: merged."""
+    """Rows of one range, sorted stretch after sorted stretch: merged."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
-    t = pa.Table.from_batches(held).combine_chunks()
-    cols = [t.column(c).to_pylist() for c in ("run", "url_key", "ts", "page_id", "position")]
-    runs: list[list[tuple]] = []
-    base: list[int] = []
-    last = None
-    for i, (run, *key) in enumerate(zip(*cols)):
-        if run != last:
-            runs.append([])
-            base.append(i)
-            last = run
-        runs[-1].append((key[0], key[1], key[2] is not None, key[2] or 0, run, key[3]))
-    order = [base[r] + p for r, p in LoserTree(runs)]
-    for a in range(0, len(order), 8192):
-        yield from t.take(pa.array(order[a:a + 8192])).combine_chunks().to_batches()
+    t = pa.Table.from_batches(held)
+    page = t.column("page_id")
+    keys = pa.table({"url_key": t.column("url_key"), "ts": t.column("ts"), "known": page.is_valid(),
+                     "page_id": page.fill_null(0), "run": t.column("run"), "position": t.column("position")})
+    runs = stretches(keys)
+    base, order = [r.start for r in runs], []
+    for r, p in LoserTree(runs):
+        order.append(base[r] + p)
+        if len(order) == 8192:
+            yield from t.take(pa.array(order)).combine_chunks().to_batches()
+            order = []
+    if order:
+        yield from t.take(pa.array(order)).combine_chunks().to_batches()
 
 
 def capture_index(runs: DataFrame) -> DataFrame:
     """The captures of all runs in the order of (URL key, timestamp, page)."""
-    spark = runs.sparkSession
-    small_batches(spark, 8192)
-    return (runs.repartitionByRange(width(spark), *_KEY, "run", "position")
-            .sortWithinPartitions("run", *_KEY, "position").mapInArrow(_merge, _CAPTURE))
+    ranges = max(width(runs.sparkSession), -(-runs.count() // RANGE_ROWS))
+    return runs.repartitionByRange(ranges, *_KEY, "run", "position").mapInArrow(_merge, _CAPTURE)
 
 
 def archive_pages(pages: DataFrame, path: str, time: Column | None = None) -> DataFrame:

@@ -213,6 +213,27 @@ def test_components(spark):
 
 # -- op4 ----------------------------------------------------------------------
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 40_000)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 20)
+    monkeypatch.setattr(warc, "RANGE_ROWS", 7)
+    size = [0, 10, 900, 3_000, 9_000, 17_000, 60_000]
+    df = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i % 5}", chr(97 + i % 26) + str(i) * (size[i % 7] // len(str(i))))
+                                for i in range(140)], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    index = warc.archive_pages(df, path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length", "content").collect()
+    for f in files:
+        assert f["length"] <= 40_000 or len(list(warc.records(bytes(f["content"])))) == 1
+    got = index.collect()
+    assert [(r["url_key"], r["ts"], r["page_id"]) for r in got] == sorted((r["url_key"], r["ts"], r["page_id"]) for r in got)
+    assert {r["page_id"]: r["payload_bytes"] for r in got} == {r["page_id"]: len(r["html"]) for r in df.collect()}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    with pytest.raises(Exception, match="(?i)exists"):
+        warc.write_warc(df, path)
+
+
 def test_warc_round_trip(spark):
     big = "<p>é\r\n\r\nWARC/1.0\r\n" + "x" * 1200
     pages = [(1, "http://a.org/x", big, 0), (2, "http://a.org/y", big, 0), (5, "http://A.org/x", big, 0), (3, None, None, 0),

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -167,6 +168,26 @@ def test_loser_tree():
         assert merged == sorted(x for r in runs for x in r)
 
 
+def test_stretches_are_merged_in_order(monkeypatch):
+    monkeypatch.setattr(warc, "AHEAD", 3)
+    rng = random.Random(4)
+    for n in [0, 1, 2, 40, 300]:
+        rows = [(f"k{rng.randint(0, 3)}", f"t{rng.randint(0, 2)}", rng.choice([None, 1, 2, -5]), f"r{rng.randint(0, 4)}", p)
+                for p in range(n)]
+
+        def place(r):
+            return r[0], r[1], r[2] is not None, r[2] or 0, r[3], r[4]
+        # sorted pieces of all lengths, some of one run
+        cuts = sorted(rng.randint(0, n) for _ in range(6))
+        pieces = [sorted(rows[a:b], key=place) for a, b in zip([0, *cuts], [*cuts, n])]
+        names = ("url_key", "ts", "page_id", "run", "position")
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*piece), kinds)], names)
+                   for piece in pieces if piece]
+        got = [tuple(r.values()) for b in warc._merge(iter(batches)) for r in b.to_pylist()]
+        assert got == sorted(rows, key=place)
+
+
 def test_url_key():
     assert warc.url_key("http://www.A.Example.org:80/x?y=1#z") == "org,example,a)/x?y=1"
     assert warc.url_key("https://a.example.org") == "org,example,a)/"

@@ -70,23 +70,31 @@ def full_join_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:
     return fill_false(out)
 
 
-def prefix_conditions(codes: DataFrame, code_col: str, conditions: DataFrame, lengths: Iterable[int],
+def prefix_conditions(codes: DataFrame, code_col: str, conditions: DataFrame, lengths: Iterable[int] | None = None,
                       condition_col: str = "condition", prefix_col: str = "prefix") -> DataFrame:
     """AGG4: map each code to the named condition groups whose prefix it starts
-    with.  Prefixes of the code are generated for the prefix ``lengths`` the
-    caller names, then equi-joined -- no nested-loop ``startswith`` join.
-    A prefix of another length raises an error when the query runs.
+    with.  The prefixes of each *different* code are generated and equi-joined
+    -- no nested-loop ``startswith`` join -- and the code's conditions then
+    reach its rows by an equi-join on the code, so facts are neither multiplied
+    by prefixes nor shuffled by them.  Without ``lengths`` a prefix may have any
+    length (an empty one holds for every code that is not NULL); with
+    ``lengths`` only those are generated, and a prefix of another length raises
+    an error when the query runs.
     Returns the code rows x matching conditions (codes with no condition drop
     out)."""
-    lengths = sorted(set(lengths))
     p = F.col(prefix_col)
-    unnamed = F.raise_error(F.concat(F.lit(f"prefix of a length not in {lengths}: "), p))
-    cond = conditions.select(F.when(~F.length(p).isin(lengths), unnamed).otherwise(p).alias("__prefix"),
-                             F.col(condition_col))
-    exploded = codes.withColumn("__len", F.explode(F.array(*[F.lit(n) for n in lengths])))
-    exploded = exploded.withColumn("__prefix", F.expr(f"substring(`{code_col}`, 1, __len)"))
-    exploded = exploded.filter(F.length(F.col(code_col)) >= F.col("__len"))
-    return exploded.join(cond, "__prefix").drop("__prefix", "__len")
+    if lengths is None:
+        sizes = F.sequence(F.lit(0), F.length("__code"))
+    else:
+        lengths = sorted(set(lengths))
+        unnamed = F.raise_error(F.concat(F.lit(f"prefix of a length not in {lengths}: "), p))
+        p = F.when(~F.length(p).isin(lengths), unnamed).otherwise(p)
+        sizes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("__code"))
+    cond = conditions.select(p.alias("__prefix"), F.col(condition_col))
+    each = codes.select(F.col(code_col).alias("__code")).filter(F.col("__code").isNotNull()).distinct()
+    each = each.withColumn("__len", F.explode(sizes)).withColumn("__prefix", F.expr("substring(__code, 1, __len)"))
+    held = each.join(cond, "__prefix").select("__code", condition_col)
+    return codes.join(held, codes[code_col] == held["__code"]).drop("__code")
 
 
 def condition_flags(coded: DataFrame, key: str | Sequence[str], condition_col: str,

@@ -291,7 +291,8 @@ def tz_local_day_listed(spark, sf_dir):
 SELECT DISTINCT fin.fin,
        timezone('America/Chicago', timezone('UTC', l.l_shipdate)) AS dose_datetime,
        md.display AS medication, l.l_quantity AS dose, du.display AS dose_unit,
-       l.l_discount AS rate, ru.display AS rate_unit, iv.display AS iv_event
+       l.l_discount AS rate, ru.display AS rate_unit, iv.display AS iv_event,
+       ro.display AS route
 FROM allp a JOIN enc e ON e.encntr_id = a.encntr_id
 JOIN evt l ON l.l_orderkey = e.encntr_id AND l.person_id = e.person_id
 LEFT JOIN fin ON fin.encntr_id = a.encntr_id
@@ -299,50 +300,57 @@ LEFT JOIN cv md ON md.code = l.l_linenumber
 LEFT JOIN cv du ON du.code = ascii(l.l_returnflag) - 65
 LEFT JOIN cv ru ON ru.code = ascii(l.l_linestatus) - 65
 LEFT JOIN cv iv ON iv.code = ascii(l.l_returnflag) - 65
+LEFT JOIN cv ro ON ro.code = l.l_suppkey % 25
 WHERE l.l_linenumber IN (1, 2, 3, 4, 6) AND l.l_shipdate < e.disch_dt_tm
   AND (l.l_quantity > 25 OR l.l_returnflag IN ('A', 'R'))"""))
 def meds_given(spark, sf_dir):
     """PL7: drugs given before discharge (strict bound), dose > 0-style test OR
     an IV event (FLT5, FLT7, FLT9); current rows of the same encounter and
-    person (FLT8, JN7); outside number, units and displays (JN10, JN9)."""
+    person (FLT8, JN7); outside number, units, route and displays (JN10, JN9)."""
     r = roles(spark, sf_dir)
     allp = cohort(spark, sf_dir)[2].select("encntr_id")
     ev = in_codes(r.encounter_person_event.join(allp, "encntr_id", "left_semi"), "line_cd", DRUG_CODES)
     ev = current_rows(ev).filter(any_of([F.col("result_val") > 25, F.col("event_cd").isin(*IV_EVENTS)]))
     ev = events_before(ev, r.encounter, ["encntr_id", "person_id"], "event_end_dt_tm", "disch_dt_tm", strict=True)
     for code, out in (("line_cd", "medication"), (letter_code("event_cd"), "dose_unit"),
-                      (letter_code("result_units_cd"), "rate_unit"), (letter_code("event_cd"), "iv_event")):
+                      (letter_code("result_units_cd"), "rate_unit"), (letter_code("event_cd"), "iv_event"),
+                      ("admin_route_cd", "route")):
         ev = attach_display(ev, r.code_value, code, out)
     ev = attach_alias(ev, r.alias, FIN)
     return ev.select("fin", utc_to_local("event_end_dt_tm", TZ).alias("dose_datetime"), "medication",
                      F.col("result_val").alias("dose"), "dose_unit", F.col("infusion_rate").alias("rate"), "rate_unit",
-                     "iv_event").distinct()
+                     "iv_event", "route").distinct()
 
 
-@register("vitals_around_procedure", with_cohort("""
+@register("vitals_around_procedure", with_cohort(EVENTS_SQL + """
 , anc AS (SELECT l.l_orderkey AS encntr_id, l.l_shipdate AS at FROM lineitem l
           WHERE l.l_orderkey IN (SELECT encntr_id FROM listed)
-            AND l.l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')),
-f AS (SELECT l_orderkey AS encntr_id, l_shipdate AS t, l_linenumber, l_returnflag, l_quantity FROM lineitem
-      WHERE l_returnflag IN ('A', 'R') AND l_linenumber <> 7)
-SELECT DISTINCT fin.fin, timezone('America/Chicago', timezone('UTC', f.t)) AS event_datetime,
-       cv.display AS event, f.l_quantity AS result
-FROM f JOIN anc ON anc.encntr_id = f.encntr_id AND f.t BETWEEN anc.at - INTERVAL 12 HOUR AND anc.at + INTERVAL 10 DAY
-LEFT JOIN fin ON fin.encntr_id = f.encntr_id LEFT JOIN cv ON cv.code = ascii(f.l_returnflag) - 65"""))
+            AND l.l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO'))
+SELECT DISTINCT fin.fin, timezone('America/Chicago', timezone('UTC', f.l_shipdate)) AS event_datetime,
+       cv.display AS event, f.l_quantity AS result, u.display AS result_units
+FROM evt f JOIN enc e ON e.encntr_id = f.l_orderkey AND e.person_id = f.person_id
+JOIN anc ON anc.encntr_id = f.l_orderkey
+ AND f.l_shipdate BETWEEN anc.at - INTERVAL 12 HOUR AND anc.at + INTERVAL 1 DAY
+LEFT JOIN fin ON fin.encntr_id = f.l_orderkey LEFT JOIN cv ON cv.code = ascii(f.l_returnflag) - 65
+LEFT JOIN cv u ON u.code = ascii(f.l_linestatus) - 65
+WHERE f.l_returnflag IN ('A', 'R')"""))
 def vitals_around_procedure(spark, sf_dir):
-    """PL8 of the listed cohort: current measurements from half a day before
-    to ten days after a coded procedure of the same encounter (JN8, JN1,
-    FLT8), with outside number and display."""
+    """PL8 of the listed cohort: current measurements of the encounter and its
+    person from half a day before to a day after a coded procedure of the
+    encounter (JN8, JN1, JN7, FLT8), with outside number, unit and display."""
     r = roles(spark, sf_dir)
     listed = by_ids(r.encounter, r.alias, SPEC.ids, None, alias_type=LISTING).select("encntr_id")
     codes = r.nomenclature.filter(F.col("source_vocabulary") == SPEC.vocabulary).select("nomenclature_id")
     anchors = (r.procedure.join(listed, "encntr_id", "left_semi").join(codes, "nomenclature_id", "left_semi"))
-    facts = current_rows(r.encounter_event.filter(F.col("event_cd").isin(*IV_EVENTS)))
-    facts = facts.join(listed, "encntr_id", "left_semi")
-    hit = events_around(facts, anchors, "encntr_id", "event_end_dt_tm", "proc_dt_tm", 0.5, 10.0)
-    hit = attach_alias(attach_display(hit, r.code_value, letter_code("event_cd"), "event"), r.alias, FIN)
+    people = r.encounter.join(listed, "encntr_id", "left_semi").select("encntr_id", "person_id")
+    facts = current_rows(r.encounter_person_event.filter(F.col("event_cd").isin(*IV_EVENTS)))
+    facts = facts.join(people, ["encntr_id", "person_id"], "left_semi")
+    hit = events_around(facts, anchors, "encntr_id", "event_end_dt_tm", "proc_dt_tm", 0.5, 1.0)
+    for code, out in ((letter_code("event_cd"), "event"), (letter_code("result_units_cd"), "result_units")):
+        hit = attach_display(hit, r.code_value, code, out)
+    hit = attach_alias(hit, r.alias, FIN)
     return hit.select("fin", utc_to_local("event_end_dt_tm", TZ).alias("event_datetime"), "event",
-                      F.col("result_val").alias("result")).distinct()
+                      F.col("result_val").alias("result"), "result_units").distinct()
 
 
 @register("events_around_anchor", with_roles("""

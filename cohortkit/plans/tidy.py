@@ -116,7 +116,7 @@ def comorbidity_flags(spark, sf_dir):
     # codes -> conditions on the code dimension (one row per code), then the
     # diagnosis facts join only the codes that have a condition
     part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("diag_code"))
-    coded_parts = prefix_conditions(part, "diag_code", cond, [len(p) for _, p in CONDITIONS]) \
+    coded_parts = prefix_conditions(part, "diag_code", cond) \
         .select(F.col("p_partkey").alias("l_partkey"), "condition")
     diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
     coded = diag.join(coded_parts, "l_partkey")
@@ -147,7 +147,7 @@ def history_table(spark, sf_dir):
     chain of full outer joins (JN6) on the encounter and filled with FALSE."""
     cond = literal_table(spark, CONDITIONS, "condition string, prefix string")
     part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("diag_code"))
-    coded_parts = prefix_conditions(part, "diag_code", cond, [len(p) for _, p in CONDITIONS]) \
+    coded_parts = prefix_conditions(part, "diag_code", cond) \
         .select(F.col("p_partkey").alias("l_partkey"), "condition")
     diag = X.diagnosis_keys(_t(spark, sf_dir, "lineitem")).filter(F.col("diag_type") == "FINAL")
     groups = condition_flags(diag.join(coded_parts, "l_partkey"), "encounter_key", "condition", [c for c, _ in CONDITIONS])

@@ -97,6 +97,7 @@ def encounter_events(lineitem: DataFrame, orders: DataFrame | None = None) -> Da
         line.alias("line_cd"),
         F.col("l_partkey").alias("nomenclature_id"),
         F.col("l_discount").alias("infusion_rate"),
+        (F.col("l_suppkey") % 25).alias("admin_route_cd"),
         F.col("l_tax").alias("tax"),
         valid.cast("timestamp_ntz").alias("valid_until_dt_tm"),
     ]

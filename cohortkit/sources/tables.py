@@ -1,7 +1,7 @@
 """Source readers (SRC1-SRC5).
 
 * ``load`` / ``load_all``: warehouse-table scans over Parquet (SRC5).
-* ``read_topic``: every export file of one topic in a folder (SRC1).
+* ``read_topic``, ``read_topic_by_name``: every export file of one topic in a folder (SRC1).
 * ``canonicalise``: raw header -> canonical name + type (SRC2).
 * ``read_positional``: header row ignored, names and types imposed (SRC3/4).
 
@@ -11,6 +11,7 @@ Parquet scan (``ReadSchema`` / ``PushedFilters`` in ``explain``).
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,6 +82,38 @@ def read_topic(spark: SparkSession, folder: str, topic: str, schema: T.StructTyp
     return r.load(f"{folder.rstrip('/')}/*{topic}*")
 
 
+def read_topic_by_name(spark: SparkSession, folder: str, topic: str, schema: T.StructType) -> DataFrame:
+    """Every CSV export of one topic, whatever the order of its columns (SRC1, SRC2).
+
+    Files are grouped by their header line and each group is read with the
+    header's own column order; the columns of ``schema`` are then taken by
+    name and the groups stacked.  A column that a file lacks is NULL in its
+    rows, one that the schema lacks is not returned; a file that has no column
+    of the schema, or one of them twice, is an error.  Empty files give no rows.
+
+    The header lines come from one distributed pass over the first blocks; the
+    driver sees one line per file, as it does when it lists them.
+    """
+    path = f"{folder.rstrip('/')}/*{topic}*"
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"))
+    heads = (lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "id").alias("head"))
+             .groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("head").collect())
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = spark.createDataFrame([], schema)
+    for h in heads:
+        names = [n.strip() for n in next(csv.reader([h["head"].removeprefix("\ufeff")]), [])]
+        known = [n for n in names if n in kinds]
+        if not known or len(known) != len(set(known)):
+            raise ValueError(f"header {h['head']!r} of {h['paths'][0]}: no column of the schema, or one of them twice")
+        own = T.StructType([T.StructField(n if n in kinds else f"__{i}", kinds.get(n, T.StringType()))
+                            for i, n in enumerate(names)])
+        part = spark.read.schema(own).option("header", "true").option("enforceSchema", "true").csv(h["paths"])
+        out = out.unionByName(part.select(*[F.col(f"`{n}`") for n in known]), allowMissingColumns=True)
+    return out
+
+
 def canonicalise(df: DataFrame, mapping: Mapping[str, tuple[str, str] | str],
                  extras: Mapping[str, str] | None = None) -> DataFrame:
     """Rename and cast raw columns to canonical names (SRC2).

@@ -92,6 +92,16 @@ def test_prefix_conditions_equal_startswith(spark):
     assert got == want
 
 
+def test_prefix_conditions_of_any_length(spark):
+    words = ["I21", "I21.4", "I2", "E11.9", "E1", "", None, "I21", "X"]
+    codes = spark.createDataFrame(list(enumerate(words)), "id long, code string")
+    table = [("heart", "I2"), ("attack", "I21"), ("attack", "I21.4"), ("sugar", "E11"), ("exact", "E11.9"), ("any", ""), ("none", None)]
+    cond = spark.createDataFrame(table, "condition string, prefix string")
+    got = sorted((r.id, r.condition) for r in prefix_conditions(codes, "code", cond).collect())
+    assert got == sorted((i, c) for i, w in enumerate(words) for c, p in table
+                         if w is not None and p is not None and w.startswith(p))
+
+
 def test_prefix_conditions_of_a_length_not_named(spark):
     codes = spark.createDataFrame([(1, "E119"), (2, "I10")], "id long, code string")
     cond = literal_table(spark, [("DM", "E119"), ("HTN", "I10")], "condition string, prefix string")

@@ -91,3 +91,22 @@ def test_topic_files_with_another_header_are_an_error(spark, tmp_out):
     spark.createDataFrame([("2", "1")], "b string, a string").write.option("header", "true").csv(f"{tmp_out}/lab_two")
     with pytest.raises(Exception):
         read_topic(spark, tmp_out, "lab", schema).collect()
+
+
+def test_topic_files_are_read_by_name(spark, tmp_out):
+    import pytest
+    from cohortkit.sources.tables import read_topic_by_name, schema_of
+    schema = schema_of([("id", "long"), ("name one", "string"), ("dose", "double")])
+
+    def put(name, rows, cols):
+        spark.createDataFrame(rows, cols).coalesce(1).write.option("header", "true").csv(f"{tmp_out}/{name}")
+    put("lab_one", [("1", "x", "0.5"), ("2", "id,dose", None)], "id string, `name one` string, dose string")
+    put("lab_two", [("7.5", "3", "y")], "dose string, id string, `name one` string")
+    put("lab_three", [("q", "z", "4")], "other string, `name one` string, id string")
+    put("note", [("9", "no")], "id string, `name one` string")
+    got = sorted(tuple(r) for r in read_topic_by_name(spark, tmp_out, "lab", schema).collect())
+    assert got == [(1, "x", 0.5), (2, "id,dose", None), (3, "y", 7.5), (4, "z", None)]
+    assert read_topic_by_name(spark, tmp_out, "lab", schema).schema.names == schema.names
+    put("lab_four", [("5",)], "other string")
+    with pytest.raises(ValueError, match="no column"):
+        read_topic_by_name(spark, tmp_out, "lab", schema)

@@ -11,7 +11,7 @@ Test items are taken in blocks of bounded word count (by item hash); each
 block's automaton is broadcast as flat arrays and sees all documents, so the
 broadcast does not grow with the benchmark.  Spans of all blocks are cut
 together, and texts that were cut are looked at again, so the cut texts do not
-depend on the blocks.
+depend on the blocks; one block takes the same path as many.
 
 A hit carries the automaton's state, never the items that hold its window:
 the states of different windows have disjoint marks, so the items of a text
@@ -36,9 +36,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import ARROW_ROWS, materialize, only, small_batches, unwrapped, wrapped
+from .common import ARROW_ROWS, materialize, only, unwrapped, wrapped
 from .words import WordBatch, groups_by_size, keys, normalized
 
 #: words of one automaton, about
@@ -265,16 +264,6 @@ class Automaton:
                         tuple(sorted({m for _, _, m in got})), b, doc))
         return out
 
-    def cleaned(self, text: str | None) -> str | None:
-        """The text without its hit spans (and without those that only their removal brings together)."""
-        while text is not None:
-            raw = text.encode("utf-8")
-            _, starts, ends, _, b, doc = self.match([normalized(text)])[0]
-            if len(starts) == 0:
-                break
-            text = without(raw, b, int(b.first[doc]), zip(starts.tolist(), ends.tolist()))
-        return text
-
 
 def without(raw: bytes, b: WordBatch, base: int, spans: Iterable[tuple[int, int]]) -> str:
     """The text without the spans (ordered, apart); its words are those of ``b`` from ``base``."""
@@ -405,71 +394,74 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame
                     (n_hit > 0).alias("contaminated"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``docs`` with the hit spans cut out of ``text``; every row and every other column stays
-    (``n_chars``, where there is one, follows the text)."""
-    small_batches(docs.sparkSession)
-    rows = wrapped(docs, text="text")
-    autos = automata(benchmark, window)
-    if len(autos) > 1:
-        return unwrapped(_cut_by_blocks(rows, autos), docs, "text")
-    auto = autos[0]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = Automaton.load(auto.value)
-        for b in batches:
-            col = b.column(1).to_pylist()
-            texts = [normalized(t) for t in col]
-            for x, y in groups_by_size(texts):
-                for i, (_, starts, *_rest) in enumerate(a.match(texts[x:y]), x):
-                    if len(starts):
-                        col[i] = a.cleaned(col[i])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], ["_row", "text"])
-    return unwrapped(rows.mapInArrow(run, rows.schema), docs, "text")
-
-
-def _cut_by_blocks(rows: DataFrame, autos: list) -> DataFrame:
-    """As ``cleaned``, one automaton in a task at a time: the spans of all blocks are found in the same
-    text and cut together; texts that were cut go through all blocks again, until none is."""
-    spans = ArrayType(IntegerType())
-    schema = StructType([*rows.schema.fields, StructField("starts", spans), StructField("ends", spans)])
-    names = schema.names
-
-    def find(auto):
+def _hit_texts(texts: DataFrame, autos: list) -> DataFrame:
+    """(h, g, text, starts, ends): the different texts that any block hits, with the spans of all blocks;
+    one automaton in a task at a time."""
+    def find(auto, k):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = Automaton.load(auto.value)
             for b in batches:
-                starts, ends = b.column(2).to_pylist(), b.column(3).to_pylist()
-                texts = [normalized(t) for t in b.column(1).to_pylist()]
-                for x, y in groups_by_size(texts):
-                    for i, (_, s, e, *_rest) in enumerate(a.match(texts[x:y]), x):
-                        starts[i] += s.tolist()
-                        ends[i] += e.tolist()
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(starts, pa.list_(pa.int32())),
-                                                  pa.array(ends, pa.list_(pa.int32()))], names)
+                norm = [normalized(t) for t in b.column(2).to_pylist()]
+                at, starts, ends = [], [], []
+                for x, y in groups_by_size(norm):
+                    for i, (_, s, e, *_rest) in enumerate(a.match(norm[x:y]), x):
+                        if len(s):
+                            at.append(i)
+                            starts.append(s)
+                            ends.append(e)
+                hit = b.take(pa.array(at, pa.int64()))
+                ints = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*hit.columns, pa.array([k] * len(at), pa.int32()), pa.array(starts, ints), pa.array(ends, ints)],
+                    ["h", "g", "text", "block", "starts", "ends"])
         return run
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = b.column(1).to_pylist()
-            for i, (s, e) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                if s:
-                    col[i] = without(col[i].encode("utf-8"), WordBatch([normalized(col[i])]), 0, joined(zip(s, e)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(col, pa.string())], names[:2])
-
-    done = []
-    plain = rows.schema
+    schema = "h long, g long, text string, block int, starts array<int>, ends array<int>"
+    parts = [materialize(texts.mapInArrow(find(auto, k), schema), "decontaminate-hits", ARROW_ROWS)
+             for k, auto in enumerate(autos)]
+    # copies of a text become one row; then at most one row per block in a group
+    once = reduce(DataFrame.unionByName, parts).dropDuplicates(["block", "h", "g"])
+    return once.groupBy("h", "g").agg(F.first("text").alias("text"), F.flatten(F.collect_list("starts")).alias("starts"),
+                                      F.flatten(F.collect_list("ends")).alias("ends"))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        col = [without(t.encode("utf-8"), WordBatch([normalized(t)]), 0, joined(zip(s, e)))
+               for t, s, e in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(col, pa.string())], ["h", "g", "text"])
+
+
+def cut_texts(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame | None:
+    """(h, g, text): what is left of each different text that is hit, by the hashes of the whole text;
+    None where no text is.  The spans of all blocks are cut together, and texts that were cut go through
+    all blocks again, until none is hit."""
+    autos = automata(benchmark, window)
+    texts = only(docs, h=F.xxhash64("text"), g=F.xxhash64(F.lit(1), "text"), text="text")
+    rounds: list[DataFrame] = []
     while True:
-        none = F.array().cast(spans)
-        rows = rows.withColumns({"starts": none, "ends": none})
-        for auto in autos:
-            rows = materialize(rows.mapInArrow(find(auto), schema), "decontaminate-block")
-        done.append(rows.filter(F.size("starts") == 0).select(*names[:2]))
-        rows = rows.filter(F.size("starts") > 0)
-        if rows.isEmpty():
+        cut = materialize(_hit_texts(texts, autos).mapInArrow(_cut, "h long, g long, text string"),
+                          "decontaminate-cut", ARROW_ROWS)
+        if cut.isEmpty():
             break
-        rows = materialize(rows.mapInArrow(cut, plain), "decontaminate-cut")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+        rounds.append(cut)
+        texts = cut
+    if not rounds:
+        return None
+    # a round holds the texts that the one before it left with a hit
+    last = [r.join(after.select("h", "g"), ["h", "g"], "left_anti") for r, after in zip(rounds, rounds[1:])]
+    return reduce(DataFrame.unionByName, [*last, rounds[-1]])
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """``docs`` with the hit spans cut out of ``text``; every row and every other column stays
+    (``n_chars``, where there is one, follows the text).
+
+    Only the different texts that are hit are written and cut; rows get theirs by a join on two 64-bit
+    hashes, which the planner broadcasts or shuffles by the written size.
+    """
+    cut = cut_texts(docs, benchmark, window)
+    rows = wrapped(docs, text="text", h=F.xxhash64("text"), g=F.xxhash64(F.lit(1), "text"))
+    if cut is not None:
+        rows = rows.join(cut.withColumnRenamed("text", "cut"), ["h", "g"], "left").withColumn("text", F.coalesce("cut", "text"))
+    return unwrapped(rows, docs, "text")

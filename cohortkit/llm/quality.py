@@ -12,10 +12,10 @@ its probabilities.
 
 Scores depend on the text alone.  Defined results: null and empty texts get
 the score of the zero vector; labels without id or quality, and documents
-without label, teach nothing; fewer than ``FEW`` labelled rows are all fitted
-on, from the share of label 1 and with strong weight decay, without a
-temperature; without both labels to learn from, every score is the share of
-label 1 (0.5 without labels); no rows give no rows.
+without label, teach nothing; the fewer labelled rows there are, the stronger
+the weight decay and the nearer the temperature to 1; without both labels to
+learn from, every score is the share of label 1 (0.5 without labels); no rows
+give no rows.
 """
 
 from __future__ import annotations

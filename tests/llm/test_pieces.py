@@ -153,11 +153,13 @@ def test_automaton_against_brute_force(seqs, docs, window):
         assert mine == hit and {a.items[i] for i in a.holders(marks)} == names
 
 
-def test_cleaned_removes_what_only_removal_joins():
-    a = decontaminate.Automaton([("1", [b"a", b"b", b"c"])], 3)
-    assert a.cleaned("x A, b c. y") == "x . y"
-    assert a.cleaned("a b a b c c z").split() == ["z"]
-    assert a.cleaned("x y") == "x y" and a.cleaned(None) is None
+def test_cut_removes_what_only_removal_joins(spark):
+    items = spark.createDataFrame([("1", "a b c")], "item_id string, text string")
+    texts = ["x A, b c. y", "a b a b c c z", "x y", None, "x A, b c. y"]
+    docs = spark.createDataFrame([(i, t, -1) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in decontaminate.decontaminated(docs, items, 3).collect()}
+    assert got == {0: ("x . y", 5), 1: (" z", 2), 2: ("x y", 3), 3: (None, None), 4: ("x . y", 5)}
+    assert decontaminate.cut_texts(docs.filter("doc_id between 2 and 3"), items, 3) is None
 
 
 def test_loser_tree():

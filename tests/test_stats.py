@@ -250,6 +250,19 @@ def test_rows_and_passes_stay_bounded_on_ties_and_separated_scores():
     assert above[1] <= 4 and len(above[0]) == 600
 
 
+def test_passes_on_one_tied_score_and_on_a_third_tied():
+    """36 blocks: the chain of guesses settles in a few passes, with the pairs of the serial walk."""
+    rnd = random.Random(1)
+    n = 720
+    tied = [(i, 0.5) for i in range(3 * n)]
+    third = [(i, 0.5 if rnd.random() < 1 / 3 else rnd.random()) for i in range(3 * n)]
+    for rows in (tied, third):
+        cases, controls = rows[:n], rows[n:]
+        pairs, passes, _ = _by_blocks(cases, controls, n // 12)
+        assert passes <= 7
+        assert pairs == [(c, k) for c, k, _ in _serial_greedy(cases, controls, 1)]
+
+
 @pytest.mark.parametrize("seed,rows_n,block_rows", [(31, 45, 4), (32, 45, 7), (41, 20, 3)])
 def test_matching_small_blocks_equal_serial_greedy(spark, seed, rows_n, block_rows):
     rnd = random.Random(seed)

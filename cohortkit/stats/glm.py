@@ -142,7 +142,8 @@ def build_design(df: DataFrame, outcome: str, terms: Sequence[str],
                 lv = level_table(df.filter(cond), t, by="alpha")
             elif not isinstance(lv, DataFrame):
                 lv = df.sparkSession.createDataFrame([(v, k) for k, v in enumerate(lv, 1)], "level string, position int")
-            x = level_index(x, t, lv, c)
+            # few rows (their names are collected below): a join by value would sort all rows of a level in one task
+            x = level_index(x, t, F.broadcast(lv), c)
             # the names of this model's coefficients
             names = [r["level"] for r in lv.orderBy("position").select("level").collect()]
             specs.append(TermSpec(t, "factor", c, [f"{t}{level}" for level in names[1:]], names))

@@ -55,7 +55,8 @@ def linear_predictor(lf: LogitFit, df: DataFrame, out: str = "__eta") -> DataFra
             name = f"__b{i}"
             rows = [(t.levels[0], 0.0), *((v, coef[lb]) for v, lb in zip(t.levels[1:], t.labels))]
             tab = df.sparkSession.createDataFrame(rows, f"__v{i} string, {name} double")
-            res = res.join(tab, res[t.name] == tab[f"__v{i}"], "left").drop(f"__v{i}")
+            # one row per coefficient: broadcast, so that no task sorts all rows of a level
+            res = res.join(F.broadcast(tab), res[t.name] == tab[f"__v{i}"], "left").drop(f"__v{i}")
             extra.append(name)
             eta = eta + F.col(name)
         else:

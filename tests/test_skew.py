@@ -80,3 +80,25 @@ def test_hot_key_picks_and_flags(spark, skew_conf):
     for p, e, t, k, v in rows:
         kinds.setdefault(p, set()).add(k)
     assert got == {p: ("error" in kinds.get(p, ()), "purchase" in kinds.get(p, ())) for p in range(205)}
+
+
+def test_factor_level_of_most_rows_stays_spread(spark):
+    """Level indexes and coefficients reach the rows where they are: no task gets all rows of a level."""
+    from cohortkit.stats.glm import build_design, fit
+    from cohortkit.stats.match import linear_predictor
+    df = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") % 10 == 0, "a").otherwise("b").alias("g"), (F.col("id") % 7).cast("double").alias("q"),
+        (F.col("id") * 37 % 11 < 5).alias("y"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        design = build_design(df, "y", ["g", "q"])
+        scored = linear_predictor(fit(design), df)
+        for rows in (design.frame, scored):
+            sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+            assert sorted(sizes) == [1000] * 4
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

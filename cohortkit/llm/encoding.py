@@ -22,6 +22,9 @@ from .words import LONG_WORD, _MASKS, eight, groups_by_size, keys
 
 #: distinct pieces kept per worker before the table is started anew
 MAX_PIECES = 600_000
+#: one of these stands in every text that _UNSAFE matches; looked for first, as a search for a literal is quick
+_HINTS = (b"<|", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80",
+          b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 _UNSAFE = re.compile(rb"<\||\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -47,6 +50,7 @@ class Encoder:
         self.full = Tokenizer.from_file(path)
         self.kind = self._kind(spec)
         self.letters = {b: c for b, c in enumerate(byte_letters())}
+        self.joined = self.letters | {0x0A: "\n"}           # of plain pieces, which hold no line feed, one per line
         self.bare = Tokenizer(self.full.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         n = self.full.get_vocab_size()
@@ -76,7 +80,12 @@ class Encoder:
         return "whole"
 
     def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.n = 0                                          # pieces kept
+        self.key = np.zeros(0, np.uint64)                   # their keys, sorted, and their numbers
+        self.number = np.zeros(0, np.int64)
+        self.bytes, self.filled = np.zeros(1 << 20, np.uint8), 0
+        self.begin = np.zeros(1 << 16, np.int64)            # by number: where its bytes begin, and their count
+        self.length = np.zeros(1 << 16, np.int64)
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 20, np.uint32)
@@ -102,49 +111,82 @@ class Encoder:
         at = np.flatnonzero(start)
         return at, np.append(at[1:], len(buf))
 
-    def _ids(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(pieces in the order of their ids, ids, ids per piece)."""
-        plain, other = [], []
-        full = _PLAIN[self.kind].fullmatch
-        for p in pieces:
-            (plain if full(p.decode("utf-8")) else other).append(p)
+    def _plain(self, piece: bytes) -> bool:
+        ascii_ = piece.isalpha() if self.kind == "drop" else piece[:1] == b" " and piece[1:].isalpha()
+        return ascii_ or bool(_PLAIN[self.kind].fullmatch(piece.decode("utf-8")))
+
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the pieces in the order of their ids, ids, ids per piece)."""
+        is_plain = np.fromiter(map(self._plain, pieces), bool, len(pieces))
+        plain, other = np.flatnonzero(is_plain), np.flatnonzero(~is_plain)
         found: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
-        if plain:
-            joined = " ".join(p.decode("latin-1").translate(self.letters) for p in plain)
+        if len(plain):
+            joined = b"\n".join([pieces[i] for i in plain.tolist()]).decode("latin-1").translate(self.joined)
             ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
             hit = np.flatnonzero(self.mark[ids])
             bounds = np.concatenate([[0], hit + 1]) if self.kind == "drop" else np.append(hit, len(ids))
             if len(bounds) != len(plain) + 1 or bounds[0] != 0 or bounds[-1] != len(ids):
-                other, plain = plain + other, []          # the marks do not separate these words
+                other, plain = np.arange(len(pieces)), plain[:0]      # the marks do not separate these words
             else:
                 sizes.append(np.diff(bounds))
                 found.append(ids)
-        if other:
-            got = self.full.encode_batch_fast([p.decode("utf-8") for p in other], add_special_tokens=False)
+        if len(other):
+            got = self.full.encode_batch_fast([pieces[i].decode("utf-8") for i in other.tolist()], add_special_tokens=False)
             lists = [e.ids for e in got]
             sizes.append(np.array([len(x) for x in lists], dtype=np.int64))
             found.append(np.array([i for x in lists for i in x], dtype=np.uint32))
-        return plain + other, np.concatenate(found), np.concatenate(sizes)
+        return np.concatenate([plain, other]), np.concatenate(found), np.concatenate(sizes)
 
-    def _add(self, pieces: list[bytes]) -> None:
+    def _add(self, pieces: list[bytes], key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Numbers of new pieces; ``key``, sorted, is to stand before ``place`` among the keys."""
         order, ids, size = self._ids(pieces)
-        n, k = len(self.index), len(order)
+        n, k = self.n, len(pieces)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        length = np.fromiter(map(len, pieces), np.int64, k)
         while n + k > len(self.at):
-            self.at, self.size = np.append(self.at, np.zeros_like(self.at)), np.append(self.size, np.zeros_like(self.size))
+            for name in ("at", "size", "begin", "length"):
+                setattr(self, name, np.append(getattr(self, name), np.zeros_like(getattr(self, name))))
         while self.used + len(ids) > len(self.pool):
             self.pool = np.append(self.pool, np.zeros_like(self.pool))
+        while self.filled + len(data) + 8 > len(self.bytes):
+            self.bytes = np.append(self.bytes, np.zeros_like(self.bytes))
         self.pool[self.used:self.used + len(ids)] = ids
-        self.at[n:n + k] = self.used + np.cumsum(size) - size
-        self.size[n:n + k] = size
-        self.used += len(ids)
-        self.index.update(zip(order, range(n, n + k)))
+        self.at[n + order] = self.used + np.cumsum(size) - size
+        self.size[n + order] = size
+        self.bytes[self.filled:self.filled + len(data)] = data
+        self.begin[n:n + k] = self.filled + np.cumsum(length) - length
+        self.length[n:n + k] = length
+        self.used, self.filled, self.n = self.used + len(ids), self.filled + len(data), n + k
+        self.key = np.insert(self.key, place, key)
+        self.number = np.insert(self.number, place, np.arange(n, n + k))
+        return np.arange(n, n + k)
+
+    def _numbers(self, data: bytes, loads: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray) -> np.ndarray | None:
+        """Number of each of these different pieces, new ones are added; None if one has the key of another kept."""
+        order = np.argsort(key)
+        asked = key[order]
+        place = np.searchsorted(self.key, asked)
+        known = np.zeros(len(key), bool)
+        if self.n:
+            known = self.key[np.minimum(place, self.n - 1)] == asked
+        out = np.empty(len(key), np.int64)
+        out[order[known]] = self.number[place[known]]
+        old, new = order[known], order[~known]
+        kept = np.ndarray(shape=(len(self.bytes) - 7,), dtype="<u8", buffer=self.bytes.data, strides=(1,))
+        begin, length = self.begin[out[old]], self.length[out[old]]
+        if not _equal(data, loads, starts[old], ends[old], self.bytes, kept, begin, begin + length):
+            return None
+        if len(new):
+            pieces = [data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            out[new] = self._add(pieces, asked[~known], place[~known])
+        return out
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.full.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
 
     def _unsafe(self, data: bytes) -> bool:
-        return self.kind == "whole" or bool(_UNSAFE.search(data))
+        return self.kind == "whole" or any(h in data for h in _HINTS) and bool(_UNSAFE.search(data))
 
     def _prepared(self, data: bytes) -> bytes:
         return data.lower() if self.kind == "drop" else data
@@ -165,14 +207,11 @@ class Encoder:
         codes, rep = _codes(key)
         if not _same_pieces(data, loads, starts, ends, rep[codes]):
             return None
-        pieces = [data[a:b] for a, b in zip(starts[rep].tolist(), ends[rep].tolist())]
-        if len(self.index) > MAX_PIECES:
+        if self.n > MAX_PIECES:
             self._reset()
-        get = self.index.get
-        missing = [p for p in pieces if get(p) is None]
-        if missing:
-            self._add(missing)
-        k = np.fromiter(map(self.index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        k = self._numbers(data, loads, starts[rep], ends[rep], key[rep])
+        if k is None:
+            return None
         n_ids, at = self.size[k][codes], self.at[k][codes]
         cum = np.cumsum(n_ids)
         ids = self.pool[np.repeat(at - (cum - n_ids), n_ids) + np.arange(cum[-1])]
@@ -208,22 +247,28 @@ class Encoder:
 
 def _same_pieces(data: bytes, loads: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
     """Is every piece, byte by byte, the piece ``like`` that stands for it?"""
-    size = ends - starts
-    if (size != size[like]).any():
+    todo = np.flatnonzero(like != np.arange(len(like)))
+    to = like[todo]
+    return _equal(data, loads, starts[todo], ends[todo], data, loads, starts[to], ends[to])
+
+
+def _equal(a: bytes | np.ndarray, a_loads: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray,
+           b: bytes | np.ndarray, b_loads: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> bool:
+    """Are the pieces of ``a``, byte by byte, those of ``b``?"""
+    size = a_ends - a_starts
+    if (size != b_ends - b_starts).any():
         return False
-    todo = np.flatnonzero((like != np.arange(len(like))) & (size <= LONG_WORD))
-    short = todo[size[todo] < 8]
-    left = _MASKS[size[short]]
-    if ((loads[starts[short]] ^ loads[starts[like[short]]]) & left).any():
+    short = np.flatnonzero(size < 8)
+    if ((a_loads[a_starts[short]] ^ b_loads[b_starts[short]]) & _MASKS[size[short]]).any():
         return False
-    todo, at = todo[size[todo] >= 8], 0
+    todo, at = np.flatnonzero((size >= 8) & (size <= LONG_WORD)), 0
     while len(todo):                       # eight bytes at a time; the last eight may overlap
         off = np.minimum(at, size[todo] - 8)
-        if (loads[starts[todo] + off] != loads[starts[like[todo]] + off]).any():
+        if (a_loads[a_starts[todo] + off] != b_loads[b_starts[todo] + off]).any():
             return False
         at += 8
         todo = todo[size[todo] > at]
-    return all(data[starts[i]:ends[i]] == data[starts[like[i]]:ends[like[i]]] for i in np.flatnonzero(size > LONG_WORD))
+    return all(bytes(a[a_starts[i]:a_ends[i]]) == bytes(b[b_starts[i]:b_ends[i]]) for i in np.flatnonzero(size > LONG_WORD))
 
 
 def _codes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

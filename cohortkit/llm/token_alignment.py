@@ -77,9 +77,9 @@ class PieceEncoder(Encoder):
         got = self.model.encode([p[1:].decode("utf-8") for p in pieces], num_threads=1)
         return [ids if len(p) > 1 else [self.space] for ids, p in zip(got, pieces)]
 
-    def _ids(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lists = self._lists(pieces)
-        return pieces, np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
+        return np.arange(len(pieces)), np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text[1:], num_threads=1), np.uint32)

@@ -63,11 +63,13 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
         for b in batches:
-            for blob, n in zip(b.column("ids").to_pylist(), b.column("n_tokens").to_pylist()):
-                c = np.bincount(_unpack(blob, n, z))
-                if len(c) > len(total):
-                    total = np.append(total, np.zeros(len(c) - len(total), np.int64))
-                total[:len(c)] += c
+            held = [_unpack(blob, n, z) for blob, n in zip(b.column("ids").to_pylist(), b.column("n_tokens").to_pylist())]
+            if not held:
+                continue
+            c = np.bincount(np.concatenate(held))
+            if len(c) > len(total):
+                total = np.append(total, np.zeros(len(c) - len(total), np.int64))
+            total[:len(c)] += c
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 

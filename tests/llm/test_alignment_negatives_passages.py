@@ -116,6 +116,36 @@ def test_key_conflicts_are_encoded_whole(monkeypatch):
     assert not encoding._same_pieces(data, loads, starts, ends, np.array([0, 0, 0]))
 
 
+def test_key_conflicts_with_earlier_batches(monkeypatch):
+    """Pieces kept from one batch are compared byte by byte with those of the next, short, long and very long ones."""
+    monkeypatch.setattr(encoding, "keys", lambda d, s, e, loads=None: (e - s).astype(np.uint64))
+    for path in (A, public_tokenizers.path("word_bpe_49k.json")):
+        enc = encoding.Encoder(path)
+        for t in ("a word", "a ward", "a longerthaneight", "a langerthaneight", "q" * 700, "r" * 700, "a word", None):
+            assert enc.encode([t])[0].tolist() == enc.full.encode(t or "", add_special_tokens=False).ids
+
+
+def test_known_pieces_are_looked_up_together():
+    """Calls made for a batch do not grow with its distinct pieces (one look-up in a dict each, before)."""
+    calls = []
+    for n in (50, 5000):
+        enc, texts = encoding.Encoder(public_tokenizers.path("word_bpe_49k.json")), [" ".join(f"w{i} x{i * 7}" for i in range(n))]
+        first = enc.encode(texts)[0].tolist()
+        made = [0]
+
+        def count(frame, event, arg):
+            made[0] += event == "c_call"
+
+        sys.setprofile(count)
+        try:
+            again = enc.encode(texts)[0].tolist()
+        finally:
+            sys.setprofile(None)
+        assert first == again == enc.full.encode(texts[0], add_special_tokens=False).ids
+        calls.append(made[0])
+    assert calls[1] < calls[0] + 100
+
+
 # -- hard negatives ---------------------------------------------------------------
 
 VEC = "vec_id long, label int, embedding array<float>, name long, rank int, d string"

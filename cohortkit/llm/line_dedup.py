@@ -46,6 +46,8 @@ BLOCK_LINES, BLOCK_CHARS = 512, 1 << 20
 COLUMNS = 2048
 #: tiles of so few lines are listed without numpy (same pairs, less overhead)
 FEW = 12
+#: join hint: the other side is not sorted
+HASHED = "shuffle_hash"
 _P = np.uint64(0x100000001B3)
 _CHUNK = 1 << 17
 
@@ -88,9 +90,13 @@ def shingle_hashes(lines: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.
         sizes = np.array([len(x) for x in part], np.int64)
         starts = np.cumsum(sizes + SHINGLE - 1) - (sizes + SHINGLE - 1)
         n = len(chars) - SHINGLE + 1
-        h = chars[:n].copy()
-        for k in range(1, SHINGLE):
-            h = h * _P + chars[k:n + k]
+        # powers of _P times the characters: two halves of a span make one twice as long
+        h, span, power = chars, 1, np.array([_P])
+        while 2 * span <= SHINGLE:
+            h = h[:-span] * power + h[span:]
+            span, power = 2 * span, power * power
+        for k in range(span, SHINGLE):
+            h = h[:-1] * _P + chars[k:]
         count = np.maximum(1, sizes - SHINGLE + 1)
         # the shingles of each line, without those that reach into the padding
         first = np.cumsum(count) - count
@@ -251,19 +257,25 @@ def _linked(similarity: float):
 def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) of the lines that are linked with others; ``lines`` as made by _occurrences."""
     spark = docs.sparkSession
+    # buckets of two lines or more, from all occurrences: equal lines have one id
+    many = materialize(lines.select("id", F.explode("bands").alias("band")).groupBy("band")
+                       .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("band"), "lines-many")
     each = lines.groupBy("id").agg(*[F.max(F.get("bands", F.lit(b))).alias(f"k{b}") for b in range(BANDS)])
     each = each.select("id", F.array_compact(F.array(*[f"k{b}" for b in range(BANDS)])).alias("keys"))
     banded = each.select("id", F.explode("keys").alias("band"))
-    many = materialize(banded.groupBy("band").count().filter("count > 1").select("band"), "lines-many")
-    need = materialize(banded.join(many, "band", "left_semi").select("id").distinct().join(each, "id"), "lines-needed")
+    # hashed sides have one narrow row per bucket or line, so the long sides need no sort
+    some = banded.join(many.hint(HASHED), "band", "left_semi").select("id").distinct()
+    need = materialize(each.join(some.hint(HASHED), "id", "left_semi"), "lines-needed")
     found = docs.select("text").mapInArrow(_texts, "id long, line string")
-    texts = materialize(found.join(need, "id").groupBy("id").agg(F.any_value("line").alias("line"), F.any_value("keys").alias("keys")),
+    texts = materialize(found.join(need.hint(HASHED), "id").groupBy("id").agg(F.any_value("line").alias("line"), F.any_value("keys").alias("keys")),
                         "lines-texts", TEXT_ROWS)
     size = F.greatest(F.count(F.lit(1)) / BLOCK_LINES, F.sum("chars") / BLOCK_CHARS)
     shared = materialize(texts.select(F.length("line").alias("chars"), F.explode("keys").alias("band")).groupBy("band")
                          .agg(F.count(F.lit(1)).alias("n"), F.ceil(size).cast("int").alias("blocks")).filter("n > 1")
                          .select("band", "blocks"), "lines-shared")
-    tiles = (texts.select("id", "line", "keys", F.explode("keys").alias("band")).join(shared, "band")
+    # the texts follow only into buckets that are shared
+    places = texts.select("id", F.explode("keys").alias("band")).join(shared.hint(HASHED), "band")
+    tiles = (places.join(texts, "id")
              .withColumn("side", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
@@ -306,7 +318,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(_row, text, n_lines, n_dropped): all columns of ``docs`` in ``_row``, the text without its repeated lines."""
-    drop = dropped_lines(docs, similarity).withColumnsRenamed({"doc_id": "_i", "h": "_g"})
+    drop = dropped_lines(docs, similarity).withColumnsRenamed({"doc_id": "_i", "h": "_g"}).hint(HASHED)
     rows = wrapped(docs, text="text", _d=F.col("doc_id").cast("long"), _t=F.xxhash64("text"))
     rows = rows.join(drop, rows["_d"].eqNullSafe(drop["_i"]) & (rows["_t"] == drop["_g"]), "left") \
         .select("_row", "text", "drop")

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 from operator import or_
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,12 +96,17 @@ def literal_prefixes(pattern: str) -> list[str]:
 
 def matches(col: str | Column, pattern: str) -> Column:
     """Regex match (FLT2/FLT3).  An anchored pattern also gets a
-    ``startswith`` on each text it can start with: these are pushed to the
-    Parquet reader (``rlike`` itself is not), so row groups are skipped early."""
+    ``startswith`` on each text it can start with, and on what these have in
+    common: both are pushed to the Parquet reader (``rlike`` itself is not), so
+    row groups are skipped early."""
     c = F.col(col) if isinstance(col, str) else col
     cond = c.rlike(pattern)
-    pre = [c.startswith(p) for p in literal_prefixes(pattern)]
-    return reduce(or_, pre) & cond if pre else cond
+    texts = literal_prefixes(pattern)
+    if not texts:
+        return cond
+    cond = reduce(or_, [c.startswith(p) for p in texts]) & cond
+    common = commonprefix(texts)
+    return c.startswith(common) & cond if common and common not in texts else cond
 
 
 def in_codes(df: DataFrame, col: str, codes) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cohortkit.llm.words import mix  # noqa: E402
 from cohortkit.llm import decontaminate, embedding_dedup, line_dedup, packing, sharding, simhash, streamvbyte, warc, words
 from cohortkit.llm.encoding import Encoder
 
@@ -335,3 +336,38 @@ def test_features_by_hand():
             own = v if d == 0 else v[:-d] * v[d:]
             want = own.sum(axis=0) / max(len(v) - d, 1) if len(own) else np.zeros(quality.DIM)
             assert np.allclose(row[d * quality.DIM:(d + 1) * quality.DIM], want, atol=1e-4)
+
+
+def test_long_sides_of_line_joins_are_not_sorted(spark, monkeypatch):
+    """Texts meet the needed lines, and lines their shared buckets, without a sort of the long side."""
+    plans, plain = {}, line_dedup.materialize
+
+    def noted(df, name, rows=None):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name, rows)
+
+    monkeypatch.setattr(line_dedup, "materialize", noted)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        line = "a line that comes back with %d small changes in its middle, nearly the same"
+        docs = spark.createDataFrame([(i, line % i + f"\nown text number {i * i * 7919}") for i in range(20)], "doc_id long, text string")
+        got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_report(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got[0] == 0 and sum(got.values()) > 10
+    assert "SortMergeJoin" not in plans["lines-needed"] + plans["lines-texts"]
+
+
+def test_shingle_hashes_are_the_polynomial():
+    lines = ["short", "x", "a line of more than eight characters", "é" * 20]
+    for _, _, h, first in line_dedup.shingle_hashes(lines):
+        want = []
+        for x in lines:
+            c = [ord(y) for y in x] + [0] * max(0, line_dedup.SHINGLE - len(x))
+            for i in range(len(c) - line_dedup.SHINGLE + 1):
+                v = 0
+                for y in c[i:i + line_dedup.SHINGLE]:
+                    v = (v * int(line_dedup._P) + y) % 2 ** 64
+                want.append(v * 0x9E3779B97F4A7C15 % 2 ** 64)
+        assert h.tolist() == mix(np.array(want, np.uint64)).tolist()

@@ -9,11 +9,12 @@ text hash, line number), stays.
 
 A bucket of any size is compared in tiles: its lines fall into blocks of
 bounded size (in lines and in characters), dealt out as (bucket, block,
-block).  A pair is looked at only in the first bucket that its lines share
-(a row carries its bucket keys).  A tile counts the shingles that its lines
-have in common, all pairs at once, and returns no pairs but a forest: one
-link, verified on the strings, for each line it could connect.  So the rows
-that move grow with the lines of a bucket, not with its pairs.
+block).  Buckets of the same two lines are one; a pair is looked at only in
+the first bucket that its lines share (a row carries its bucket keys).  A
+tile counts the shingles that its lines have in common, all pairs at once,
+and returns no pairs but a forest: one link, verified on the shingles
+themselves, for each line it could connect.  So the rows that move grow with
+the lines of a bucket, not with its pairs.
 
 At a Jaccard similarity of 0.8, 99.7 % of the pairs share a bucket.
 
@@ -33,15 +34,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import TEXT_ROWS, materialize, only, unwrapped, width, wrapped
+from .common import TEXT_ROWS, materialize, only, quoted, unwrapped, width
 from .components import components
 from .words import mix
 
 SHINGLE, ROWS, BANDS, SIMILARITY = 8, 3, 8, 0.8
 #: lines and characters of a block of a bucket, about
-BLOCK_LINES, BLOCK_CHARS = 512, 1 << 20
+BLOCK_LINES, BLOCK_CHARS = 256, 1 << 20
 #: shingles whose occurrences are held at once as a dense block
 COLUMNS = 2048
 #: tiles of so few lines are listed without numpy (same pairs, less overhead)
@@ -125,26 +125,29 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, h, no, id, bands) of every line; equal lines of a batch are signed once."""
+    """(doc_id, h, no, id, chars, bands) of every line; of equal lines of a batch, the first has the bands."""
     for b in batches:
-        row, no, ids = [], [], []
+        row, no, ids, fresh = [], [], [], []
         seen: dict[str, int] = {}
         for i, t in enumerate(b.column(2).to_pylist()):
             for n, line in units(t):
                 row.append(i)
                 no.append(n)
+                fresh.append(line not in seen)
                 ids.append(seen.setdefault(line, len(seen)))
         if not row:
             continue
         lines = list(seen)
         code = np.array(ids)
-        keys = band_keys(lines)[code]
         name = np.array([line_id(x) for x in lines], np.int64)[code]
+        chars = np.array([len(x) for x in lines], np.int64)[code]
         take = pa.array(row)
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
+        # the lines are numbered as they come, so the rows with bands are in their order
+        ends = np.concatenate([[0], np.cumsum(fresh)]).astype(np.int32) * BANDS
+        bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(band_keys(lines).ravel()))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(take), b.column(1).take(take), pa.array(no, pa.int32()), pa.array(name), bands],
-            ["doc_id", "h", "no", "id", "bands"])
+            [b.column(0).take(take), b.column(1).take(take), pa.array(no, pa.int32()), pa.array(name), pa.array(chars), bands],
+            ["doc_id", "h", "no", "id", "chars", "bands"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,6 +193,43 @@ def _common(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return size, both
 
 
+def shingle_codes(lines: list[str]) -> list[np.ndarray]:
+    """Distinct shingles of each line as sorted numbers: equal numbers within a call are equal shingles, nothing is hashed.
+
+    Lines of fewer characters than a shingle have none.
+    """
+    try:
+        data = [x.encode("latin-1") for x in lines]
+    except UnicodeEncodeError:
+        letters = set().union(*lines)
+        if len(letters) > 256:
+            number: dict[str, int] = {}
+            return [np.sort(np.array([number.setdefault(s, len(number)) for s in shingles(x)] if len(x) >= SHINGLE else [], np.uint64))
+                    for x in lines]
+        code = {ord(c): i for i, c in enumerate(letters)}
+        data = [x.translate(code).encode("latin-1") for x in lines]
+    out = []
+    for d in data:
+        # eight characters of a byte each are one number
+        x = np.ndarray(max(0, len(d) - SHINGLE + 1), "<u8", d.ljust(SHINGLE), strides=(1,)).copy()
+        x.sort()
+        new = np.empty(len(x), bool)
+        new[:1] = True
+        np.not_equal(x[1:], x[:-1], out=new[1:])
+        out.append(x[new])
+    return out
+
+
+def alike(u: np.ndarray, v: np.ndarray, similarity: float) -> bool:
+    """Is the Jaccard similarity of two arrays of shingle_codes at least ``similarity``?"""
+    if not len(u) or not len(v) or min(len(u), len(v)) < similarity * max(len(u), len(v)):
+        return False
+    x = np.concatenate((u, v))
+    x.sort()
+    both = int(np.count_nonzero(x[1:] == x[:-1]))
+    return both / (len(u) + len(v) - both) >= similarity
+
+
 def tile_links(band: int, lines: list[str], keys: list[list[int]], side: list[int] | None, similarity: float) -> list[tuple[int, int]]:
     """A forest of verified links between the lines of a tile (``side``: only between the two blocks)."""
     n, at = len(lines), keys[0].index(band)
@@ -211,17 +251,14 @@ def tile_links(band: int, lines: list[str], keys: list[list[int]], side: list[in
             near = both[i, j] >= similarity * (count[i] + count[j] - both[i, j]) - 0.5
             i, j = i[near], j[near]
         pairs = list(zip(i.tolist(), j.tolist()))
+    if not pairs:
+        return []
     up, out = list(range(n)), []
-    sets: dict[int, set[str]] = {}
+    used = sorted({k for pair in pairs for k in pair})
+    codes = dict(zip(used, shingle_codes([lines[k] for k in used])))
     for a, b in pairs:
         x, y = _root(up, a), _root(up, b)
-        if x == y:
-            continue
-        for k in (a, b):
-            if k not in sets:
-                sets[k] = shingles(lines[k])
-        u, v = sets[a], sets[b]
-        if min(len(u), len(v)) >= similarity * max(len(u), len(v)) and jaccard(u, v) >= similarity:
+        if x != y and alike(codes[a], codes[b], similarity):
             up[x] = y
             out.append((a, b))
     return out
@@ -233,49 +270,69 @@ def _linked(similarity: float):
         held: list = []
         name = None
 
-        def done() -> Iterator[pa.RecordBatch]:
+        def done() -> list[tuple[int, int]]:
             if len(held) < 2:
-                return
+                return []
             band, p, q = name
             ids, lines, side, keys = (list(c) for c in zip(*held))
-            found = tile_links(band, lines, keys, side if p != q else None, similarity)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in found], pa.int64()),
-                                                  pa.array([ids[b] for _, b in found], pa.int64())], ["a", "b"])
+            return [(ids[a], ids[b]) for a, b in tile_links(band, lines, keys, side if p != q else None, similarity)]
+
+        def batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for b in batches:
-            cols = {c: b.column(c).to_pylist() for c in b.schema.names}
-            for k, row in zip(zip(cols["band"], cols["p"], cols["q"]), zip(cols["id"], cols["line"], cols["side"], cols["keys"])):
+            found: list[tuple[int, int]] = []
+            band, p, q, ids, side = (b.column(c).to_numpy().tolist() for c in ("band", "p", "q", "id", "side"))
+            keys = b.column("keys").flatten().to_numpy().reshape(len(b), -1).tolist()
+            for k, row in zip(zip(band, p, q), zip(ids, b.column("line").to_pylist(), side, keys)):
                 if k != name:
-                    yield from done()
+                    found += done()
                     held, name = [], k
                 held.append(row)
-        yield from done()
+            # the links of the tiles that end in a batch go together
+            if found:
+                yield batch(found)
+        found = done()
+        if found:
+            yield batch(found)
     return run
 
 
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """(id, k0, k1, ..., chars, n) of every different line: its bucket keys, its length, how often it occurs."""
+    chars = F.max("chars") if "chars" in lines.columns else F.lit(0).cast("long")
+    return materialize(lines.groupBy("id").agg(*[F.max(F.get("bands", F.lit(b))).alias(f"k{b}") for b in range(BANDS)],
+                                               chars.alias("chars"), F.count(F.lit(1)).alias("n")), "lines-each")
+
+
 def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, root) of the lines that are linked with others; ``lines`` as made by _occurrences."""
+    """(node, root) of the lines that are linked with others; ``lines`` as made by _occurrences (``chars``, where given,
+    bounds the blocks too)."""
+    return linked_lines(distinct_lines(lines), docs, similarity)
+
+
+def linked_lines(each: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, root) of the lines that are linked with others; ``each`` as made by distinct_lines."""
     spark = docs.sparkSession
-    # buckets of two lines or more, from all occurrences: equal lines have one id
-    many = materialize(lines.select("id", F.explode("bands").alias("band")).groupBy("band")
-                       .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("band"), "lines-many")
-    each = lines.groupBy("id").agg(*[F.max(F.get("bands", F.lit(b))).alias(f"k{b}") for b in range(BANDS)])
-    each = each.select("id", F.array_compact(F.array(*[f"k{b}" for b in range(BANDS)])).alias("keys"))
-    banded = each.select("id", F.explode("keys").alias("band"))
+    names = [f"k{b}" for b in range(BANDS)]
+    banded = each.select("id", "chars", F.explode(F.array(*names)).alias("band")).filter("band is not null")
+    size = F.greatest(F.col("n") / BLOCK_LINES, F.col("chars") / BLOCK_CHARS)
+    shared = (banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"),
+                                         F.min("id").alias("lo"), F.max("id").alias("hi")).filter("n > 1"))
+    # buckets of the same two lines are one
+    shared = materialize(shared.groupBy("lo", "hi", F.when(F.col("n") > 2, F.col("band")).alias("own"))
+                         .agg(F.min("band").alias("band"), F.max("n").alias("n"), F.max("chars").alias("chars"))
+                         .select("band", F.ceil(size).cast("int").alias("blocks")), "lines-shared")
     # hashed sides have one narrow row per bucket or line, so the long sides need no sort
-    some = banded.join(many.hint(HASHED), "band", "left_semi").select("id").distinct()
-    need = materialize(each.join(some.hint(HASHED), "id", "left_semi"), "lines-needed")
+    placed = each.select("id", F.posexplode(F.array(*names)).alias("at", "band")).filter("band is not null")
+    places = materialize(placed.join(shared.hint(HASHED), "band"), "lines-places")
+    # a key that no bucket left is named after its line, so it equals no other
+    need = materialize(places.groupBy("id").agg(F.array(*[F.coalesce(F.max(F.when(F.col("at") == b, F.col("band"))), F.col("id"))
+                                                          for b in range(BANDS)]).alias("keys")), "lines-needed")
     found = docs.select("text").mapInArrow(_texts, "id long, line string")
     texts = materialize(found.join(need.hint(HASHED), "id").groupBy("id").agg(F.any_value("line").alias("line"), F.any_value("keys").alias("keys")),
                         "lines-texts", TEXT_ROWS)
-    size = F.greatest(F.count(F.lit(1)) / BLOCK_LINES, F.sum("chars") / BLOCK_CHARS)
-    shared = materialize(texts.select(F.length("line").alias("chars"), F.explode("keys").alias("band")).groupBy("band")
-                         .agg(F.count(F.lit(1)).alias("n"), F.ceil(size).cast("int").alias("blocks")).filter("n > 1")
-                         .select("band", "blocks"), "lines-shared")
-    # the texts follow only into buckets that are shared
-    places = texts.select("id", F.explode("keys").alias("band")).join(shared.hint(HASHED), "band")
-    tiles = (places.join(texts, "id")
+    tiles = (places.select("id", "band", "blocks").join(texts, "id")
              .withColumn("side", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("band", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
@@ -288,43 +345,35 @@ def line_components(lines: DataFrame, docs: DataFrame, similarity: float = SIMIL
 def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, h, drop): numbers of the lines that go, for every document that loses any."""
     base = only(docs, doc_id=F.col("doc_id").cast("long"), h=F.xxhash64("text"), text="text")
-    lines = materialize(base.mapInArrow(_occurrences, "doc_id long, h long, no int, id long, bands array<long>"), "lines", TEXT_ROWS)
-    comp = line_components(lines, base, similarity)
+    lines = materialize(base.mapInArrow(_occurrences, "doc_id long, h long, no int, id long, chars long, bands array<long>"),
+                        "lines", TEXT_ROWS)
+    each = distinct_lines(lines)
+    comp = linked_lines(each, base, similarity)
+    # only lines that occur several times, or have near copies, can go; a root is the least id of its component
+    roots = materialize(each.filter("n > 1").select("id", F.col("id").alias("root"))
+                        .unionByName(comp.select(F.col("node").alias("id"), "root"))
+                        .groupBy("id").agg(F.min("root").alias("root")), "lines-rooted")
+    held = materialize(lines.select("doc_id", "h", "no", "id").join(roots.hint(HASHED), "id").drop("id"), "lines-held")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "no")
-    first = materialize(lines.groupBy("id").agg(F.min(place).alias("lo"), F.max(place).alias("hi")), "lines-first")
-    rooted = first.join(comp.withColumnRenamed("node", "id"), "id", "left")
-    # only lines that occur at several places, or have near copies, can go
-    rooted = materialize(rooted.filter("root is not null or lo <> hi")
-                         .select("id", "lo", F.coalesce("root", "id").alias("root")), "lines-rooted")
-    keep = materialize(rooted.groupBy("root").agg(F.min("lo").alias("keep")), "lines-keep")
-    rooted = materialize(rooted.join(keep, "root").select("id", "keep"), "lines-kept")
-    gone = lines.select("doc_id", "h", "no", "id", place.alias("at")).join(rooted, "id").filter("at <> keep")
+    keep = materialize(held.groupBy("root").agg(F.min(place).alias("keep")), "lines-keep")
+    gone = held.join(keep.hint(HASHED), "root").filter(place != F.col("keep"))
     # the line numbers of one document
     return materialize(gone.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("no")).alias("drop")), "lines-gone")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out, total, gone = [], [], []
-        for t, drop in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            lines = (t or "").split("\n")
-            some = set(drop or ())
-            total.append(len(lines))
-            gone.append(len(some))
-            out.append("\n".join(x for i, x in enumerate(lines) if i not in some) if some else t)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(total, pa.int64()),
-                                          pa.array(gone, pa.int64())], ["_row", "text", "n_lines", "n_dropped"])
-
-
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(_row, text, n_lines, n_dropped): all columns of ``docs`` in ``_row``, the text without its repeated lines."""
+    """(_row, text, n_lines, n_dropped): the other columns of ``docs`` in ``_row``, the text without its repeated lines."""
     drop = dropped_lines(docs, similarity).withColumnsRenamed({"doc_id": "_i", "h": "_g"}).hint(HASHED)
-    rows = wrapped(docs, text="text", _d=F.col("doc_id").cast("long"), _t=F.xxhash64("text"))
-    rows = rows.join(drop, rows["_d"].eqNullSafe(drop["_i"]) & (rows["_t"] == drop["_g"]), "left") \
-        .select("_row", "text", "drop")
-    schema = StructType([rows.schema["_row"], rows.schema["text"],
-                         StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return rows.mapInArrow(_cut, schema)
+    # the text goes beside the row only: it is the bulk of what is shuffled here
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns if c != "text"]).alias("_row")
+    rows = docs.select(row, "text", F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
+    rows = rows.join(drop, rows["_d"].eqNullSafe(drop["_i"]) & (rows["_t"] == drop["_g"]), "left")
+    rest = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("drop", i))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    loses = F.col("drop").isNotNull()
+    return rows.select("_row", F.when(loses, F.array_join(rest, "\n")).otherwise(F.col("text")).alias("text"),
+                       (F.coalesce(breaks, F.lit(0)) + 1).cast("long").alias("n_lines"),
+                       F.when(loses, F.size("drop")).otherwise(0).cast("long").alias("n_dropped"))
 
 
 def line_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cohortkit.llm.words import mix  # noqa: E402
 from cohortkit.llm import decontaminate, embedding_dedup, line_dedup, packing, sharding, simhash, streamvbyte, warc, words
@@ -371,3 +372,52 @@ def test_shingle_hashes_are_the_polynomial():
                     v = (v * int(line_dedup._P) + y) % 2 ** 64
                 want.append(v * 0x9E3779B97F4A7C15 % 2 ** 64)
         assert h.tolist() == mix(np.array(want, np.uint64)).tolist()
+
+
+def test_shingle_codes_are_the_shingles():
+    from itertools import combinations
+    rnd = random.Random(3)
+    latin = ["".join(rnd.choice("ab\0é ") for _ in range(rnd.randint(1, 60))) for _ in range(20)]
+    near = ["a line that is nearly the same as another one, up to its end %d" % i for i in range(4)]
+    greek = [x.replace("a", "α") for x in near] + near
+    many = ["".join(map(chr, range(0x4E00 + k, 0x4E00 + k + 300))) + "tail" for k in (0, 1, 200)]
+    linked = 0
+    for lines in (latin, near, greek, many, ["short", "abcdefgh", "abcdefgh" * 3], ["x"]):
+        sets = [line_dedup.shingles(x) if len(x) >= line_dedup.SHINGLE else set() for x in lines]
+        codes = line_dedup.shingle_codes(lines)
+        assert [len(x) for x in codes] == [len(x) for x in sets]
+        for i, j in combinations(range(len(lines)), 2):
+            assert len(np.intersect1d(codes[i], codes[j])) == len(sets[i] & sets[j])
+            want = bool(sets[i] and sets[j]) and line_dedup.jaccard(sets[i], sets[j]) >= 0.8
+            assert line_dedup.alike(codes[i], codes[j], 0.8) == want
+            linked += want
+    assert linked > 10
+
+
+def test_two_lines_are_placed_in_one_bucket(spark, monkeypatch):
+    """Two near copies share most of their buckets; their texts are sent to one of these only."""
+    placed, plain = [], line_dedup.materialize
+
+    def noted(df, name, rows=None):
+        out = plain(df, name, rows)
+        if name == "lines-places":
+            placed.append(out.count())
+            assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", noted)
+    line = "two lines that differ by their last letter alone and so meet in nearly all buckets of their bands "
+    keys = line_dedup.band_keys([line + "a", line + "b"])
+    assert (keys[0] == keys[1]).sum() > 1
+    docs = spark.createDataFrame([(1, line + "a\nother"), (2, line + "b"), (3, line + "b")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_report(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 1} and placed == [2]
+
+
+def test_text_is_shuffled_once(spark):
+    docs = spark.createDataFrame([(1, "a\nb\n\na\n"), (2, None), (3, ""), (4, "b"), (5, "\n"), (None, "a\r\nb")], "doc_id long, text string")
+    rows = line_dedup.without_repeated_lines(docs.withColumn("lang", F.lit("x")))
+    assert rows.schema["_row"].dataType.names == ["doc_id", "lang"]
+    assert "MapInArrow" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["doc_id"]: tuple(r)[1:] for r in line_dedup.line_report(docs).select("doc_id", "text", "n_lines", "n_dropped").collect()}
+    assert got == {1: ("a\nb\n\n", 5, 1), 2: (None, 1, 0), 3: ("", 1, 0), 4: ("", 1, 1), 5: ("\n", 2, 0), None: ("", 2, 2)}

@@ -11,13 +11,15 @@ v = a c + r, r orthogonal to c,
 
 by Cauchy-Schwarz, which gives a certain interval for every score; the error
 of the quantised q is added to it.  Only pairs whose interval can reach the
-result are scored in integers, and only these scores are compared.
+result are scored in integers, and only these scores are compared.  Where
+floating point holds every sum of a tile exactly, the scores of many such
+pairs come from one matrix product.
 
 Anchors (a stated query set) are compared with all rows in tiles: a block of
 rows with a block of anchors, both of bounded size.  A tile returns a bounded
 number of rows per anchor, or per anchor and positive; the first ones over
 all tiles are picked by Spark.  Positives come first; their scores then bound
-the negatives.
+the negatives.  Blocks of both sides meet by a shuffle, never on the driver.
 
 Defined results: rows with a null id, label or vector, or with any null or
 non-finite component take no part; rows of different length are not compared;
@@ -38,10 +40,12 @@ from pyspark.sql import functions as F
 from .common import materialize, only
 
 PLANES, SEED = 6, 42
-#: rows and anchors of a block, and anchors whose intervals are held at once
-ROWS, ANCHORS, AT_ONCE = 8192, 2048, 64
-#: a sum of products below it is exact in 64 bits
-_EXACT = 1 << 62
+#: rows and anchors of a block, pairs whose intervals are held at once, and blocks of rows in a strip
+ROWS, ANCHORS, AT_ONCE, STRIP = 8192, 2048, 1 << 16, 16
+#: a sum of products below it is exact in 64 bits, and in the floating point types
+_EXACT, _FLOATS = 1 << 62, ((np.float32, 1 << 24), (np.float64, 1 << 53))
+#: share of the pairs from which one matrix product is less work than picking them
+_MANY = 1 / 16
 _END = (1 << 63) - 1
 
 
@@ -77,6 +81,11 @@ class Codes:
         self.align = np.abs(rotated).sum(axis=1) / np.sqrt(d)
         self.rest = np.sqrt(np.maximum((rotated * rotated).sum(axis=1) - self.align ** 2, 0.0))
 
+    def part(self, at: np.ndarray) -> Codes:
+        some = object.__new__(Codes)
+        some.bits, some.align, some.rest = self.bits[at], self.align[at], self.rest[at]
+        return some
+
 
 def intervals(query: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """(low, high) of the inner products of rotated ``query`` rows with the coded rows."""
@@ -86,22 +95,35 @@ def intervals(query: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     level = np.rint((query - low[:, None]) / step[:, None]).astype(np.int64)
     near = low[:, None] + step[:, None] * level
     lost = np.sqrt(((query - near) ** 2).sum(axis=1))
-    ones = np.bitwise_count(codes.bits).sum(axis=1, dtype=np.int64)
+    size = np.sqrt((query * query).sum(axis=1))
+    ones = np.bitwise_count(codes.bits).sum(axis=1, dtype=np.float64)
     # sum of near over the set bits, by planes; q.c is twice that less the sum of all
-    total = np.zeros((n, len(codes.bits)), np.int64)
-    for p in range(PLANES):
+    total = np.zeros((n, len(codes.bits)), np.uint16 if d << PLANES < 1 << 16 else np.int64)
+    both, count = np.empty(total.shape, np.uint64), np.empty(total.shape, np.uint8)
+    for p in reversed(range(PLANES)):
         plane = packed((level >> p) & 1)
+        total <<= 1
         for w in range(plane.shape[1]):
-            total += np.bitwise_count(plane[:, w, None] & codes.bits[None, :, w]).astype(np.int64) << p
-    on = low[:, None] * ones[None, :] + step[:, None] * total
-    qc = (2 * on - near.sum(axis=1)[:, None]) / np.sqrt(d)
+            np.bitwise_and(plane[:, w, None], codes.bits[None, :, w], out=both)
+            total += np.bitwise_count(both, out=count)
+    unit = 2 / np.sqrt(d)
+    qc = total * (unit * step)[:, None]
+    qc += (unit * low)[:, None] * ones
+    qc -= (near.sum(axis=1) / np.sqrt(d))[:, None]
     # |q|^2 - (q.c)^2 with q.c off by at most ``lost``
-    off = np.maximum(np.abs(qc) - lost[:, None], 0.0)
-    side = np.sqrt(np.maximum((query * query).sum(axis=1)[:, None] - off ** 2, 0.0))
-    mid = qc * codes.align[None, :]
-    half = side * codes.rest[None, :] + lost[:, None] * codes.align[None, :]
-    slack = 1e-9 * (np.abs(mid) + half) + 1e-9 * np.sqrt((query * query).sum(axis=1))[:, None] * (codes.align + codes.rest)[None, :]
-    return mid - half - slack, mid + half + slack
+    half = np.abs(qc)
+    half -= lost[:, None]
+    np.maximum(half, 0.0, out=half)
+    half *= half
+    np.subtract((size ** 2)[:, None], half, out=half)
+    np.maximum(half, 0.0, out=half)
+    np.sqrt(half, out=half)
+    slack = 1e-7 * (size + lost)
+    half += slack[:, None]
+    half *= codes.rest
+    half += (lost + slack)[:, None] * codes.align
+    qc *= codes.align
+    return qc - half, qc + half
 
 
 def scores(a: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -115,13 +137,36 @@ def scores(a: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.array([max(-_END - 1, min(_END, int(x))) for x in exact], np.int64)
 
 
+class Exact:
+    """Scores of anchors with rows: by matrix products where floating point holds every sum, else one by one."""
+
+    def __init__(self, anchors: np.ndarray, v: np.ndarray):
+        self.anchors, self.v, self.a, self.rows = anchors, v, None, None
+        most = np.prod([float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (anchors, v)]) * max(1, v.shape[1])
+        kind = next((k for k, end in _FLOATS if most < end), None)
+        if kind is not None:
+            self.a, self.rows = anchors.astype(kind), np.ascontiguousarray(v.T.astype(kind))
+
+    def of(self, x: int, reach: np.ndarray, least: np.ndarray | None = None,
+           most: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(anchor, row numbers, scores) of the pairs in ``reach``, whose first anchor is number ``x``; with ``least``
+        and ``most``, pairs with scores outside of them may be left out."""
+        dense = self.a is not None and np.count_nonzero(reach) > _MANY * reach.size
+        if dense:
+            s = self.a[x:x + len(reach)] @ self.rows
+            if least is not None:
+                reach = reach & (s >= least.astype(s.dtype)[:, None]) & (s <= most.astype(s.dtype)[:, None])
+        for k in range(len(reach)):
+            at = np.flatnonzero(reach[k])
+            yield x + k, at, s[k, at].astype(np.int64) if dense else scores(self.anchors[x + k], self.v[at])
+
+
 class Block:
-    """Rows of one length: ids, labels and integer vectors, plain and rotated."""
+    """Rows of one length: ids, labels and integer vectors, plain and rotated by ``turn``."""
 
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, v: np.ndarray):
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, v: np.ndarray, turn: np.ndarray | None):
         self.ids, self.labels, self.v = ids, labels, v
-        d = v.shape[1]
-        self.rotated = v.astype(np.float64) @ rotation(d) if d else np.zeros((len(v), 1))
+        self.rotated = v.astype(np.float64) @ turn if v.shape[1] else np.zeros((len(v), 1))
 
 
 def narrow(v: np.ndarray) -> np.ndarray:
@@ -167,25 +212,27 @@ def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(d)
 
 
-def _tile(b: pa.RecordBatch, i: int) -> tuple[Block, Block, np.ndarray, list]:
-    """(rows, anchors, row numbers of the anchors, their positives) of one joined row."""
-    d = b.column("d")[i].as_py()
-    ids, labels = (b.column(c)[i].values.to_numpy() for c in ("ids", "labels"))
-    rows = Block(ids, labels, wide(b.column("v")[i].as_py(), len(ids), d))
-    own = b.column("anchors")[i].values
-    v = own.field("v").flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(own), d)
-    anchors = Block(own.field("vec_id").to_numpy(), own.field("label").to_numpy(), v)
-    positives = own.field("positives").to_pylist() if own.type.get_field_index("positives") >= 0 else []
-    return rows, anchors, own.field("name").to_numpy(), positives
+def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, Block, np.ndarray, pa.StructArray]]:
+    """(rows, anchors, row numbers of the anchors, the anchors as they came) of every joined row."""
+    turns: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i in range(b.num_rows):
+            d = b.column("d")[i].as_py()
+            if d and d not in turns:
+                turns = {d: rotation(d)}
+            ids, labels = (b.column(c)[i].values.to_numpy() for c in ("ids", "labels"))
+            rows = Block(ids, labels, wide(b.column("v")[i].as_py(), len(ids), d), turns.get(d))
+            own = b.column("anchors")[i].values
+            v = own.field("v").flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(own), d)
+            yield rows, Block(own.field("vec_id").to_numpy(), own.field("label").to_numpy(), v, turns.get(d)), \
+                own.field("name").to_numpy(), own
 
 
-def _bounds(rows: Block, anchors: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(anchor, low, high) of the scores of every anchor with all rows."""
-    codes = Codes(rows.rotated)
-    for x in range(0, len(anchors.ids), AT_ONCE):
-        low, high = intervals(anchors.rotated[x:x + AT_ONCE], codes)
-        for k in range(len(low)):
-            yield x + k, low[k], high[k]
+def _bounds(anchors: np.ndarray, codes: Codes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first anchor, low, high) of the scores of a few rotated anchors with all coded rows."""
+    few = max(1, AT_ONCE // max(1, len(codes.bits)))
+    for x in range(0, len(anchors), few):
+        yield x, *intervals(anchors[x:x + few], codes)
 
 
 def _first(ids: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
@@ -193,72 +240,88 @@ def _first(ids: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
     return np.lexsort((ids, ~score))[:n]
 
 
+def _columns(out: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Rows of numbers and, at the end, two arrays of one length; the numbers hold for every element."""
+    size, cols = [len(row[-1]) for row in out], list(zip(*out)) or [()] * len(names)
+    flat = [np.repeat(np.array(c, np.int64), size) for c in cols[:-2]] \
+        + [np.concatenate([np.zeros(0, np.int64), *c]) for c in cols[-2:]]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in flat], names)
+
+
 def _positives(n: int):
     """Of every tile the first ``n`` other rows of each anchor's label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                rows, anchors, names, _ = _tile(b, i)
-                out: list[tuple] = []
-                for k, low, high in _bounds(rows, anchors):
-                    same = np.flatnonzero((rows.labels == anchors.labels[k]) & (rows.ids != anchors.ids[k]))
+        for rows, anchors, names, _ in _tile(batches):
+            codes, out = Codes(rows.rotated), []
+            for label in np.unique(anchors.labels):
+                own, same = np.flatnonzero(anchors.labels == label), np.flatnonzero(rows.labels == label)
+                if len(same) == 0:
+                    continue
+                ids, exact = rows.ids[same], Exact(anchors.v[own], rows.v[same])
+                for x, low, high in _bounds(anchors.rotated[own], codes.part(same)):
+                    reach = ids != anchors.ids[own[x:x + len(low)], None]
                     if len(same) > n:            # n rows reach ``least`` for certain
-                        least = np.partition(low[same], len(same) - n)[len(same) - n]
-                        same = same[high[same] >= least]
-                    s = scores(anchors.v[k], rows.v[same])
-                    top = _first(rows.ids[same], s, n)
-                    out += zip([names[k]] * len(top), [anchors.ids[k]] * len(top), rows.ids[same][top].tolist(), s[top].tolist())
-                cols = list(zip(*out)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                                 ["name", "anchor_id", "positive_id", "positive_score"])
+                        low[~reach] = -np.inf
+                        reach &= high >= np.partition(low, len(same) - n, axis=1)[:, [len(same) - n]]
+                    for k, at, s in exact.of(x, reach):
+                        if len(at) > n:
+                            best = s >= np.partition(s, len(s) - n)[len(s) - n]
+                            at, s = at[best], s[best]
+                        top = _first(ids[at], s, n)
+                        if len(top):
+                            out.append((names[own[k]], anchors.ids[own[k]], ids[at][top], s[top]))
+            yield _columns(out, ["name", "anchor_id", "positive_id", "positive_score"])
     return run
 
 
 def _negatives(n: int, share: int, whole: int):
     """Of every tile the first ``n`` rows of another label in the band below each positive's score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                rows, anchors, names, positives = _tile(b, i)
-                out: list[tuple] = []
-                for k, low, high in _bounds(rows, anchors):
-                    if not positives[k]:
+        for rows, anchors, names, own in _tile(batches):
+            codes, exact, out = Codes(rows.rotated), Exact(anchors.v, rows.v), []
+            bands = [[(p["rank"], p["id"], p["score"], -(-share * p["score"] // whole), p["score"]) for p in x or []]
+                     for x in own.field("positives").to_pylist()]
+            least = np.array([min((x[3] for x in b), default=np.inf) for b in bands], np.float64)
+            most = np.array([max((x[4] for x in b), default=-np.inf) for b in bands], np.float64)
+            for x, low, high in _bounds(anchors.rotated, codes):
+                z = x + len(low)
+                reach = rows.labels != anchors.labels[x:z, None]
+                reach &= high >= least[x:z, None]
+                reach &= low <= most[x:z, None]
+                for k, at, s in exact.of(x, reach, least[x:z], most[x:z]):
+                    if len(at) == 0:
                         continue
-                    bands = [(p["rank"], p["id"], p["score"], -(-share * p["score"] // whole), p["score"]) for p in positives[k]]
-                    reach = (rows.labels != anchors.labels[k]) & (high >= min(x[3] for x in bands)) \
-                        & (low <= max(x[4] for x in bands))
-                    at = np.flatnonzero(reach)
-                    s = scores(anchors.v[k], rows.v[at])
                     order = _first(rows.ids[at], s, len(at))
                     falling, ids = s[order], rows.ids[at][order]
-                    for rank, name, score, least, most in bands:
-                        if least > most:
-                            continue
-                        a = int(np.searchsorted(~falling, ~np.int64(most), "left"))
-                        z = int(np.searchsorted(~falling, ~np.int64(max(least, -_END - 1)), "right"))
-                        for j in range(a, min(z, a + n)):
-                            out.append((names[k], anchors.ids[k], rank, name, score, ids[j], falling[j]))
-                cols = list(zip(*out)) or [()] * 7
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(x) for x in c], pa.int64()) for c in cols],
-                    ["name", "anchor_id", "place", "positive_id", "positive_score", "negative_id", "negative_score"])
+                    first = np.searchsorted(~falling, [~x[4] for x in bands[k]], "left").tolist()
+                    last = np.searchsorted(~falling, [~max(x[3], -_END - 1) for x in bands[k]], "right").tolist()
+                    for (rank, name, score, *_), a, e in zip(bands[k], first, last):
+                        if a < e:
+                            e = min(e, a + n)
+                            out.append((names[k], anchors.ids[k], rank, name, score, ids[a:e], falling[a:e]))
+            yield _columns(out, ["name", "anchor_id", "place", "positive_id", "positive_score", "negative_id", "negative_score"])
     return run
 
 
-def _tiles(blocks: DataFrame, anchors: DataFrame, run, schema: str) -> DataFrame:
+def _tiles(blocks: DataFrame, anchors: DataFrame, n: tuple[int, int, int], run, schema: str) -> DataFrame:
     """Every block of rows with every block of anchors of its length, in bounded tiles.
 
-    The anchors travel to the blocks of rows: a block draws one of as many numbers as there are blocks, and every
-    block of anchors is sent to each number, so that no length and no block is one task's work.
+    ``n``: blocks, rows and anchors there are.  The anchors travel to the blocks of rows: a block draws one of so many
+    strips, and every block of anchors is sent to each strip, so that no length and no block is one task's work.  There
+    are as many strips as blocks while no more anchors are sent than there are rows, then one for STRIP blocks.  The
+    planner's sizes do not count how often an anchor is sent, so the join says that it is by shuffle: a small table of
+    anchors would be gathered on the driver as often as there are strips.
     """
-    n_blocks, n_anchors = blocks.count(), anchors.count()
+    n_blocks, n_rows, n_anchors = n
+    strips = max(1, min(n_blocks, max(-(-n_blocks // STRIP), n_rows // max(1, n_anchors))))
     held = [c for c in ("name", "vec_id", "label", "v", "positives") if c in anchors.columns]
     groups = (anchors.withColumn("d", F.array_size("v"))
               .withColumn("block", F.pmod(F.xxhash64("name"), F.lit(-(-n_anchors // ANCHORS) or 1)))
               .groupBy("d", "block").agg(F.collect_list(F.struct(*held)).alias("anchors"))
-              .select("d", "anchors", F.explode(F.sequence(F.lit(0), F.lit(max(0, n_blocks - 1)))).alias("at")))
-    at = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, n_blocks))).cast("int")
-    return blocks.withColumn("at", at).join(groups, ["d", "at"]).select("d", "ids", "labels", "v", "anchors") \
+              .select("d", "anchors", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("at")))
+    at = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(strips)).cast("int")
+    # the strip is the side that is held for each block of anchors
+    return groups.hint("merge").join(blocks.withColumn("at", at), ["d", "at"]).select("d", "ids", "labels", "v", "anchors") \
         .mapInArrow(run, schema)
 
 
@@ -276,11 +339,12 @@ def hard_negatives(vectors: DataFrame, every: int = 100, relabel: int = 7, label
     blocks = materialize(rows.mapInArrow(block_rows, "d int, ids array<long>, labels array<long>, v binary"), "negatives-blocks")
     anchors = materialize(rows.filter(F.col("vec_id") % every == 0).withColumn("name", F.monotonically_increasing_id()),
                           "negatives-anchors")
-    near = _tiles(blocks, anchors, _positives(positives), "name long, anchor_id long, positive_id long, positive_score long")
+    n = blocks.count(), rows.count(), anchors.count()
+    near = _tiles(blocks, anchors, n, _positives(positives), "name long, anchor_id long, positive_id long, positive_score long")
     near = materialize(_top(near, ["name"], "positive_score", "positive_id", positives), "negatives-positives")
     own = near.groupBy("name").agg(F.collect_list(F.struct(
         "rank", F.col("positive_id").alias("id"), F.col("positive_score").alias("score"))).alias("positives"))
-    found = _tiles(blocks, anchors.join(own, "name"), _negatives(negatives, share, whole),
+    found = _tiles(blocks, anchors.join(own.hint("merge"), "name"), n, _negatives(negatives, share, whole),
                    "name long, anchor_id long, place long, positive_id long, positive_score long, "
                    "negative_id long, negative_score long")
     found = _top(found, ["name", "place"], "negative_score", "negative_id", negatives)

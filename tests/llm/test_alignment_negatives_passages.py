@@ -192,6 +192,34 @@ def test_negatives_of_odd_rows(spark, monkeypatch):
     assert hard_negatives.hard_negatives(df.limit(0)).count() == 0
 
 
+def test_anchors_meet_the_blocks_by_shuffle(spark, monkeypatch):
+    """The planner's sizes do not count how often anchors are sent: a broadcast would gather all of that on the driver."""
+    rnd = random.Random(4)
+    monkeypatch.setattr(hard_negatives, "ROWS", 4)
+    rows = [(i, rnd.randrange(3), [rnd.uniform(-1, 1) for _ in range(6)], 5, 6, "x") for i in range(200)]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "0")
+    got = hard_negatives.hard_negatives(spark.createDataFrame(rows, VEC).repartition(4), every=10)
+    assert got.count() > 0
+    got.write.format("noop").mode("overwrite").save()
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 22])          # sums within 32-bit floats, 64-bit floats, integers
+@pytest.mark.parametrize("many", [0, 2])
+def test_negatives_in_strips_by_product_or_one_by_one(spark, monkeypatch, scale, many):
+    rnd = random.Random(scale)
+    for k, v in (("ROWS", 8), ("ANCHORS", 4), ("STRIP", 3), ("AT_ONCE", 20), ("_MANY", many)):
+        monkeypatch.setattr(hard_negatives, k, v)
+    rows = [(i, rnd.randrange(3), [rnd.choice([-1.0, 0.25, 0.5, 1.0]) * scale for _ in range(5)]) for i in range(60)]
+    rows += [(70 + i, i % 2, [0.5 * scale] * 5) for i in range(12)] + rows[:3] + [(90, 1, [1.0] * 3), (91, 1, [1.0] * 3), (92, 2, [1.0] * 3)]
+    df = spark.createDataFrame([(*r, 5, 6, "x") for r in rows], VEC).repartition(3)
+    got = hard_negatives.hard_negatives(df, every=2)
+    assert sorted(tuple(r) for r in got.select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()) == brute_negatives(rows, 2)
+
+
 def test_intervals_hold_every_score():
     rng = np.random.default_rng(5)
     for d in (1, 3, 64, 100):

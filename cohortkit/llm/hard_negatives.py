@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from .common import materialize, only
 
 PLANES, SEED = 6, 42
-#: rows and anchors of a block, pairs whose intervals are held at once, and blocks of rows in a strip
-ROWS, ANCHORS, AT_ONCE, STRIP = 8192, 2048, 1 << 16, 16
+#: rows and anchors of a block, pairs whose intervals are held at once, blocks of rows in a strip, and tiles in one
+#: Arrow batch, which holds both blocks of each
+ROWS, ANCHORS, AT_ONCE, STRIP, TILES = 8192, 2048, 1 << 17, 16, 4
 #: a sum of products below it is exact in 64 bits, and in the floating point types
 _EXACT, _FLOATS = 1 << 62, ((np.float32, 1 << 24), (np.float64, 1 << 53))
 #: share of the pairs from which one matrix product is less work than picking them
@@ -90,13 +91,12 @@ class Codes:
 def intervals(query: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
     """(low, high) of the inner products of rotated ``query`` rows with the coded rows."""
     n, d = query.shape
+    size = np.sqrt((query * query).sum(axis=1))
+    query = query / np.where(size > 0, size, 1.0)[:, None]
     low, high = query.min(axis=1), query.max(axis=1)
     step = np.maximum((high - low) / ((1 << PLANES) - 1), np.finfo(float).tiny)
     level = np.rint((query - low[:, None]) / step[:, None]).astype(np.int64)
     near = low[:, None] + step[:, None] * level
-    lost = np.sqrt(((query - near) ** 2).sum(axis=1))
-    size = np.sqrt((query * query).sum(axis=1))
-    ones = np.bitwise_count(codes.bits).sum(axis=1, dtype=np.float64)
     # sum of near over the set bits, by planes; q.c is twice that less the sum of all
     total = np.zeros((n, len(codes.bits)), np.uint16 if d << PLANES < 1 << 16 else np.int64)
     both, count = np.empty(total.shape, np.uint64), np.empty(total.shape, np.uint8)
@@ -106,24 +106,32 @@ def intervals(query: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
         for w in range(plane.shape[1]):
             np.bitwise_and(plane[:, w, None], codes.bits[None, :, w], out=both)
             total += np.bitwise_count(both, out=count)
-    unit = 2 / np.sqrt(d)
-    qc = total * (unit * step)[:, None]
-    qc += (unit * low)[:, None] * ones
-    qc -= (near.sum(axis=1) / np.sqrt(d))[:, None]
-    # |q|^2 - (q.c)^2 with q.c off by at most ``lost``
+    # 32 bits, where they hold the products: every sum below is of terms under 8 sqrt(d), some of them rounded six times
+    kind = np.float32 if size.max(initial=0) * (codes.align + codes.rest).max(initial=0) < 1e36 else np.float64
+    align, rest, ones = (x.astype(kind) for x in (codes.align, codes.rest, np.bitwise_count(codes.bits).sum(axis=1, dtype=np.int64)))
+    off = np.sqrt(((query - near) ** 2).sum(axis=1)) + 4e-6 * np.sqrt(d)
+    unit, sums = 2 / np.sqrt(d), near.sum(axis=1) / np.sqrt(d)
+    step, low, sums, off, size = (x.astype(kind)[:, None] for x in (unit * step, unit * low, sums, off, size))
+    qc = total * step
+    qc += low * ones
+    qc -= sums
+    # 1 - (q.c)^2 with q.c off by at most ``off``
     half = np.abs(qc)
-    half -= lost[:, None]
-    np.maximum(half, 0.0, out=half)
+    half -= off
+    np.maximum(half, 0, out=half)
     half *= half
-    np.subtract((size ** 2)[:, None], half, out=half)
-    np.maximum(half, 0.0, out=half)
+    np.subtract(kind(1 + 1e-5), half, out=half)
+    np.maximum(half, 0, out=half)
     np.sqrt(half, out=half)
-    slack = 1e-7 * (size + lost)
-    half += slack[:, None]
-    half *= codes.rest
-    half += (lost + slack)[:, None] * codes.align
-    qc *= codes.align
-    return qc - half, qc + half
+    half += kind(4e-6)
+    half *= rest
+    half += (off + kind(4e-6)) * align
+    qc *= align
+    low = qc - half
+    half += qc
+    low *= size
+    half *= size
+    return low, half
 
 
 def scores(a: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -341,11 +349,11 @@ def hard_negatives(vectors: DataFrame, every: int = 100, relabel: int = 7, label
                           "negatives-anchors")
     n = blocks.count(), rows.count(), anchors.count()
     near = _tiles(blocks, anchors, n, _positives(positives), "name long, anchor_id long, positive_id long, positive_score long")
-    near = materialize(_top(near, ["name"], "positive_score", "positive_id", positives), "negatives-positives")
+    near = materialize(_top(near, ["name"], "positive_score", "positive_id", positives), "negatives-positives", rows=TILES)
     own = near.groupBy("name").agg(F.collect_list(F.struct(
         "rank", F.col("positive_id").alias("id"), F.col("positive_score").alias("score"))).alias("positives"))
     found = _tiles(blocks, anchors.join(own.hint("merge"), "name"), n, _negatives(negatives, share, whole),
                    "name long, anchor_id long, place long, positive_id long, positive_score long, "
                    "negative_id long, negative_score long")
-    found = _top(found, ["name", "place"], "negative_score", "negative_id", negatives)
+    found = materialize(_top(found, ["name", "place"], "negative_score", "negative_id", negatives), "negatives-found", rows=TILES)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -194,16 +194,15 @@ def test_negatives_of_odd_rows(spark, monkeypatch):
 
 def test_anchors_meet_the_blocks_by_shuffle(spark, monkeypatch):
     """The planner's sizes do not count how often anchors are sent: a broadcast would gather all of that on the driver."""
-    rnd = random.Random(4)
+    rnd, steps, write = random.Random(4), [], hard_negatives.materialize
     monkeypatch.setattr(hard_negatives, "ROWS", 4)
-    rows = [(i, rnd.randrange(3), [rnd.uniform(-1, 1) for _ in range(6)], 5, 6, "x") for i in range(200)]
+    monkeypatch.setattr(hard_negatives, "materialize", lambda df, *a, **b: write(steps.append(df) or df, *a, **b))
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "0")
-    got = hard_negatives.hard_negatives(spark.createDataFrame(rows, VEC).repartition(4), every=10)
-    assert got.count() > 0
-    got.write.format("noop").mode("overwrite").save()
-    got.collect()
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    rows = [(i, rnd.randrange(3), [rnd.uniform(-1, 1) for _ in range(6)], 5, 6, "x") for i in range(200)]
+    steps.append(hard_negatives.hard_negatives(spark.createDataFrame(rows, VEC).repartition(4), every=10))
+    assert steps[-1].count() > 0
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in steps]
+    assert sum("SortMergeJoin" in x for x in plans) == 2 and not any("Broadcast" in x for x in plans)
 
 
 @pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 22])          # sums within 32-bit floats, 64-bit floats, integers
@@ -232,6 +231,19 @@ def test_intervals_hold_every_score():
         assert (low <= exact).all() and (exact <= high).all()
 
 
+@pytest.mark.parametrize("size", [1, 1 << 20, 1 << 40, 1 << 58])
+def test_intervals_hold_scores_of_any_size_and_along_a_code(size):
+    rng = np.random.default_rng(6)
+    for d in (2, 65, 1100):
+        turn = hard_negatives.rotation(d)
+        v, q = (np.floor(rng.normal(size=(n, d)) * size).astype(np.int64) for n in (100, 12))
+        v[:3], q[0], v[3:6], v[6], v[7] = 0, 0, q[2], -q[3], q[4] * 2
+        v[8:12] = q[5:8] = np.rint(np.sign(rng.normal(size=d)) @ turn.T * min(size, 1 << 40) * 10).astype(np.int64)
+        low, high = hard_negatives.intervals(q @ turn, hard_negatives.Codes(v @ turn))
+        exact = (q.astype(object) @ v.T.astype(object)).ravel().tolist()
+        assert all(a <= x <= b for a, x, b in zip(low.ravel().tolist(), exact, high.ravel().tolist()))
+
+
 def test_large_scores_stay_in_range():
     a = np.array([1 << 40, 1 << 40])
     assert hard_negatives.scores(a, np.array([[1 << 40, 1 << 40], [-(1 << 40), -(1 << 40)], [3, 4]])).tolist() == \
